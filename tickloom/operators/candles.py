@@ -10,21 +10,22 @@ from tickloom.functions.times import bucket_start, micros, span_micros
 ROLLUPS = {"5m": "5 minutes", "15m": "15 minutes", "1h": "1 hour"}
 
 
-def event_rank(stamp: str, span: str, tiebreak: str | None) -> Column:
+def event_rank(stamp: str, span: str, tiebreak: str | None, numeric: bool = False) -> Column:
     """A long that orders the events of one bucket by (time, tiebreak).
 
-    The offset inside the bucket fills the high bits, a hash of the tiebreak the
-    rest.  A fixed-width key keeps ``min_by``/``max_by`` in the hash aggregate
-    with map-side combine; a struct or string key would make Spark sort all
-    trades first.  Two trades at one microsecond are ordered by the hash, which
-    is as good as any order and the same on every run.
+    The offset inside the bucket fills the high bits, the tiebreak the rest: a
+    hash of it or, with ``numeric``, a small id itself.  A fixed-width key keeps
+    ``min_by``/``max_by`` in the hash aggregate with map-side combine; a struct
+    or string key would make Spark sort all trades first.  Trades at one
+    microsecond have no order of their own, so the hash's order serves as well
+    as any and is the same on every run.
     """
     offset = F.pmod(micros(stamp), F.lit(span_micros(span)))
     if tiebreak is None:
         return offset
     spare = 63 - (span_micros(span) - 1).bit_length()
-    low = F.pmod(F.xxhash64(tiebreak), F.lit(1 << spare))
-    return F.shiftleft(offset, spare) + low
+    low = F.col(tiebreak).cast("long") if numeric else F.xxhash64(tiebreak)
+    return F.shiftleft(offset, spare) + F.pmod(low, F.lit(1 << spare))
 
 
 def first_by(value: str, rank: Column) -> Column:
@@ -88,11 +89,11 @@ def rollup_candles(
 
     ``trades_count`` sums the trades, ``candles_count`` counts the input
     candles; the platform's views report the second under the first's name.
-    With several exchanges merged under one symbol, pass the exchange column as
-    ``tiebreak``.
+    With several exchanges merged under one symbol, pass the exchange id column
+    as ``tiebreak``.
     """
     bucketed = candles.withColumn("_bucket", bucket_start(open_time, span))
-    rank = event_rank(open_time, span, tiebreak)
+    rank = event_rank(open_time, span, tiebreak, numeric=True)
     has_trades = "trades_count" in candles.columns
     trades = F.sum("trades_count") if has_trades else F.count(F.lit(1))
     grouped = bucketed.groupBy(*keys, "_bucket").agg(

@@ -386,9 +386,14 @@ def indicator_summary(
     return newest.join(rsi, keys)
 
 
-def feature_sequences(features: DataFrame, names: list[str], n: int, keys=KEYS, order=ORDER, span=CANDLE_CHUNK):
-    """The last ``n`` feature rows of every row, oldest first; only full sequences."""
+def feature_sequences(
+    features: DataFrame, names: list[str], n: int, valid: Column | None = None, keys=KEYS, order=ORDER, span=CANDLE_CHUNK
+) -> DataFrame:
+    """The last ``n`` feature rows of every row, oldest first; only full
+    sequences, and with ``valid`` only those whose every step satisfies it."""
     blocks = Blocks.cut(index_rows(features, keys, order, span), keys, n - 1)
     window = blocks.frame(1 - n, 0)
-    blocks = blocks.add({"sequence": F.collect_list(F.struct(*names)).over(window)})
-    return blocks.rows().filter(F.size("sequence") == n).drop(ROW)
+    usable = F.lit(True) if valid is None else valid
+    blocks = blocks.add({"_step": F.struct(*names), "_ok": usable})
+    blocks = blocks.add({"sequence": F.collect_list("_step").over(window), "_all": F.min("_ok").over(window)})
+    return blocks.rows().filter((F.size("sequence") == n) & F.col("_all")).drop(ROW, "_step", "_ok", "_all")

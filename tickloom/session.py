@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", extra: dict | None = None) -> SparkSes
     local = {
         "spark.sql.shuffle.partitions": width,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         **(extra or {}),
     }

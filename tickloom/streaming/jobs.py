@@ -1,0 +1,204 @@
+"""Streaming forms of the candle, price and quality operators.
+
+Every function takes a streaming DataFrame and returns one; ``start`` and the
+sinks attach it to storage.  Sources replay from their checkpoint and the sinks
+are idempotent per key, so delivery is at least once and results are unchanged by
+a replay (T7).
+"""
+
+from __future__ import annotations
+
+from collections import deque
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from tickloom.operators.candles import close_time, event_rank, first_by, last_by
+from tickloom.operators.quality import FAILED, quality_report
+from tickloom.schemas import ACCURACY_MIN_HISTORY, ACCURACY_WINDOW, MAX_DEVIATION, QUALITY_DIMENSIONS
+from tickloom.sources import sinks
+
+FLUSH_EVERY = "30 seconds"
+BATCH_EVERY = "5 seconds"
+
+
+def candle_stream(trades: DataFrame, lateness: str = "1 minute", span: str = "1 minute") -> DataFrame:
+    """Candles emitted once when the watermark passes their end.
+
+    Trades later than the watermark are dropped and counted in the query's
+    progress; they never reopen a candle.
+    """
+    rank = event_rank("timestamp", span, "trade_id")
+    # The watermark needs an instant, not a time without zone.
+    timed = trades.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", lateness)
+    grouped = timed.groupBy("symbol", F.window("timestamp", span)).agg(
+        first_by("price", rank).alias("open"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        last_by("price", rank).alias("close"),
+        F.sum("volume").alias("volume"),
+        F.count(F.lit(1)).alias("trades_count"),
+    )
+    return grouped
+
+
+def candle_rows(windowed: DataFrame, span: str = "1 minute") -> DataFrame:
+    """Windowed aggregates as candle rows."""
+    start = F.col("window")["start"]
+    return windowed.select(
+        "symbol", start.alias("open_time"), "open", "high", "low", "close", "volume",
+        close_time(start, span, inclusive=False).alias("close_time"), "trades_count",
+    )
+
+
+def rollup_stream(windowed: DataFrame, span: str) -> DataFrame:
+    """Longer candles from the candle stream, chained on its event time."""
+    at = F.col("window")["start"]
+    rank = event_rank("_open", span, None)
+    inner = windowed.withColumns({"_open": at, "_time": F.window_time("window")})
+    grouped = inner.groupBy("symbol", F.window("_time", span)).agg(
+        first_by("open", rank).alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        last_by("close", rank).alias("close"),
+        F.sum("volume").alias("volume"),
+        F.sum("trades_count").alias("trades_count"),
+        F.count(F.lit(1)).alias("candles_count"),
+    )
+    return grouped
+
+
+def latest_price_stream(trades: DataFrame) -> DataFrame:
+    """Last price per symbol, for update mode; one state row per symbol."""
+    stamp = F.col("timestamp").cast("timestamp")
+    return trades.groupBy("symbol").agg(
+        F.max_by("price", F.unix_micros(stamp)).alias("price"), F.max(stamp).alias("price_time")
+    )
+
+
+def latest_klines(updates: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """The current state of every bar, the final update before any other, else
+    the last to arrive.  Works on batches too."""
+    rank = F.struct(F.col("is_final"), F.col(arrival))
+    bar = F.struct("open", "high", "low", "close", "is_final")
+    return (
+        updates.groupBy("symbol", "interval", "time")
+        .agg(F.max_by(bar, rank).alias("_bar"))
+        .select("symbol", "interval", "time", "_bar.*")
+    )
+
+
+def only_series(updates: DataFrame, symbol: str, interval: str) -> DataFrame:
+    """Updates of one chart; symbols compare without case."""
+    return updates.filter((F.lower("symbol") == symbol.lower()) & (F.col("interval") == interval))
+
+
+def deduplicated(trades: DataFrame, lateness: str = "10 minutes") -> DataFrame:
+    """Redelivered trades dropped within the watermark."""
+    timed = trades.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", lateness)
+    return timed.dropDuplicatesWithinWatermark(["trade_id"])
+
+
+# --- accuracy gate with state ----------------------------------------------------------
+
+_STATE = "prices array<double>"
+
+
+def judge_prices(recent: deque, prices) -> list[bool]:
+    """Accepts or rejects prices in arrival order; only accepted ones enter the history."""
+    verdicts = []
+    total = sum(recent)
+    for price in prices:
+        ok = True
+        if len(recent) >= ACCURACY_MIN_HISTORY:
+            mean = total / len(recent)
+            ok = not (mean > 0 and abs(price - mean) / mean > MAX_DEVIATION)
+        if ok:
+            if len(recent) == recent.maxlen:
+                recent.popleft()
+            recent.append(price)
+            # Summed anew: at most a hundred terms, and no drift over a long stream.
+            total = sum(recent)
+        verdicts.append(ok)
+    return verdicts
+
+
+def _gate_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    recent = deque(state.get[0] if state.exists else [], maxlen=ACCURACY_WINDOW)
+    for batch in batches:
+        ordered = batch.sort_values(["timestamp", "trade_id"], kind="stable")
+        verdicts = judge_prices(recent, ordered["price"])
+        yield ordered.assign(accepted=verdicts)
+    state.update((list(recent),))
+
+
+def accuracy_stream(trades: DataFrame) -> DataFrame:
+    """T4: every trade with whether its price is accepted, against the last 100
+    accepted prices of its symbol.  The state is a hundred numbers per symbol."""
+    rows = trades.select("symbol", "timestamp", "price", "volume", "side", "trade_id", "source")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.groupBy("symbol").applyInPandasWithState(
+        _gate_group, f"{kinds}, accepted boolean", _STATE, "append", GroupStateTimeout.NoTimeout
+    )
+
+
+# --- counters and sinks ----------------------------------------------------------------
+
+
+def observed(judged: DataFrame, name: str = "quality") -> DataFrame:
+    """The gate's counters as observed metrics of every micro-batch."""
+    failures = [F.count_if(F.col(FAILED) == d).alias(f"failed_{d}") for d in QUALITY_DIMENSIONS]
+    return judged.observe(name, F.count(F.lit(1)).alias("all_records"), *failures)
+
+
+def start(
+    stream: DataFrame,
+    checkpoint: str,
+    each_batch: Callable[[DataFrame, int], None],
+    mode: str = "append",
+    every: str | None = BATCH_EVERY,
+) -> StreamingQuery:
+    """T5: runs a stream into ``each_batch``; without ``every`` it takes what is
+    there and stops."""
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(each_batch)
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()
+
+
+def to_files(stream: DataFrame, path: str, checkpoint: str, every: str | None = BATCH_EVERY) -> StreamingQuery:
+    """Appends a stream to a Parquet folder, exactly once per batch."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        stream.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .option("path", path)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def to_bronze(path: str) -> Callable[[DataFrame, int], None]:
+    return lambda batch, _: sinks.write_bronze(batch, path)
+
+
+def to_candles(path: str) -> Callable[[DataFrame, int], None]:
+    return lambda batch, _: sinks.upsert_candles(batch, path)
+
+
+def to_latest(path: str) -> Callable[[DataFrame, int], None]:
+    return lambda batch, _: sinks.publish_latest(batch, path)
+
+
+def to_reports(path: str) -> Callable[[DataFrame, int], None]:
+    """T6 as a table: the quality report of every micro-batch, one folder per batch,
+    so a replayed batch replaces its own report."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        quality_report(batch).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
+
+    return write
