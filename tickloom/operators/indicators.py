@@ -239,7 +239,8 @@ def _scan(blocks: Blocks, value: Column, period: int, carry: Column) -> Column:
     decay, place = _decay(period), blocks.place()
     weighted = F.when(~F.col(LEAD), value * _gain(period) * _power(decay, -place))
     own = F.sum(weighted).over(blocks.upto()) * _power(decay, place)
-    return own + carry * _power(decay, place + 1)
+    # The first value of a series is its own average, to the last bit.
+    return F.when(F.col(ROW) == 1, value).otherwise(own + carry * _power(decay, place + 1))
 
 
 def ema_blocks(

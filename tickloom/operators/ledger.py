@@ -71,20 +71,20 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     owner, held = None, {}
     for batch in batches:
         rows = []
-        for portfolio, opening, order, pay_asset, pay, get_asset, get in zip(
-            batch.portfolio_id, batch.opening, batch.id, batch.pay_asset, batch.pay, batch.get_asset, batch.get
+        for portfolio, opening, order, pay_asset, cost, gain_asset, gain in zip(
+            batch.portfolio_id, batch.opening, batch.id, batch.pay_asset, batch.cost, batch.gain_asset, batch.gain
         ):
             if portfolio != owner:
                 owner, held = portfolio, {}
             if opening:
-                held[pay_asset] = pay
+                held[pay_asset] = cost
                 continue
             available = held.get(pay_asset, Decimal(0))
-            accepted = available >= pay
+            accepted = available >= cost
             if accepted:
-                held[pay_asset] = _EXACT.subtract(available, pay)
-                held[get_asset] = _EXACT.add(held.get(get_asset, Decimal(0)), get)
-            rows.append((portfolio, order, accepted, pay, available))
+                held[pay_asset] = _EXACT.subtract(available, cost)
+                held[gain_asset] = _EXACT.add(held.get(gain_asset, Decimal(0)), gain)
+            rows.append((portfolio, order, accepted, cost, available))
         yield pd.DataFrame(rows, columns=["portfolio_id", "id", "accepted", "required", "available"])
 
 
@@ -101,9 +101,9 @@ def settle(filled: DataFrame, balances: DataFrame) -> DataFrame:
     buy = F.col("side") == "buy"
     sides = {
         "pay_asset": F.when(buy, F.col("quote_asset_id")).otherwise(F.col("base_asset_id")),
-        "pay": F.when(buy, F.col("notional")).otherwise(F.col("quantity")).cast(QUANTITY),
-        "get_asset": F.when(buy, F.col("base_asset_id")).otherwise(F.col("quote_asset_id")),
-        "get": F.when(buy, F.col("quantity")).otherwise(F.col("notional")).cast(QUANTITY),
+        "cost": F.when(buy, F.col("notional")).otherwise(F.col("quantity")).cast(QUANTITY),
+        "gain_asset": F.when(buy, F.col("base_asset_id")).otherwise(F.col("quote_asset_id")),
+        "gain": F.when(buy, F.col("quantity")).otherwise(F.col("notional")).cast(QUANTITY),
     }
     legs = filled.withColumns(sides).withColumn("opening", F.lit(False))
     screened = running_balances(filled, balances)
@@ -118,8 +118,8 @@ def settle(filled: DataFrame, balances: DataFrame) -> DataFrame:
     opening = balances.select(
         "portfolio_id", F.lit(True).alias("opening"), F.lit(-1).cast("long").alias("id"),
         F.timestamp_micros(F.lit(0)).alias("created_ts"),
-        F.col("asset_id").alias("pay_asset"), F.col("qty").cast(QUANTITY).alias("pay"),
-        F.col("asset_id").alias("get_asset"), F.lit(0).cast(QUANTITY).alias("get"),
+        F.col("asset_id").alias("pay_asset"), F.col("qty").cast(QUANTITY).alias("cost"),
+        F.col("asset_id").alias("gain_asset"), F.lit(0).cast(QUANTITY).alias("gain"),
     )
     names = opening.columns
     stream = opening.unionByName(legs.withColumn("created_ts", F.col("created_ts").cast("timestamp")).select(*names))
@@ -127,7 +127,7 @@ def settle(filled: DataFrame, balances: DataFrame) -> DataFrame:
         stream.join(short, "portfolio_id", "left_semi")
         .repartition("portfolio_id")
         .sortWithinPartitions("portfolio_id", F.col("opening").desc(), "created_ts", "id")
-        .select("portfolio_id", "opening", "id", "pay_asset", "pay", "get_asset", "get")
+        .select("portfolio_id", "opening", "id", "pay_asset", "cost", "gain_asset", "gain")
         .mapInPandas(_fold, _SETTLED)
     )
     return parallel.unionByName(folded)

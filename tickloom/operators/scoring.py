@@ -18,18 +18,46 @@ KEYS = ["symbol"]
 ORDER = ["open_time"]
 
 
-def step_score() -> Column:
-    """Evidence of one feature row, before the weight of its step."""
+def step_signs() -> dict[str, Column]:
+    """The three warning signs of a feature row, as 0 or 1."""
+    falling = (F.col("macd_12_26") < 0) & (F.col("macd_5_35") < F.col("macd_signal_5_35"))
+    signs = {
+        "_below": F.col("below_all_sma") > 0.5,
+        "_volatile": F.col("volatility_14d") > 0.02,
+        "_falling": falling,
+    }
+    return {name: checks.sure(sign).cast("double") for name, sign in signs.items()}
 
-    def points(amount: float, condition: Column) -> Column:
-        return F.when(checks.sure(condition), F.lit(amount)).otherwise(F.lit(0.0))
 
-    falling = (F.col("macd_12_26") < 0) & (F.col("macd_5_35") < F.col("macd_signal_5_35"))
-    return (
-        points(0.3, F.col("below_all_sma") > 0.5)
-        + points(0.2, F.col("volatility_14d") > 0.02)
-        + points(0.2, falling)
-    )
+# Points of a sign on the latest step.  Fixed values.
+_POINTS = {"_below": 0.3, "_volatile": 0.2, "_falling": 0.2}
+
+
+def _evidence(steps: dict[str, list[Column]]) -> Column:
+    """Weighted points of up to three steps, oldest first, weights 1, 2, 3.
+
+    Terms are added sign by sign from the oldest step, since results are compared
+    with thresholds they can hit exactly.
+    """
+    trends = []
+    for name, signs in steps.items():
+        trend = F.lit(0.0)
+        for weight, sign in enumerate(signs, start=1):
+            trend = trend + sign * (_POINTS[name] * weight)
+        trends.append(trend)
+    return (trends[0] + trends[1] + trends[2]) / 3.0
+
+
+def _bounded(probability: Column) -> Column:
+    return F.least(F.lit(0.99), F.greatest(F.lit(0.01), probability))
+
+
+def _last_steps(blocks: Blocks, n: int) -> dict[str, list[Column]]:
+    """Signs of the last ``n`` rows, oldest first."""
+    return {
+        name: [F.lag(name, back).over(blocks.ordered()) if back else F.col(name) for back in range(n - 1, -1, -1)]
+        for name in _POINTS
+    }
 
 
 def fallback_probability(
@@ -39,16 +67,11 @@ def fallback_probability(
 
     With fewer than three rows the weights start at 1 on the oldest one.
     """
-    blocks = Blocks.cut(index_rows(features, keys, order, span), keys, 2)
-    blocks = blocks.add({"_score": step_score()})
-    before = F.lag("_score", 1).over(blocks.ordered())
-    oldest = F.lag("_score", 2).over(blocks.ordered())
-    now = F.col("_score")
-    weighted = (
-        F.when(F.col(ROW) == 1, now).when(F.col(ROW) == 2, before + now * 2).otherwise(oldest + before * 2 + now * 3)
-    )
-    probability = F.least(F.lit(0.99), F.greatest(F.lit(0.01), weighted / 3))
-    return blocks.add({"probability": probability}).rows().drop(ROW, "_score")
+    blocks = Blocks.cut(index_rows(features, keys, order, span), keys, 2).add(step_signs())
+    evidence = [_evidence(_last_steps(blocks, n)) for n in (1, 2, 3)]
+    row = F.col(ROW)
+    probability = F.when(row == 1, evidence[0]).when(row == 2, evidence[1]).otherwise(evidence[2])
+    return blocks.add({"probability": _bounded(probability)}).rows().drop(ROW, *_POINTS)
 
 
 def decide(scored: DataFrame, threshold: float = SELL_THRESHOLD) -> DataFrame:
@@ -102,13 +125,11 @@ def predictions(
     Rows with missing or invalid features are kept, with their missing names and
     a null prediction.
     """
-    blocks = Blocks.cut(index_rows(features, keys, order, span), keys, n - 1)
-    blocks = blocks.add({"_ok": checks.valid_features(FEATURES), "_score": step_score()})
+    blocks = Blocks.cut(index_rows(features, keys, order, span), keys, max(n - 1, 2))
+    blocks = blocks.add({"_ok": checks.valid_features(FEATURES), **step_signs()})
     recent = blocks.frame(1 - n, 0)
     full = (F.count("*").over(recent) == n) & F.min("_ok").over(recent)
-    back = [F.lag("_score", i).over(blocks.ordered()) for i in (1, 2)]
-    weighted = (back[1] + back[0] * 2 + F.col("_score") * 3) / 3
-    probability = F.when(full, F.least(F.lit(0.99), F.greatest(F.lit(0.01), weighted)))
+    probability = F.when(full, _bounded(_evidence(_last_steps(blocks, 3))))
     rows = blocks.add({"probability": probability, "missing": missing_features()}).rows()
     decided = decide(rows)
     known = F.col("probability").isNotNull()

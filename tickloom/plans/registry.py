@@ -14,12 +14,12 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, oracle: str | None = None, places: int = 6) -> Callable[[Query], Query]:
     """Registers a query; its result is brought to plain comparable types."""
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return comparable(build(spark, folder))
+            return comparable(build(spark, folder), places)
 
         QUERIES[name] = run
         if oracle:
@@ -29,8 +29,8 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Zone-free times, text dates, bigint integers, doubles rounded to 6 places."""
+def comparable(df: DataFrame, places: int = 6) -> DataFrame:
+    """Zone-free times, text dates, bigint integers, doubles rounded to ``places``."""
     columns = []
     for field in df.schema.fields:
         column, kind = F.col(f"`{field.name}`"), field.dataType
@@ -41,7 +41,7 @@ def comparable(df: DataFrame) -> DataFrame:
         elif isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType)):
             column = column.cast("bigint")
         elif isinstance(kind, (T.DecimalType, T.DoubleType, T.FloatType)):
-            column = F.round(column.cast("double"), 6) + F.lit(0.0)
+            column = F.round(column.cast("double"), places) + F.lit(0.0)
         columns.append(column.alias(field.name))
     return df.select(*columns)
 

@@ -6,6 +6,8 @@ the oracles' WITH clauses.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -255,7 +257,7 @@ PORTFOLIOS_SQL = """portfolios AS (
 def balances(spark: SparkSession, folder: str) -> DataFrame:
     """Cash in USDT and one other asset per portfolio."""
     key = F.col("c_custkey")
-    cash = F.struct(F.lit(0).cast("long").alias("asset_id"), (F.col("c_acctbal") * 20).cast(QUANTITY).alias("qty"))
+    cash = F.struct(F.lit(0).cast("long").alias("asset_id"), (F.col("c_acctbal").cast("decimal(12,2)") * 20).cast(QUANTITY).alias("qty"))
     coin = F.struct((key % 23 + 2).cast("long").alias("asset_id"), (key % 7 / 2).cast(QUANTITY).alias("qty"))
     return (
         table(spark, folder, "customer")
@@ -265,7 +267,7 @@ def balances(spark: SparkSession, folder: str) -> DataFrame:
 
 
 BALANCES_SQL = """balances AS (
-  SELECT c_custkey AS portfolio_id, CAST(0 AS BIGINT) AS asset_id, CAST(c_acctbal * 20 AS DECIMAL(38,18)) AS qty FROM customer
+  SELECT c_custkey AS portfolio_id, CAST(0 AS BIGINT) AS asset_id, CAST(CAST(c_acctbal AS DECIMAL(12,2)) * 20 AS DECIMAL(38,18)) AS qty FROM customer
   UNION ALL
   SELECT c_custkey, CAST(c_custkey % 23 + 2 AS BIGINT), CAST((c_custkey % 7) / 2.0 AS DECIMAL(38,18)) FROM customer)"""
 
@@ -283,7 +285,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         F.when(urgency == "1", "market").when(urgency == "3", "stop").when(urgency == "4", "stop_limit")
         .otherwise("limit").alias("type"),
         F.col("o_totalprice").cast(PRICE).alias("price"),
-        ((key % 50 + 1) / 100).cast(QUANTITY).alias("quantity"),
+        ((key % 50 + 1).cast("decimal(10,0)") * F.lit(Decimal("0.01"))).cast(QUANTITY).alias("quantity"),
         F.when(status == "F", "filled").when(status == "P", "partially_filled").when(key % 4 == 0, "new")
         .otherwise("open").alias("status"),
         at.alias("created_ts"),
@@ -298,7 +300,7 @@ ORDERS_SQL = """orders_v AS (
          CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'market' WHEN '3' THEN 'stop' WHEN '4' THEN 'stop_limit'
               ELSE 'limit' END AS type,
          CAST(o_totalprice AS DECIMAL(20,8)) AS price,
-         CAST((o_orderkey % 50 + 1) / 100.0 AS DECIMAL(38,18)) AS quantity,
+         CAST(CAST(o_orderkey % 50 + 1 AS DECIMAL(10,0)) * 0.01 AS DECIMAL(38,18)) AS quantity,
          CASE WHEN o_orderstatus = 'F' THEN 'filled' WHEN o_orderstatus = 'P' THEN 'partially_filled'
               WHEN o_orderkey % 4 = 0 THEN 'new' ELSE 'open' END AS status,
          o_orderdate AS created_ts, o_orderdate AS updated_ts
@@ -327,7 +329,7 @@ TRADES_SQL = """trades_v AS (
   SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey % 150 AS portfolio_id, l_partkey AS symbol_id,
          l_suppkey AS exchange_id, l_orderkey AS order_id, 'x_' || l_orderkey || '_' || l_linenumber AS external_trade_id,
          CASE WHEN l_returnflag = 'N' THEN 'buy' ELSE 'sell' END AS side,
-         l_extendedprice / l_quantity AS price, l_quantity AS quantity,
+         round(l_extendedprice / l_quantity, 8) AS price, l_quantity AS quantity,
          CASE WHEN l_linenumber % 2 = 1 THEN CAST(0 AS BIGINT) END AS fee_asset_id,
          l_extendedprice * l_tax AS fee_amount, l_shipdate AS trade_ts
   FROM lineitem)"""
