@@ -24,10 +24,9 @@ def every(*conditions: Column) -> Column:
     return sure(reduce(and_, conditions))
 
 
-def has_keys(text: Column, keys: list[str]) -> Column:
-    """All keys occur in a JSON object, whatever their values."""
-    present = F.json_object_keys(text)
-    return every(*[F.array_contains(present, key) for key in keys])
+def has_keys(present: Column, keys: list[str]) -> Column:
+    """All of ``keys`` occur in an array of the keys of a JSON object."""
+    return sure(F.size(F.array_except(F.array(*[F.lit(k) for k in keys]), present)) == 0)
 
 
 def number(value: str | Column) -> Column:
@@ -45,9 +44,9 @@ def complete(fields: list[str] = REQUIRED_FIELDS) -> Column:
     return every(*[F.col(field).isNotNull() for field in fields])
 
 
-def complete_text(text: Column, fields: list[str] = REQUIRED_FIELDS) -> Column:
+def complete_keys(present: Column, fields: list[str] = REQUIRED_FIELDS) -> Column:
     """Q1 for wire records: every required key is present; a null value passes."""
-    return has_keys(text, fields)
+    return has_keys(present, fields)
 
 
 def valid() -> Column:
@@ -101,10 +100,10 @@ def valid_model_symbol(symbol: str = "symbol") -> Column:
     return sure(F.length(symbol).between(1, 20))
 
 
-def raw_trade_ok(record: str = "record", text: str = "text") -> Column:
+def raw_trade_ok(record: str = "record", present: str = "present") -> Column:
     """The keys T, p, v, S are present and hold an integer, two numbers and a side."""
     return every(
-        has_keys(F.col(text), ["T", "p", "v", "S"]),
+        has_keys(F.col(present), ["T", "p", "v", "S"]),
         number(F.col(f"{record}.p")).isNotNull(),
         number(F.col(f"{record}.v")).isNotNull(),
         F.col(f"{record}.T").try_cast("long").isNotNull(),

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.series import BLOCK, CANDLE_CHUNK, LEAD, ROW, Blocks, index_rows, slice_rows
+from tickloom.operators.series import BLOCK, CANDLE_CHUNK, LEAD, ROW, Blocks, index_rows, numbered, slice_rows
 
 # Weight below which an earlier block no longer reaches a double, whatever the
 # prices in the accepted range (1e-5 to 1e7).
@@ -388,11 +388,12 @@ def indicator_summary(
 
 
 def feature_sequences(
-    features: DataFrame, names: list[str], n: int, valid: Column | None = None, keys=KEYS, order=ORDER, span=CANDLE_CHUNK
-) -> DataFrame:
+    features: DataFrame, names: list[str], n: int, valid: Column | None = None, keys=KEYS, order=ORDER,
+    span=CANDLE_CHUNK, row: str | None = None,
+) -> DataFrame:
     """The last ``n`` feature rows of every row, oldest first; only full
     sequences, and with ``valid`` only those whose every step satisfies it."""
-    blocks = Blocks.cut(index_rows(features, keys, order, span), keys, n - 1)
+    blocks = Blocks.cut(numbered(features, keys, order, span, row), keys, n - 1)
     window = blocks.frame(1 - n, 0)
     usable = F.lit(True) if valid is None else valid
     blocks = blocks.add({"_step": F.struct(*names), "_ok": usable})

@@ -27,11 +27,11 @@ def normalise(decoded: DataFrame, processing_time: Column | None = None) -> Data
     value that does not parse becomes null and fails the quality gate.
     """
     now = F.current_timestamp() if processing_time is None else processing_time
-    keys = F.json_object_keys("text")
-    canonical = has_keys(F.col("text"), ["timestamp", "side"])
+    present = F.col("present")
+    canonical = has_keys(present, ["timestamp", "side"])
 
     def given(key: str, value: Column, default) -> Column:
-        absent = ~F.coalesce(F.array_contains(keys, key), F.lit(False))
+        absent = ~F.coalesce(F.array_contains(present, key), F.lit(False))
         return F.when(absent, F.lit(default)).otherwise(value)
 
     def pick(own: Column, raw: Column) -> Column:
@@ -52,7 +52,7 @@ def normalise(decoded: DataFrame, processing_time: Column | None = None) -> Data
             "processing_time": now,
         }
     ).withColumn("date_partition", F.to_date("timestamp"))
-    passed = [c for c in decoded.columns if c not in ("key", "text", "record", "topic")]
+    passed = [c for c in decoded.columns if c not in ("key", "text", "record", "present", "topic")]
     return out.select(*CANONICAL, *passed)
 
 

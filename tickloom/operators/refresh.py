@@ -14,7 +14,8 @@ def refresh_rollups(candles: DataFrame, folder: str, touched: DataFrame | None =
 
     With ``touched``, a table of open_date values, only those days are rolled up
     and replaced.  Buckets never cross a day, so a day is complete on its own.
-    The day's candles are staged once for the three tables.
+    The day's candles are staged once for the three tables, and a day is written
+    by one task unless it outgrows the advisory partition size.
     """
     spark = candles.sparkSession
     dated = candles.withColumn("open_date", F.to_date("open_time"))
@@ -25,6 +26,6 @@ def refresh_rollups(candles: DataFrame, folder: str, touched: DataFrame | None =
     for name, span in ROLLUPS.items():
         path = f"{folder.rstrip('/')}/candles_{name}"
         rolled = rollup_candles(base, span).withColumn("open_date", F.to_date("open_time"))
-        rolled.write.partitionBy("open_date").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        rolled.hint("rebalance", "open_date").write.partitionBy("open_date").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
         tables[name] = spark.read.parquet(path)
     return tables

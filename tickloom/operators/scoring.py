@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions import checks
 from tickloom.operators.indicators import feature_sequences
-from tickloom.operators.series import CANDLE_CHUNK, ROW, Blocks, index_rows
+from tickloom.operators.series import CANDLE_CHUNK, ROW, Blocks, numbered
 from tickloom.schemas import FEATURES, SELL_THRESHOLD, SEQUENCE_LENGTH
 
 KEYS = ["symbol"]
@@ -61,13 +61,14 @@ def _last_steps(blocks: Blocks, n: int) -> dict[str, list[Column]]:
 
 
 def fallback_probability(
-    features: DataFrame, keys=KEYS, order=ORDER, span: str = CANDLE_CHUNK
+    features: DataFrame, keys=KEYS, order=ORDER, span: str = CANDLE_CHUNK, row: str | None = "data_points"
 ) -> DataFrame:
     """M1: probability from the last three rows, weights 1, 2, 3, between 0.01 and 0.99.
 
-    With fewer than three rows the weights start at 1 on the oldest one.
+    With fewer than three rows the weights start at 1 on the oldest one.  ``row``
+    is the row number that ``feature_rows`` leaves; None numbers the rows anew.
     """
-    blocks = Blocks.cut(index_rows(features, keys, order, span), keys, 2).add(step_signs())
+    blocks = Blocks.cut(numbered(features, keys, order, span, row), keys, 2).add(step_signs())
     evidence = [_evidence(_last_steps(blocks, n)) for n in (1, 2, 3)]
     row = F.col(ROW)
     probability = F.when(row == 1, evidence[0]).when(row == 2, evidence[1]).otherwise(evidence[2])
@@ -118,14 +119,15 @@ def missing_features(names: list[str] = FEATURES) -> Column:
 
 
 def predictions(
-    features: DataFrame, n: int = SEQUENCE_LENGTH, horizon: int = 24, keys=KEYS, order=ORDER, span=CANDLE_CHUNK
-) -> DataFrame:
+    features: DataFrame, n: int = SEQUENCE_LENGTH, horizon: int = 24, keys=KEYS, order=ORDER, span=CANDLE_CHUNK,
+    row: str | None = "data_points",
+) -> DataFrame:
     """M6: a prediction for every feature row that completes a valid sequence.
 
     Rows with missing or invalid features are kept, with their missing names and
     a null prediction.
     """
-    blocks = Blocks.cut(index_rows(features, keys, order, span), keys, max(n - 1, 2))
+    blocks = Blocks.cut(numbered(features, keys, order, span, row), keys, max(n - 1, 2))
     blocks = blocks.add({"_ok": checks.valid_features(FEATURES), **step_signs()})
     recent = blocks.frame(1 - n, 0)
     full = (F.count("*").over(recent) == n) & F.min("_ok").over(recent)
@@ -224,7 +226,9 @@ def evaluate(
     return report.join(auc, "_one").drop("_one")
 
 
-def model_sequences(features: DataFrame, n: int = SEQUENCE_LENGTH, keys=KEYS, order=ORDER) -> DataFrame:
+def model_sequences(
+    features: DataFrame, n: int = SEQUENCE_LENGTH, keys=KEYS, order=ORDER, row: str | None = "data_points"
+) -> DataFrame:
     """Sequences ready for ``score_with``: every step is valid (Q10)."""
-    sequences = feature_sequences(features, FEATURES, n, checks.valid_features(FEATURES), keys, order)
+    sequences = feature_sequences(features, FEATURES, n, checks.valid_features(FEATURES), keys, order, row=row)
     return sequences.filter(checks.valid_model_symbol())

@@ -108,6 +108,14 @@ class Blocks:
         return self.df.filter(~F.col(LEAD)).drop(BLOCK, LEAD)
 
 
+def numbered(
+    df: DataFrame, keys: list[str], order: list[str], span: str = CANDLE_CHUNK, row: str | None = None
+) -> DataFrame:
+    """Indexed rows: by an existing row number when ``row`` names one, which costs
+    nothing, else by ``index_rows``."""
+    return df.withColumn(ROW, F.col(row)) if row else index_rows(df, keys, order, span)
+
+
 def running(
     df: DataFrame, keys: list[str], order: list[str], columns: dict[str, tuple[str, str]], span: str
 ) -> DataFrame:

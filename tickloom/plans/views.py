@@ -11,7 +11,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators.candles import rollup_candles, trade_candles
+from tickloom.operators.candles import trade_candles
 from tickloom.schemas import PRICE, QUANTITY
 from tickloom.sources.staging import stage
 
@@ -26,7 +26,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def ticks_of(events: DataFrame) -> DataFrame:
     """Trades from events; works on a stream of events too."""
     number = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("double")
+    # props holds one number, {"k": n}.
+    k = F.regexp_extract("props", "([0-9]+)", 1).cast("double")
     return events.select(
         F.concat(F.upper("event_type"), F.lit("USDT")).alias("symbol"),
         F.col("ts").cast("timestamp").alias("timestamp"),
@@ -77,9 +78,9 @@ def minute_candles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hour_candles(spark: SparkSession, folder: str) -> DataFrame:
-    """Hourly candles by way of the 1-minute ones, staged: the indicators pass
-    over them several times, the trades are read once."""
-    return stage(rollup_candles(minute_candles(spark, folder), "1 hour"), "candles-1h")
+    """Hourly candles straight from the trades, staged: the indicators pass over
+    them several times, the trades are read and shuffled once."""
+    return stage(trade_candles(ticks(spark, folder), "1 hour"), "candles-1h")
 
 
 def listed_candles(spark: SparkSession, folder: str) -> DataFrame:

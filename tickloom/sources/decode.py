@@ -11,13 +11,13 @@ from tickloom.schemas import KLINE_FRAME, WIRE_TRADE
 def decode_messages(messages: DataFrame) -> DataFrame:
     """Key and value bytes to text and a typed record; an empty value is ``{}``.
 
-    The text stays beside the record so that key presence can be tested.
+    ``present`` lists the record's keys: an absent key differs from a null value.
     """
     text = F.col("value").cast("string")
     text = F.when(text.isNull() | (text == ""), "{}").otherwise(text)
     return (
         messages.withColumns({"key": F.col("key").cast("string"), "text": text})
-        .withColumn("record", F.from_json("text", WIRE_TRADE))
+        .withColumns({"record": F.from_json("text", WIRE_TRADE), "present": F.json_object_keys("text")})
         .drop("value")
     )
 

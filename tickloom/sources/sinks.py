@@ -19,13 +19,13 @@ def bronze_rows(trades: DataFrame) -> DataFrame:
 def write_bronze(trades: DataFrame, path: str, spread: bool = False) -> None:
     """S3/O3: appends to the day-partitioned lake table, sorted by time, symbol, side.
 
-    A micro-batch is written by the tasks that hold it.  For a backfill,
-    ``spread`` first range-partitions by day and time, so that a day is split
-    over several tasks by its size and a task writes few days.
+    A micro-batch is written by the tasks that hold it.  For a backfill, ``spread``
+    first gathers the rows of a day, which adaptive execution splits again where
+    a day is larger than the advisory partition size.
     """
     rows = bronze_rows(trades)
     order = ["date_partition", "timestamp", "symbol", "side"]
-    rows = rows.repartitionByRange(*order) if spread else rows
+    rows = rows.hint("rebalance", "date_partition") if spread else rows
     rows.sortWithinPartitions(*order).write.partitionBy("date_partition").mode("append").option(
         "compression", "zstd"
     ).parquet(path)
@@ -52,7 +52,7 @@ def upsert_table(batch: DataFrame, path: str, keys: list[str], version: list[str
         current = spark.read.schema(batch.schema).parquet(path).join(touched, partition, "left_semi")
         merged = upsert_latest(current.select(*batch.columns), batch, keys, version)
     staged = stage(merged, "upsert-merged")
-    staged.write.partitionBy(partition).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    staged.hint("rebalance", partition).write.partitionBy(partition).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def upsert_candles(candles: DataFrame, path: str) -> None:
@@ -76,7 +76,7 @@ def with_month(rows: DataFrame, stamp: str) -> DataFrame:
 
 def write_months(rows: DataFrame, path: str, stamp: str) -> None:
     """Appends to a month-partitioned table; months need no declaration."""
-    with_month(rows, stamp).write.partitionBy("month").mode("append").parquet(path)
+    with_month(rows, stamp).hint("rebalance", "month").write.partitionBy("month").mode("append").parquet(path)
 
 
 def event_messages(
