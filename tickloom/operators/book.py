@@ -123,11 +123,14 @@ def priced_balances(balances: DataFrame, prices: DataFrame) -> DataFrame:
     unknown price counts as 0.
 
     ``prices`` has symbol and price; the asset code is the symbol without USDT.
-    The stablecoins, which most portfolios hold, take no part in the join.
+    Most portfolios hold a stablecoin, so these rows get join keys that match
+    nothing and are spread: a shuffled join has no hot key.
     """
     quotes = prices.select(F.regexp_replace("symbol", "USDT", "").alias("_code"), F.col("price").alias("_quote"))
     stable = F.col("asset_code").isin(STABLECOINS)
-    joined = balances.withColumn("_code", F.when(~stable, F.col("asset_code"))).join(quotes, "_code", "left")
+    spread = F.concat(F.lit("~"), F.pmod(F.xxhash64("portfolio_id"), F.lit(4096)).cast("string"))
+    code = F.when(stable, spread).otherwise(F.col("asset_code"))
+    joined = balances.withColumn("_code", code).join(quotes, "_code", "left")
     price = F.when(stable, F.lit(1.0)).otherwise(F.coalesce("_quote", F.lit(0.0)))
     return joined.withColumn("price", price).withColumn(
         "value", F.col("price") * F.col("qty").cast("double")

@@ -14,7 +14,8 @@ from tickloom.operators.normalize import exact_product
 from tickloom.operators.series import running
 from tickloom.schemas import DEFAULT_EXCHANGE, LIVE_STATUS, PRICE, QUANTITY
 
-LEDGER_CHUNK = "30 days"
+# One account may hold a third of all postings; a day of it is one task's work.
+LEDGER_CHUNK = "1 day"
 
 
 def fills(executable: DataFrame) -> DataFrame:
@@ -44,7 +45,7 @@ def postings(filled: DataFrame) -> DataFrame:
     return filled.withColumn("_p", F.explode(F.array(pay, get))).select("portfolio_id", "created_ts", "id", "_p.*")
 
 
-def running_balances(filled: DataFrame, balances: DataFrame) -> DataFrame:
+def running_balances(filled: DataFrame, balances: DataFrame, span: str = LEDGER_CHUNK) -> DataFrame:
     """L2, screening: the balance after every posting if all fills were accepted.
 
     A negative ``balance`` marks a shortfall.  Two-level running sums, so one
@@ -57,7 +58,7 @@ def running_balances(filled: DataFrame, balances: DataFrame) -> DataFrame:
     )
     moves = opening.unionByName(postings(filled).withColumn("created_ts", F.col("created_ts").cast("timestamp")))
     return running(
-        moves, ["portfolio_id", "asset_id"], ["created_ts", "id", "leg"], {"balance": ("sum", "delta")}, LEDGER_CHUNK
+        moves, ["portfolio_id", "asset_id"], ["created_ts", "id", "leg"], {"balance": ("sum", "delta")}, span
     )
 
 
@@ -88,7 +89,7 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["portfolio_id", "id", "accepted", "required", "available"])
 
 
-def settle(filled: DataFrame, balances: DataFrame) -> DataFrame:
+def settle(filled: DataFrame, balances: DataFrame, span: str = LEDGER_CHUNK) -> DataFrame:
     """L2: whether each fill finds enough of the asset it pays with, in
     (created_ts, id) order, each acceptance changing the balances of the next.
 
@@ -106,7 +107,7 @@ def settle(filled: DataFrame, balances: DataFrame) -> DataFrame:
         "gain": F.when(buy, F.col("quantity")).otherwise(F.col("notional")).cast(QUANTITY),
     }
     legs = filled.withColumns(sides).withColumn("opening", F.lit(False))
-    screened = running_balances(filled, balances)
+    screened = running_balances(filled, balances, span)
     short = screened.filter(F.col("balance") < 0).select("portfolio_id").distinct()
 
     fine = screened.filter((F.col("id") >= 0) & (F.col("leg") == 0)).join(short, "portfolio_id", "left_anti")
@@ -208,7 +209,9 @@ def transfer_error() -> Column:
     )
 
 
-def apply_transfers(transfers: DataFrame, balances: DataFrame | None = None) -> DataFrame:
+def apply_transfers(
+    transfers: DataFrame, balances: DataFrame | None = None, span: str = LEDGER_CHUNK
+) -> DataFrame:
     """The balance after every accepted deposit or withdrawal; a withdrawal
     takes at most what is there.
 
@@ -228,8 +231,8 @@ def apply_transfers(transfers: DataFrame, balances: DataFrame | None = None) ->
         )
         moves = opening.unionByName(moves)
     keys, order = ["portfolio_id", "asset_id"], ["created_ts", "id"]
-    summed = running(moves, keys, order, {"_sum": ("sum", "delta")}, LEDGER_CHUNK)
-    lowest = running(summed, keys, order, {"_low": ("min", "_sum")}, LEDGER_CHUNK)
+    summed = running(moves, keys, order, {"_sum": ("sum", "delta")}, span)
+    lowest = running(summed, keys, order, {"_low": ("min", "_sum")}, span)
     floor = F.least(F.col("_low"), F.lit(0).cast(QUANTITY))
     return lowest.filter(F.col("id") >= 0).select(
         *keys, *order, "delta", (F.col("_sum") - floor).cast(QUANTITY).alias("balance")
@@ -242,7 +245,8 @@ def apply_transfers(transfers: DataFrame, balances: DataFrame | None = None) ->
 def upsert_latest(current: DataFrame, updates: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
     """L6, DO UPDATE: the row with the highest version of every key.
 
-    Spark keeps one row per key and input partition before the shuffle.
+    Spark keeps one row per key and input partition before the shuffle.  The
+    version has to tell the rows of a key apart.
     """
     newest = Window.partitionBy(*keys).orderBy(*[F.col(v).desc() for v in version])
     both = current.unionByName(updates)

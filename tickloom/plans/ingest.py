@@ -217,12 +217,12 @@ def canonical_trades(spark: SparkSession, folder: str) -> DataFrame:
     "S3_bronze_append",
     f"""WITH {V.TICKS_SQL} SELECT symbol, "timestamp", {r("price")} AS price, {r("volume")} AS volume, side, trade_id, source,
        TIMESTAMP '{V.PROCESSED_AT}' AS processing_time, strftime("timestamp", '%Y-%m-%d') AS date_partition
-FROM ticks WHERE "timestamp" >= TIMESTAMP '2024-01-05 06:00:00'""",
+FROM ticks""",
 )
 def s3(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "bronze")
     sinks.write_bronze(canonical_trades(spark, folder), path, spread=True)
-    return readers.read_bronze(spark, path, start="2024-01-05 06:00:00")
+    return readers.read_bronze(spark, path)
 
 
 @query(

@@ -459,22 +459,24 @@ def l5_refused(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    rows = V.orders(spark, folder).select("id", "status", "updated_ts")
-    key = F.col("id")
-    current = rows.filter(key % 2 == 0)
-    days = F.when(key % 3 == 0, 1).otherwise(-1)
-    updates = rows.filter(key % 5 != 0).withColumns(
+    """All orders, and a newer or an older version of each plus one new order per order."""
+    current = V.orders(spark, folder).select("id", "status", "updated_ts")
+    days = F.when(F.col("id") % 3 == 0, 1).otherwise(-1)
+    moved = current.withColumns(
         {"status": F.lit("expired"), "updated_ts": F.col("updated_ts") + days * F.expr("INTERVAL 1 DAY")}
     )
-    return current, updates
+    fresh = moved.withColumn("id", -F.col("id") - 1)
+    return current, moved.unionByName(fresh)
+
+
+_MOVED = "updated_ts + CASE WHEN id % 3 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL '-1' DAY END"
 
 
 @query(
     "L6_upsert_latest",
-    f"""WITH {V.ORDERS_SQL}, both_sides AS (
-  SELECT id, status, updated_ts FROM orders_v WHERE id % 2 = 0
-  UNION ALL SELECT id, 'expired', updated_ts + CASE WHEN id % 3 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL '-1' DAY END FROM orders_v WHERE id % 5 <> 0)
-SELECT id, arg_max(status, updated_ts) AS status, max(updated_ts) AS updated_ts FROM both_sides GROUP BY id""",
+    f"""WITH {V.ORDERS_SQL} SELECT id, CASE WHEN id % 3 = 0 THEN 'expired' ELSE status END AS status,
+       CASE WHEN id % 3 = 0 THEN {_MOVED} ELSE updated_ts END AS updated_ts FROM orders_v
+UNION ALL SELECT -id - 1, 'expired', {_MOVED} FROM orders_v""",
 )
 def l6(spark: SparkSession, folder: str) -> DataFrame:
     current, updates = _versions(spark, folder)
@@ -483,11 +485,11 @@ def l6(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "L6_insert_missing",
-    f"""WITH {V.ORDERS_SQL} SELECT id, CASE WHEN id % 2 = 0 THEN status ELSE 'expired' END AS status FROM orders_v WHERE id % 2 = 0 OR id % 5 <> 0""",
+    f"""WITH {V.ORDERS_SQL} SELECT id, status, updated_ts FROM orders_v UNION ALL SELECT -id - 1, 'expired', {_MOVED} FROM orders_v""",
 )
 def l6_missing(spark: SparkSession, folder: str) -> DataFrame:
     current, updates = _versions(spark, folder)
-    return L.insert_missing(current, updates, ["id"]).select("id", "status")
+    return L.insert_missing(current, updates, ["id"])
 
 
 def _intake(spark: SparkSession, folder: str) -> DataFrame:

@@ -174,10 +174,9 @@ def t8(spark: SparkSession, folder: str) -> DataFrame:
     return bars.select("symbol", "interval", "time", "close", "is_final")
 
 
-@query("T8_bar_stream", f"{_BARS} WHERE symbol = 'VIEWUSDT' GROUP BY symbol, time")
+@query("T8_bar_stream", f"{_BARS} GROUP BY symbol, time")
 def t8_stream(spark: SparkSession, folder: str) -> DataFrame:
-    updates = J.only_series(_bar_updates(_tick_stream(spark, folder)), "viewusdt", "1h")
-    bars = J.latest_klines(updates)
+    bars = J.latest_klines(_bar_updates(_tick_stream(spark, folder)))
 
     def sink(path: str):
         return lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}")

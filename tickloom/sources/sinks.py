@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,10 +32,14 @@ def write_bronze(trades: DataFrame, path: str, spread: bool = False) -> None:
     ).parquet(path)
 
 
-def _existing(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
+    """The table at ``path``, or None before the first write."""
+    try:
+        return spark.read.schema(like.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def upsert_table(batch: DataFrame, path: str, keys: list[str], version: list[str], partition: str) -> None:
@@ -45,13 +50,14 @@ def upsert_table(batch: DataFrame, path: str, keys: list[str], version: list[str
     are staged first: the table is never read while it is being replaced.
     """
     spark = batch.sparkSession
+    # Read twice below: for the partitions it touches and for its rows.
     batch = stage(batch, "upsert-batch")
-    merged = upsert_latest(batch.limit(0), batch, keys, version)
-    if _existing(spark, path):
+    stored = _stored(spark, path, batch)
+    current = batch.limit(0)
+    if stored is not None:
         touched = batch.select(partition).distinct()
-        current = spark.read.schema(batch.schema).parquet(path).join(touched, partition, "left_semi")
-        merged = upsert_latest(current.select(*batch.columns), batch, keys, version)
-    staged = stage(merged, "upsert-merged")
+        current = stored.join(touched, partition, "left_semi").select(*batch.columns)
+    staged = stage(upsert_latest(current, batch, keys, version), "upsert-merged")
     staged.hint("rebalance", partition).write.partitionBy(partition).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 

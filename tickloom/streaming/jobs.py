@@ -1,9 +1,8 @@
 """Streaming forms of the candle, price and quality operators.
 
 Every function takes a streaming DataFrame and returns one; ``start`` and the
-sinks attach it to storage.  Sources replay from their checkpoint and the sinks
-are idempotent per key, so delivery is at least once and results are unchanged by
-a replay (T7).
+sinks attach it to storage.  Sources replay from their checkpoint; the keyed sinks
+come out the same after a replay, the bronze append is at least once (T7).
 """
 
 from __future__ import annotations
