@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.operators.stacking import stack
+
 
 def check_rule(table: DataFrame, name: str, rule: Column) -> DataFrame:
     """CHECK: rows for which the rule is false; as in SQL, a null passes."""
@@ -42,4 +42,4 @@ def vocabulary_rule(table: DataFrame, name: str, column: str, allowed: list[str]
 
 def audit(rules: list[DataFrame]) -> DataFrame:
     """One row (rule, violations) per rule."""
-    return reduce(DataFrame.unionByName, rules)
+    return stack(*rules)

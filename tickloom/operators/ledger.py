@@ -12,12 +12,18 @@ from pyspark.sql import types as T
 
 from tickloom.operators.normalize import exact_product
 from tickloom.operators.series import running
+from tickloom.operators.stacking import stack
 from tickloom.schemas import DEFAULT_EXCHANGE, LIVE_STATUS, PRICE, QUANTITY
 
 # One account may hold a third of all postings; a day of it is one task's work.
 LEDGER_CHUNK = "1 day"
 
 
+def _wide(amount: Column) -> Column:
+    """One digit less, so that a sum or difference keeps scale 18."""
+    return amount.cast(T.DecimalType(37, 18))
+
+
 def fills(executable: DataFrame) -> DataFrame:
     """Fill price and notional of every order to execute: the execution price,
     else the order's, else 0; a price of 0 counts as not given."""
@@ -56,7 +62,7 @@ def running_balances(filled: DataFrame, balances: DataFrame, span: str = LEDGER_
         "portfolio_id", F.timestamp_micros(F.lit(0)).alias("created_ts"), F.lit(-1).cast("long").alias("id"),
         F.lit(0).alias("leg"), "asset_id", F.col("qty").cast(QUANTITY).alias("delta"),
     )
-    moves = opening.unionByName(postings(filled).withColumn("created_ts", F.col("created_ts").cast("timestamp")))
+    moves = stack(opening, postings(filled).withColumn("created_ts", F.col("created_ts").cast("timestamp")))
     return running(
         moves, ["portfolio_id", "asset_id"], ["created_ts", "id", "leg"], {"balance": ("sum", "delta")}, span
     )
@@ -113,7 +119,7 @@ def settle(filled: DataFrame, balances: DataFrame, span: str = LEDGER_CHUNK) ->
     fine = screened.filter((F.col("id") >= 0) & (F.col("leg") == 0)).join(short, "portfolio_id", "left_anti")
     parallel = fine.select(
         "portfolio_id", "id", F.lit(True).alias("accepted"), (-F.col("delta")).cast(QUANTITY).alias("required"),
-        (F.col("balance") - F.col("delta")).cast(QUANTITY).alias("available"),
+        (_wide(F.col("balance")) - _wide(F.col("delta"))).cast(QUANTITY).alias("available"),
     )
 
     opening = balances.select(
@@ -123,7 +129,7 @@ def settle(filled: DataFrame, balances: DataFrame, span: str = LEDGER_CHUNK) ->
         F.col("asset_id").alias("gain_asset"), F.lit(0).cast(QUANTITY).alias("gain"),
     )
     names = opening.columns
-    stream = opening.unionByName(legs.withColumn("created_ts", F.col("created_ts").cast("timestamp")).select(*names))
+    stream = stack(opening, legs.withColumn("created_ts", F.col("created_ts").cast("timestamp")).select(*names))
     folded = (
         stream.join(short, "portfolio_id", "left_semi")
         .repartition("portfolio_id")
@@ -131,7 +137,7 @@ def settle(filled: DataFrame, balances: DataFrame, span: str = LEDGER_CHUNK) ->
         .select("portfolio_id", "opening", "id", "pay_asset", "cost", "gain_asset", "gain")
         .mapInPandas(_fold, _SETTLED)
     )
-    return parallel.unionByName(folded)
+    return stack(parallel, folded)
 
 
 def closing_balances(filled: DataFrame, settled: DataFrame, balances: DataFrame) -> DataFrame:
@@ -140,7 +146,7 @@ def closing_balances(filled: DataFrame, settled: DataFrame, balances: DataFrame)
     moves = postings(done).select("portfolio_id", "asset_id", "delta")
     opening = balances.select("portfolio_id", "asset_id", F.col("qty").cast(QUANTITY).alias("delta"))
     return (
-        opening.unionByName(moves)
+        stack(opening, moves)
         .groupBy("portfolio_id", "asset_id")
         .agg(F.sum("delta").cast(QUANTITY).alias("qty"))
     )
@@ -229,13 +235,14 @@ def apply_transfers(
             "portfolio_id", "asset_id", F.timestamp_micros(F.lit(0)).alias("created_ts"),
             F.lit(-1).cast("long").alias("id"), F.col("qty").cast(QUANTITY).alias("delta"),
         )
-        moves = opening.unionByName(moves)
+        moves = stack(opening, moves)
     keys, order = ["portfolio_id", "asset_id"], ["created_ts", "id"]
     summed = running(moves, keys, order, {"_sum": ("sum", "delta")}, span)
     lowest = running(summed, keys, order, {"_low": ("min", "_sum")}, span)
     floor = F.least(F.col("_low"), F.lit(0).cast(QUANTITY))
+    balance = _wide(F.col("_sum")) - _wide(floor)
     return lowest.filter(F.col("id") >= 0).select(
-        *keys, *order, "delta", (F.col("_sum") - floor).cast(QUANTITY).alias("balance")
+        *keys, *order, "delta", balance.cast(QUANTITY).alias("balance")
     )
 
 
@@ -249,14 +256,13 @@ def upsert_latest(current: DataFrame, updates: DataFrame, keys: list[str], versi
     version has to tell the rows of a key apart.
     """
     newest = Window.partitionBy(*keys).orderBy(*[F.col(v).desc() for v in version])
-    both = current.unionByName(updates)
-    return both.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
+    return stack(current, updates).withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
 
 
 def insert_missing(current: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """L6, DO NOTHING: the current rows, and the updates whose key is new."""
     fresh = updates.join(current.select(*keys), keys, "left_anti").dropDuplicates(keys)
-    return current.unionByName(fresh)
+    return stack(current, fresh)
 
 
 # --- intake ---------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import checks
 from tickloom.operators.series import ROW, TICK_CHUNK, Blocks, index_rows
+from tickloom.operators.stacking import stack
 from tickloom.schemas import (
     ACCURACY_MIN_HISTORY, ACCURACY_WINDOW, DEFAULT_EXCHANGE, MAX_DEVIATION, MAX_ORDER_QUANTITY,
     ORDER_SYMBOL_PATTERN, PRICED_TYPES, QUALITY_DIMENSIONS, REQUEST_EXCHANGES, REQUEST_TYPES, TRADE_SIDES,
@@ -56,7 +57,7 @@ def gate(trades: DataFrame, as_of: Column, complete: Column | None = None, span:
     measured = with_deviation(judged.filter(F.col(FAILED).isNull()), span=span)
     accuracy = F.when(F.col("deviation") > MAX_DEVIATION, F.lit("accuracy"))
     passed = measured.withColumn(FAILED, accuracy).drop("recent_mean", "deviation")
-    return failed.unionByName(passed)
+    return stack(failed, passed)
 
 
 def accepted(judged: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.times import micros, span_micros
 
@@ -116,6 +117,17 @@ def numbered(
     return df.withColumn(ROW, F.col(row)) if row else index_rows(df, keys, order, span)
 
 
+def _merged(kind: str, pre: Column, own: Column, data_type: T.DataType) -> Column:
+    """Earlier chunks and own chunk together; a missing part counts as nothing."""
+    if kind != "sum":
+        return F.least(pre, own) if kind == "min" else F.greatest(pre, own)
+    if isinstance(data_type, T.DecimalType):
+        # Adding two decimal(38, s) would give up a digit of scale.
+        narrow = T.DecimalType(min(data_type.precision, 37), data_type.scale)
+        pre, own = pre.cast(narrow), own.cast(narrow)
+    return F.coalesce(pre + own, own, pre).cast(data_type)
+
+
 def running(
     df: DataFrame, keys: list[str], order: list[str], columns: dict[str, tuple[str, str]], span: str
 ) -> DataFrame:
@@ -142,15 +154,9 @@ def running(
         {f"_in_{name}": kinds[kind](source).over(inside) for name, (kind, source) in columns.items()}
     )
     joined = local.join(carried, [*keys, CHUNK])
-    merge = {
-        # least and greatest skip nulls; a missing sum counts as nothing.
-        "sum": lambda pre, own: F.coalesce(pre + own, own, pre),
-        "min": F.least,
-        "max": F.greatest,
-    }
     out = joined.withColumns(
         {
-            name: merge[kind](F.col(f"_pre_{name}"), F.col(f"_in_{name}"))
+            name: _merged(kind, F.col(f"_pre_{name}"), F.col(f"_in_{name}"), joined.schema[f"_in_{name}"].dataType)
             for name, (kind, _) in columns.items()
         }
     )
