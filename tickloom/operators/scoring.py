@@ -186,6 +186,10 @@ def area_under_curve(scored: DataFrame, label: str = "label", score: str = "scor
     return ranked.agg((wins / F.nullif(pairs, F.lit(0.0))).alias("auc"))
 
 
+# Keeps the ratio finite at a precision of 1.  Fixed value.
+_TINY = 1e-10
+
+
 def evaluate(
     scored: DataFrame, threshold: float = SELL_THRESHOLD, label: str = "label", score: str = "score"
 ) -> DataFrame:
@@ -216,7 +220,7 @@ def evaluate(
     p = F.col("precision")
     report = report.withColumns(
         {
-            "sharpe_approx": over(F.col("profit_per_signal"), 2 * F.sqrt(p * (1 - p))),
+            "sharpe_approx": F.col("profit_per_signal") / (2 * F.sqrt(p * (1 - p)) + _TINY),
             "threshold": F.lit(threshold),
             "_one": F.lit(1),
         }

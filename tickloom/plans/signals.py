@@ -109,7 +109,7 @@ pairs AS (SELECT sum(CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score
   FROM scored a, scored b WHERE a.label = 1 AND b.label = 0)
 SELECT tn, fp, fn, tp, {r("p")} AS "precision", {r("q")} AS recall, {r("2 * p * q / nullif(p + q, 0)")} AS f1, {r("g")} AS profit_per_signal,
        {r("tp / nullif(tp + fp + fn, 0)")} AS efficiency, {r("tp / nullif(fp, 0)")} AS risk_reward_ratio,
-       {r("g / nullif(2 * sqrt(p * (1 - p)), 0)")} AS sharpe_approx, {r("0.85")} AS threshold, {r("auc")} AS auc FROM ratios, pairs""",
+       {r("g / (2 * sqrt(p * (1 - p)) + 1e-10)")} AS sharpe_approx, {r("0.85")} AS threshold, {r("auc")} AS auc FROM ratios, pairs""",
 )
 def m4(spark: SparkSession, folder: str) -> DataFrame:
     return M.evaluate(_labelled(spark, folder), 0.85)
