@@ -128,23 +128,23 @@ def test_ingest_from_messages_to_tables(spark, tmp_path):
         body = {"symbol": "BTCUSDT", "timestamp": at(i).isoformat() + "Z", "price": 100.0 + i, "volume": 1, "side": "buy", "trade_id": str(i + 1), "source": "bybit", **change}
         return (str(i).encode(), json.dumps(body).encode(), "btcusdt-bybit")
 
-    rows = [message(i) for i in range(60)] + [message(61, side="hold"), message(62, trade_id="0"), message(-400, price=5.0), (b"x", None, "t")]
+    rows = [message(i) for i in range(60)] + [message(61, side="hold"), message(62, trade_id="0"), message(-400, price=5.0), message(63, price=900.0), (b"x", None, "t")]
     ddl = "key binary, value binary, topic string"
     spark.createDataFrame(rows, ddl).write.parquet(str(tmp_path / "messages"))
     messages = readers.message_stream(spark, "parquet", path=str(tmp_path / "messages"))
     tables = ingest.Tables(*[str(tmp_path / name) for name in ("bronze", "rejects", "latest", "candles")])
     now = F.lit("2024-01-01 00:01:05").cast("timestamp")
-    queries = ingest.start_ingest(messages, tables, str(tmp_path / "check"), every=None, as_of=now, processing_time=now)
-    for query in queries:
-        query.awaitTermination()
+    storage = ingest.start_storage(messages, tables, str(tmp_path / "c1"), every=None, as_of=now, processing_time=now)
+    storage.awaitTermination()
+    ingest.start_candles(spark, tables, str(tmp_path / "c2"), every=None).awaitTermination()
     assert readers.read_bronze(spark, tables.bronze).count() == 60
     rejects = {r.failed_dimension: r["count"] for r in spark.read.parquet(tables.rejects).groupBy("failed_dimension").count().collect()}
-    assert rejects == {"validity": 2, "consistency": 1, "timeliness": 1}
+    assert rejects == {"validity": 2, "consistency": 1, "timeliness": 1, "accuracy": 1}
     assert spark.read.parquet(tables.latest).first().price == 159.0
     candle = spark.read.parquet(tables.candles).first()
     assert (candle.open, candle.close, candle.trades_count) == (100.0, 159.0, 60)
-    metrics = [p.observedMetrics["quality"] for p in queries[0].recentProgress if "quality" in p.observedMetrics]
-    assert sum(m.all_records for m in metrics) == 64
+    metrics = [p.observedMetrics["quality"] for p in storage.recentProgress if "quality" in p.observedMetrics]
+    assert sum(m.all_records for m in metrics) == 65
 
 
 # --- sinks ---------------------------------------------------------------------------------------

@@ -377,7 +377,7 @@ def w5(spark: SparkSession, folder: str) -> DataFrame:
     return I.with_bollinger(closes).drop("close")
 
 
-_RETURNS = """returns AS (SELECT *, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY n), 0) - 1 AS ret FROM bars)"""
+_RETURNS = """returns AS (SELECT *, (close - lag(close) OVER (PARTITION BY symbol ORDER BY n)) / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY n), 0) AS ret FROM bars)"""
 
 
 def _vol(p: int) -> str:

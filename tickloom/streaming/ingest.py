@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,6 +13,8 @@ from tickloom.functions import checks
 from tickloom.operators import quality as Q
 from tickloom.operators.candles import latest_price
 from tickloom.operators.normalize import normalise
+from tickloom.operators.stacking import stack
+from tickloom.schemas import BRONZE_TRADE
 from tickloom.sources import sinks
 from tickloom.sources.decode import decode_messages
 from tickloom.streaming import jobs
@@ -29,14 +31,18 @@ class Tables:
 
 
 def judged_trades(messages: DataFrame, as_of: Column | None = None, processing_time: Column | None = None) -> DataFrame:
-    """S2, P3 and Q1-Q4 in one stateless plan.
+    """S2, P3 and the whole gate: every trade with its first failed dimension.
 
     The records are normalised before they are judged, so both wire formats can
-    pass; completeness looks at the canonical columns.
+    pass; completeness looks at the canonical columns.  Only trades that pass the
+    four stateless dimensions reach the accuracy state.
     """
     now = F.current_timestamp() if as_of is None else as_of
     trades = normalise(decode_messages(messages), processing_time)
-    return trades.withColumn(Q.FAILED, Q.row_failure(now, checks.complete()))
+    judged = trades.withColumn(Q.FAILED, Q.row_failure(now, checks.complete()))
+    measured = jobs.accuracy_stream(judged.filter(F.col(Q.FAILED).isNull()).drop(Q.FAILED))
+    passed = measured.withColumn(Q.FAILED, F.when(~F.col("accepted"), F.lit("accuracy"))).drop("accepted")
+    return stack(judged.filter(F.col(Q.FAILED).isNotNull()), passed)
 
 
 def store_batch(tables: Tables) -> Callable[[DataFrame, int], None]:
@@ -55,24 +61,31 @@ def store_batch(tables: Tables) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def start_ingest(
+def start_storage(
     messages: DataFrame,
     tables: Tables,
     checkpoint: str,
     every: str | None = jobs.BATCH_EVERY,
     as_of: Column | None = None,
     processing_time: Column | None = None,
-) -> list[StreamingQuery]:
-    """Starts the two queries of an ingest: storage, and candles with their state.
+) -> StreamingQuery:
+    """Messages to the lake, the rejects and the latest prices.
 
-    The lake append is at least once, as on the platform; prices and candles are
-    keyed upserts and come out the same after a replay.
+    The lake append is at least once, as on the platform; the prices are a keyed
+    upsert and come out the same after a replay.
     """
-    judged = judged_trades(messages, as_of, processing_time)
-    storage = jobs.start(jobs.observed(judged), f"{checkpoint}/storage", store_batch(tables), every=every)
-    windows = jobs.candle_stream(Q.accepted(judged))
-    candles = jobs.start(
-        jobs.candle_rows(windows), f"{checkpoint}/candles", jobs.to_candles(tables.candles), "update",
-        every=jobs.FLUSH_EVERY if every else None,
-    )
-    return [storage, candles]
+    judged = jobs.observed(judged_trades(messages, as_of, processing_time))
+    return jobs.start(judged, checkpoint, store_batch(tables), every=every)
+
+
+def start_candles(
+    spark: SparkSession, tables: Tables, checkpoint: str, every: str | None = jobs.FLUSH_EVERY
+) -> StreamingQuery:
+    """Accepted trades, as the lake gets them, to the candle table.
+
+    Candles are corrected while they are open and left alone once the watermark
+    has passed them.
+    """
+    accepted = spark.readStream.schema(BRONZE_TRADE).parquet(tables.bronze)
+    candles = jobs.candle_rows(jobs.candle_stream(accepted))
+    return jobs.start(candles, checkpoint, jobs.to_candles(tables.candles), "update", every=every)

@@ -137,10 +137,13 @@ def _gate_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iter
 
 def accuracy_stream(trades: DataFrame) -> DataFrame:
     """T4: every trade with whether its price is accepted, against the last 100
-    accepted prices of its symbol.  The state is a hundred numbers per symbol."""
-    rows = trades.select("symbol", "timestamp", "price", "volume", "side", "trade_id", "source")
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.groupBy("symbol").applyInPandasWithState(
+    accepted prices of its symbol.  The state is a hundred numbers per symbol.
+
+    Each verdict depends on the ones before it, so the trades of a symbol in one
+    micro-batch run through one task, a bounded part at a time.
+    """
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in trades.schema.fields)
+    return trades.groupBy("symbol").applyInPandasWithState(
         _gate_group, f"{kinds}, accepted boolean", _STATE, "append", GroupStateTimeout.NoTimeout
     )
 
