@@ -57,7 +57,14 @@ if __name__ == "__main__":
     from tickloom.session import local_session
 
     folder = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = local_session(8)
+    if os.environ.get("PLAIN"):
+        # A session without this package's settings, as a caller might bring it.
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session(8)
     picked = sys.argv[1:]
     oracles = oracle_sql()
     for name, build in queries().items():
