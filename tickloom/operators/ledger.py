@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 from tickloom.operators.normalize import exact_product
 from tickloom.operators.series import running
 from tickloom.operators.stacking import stack
-from tickloom.schemas import DEFAULT_EXCHANGE, LIVE_STATUS, PRICE, QUANTITY
+from tickloom.schemas import (
+    BAD_OPERATION, BAD_QUANTITY, DEFAULT_EXCHANGE, LIVE_STATUS, NO_EXCHANGE, NOT_OWNED, PRICE, QUANTITY,
+)
 
 # One account may hold a third of all postings; a day of it is one task's work.
 LEDGER_CHUNK = "1 day"
@@ -209,9 +211,9 @@ def cancel_orders(orders: DataFrame, requests: DataFrame, portfolios: DataFrame,
 
 def transfer_error() -> Column:
     """Reason why a deposit or withdrawal is refused, or null."""
-    return F.when(~F.coalesce(F.col("qty") > 0, F.lit(False)), "Quantity must be positive").when(
+    return F.when(~F.coalesce(F.col("qty") > 0, F.lit(False)), BAD_QUANTITY).when(
         ~F.coalesce(F.col("operation").isin("add", "subtract"), F.lit(False)),
-        'Operation must be "add" or "subtract"',
+        BAD_OPERATION,
     )
 
 
@@ -282,9 +284,9 @@ def _looked_up(requests: DataFrame, portfolios: DataFrame, symbols: DataFrame, e
         .join(codes, "exchange_code", "left")
         .withColumn(
             "reject_reason",
-            F.when(F.col("_owned").isNull(), "Portfolio not found or access denied")
+            F.when(F.col("_owned").isNull(), NOT_OWNED)
             .when(F.col("symbol_id").isNull(), F.concat(F.lit("Symbol "), F.col("symbol"), F.lit(" not found")))
-            .when(F.col("exchange_id").isNull(), "Exchange not found"),
+            .when(F.col("exchange_id").isNull(), NO_EXCHANGE),
         )
         .drop("_owned")
     )

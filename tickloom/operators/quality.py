@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import checks
 from tickloom.operators.series import ROW, TICK_CHUNK, Blocks, index_rows
-from tickloom.operators.stacking import stack
 from tickloom.schemas import (
     ACCURACY_MIN_HISTORY, ACCURACY_WINDOW, DEFAULT_EXCHANGE, MAX_DEVIATION, MAX_ORDER_QUANTITY,
     ORDER_SYMBOL_PATTERN, PRICED_TYPES, QUALITY_DIMENSIONS, REQUEST_EXCHANGES, REQUEST_TYPES, TRADE_SIDES,
-    UUID_PATTERN,
+    REQUEST_MESSAGES as TEXT, UUID_PATTERN,
 )
 
 FAILED = "failed_dimension"
@@ -46,18 +45,33 @@ def with_deviation(
     return blocks.rows().drop(ROW)
 
 
+SERIES = "_series"
+_SPREAD = 256
+
+
+def series_key() -> Column:
+    """The series a judged trade is measured in: its symbol, or for a trade that
+    failed already one of a few spread names that no symbol has."""
+    spread = F.pmod(F.xxhash64("trade_id", "timestamp"), F.lit(_SPREAD)).cast("string")
+    return F.when(F.col(FAILED).isNull(), F.col("symbol")).otherwise(F.concat(F.lit("~"), spread))
+
+
 def gate(trades: DataFrame, as_of: Column, complete: Column | None = None, span: str = TICK_CHUNK) -> DataFrame:
     """Q6: every trade with its first failed dimension, null when it is accepted.
 
-    Accuracy looks only at trades that pass the other four; those that do not
-    skip its shuffles.
+    Only trades that pass the other four dimensions make up the series accuracy
+    looks at; the failed ones travel along in series of their own.  Splitting
+    them off by a filter instead would repeat the parsing behind the trades in
+    the filter's condition.
     """
     judged = trades.withColumn(FAILED, row_failure(as_of, complete))
-    failed = judged.filter(F.col(FAILED).isNotNull())
-    measured = with_deviation(judged.filter(F.col(FAILED).isNull()), span=span)
+    placed = judged.withColumns(
+        {SERIES: series_key(), "_at": F.coalesce(F.col("timestamp").cast("timestamp"), F.timestamp_micros(F.lit(0)))}
+    )
+    measured = with_deviation(placed, (SERIES,), ("_at", "trade_id"), span)
     accuracy = F.when(F.col("deviation") > MAX_DEVIATION, F.lit("accuracy"))
-    passed = measured.withColumn(FAILED, accuracy).drop("recent_mean", "deviation")
-    return stack(failed, passed)
+    judgement = F.when(F.col(FAILED).isNull(), accuracy).otherwise(F.col(FAILED))
+    return measured.withColumn(FAILED, judgement).drop("recent_mean", "deviation", SERIES, "_at")
 
 
 def accepted(judged: DataFrame) -> DataFrame:
@@ -114,27 +128,27 @@ def check_order_requests(requests: DataFrame) -> DataFrame:
         return F.col(field).isNull()
 
     rules = [
-        error("portfolio_id", missing("portfolio_id"), "portfolio_id is required"),
+        error("portfolio_id", missing("portfolio_id"), TEXT["portfolio_id required"]),
         error(
-            "portfolio_id", sure(~F.col("portfolio_id").rlike(UUID_PATTERN)), "portfolio_id must be a valid UUID"
+            "portfolio_id", sure(~F.col("portfolio_id").rlike(UUID_PATTERN)), TEXT["portfolio_id format"]
         ),
-        error("symbol", missing("symbol"), "symbol is required"),
+        error("symbol", missing("symbol"), TEXT["symbol required"]),
         error(
             "symbol",
             sure(~F.col("symbol").rlike(ORDER_SYMBOL_PATTERN)),
-            "symbol must be in format XXXUSDT (e.g., BTCUSDT)",
+            TEXT["symbol format"],
         ),
         error("type", missing("type"), "type is required"),
-        error("type", sure(~F.col("type").isin(REQUEST_TYPES)), "type must be one of: " + ", ".join(REQUEST_TYPES)),
+        error("type", sure(~F.col("type").isin(REQUEST_TYPES)), TEXT["type allowed"]),
         error("side", missing("side"), "side is required"),
-        error("side", sure(~F.col("side").isin(TRADE_SIDES)), "side must be either buy or sell"),
-        error("quantity", missing("quantity"), "quantity is required"),
+        error("side", sure(~F.col("side").isin(TRADE_SIDES)), TEXT["side allowed"]),
+        error("quantity", missing("quantity"), TEXT["quantity required"]),
         error("quantity", F.col("quantity").isNotNull() & quantity.isNull(), "quantity must be a number"),
-        error("quantity", sure(quantity <= 0), "quantity must be positive"),
-        error("quantity", sure(quantity > MAX_ORDER_QUANTITY), f"quantity cannot exceed {MAX_ORDER_QUANTITY}"),
-        error("price", missing("price") & priced, "price is required for limit orders"),
+        error("quantity", sure(quantity <= 0), TEXT["quantity positive"]),
+        error("quantity", sure(quantity > MAX_ORDER_QUANTITY), TEXT["quantity maximum"]),
+        error("price", missing("price") & priced, TEXT["price required"]),
         error("price", F.col("price").isNotNull() & price.isNull(), "price must be a number"),
-        error("price", sure(price <= 0), "price must be positive"),
+        error("price", sure(price <= 0), TEXT["price positive"]),
         error(
             "exchange_code",
             sure(~F.col("exchange_code").isin(REQUEST_EXCHANGES)),

@@ -318,7 +318,7 @@ def s9(spark: SparkSession, folder: str) -> DataFrame:
 )
 def s11(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "lake")
-    name = "crypto_trades_" + path.rsplit("-", 1)[1]
+    name = "lake_trades_" + path.rsplit("-", 1)[1]
     lake = sinks.create_lake_table(spark, name, path)
     rows = V.ticks(spark, folder).select(*lake.columns)
     rows.write.mode("append").insertInto(name)

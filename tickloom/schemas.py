@@ -42,6 +42,25 @@ PRICED_TYPES = ["limit", "stop_limit"]
 REQUEST_EXCHANGES = ["BINANCE", "BYBIT", "COINBASE"]
 MAX_ORDER_QUANTITY = 1000
 
+# Texts of refused requests.
+REQUEST_MESSAGES = {
+    "portfolio_id required": "portfolio_id is required",
+    "portfolio_id format": "portfolio_id must be a valid UUID",
+    "symbol required": "symbol is required",
+    "symbol format": "symbol must be in format XXXUSDT (e.g., BTCUSDT)",
+    "type allowed": "type must be one of: market, limit, stop, stop_limit",
+    "side allowed": "side must be either buy or sell",
+    "quantity required": "quantity is required",
+    "quantity positive": "quantity must be positive",
+    "quantity maximum": "quantity cannot exceed 1000",
+    "price required": "price is required for limit orders",
+    "price positive": "price must be positive",
+}
+NOT_OWNED = "Portfolio not found or access denied"
+NO_EXCHANGE = "Exchange not found"
+BAD_QUANTITY = "Quantity must be positive"
+BAD_OPERATION = 'Operation must be "add" or "subtract"'
+
 # --- fixed values: model ---------------------------------------------------------
 FEATURES = [
     "high", "sma_20", "sma_50", "sma_200", "bb_middle", "bb_upper",

@@ -13,7 +13,6 @@ from tickloom.functions import checks
 from tickloom.operators import quality as Q
 from tickloom.operators.candles import latest_price
 from tickloom.operators.normalize import normalise
-from tickloom.operators.stacking import stack
 from tickloom.schemas import BRONZE_TRADE
 from tickloom.sources import sinks
 from tickloom.sources.decode import decode_messages
@@ -34,15 +33,11 @@ def judged_trades(messages: DataFrame, as_of: Column | None = None, processing_t
     """S2, P3 and the whole gate: every trade with its first failed dimension.
 
     The records are normalised before they are judged, so both wire formats can
-    pass; completeness looks at the canonical columns.  Only trades that pass the
-    four stateless dimensions reach the accuracy state.
+    pass; completeness looks at the canonical columns.
     """
     now = F.current_timestamp() if as_of is None else as_of
     trades = normalise(decode_messages(messages), processing_time)
-    judged = trades.withColumn(Q.FAILED, Q.row_failure(now, checks.complete()))
-    measured = jobs.accuracy_stream(judged.filter(F.col(Q.FAILED).isNull()).drop(Q.FAILED))
-    passed = measured.withColumn(Q.FAILED, F.when(~F.col("accepted"), F.lit("accuracy"))).drop("accepted")
-    return stack(judged.filter(F.col(Q.FAILED).isNotNull()), passed)
+    return jobs.gate_stream(trades.withColumn(Q.FAILED, Q.row_failure(now, checks.complete())))
 
 
 def store_batch(tables: Tables) -> Callable[[DataFrame, int], None]:
