@@ -53,7 +53,9 @@ def series_key() -> Column:
     """The series a judged trade is measured in: its symbol, or for a trade that
     failed already one of a few spread names that no symbol has."""
     spread = F.pmod(F.xxhash64("trade_id", "timestamp"), F.lit(_SPREAD)).cast("string")
-    return F.when(F.col(FAILED).isNull(), F.col("symbol")).otherwise(F.concat(F.lit("~"), spread))
+    own = F.when(F.col(FAILED).isNull(), F.col("symbol")).otherwise(F.concat(F.lit("~"), spread))
+    # Never null, as for the chunk in series.with_chunk.
+    return F.coalesce(own, F.lit("~"))
 
 
 def gate(trades: DataFrame, as_of: Column, complete: Column | None = None, span: str = TICK_CHUNK) -> DataFrame:

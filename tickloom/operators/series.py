@@ -38,10 +38,15 @@ BLOCK_ROWS = 4096
 
 
 def with_chunk(df: DataFrame, stamp: str, span: str) -> DataFrame:
-    """Adds the number of the time chunk each row falls in."""
+    """Adds the number of the time chunk each row falls in.
+
+    Never null: for a nullable join key Spark would repeat the whole expression
+    behind it in a null filter next to the scan.
+    """
     at = micros(stamp)
     width = F.lit(span_micros(span))
-    return df.withColumn(CHUNK, ((at - F.pmod(at, width)) / width).cast("long"))
+    chunk = ((at - F.pmod(at, width)) / width).cast("long")
+    return df.withColumn(CHUNK, F.coalesce(chunk, F.lit(0)))
 
 
 def index_rows(

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickloom.operators.candles import close_time, event_rank, first_by, last_by
-from tickloom.operators.quality import FAILED, quality_report, series_key
+from tickloom.operators.quality import FAILED, SERIES, quality_report, series_key
 from tickloom.schemas import ACCURACY_MIN_HISTORY, ACCURACY_WINDOW, MAX_DEVIATION, QUALITY_DIMENSIONS
 from tickloom.sources import sinks
 
@@ -150,11 +150,12 @@ def accuracy_stream(trades: DataFrame) -> DataFrame:
 
 def _judge_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     if key[0].startswith("~"):
-        yield from batches
+        for batch in batches:
+            yield batch.drop(columns=SERIES)
         return
     recent = deque(state.get[0] if state.exists else [], maxlen=ACCURACY_WINDOW)
     for batch in batches:
-        ordered = batch.sort_values(["timestamp", "trade_id"], kind="stable")
+        ordered = batch.drop(columns=SERIES).sort_values(["timestamp", "trade_id"], kind="stable")
         verdicts = judge_prices(recent, ordered["price"])
         yield ordered.assign(**{FAILED: [None if ok else "accuracy" for ok in verdicts]})
     state.update((list(recent),))
@@ -165,7 +166,7 @@ def gate_stream(judged: DataFrame) -> DataFrame:
     price too.  The others pass through in groups of their own, without state, so
     the source is read and parsed once."""
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in judged.schema.fields)
-    return judged.groupBy(series_key().alias("_series")).applyInPandasWithState(
+    return judged.withColumn(SERIES, series_key()).groupBy(SERIES).applyInPandasWithState(
         _judge_group, kinds, _STATE, "append", GroupStateTimeout.NoTimeout
     )
 
