@@ -1,5 +1,3 @@
-import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F

@@ -4,7 +4,6 @@ import json
 import random
 from collections import deque
 
-import pytest
 from pyspark.sql import functions as F
 
 from helpers import TRADE_DDL, at, trade

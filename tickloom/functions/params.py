@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from tickloom.schemas import DEFAULT_INTERVAL, INTERVALS, MAX_BARS, SYMBOL_PATTERN
 

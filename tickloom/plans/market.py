@@ -14,7 +14,6 @@ from tickloom.operators.refresh import refresh_rollups
 from tickloom.operators.series import ROW, slice_rows
 from tickloom.plans import views as V
 from tickloom.plans.registry import query, r
-from tickloom.sources import sinks
 from tickloom.sources.staging import fresh_path, stage
 
 OHLCV = f'{r("open")} AS open, {r("high")} AS high, {r("low")} AS low, {r("close")} AS close, {r("volume")} AS volume'
