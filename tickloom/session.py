@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 # Settings that hold on a cluster as well as on a laptop.  Shuffle width is left
@@ -21,13 +25,36 @@ COMMON = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application: Python operators need it there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = os.path.dirname(os.path.abspath(__file__))
+    top = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "tickloom.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, top))
+    context.addPyFile(archive)
+
+
 def build_session(app: str = "tickloom", master: str | None = None, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**COMMON, **(extra or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def local_session(cores: int | str = "*", extra: dict | None = None) -> SparkSession:
