@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.flat_tokens import token_counts, write_flat_files
+from tickloom.llm.packing import pack_documents
 from tickloom.llm.registry import query, table
 from tickloom.llm.token_frames import read_token_files, write_token_files
 from tickloom.sources.staging import fresh_path
@@ -43,3 +44,9 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
         "start",
         "n_tokens",
     )
+
+
+@query("op10_packing")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents packed into sequences of at most 2048 tokens."""
+    return pack_documents(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=0)
