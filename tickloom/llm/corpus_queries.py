@@ -1,4 +1,4 @@
-"""op1, op4, op8: queries that fingerprint, count and deal out whole documents."""
+"""op1, op4, op7, op8: queries that fingerprint, count and deal out whole documents, and search vectors."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from tickloom.llm.fingerprints import compare_with_next
 from tickloom.llm.mixing import BUCKET_ROWS, SEED, mix
 from tickloom.llm.registry import query, table
 from tickloom.llm.sharding import assign_shards
+from tickloom.llm.topk import top_k
 
 
 @query("op1_fingerprints")
@@ -80,6 +81,24 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+OP7_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM vectors q JOIN vectors r ON q.vec_id % 100 = 0 AND q.vec_id <> r.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+QUALIFY rank <= 10
+"""
+
+
+@query("op7_topk", OP7_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector."""
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 # DuckDB has no CRC-32; its column is left to a test.
 @query("op8_sharding")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
