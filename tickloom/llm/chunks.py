@@ -22,10 +22,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at a time; the arrays made for them are some ten times as large.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
-#: Pieces remembered per worker process, in two generations of this many.
-REMEMBERED = 300_000
+#: Pieces and words remembered per worker process, each in two generations of this many; an entry takes some 200 bytes.
+REMEMBERED, WORDS_REMEMBERED = 200_000, 60_000
 
 _WHOLE = (
     r"[ \n][ \n]|<\||[\x{0}-\x{9}\x{b}-\x{1f}\x{7f}-\x{a0}]"
@@ -128,6 +128,8 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
     starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
     for a, b in zip(starts, [*starts[1:], len(sizes)]):
         yield batch.slice(a, b - a)
+    # What the slices needed goes back to the system, not to Arrow's reserve.
+    pa.default_memory_pool().release_unused()
 
 
 _tokenizers: dict[str, ChunkEncoder] = {}
@@ -145,7 +147,9 @@ def token_encoder(path: str) -> ChunkEncoder:
 
         tokenizer = Tokenizer.from_file(path)
         normal, split, model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
-        words = Recent(lambda new: [array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in new])
+        words = Recent(
+            lambda new: [array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in new], WORDS_REMEMBERED
+        )
 
         def normalized(pieces: list[str]) -> list[str]:
             if normal is None:
