@@ -36,7 +36,7 @@ from tickloom.llm.samples import labelled_sample
 #: Labelled rows of each class that a lexicon is learned from, at most.
 SAMPLE = 5000
 #: Toxic texts an entry must be found in, and how much likelier it must be there (natural log).
-SUPPORT, LEAST_WEIGHT = 2, 3.0
+SUPPORT, LEAST_WEIGHT, MOST_WEIGHT = 3, 1.5, 6.0
 #: Candidates looked at, the most frequent ones, and lengths of beginnings.
 CANDIDATES = 50_000
 SHORTEST, LONGEST = 4, 10
@@ -135,66 +135,89 @@ def _parts(word: str) -> list[str]:
     return [*(word[:n] for n in range(SHORTEST, min(len(word), LONGEST) + 1)), word + " "] if len(word) >= 3 else []
 
 
-def _count_parts(rows: DataFrame, among: dict | None, contexts: bool = False) -> DataFrame:
-    """``part, n``: texts (or neighbourhoods) of each part; only of those in ``among`` if it is given."""
+def _neighbourhoods(words: list[str]) -> Iterator[tuple[str, str, str]]:
+    return zip(["", *words], words, [*words[1:], ""])
 
-    def of_text(words: list[str]) -> set:
-        if contexts:
-            return {
-                (p, zlib.crc32(f"{words[i - 1] if i else ''} {words[i + 1] if i + 1 < len(words) else ''}".encode()))
-                for i, w in enumerate(words)
-                for p in _parts(w)
-                if p in among
-            }
-        return {p for w in set(words) for p in _parts(w) if among is None or p in among}
+
+def _rough_counts(rows: DataFrame) -> DataFrame:
+    """``part, toxic, clean``: neighbourhoods of each part, those of one batch counted once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: Counter = Counter()
-            for text in batch.column("text").to_pylist():
-                seen.update(of_text(folded_words(text)))
-            keys = list(seen)
-            names, context = ([k[0] for k in keys], [k[1] for k in keys]) if contexts else (keys, [0] * len(keys))
+            counts = ({}, {})
+            for label in (0, 1):
+                seen, parts = set(), counts[label]
+                for text, own in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
+                    if own == label:
+                        seen.update(_neighbourhoods(folded_words(text)))
+                for word, n in Counter(w for _, w, _ in seen).items():
+                    for p in _parts(word):
+                        parts[p] = parts.get(p, 0) + n
+            clean, toxic = counts
+            found = [*toxic, *(p for p in clean if p not in toxic)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(found, pa.string()),
+                    *(pa.array([c.get(p, 0) for p in found], pa.int64()) for c in (toxic, clean)),
+                ],
+                ["part", "toxic", "clean"],
+            )
+
+    counted = rows.select("text", "label").mapInArrow(count, "part string, toxic long, clean long")
+    return counted.groupBy("part").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def _exact_counts(rows: DataFrame, among: set[str]) -> DataFrame:
+    """``part, toxic, clean, texts``: different neighbourhoods of these parts, and toxic texts that hold them."""
+    wanted = rows.sparkSession.sparkContext.broadcast(among)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = set()
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                label, name = batch.column("label")[i].as_py(), batch.column("name")[i].as_py()
+                for before, word, after in _neighbourhoods(folded_words(text)):
+                    for p in _parts(word):
+                        if p in wanted.value:
+                            found.add((p, label, zlib.crc32(f"{before} {word} {after}".encode()), name))
+            columns = list(zip(*found)) or [[], [], [], []]
+            kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(context, pa.int64()), pa.array(list(seen.values()), pa.int64())],
-                ["part", "context", "n"],
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "label", "place", "name"]
             )
 
-    counted = rows.select("text").mapInArrow(count, "part string, context long, n long")
-    if contexts:
-        return counted.groupBy("part").agg(F.count_distinct("context").alias("n"))
-    return counted.groupBy("part").agg(F.sum("n").alias("n"))
+    found = rows.select("text", "label", F.xxhash64("text").alias("name")).mapInArrow(
+        find, "part string, label int, place long, name long"
+    )
 
+    def different(column: str, label: int) -> Column:
+        return F.count_distinct(F.when(F.col("label") == label, F.col(column)))
 
-def _telling(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Weights of the parts that are far likelier in toxic texts."""
-    weight = {
-        p: math.log((n + 0.5) / (n_toxic + 1)) - math.log((clean.get(p, 0) + 0.5) / (n_clean + 1)) for p, n in toxic.items()
-    }
-    return {p: w for p, w in weight.items() if w >= LEAST_WEIGHT}
+    return found.groupBy("part").agg(
+        different("place", 1).alias("toxic"), different("place", 0).alias("clean"), different("name", 1).alias("texts")
+    )
 
 
-def _chosen(
-    weight: dict[str, float], toxic: dict[str, int], contexts: dict[str, int], chance: float, candidates: int
-) -> dict[str, float]:
-    """The shortest telling parts that chance doesn't explain, made longer while that loses next to no neighbourhood.
+def _chosen(counts: list[tuple[str, int, int, int]], n_toxic: int, n_clean: int, candidates: int) -> dict[str, float]:
+    """Entries and weights from ``part, toxic, clean, texts``; the sums are of words in toxic and in clean texts.
 
-    ``chance``: the toxic share of the sample.  A part that is in toxic texts alone by chance has this to the power of
-    the places it was found in, which are counted halfway between texts and neighbourhoods; it must be below one in ten
-    for all candidates together.
+    The log likelihood ratio says how far a part's share of the toxic words is from chance; it must be below one in ten
+    for all candidates together.  The surest part comes first, and parts that begin with it or that it begins with go.
     """
-    needed = math.log(10 * candidates) / -math.log(chance)
-    sure = {p for p in weight if (toxic[p] + contexts.get(p, 0)) / 2 >= needed}
-    longer: dict[str, list[str]] = {}
-    for p in sure:
-        longer.setdefault(p[:-1], []).append(p)
+    share = n_toxic / (n_toxic + n_clean)
+    sure = []
+    for part, a, b, texts in counts:
+        weight = math.log((a + 0.5) / n_toxic) - math.log((b + 0.5) / n_clean)
+        ratio = a * math.log(a / (share * (a + b))) if a else 0.0
+        ratio += b * math.log(b / ((1 - share) * (a + b))) if b else 0.0
+        if texts >= SUPPORT and weight >= LEAST_WEIGHT and ratio >= math.log(10 * candidates):
+            sure.append((-ratio, -len(part), part, min(weight, MOST_WEIGHT)))
     out: dict[str, float] = {}
-    for p in sorted(sure, key=lambda p: (len(p), p)):
-        if any(p[:n] in sure for n in range(SHORTEST, len(p))):
-            continue
-        while more := [q for q in longer.get(p, []) if contexts[q] >= 0.9 * contexts[p]]:
-            p = max(more, key=lambda q: (contexts[q], q))
-        out[p] = weight[p]
+    beginnings: set[str] = set()
+    for _, _, part, weight in sorted(sure):
+        if part not in beginnings and not any(part[:n] in out for n in range(SHORTEST, len(part))):
+            out[part] = weight
+            beginnings.update(part[:n] for n in range(SHORTEST, len(part) + 1))
     return out
 
 
@@ -250,17 +273,16 @@ def fit_lexicon(
     Without labelled rows of both classes the lexicon is empty and every score is low.
     """
     rows, sizes = labelled_sample(docs, labels, label, held_out, sample, key, text)
-    toxic, clean = rows.where("label = 1"), rows.where("label = 0")
-    n_toxic, n_clean = toxic.count(), clean.count()
-    if not n_toxic or not n_clean:
+    words = F.size(F.split("text", r"\s+"))
+    totals = {r[0]: (r[1], r[2]) for r in rows.groupBy("label").agg(F.count("*"), F.sum(words)).collect()}
+    if len(totals) < 2:
         return Lexicon({})
-    frequent = _count_parts(toxic, None).where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "part").limit(CANDIDATES)
-    in_toxic = {r[0]: r[1] for r in frequent.collect()}
-    in_clean = {r[0]: r[1] for r in _count_parts(clean, in_toxic).collect()}
-    weight = _telling(in_toxic, in_clean, n_toxic, n_clean)
-    contexts = {r[0]: r[1] for r in _count_parts(toxic, weight, contexts=True).collect()} if weight else {}
-    chance = n_toxic / (n_toxic + n_clean)
-    lexicon = Lexicon(_chosen(weight, in_toxic, contexts, chance, max(1, len(in_toxic))))
+    (n_clean, clean_words), (n_toxic, toxic_words) = totals[0], totals[1]
+    likelier = (F.col("toxic") + 0.5) / toxic_words >= math.exp(LEAST_WEIGHT) * (F.col("clean") + 0.5) / clean_words
+    rough = _rough_counts(rows).where((F.col("toxic") >= SUPPORT) & likelier).orderBy(F.desc("toxic"), "part")
+    candidates = {r[0] for r in rough.select("part").limit(CANDIDATES).collect()}
+    counts = [tuple(r) for r in _exact_counts(rows, candidates).collect()] if candidates else []
+    lexicon = Lexicon(_chosen(counts, toxic_words, clean_words, max(1, len(candidates))))
     lexicon.exceptions = _exceptions(rows, lexicon)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
