@@ -1,4 +1,4 @@
-"""op1, op4, op7, op8: queries that fingerprint, count and deal out whole documents, and search vectors."""
+"""op1, op4, op6, op7, op8: queries that fingerprint, join, count and deal out whole documents, and search vectors."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.fingerprints import compare_with_next
 from tickloom.llm.mixing import BUCKET_ROWS, SEED, mix
+from tickloom.llm.near_duplicates import similar_components
 from tickloom.llm.registry import query, table
 from tickloom.llm.sharding import assign_shards
 from tickloom.llm.topk import top_k
@@ -81,6 +82,12 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op6_jaccard")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose shingle sets are nine tenths alike."""
+    return similar_components(table(spark, folder, "documents"))
+
+
 OP7_SQL = """
 WITH vectors AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
