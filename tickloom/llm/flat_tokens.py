@@ -114,12 +114,17 @@ def document_spans(scanned: DataFrame) -> DataFrame:
     ends = F.transform("ends", lambda e: F.col("first") + e)
     ends = F.when(F.col("open"), F.concat(ends, F.array("size"))).otherwise(ends)
     starts = F.concat(F.array("start"), F.transform("ends", lambda e: F.col("first") + e + 1))
-    spans = F.transform(ends, lambda e, i: F.struct(i.alias("i"), F.get(starts, i).alias("start"), e.alias("end")))
-    return placed.select("path", "ordinal", F.explode(spans).alias("span")).select(
-        "path",
-        (F.col("ordinal") + F.col("span.i")).alias("ordinal"),
-        F.col("span.start").alias("start"),
-        (F.col("span.end") - F.col("span.start")).alias("n_tokens"),
+    spans = placed.select("path", "ordinal", starts.alias("start"), ends.alias("end"))
+    # The last start has no end in this block, unless the file ends there.
+    return (
+        spans.select("path", "ordinal", F.posexplode(F.arrays_zip("start", "end")).alias("i", "span"))
+        .where("span.end is not null")
+        .select(
+            "path",
+            (F.col("ordinal") + F.col("i")).alias("ordinal"),
+            F.col("span.start").alias("start"),
+            (F.col("span.end") - F.col("span.start")).alias("n_tokens"),
+        )
     )
 
 
@@ -129,4 +134,5 @@ def token_counts(paths: DataFrame, end_id: int, block_ids: int = BLOCK_IDS) -> D
     spread = files.repartition(max(1, files.count()))
     blocks = stage(blocks_of(spread, block_ids), "flat-blocks")
     tasks = max(1, blocks.count())
-    return document_spans(scan_blocks(blocks.repartition(tasks), end_id))
+    # Written, so that its size is known where it is joined: it has a row for each document.
+    return stage(document_spans(scan_blocks(blocks.repartition(tasks), end_id)), "flat-spans")
