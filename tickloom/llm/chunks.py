@@ -24,8 +24,8 @@ import pyarrow.compute as pc
 #: Bytes of text handled at a time; the arrays made for them are some ten times as large.
 SLICE_BYTES = 2 << 20
 
-#: Pieces and words remembered per worker process, each in two generations of this many; an entry takes some 200 bytes.
-REMEMBERED, WORDS_REMEMBERED = 200_000, 60_000
+#: Pieces and words remembered by a worker process, each in two generations of this many; an entry takes some 200 bytes.
+REMEMBERED, WORDS_REMEMBERED = 300_000, 100_000
 
 _WHOLE = (
     r"[ \n][ \n]|<\||[\x{0}-\x{9}\x{b}-\x{1f}\x{7f}-\x{a0}]"
@@ -37,30 +37,40 @@ Encode = Callable[[list[str]], list[bytes]]
 
 
 class Recent:
-    """What was encoded lately, in two generations: the older one goes when the newer is full."""
+    """What was encoded lately.
+
+    A piece is kept when it comes for the third time, by a small table of counters; so the many pieces that are met
+    only once or twice take no memory and push nothing out.  Kept pieces stand in two generations, of which the older
+    one goes when the newer is full.
+    """
 
     def __init__(self, encode: Encode, most: int = REMEMBERED):
         self.encode, self.most = encode, most
-        self.new: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.met = bytearray(1 << 22)
 
     def __call__(self, pieces: list[str]) -> list[bytes]:
-        if len(self.new) >= self.most:
-            self.old, self.new = self.new, {}
-        new, old = self.new, self.old
-        missing = [p for p in pieces if p not in new]
+        if len(self.kept) >= self.most:
+            self.kept, self.old, self.met = {}, self.kept, bytearray(len(self.met))
+        kept, old, met, mask = self.kept, self.old, self.met, len(self.met) - 1
+        out = list(map(kept.get, pieces))
+        missing = [i for i, known in enumerate(out) if known is None]
+        if old:
+            for i in missing:
+                if pieces[i] in old:
+                    out[i] = kept[pieces[i]] = old[pieces[i]]
+            missing = [i for i in missing if out[i] is None]
         if missing:
-            unknown = []
-            for p in missing:
-                known = old.get(p)
-                if known is None:
-                    unknown.append(p)
+            for i, ids in zip(missing, self.encode([pieces[i] for i in missing]), strict=True):
+                out[i] = ids
+                p = pieces[i]
+                at = hash(p) & mask
+                if met[at] < 2:
+                    met[at] += 1
                 else:
-                    new[p] = known
-            if unknown:
-                unknown = list(dict.fromkeys(unknown))
-                new.update(zip(unknown, self.encode(unknown), strict=True))
-        return [new[p] for p in pieces]
+                    kept[p] = ids
+        return out
 
 
 class ChunkEncoder:
@@ -166,14 +176,12 @@ def token_encoder(path: str) -> ChunkEncoder:
                 return [next(rest) if i else alone(p) for p, i in zip(pieces, inner)]
             pieces = normalized(pieces)
             found = split.pre_tokenize_str("".join(pieces))
-            known = words([w for w, _ in found])
-            out, at, end = [], 0, 0
-            for p in pieces:
-                begin, end = at, end + len(p)
-                while at < len(found) and found[at][1][0] < end:
-                    at += 1
-                out.append(known[begin] if at - begin == 1 else b"".join(known[begin:at]))
-            return out
+            different = {w: i for i, w in enumerate(dict.fromkeys([w for w, _ in found]))}
+            encoded = words(list(different))
+            known = [encoded[different[w]] for w, _ in found]
+            # Words of each piece: those that start before its end.
+            ends = np.searchsorted([span[0] for _, span in found], np.cumsum(list(map(len, pieces)))).tolist()
+            return [known[a] if b - a == 1 else b"".join(known[a:b]) for a, b in zip([0, *ends], ends)]
 
         def alone(piece: str) -> bytes:
             text = normal.normalize_str(piece) if normal else piece
