@@ -165,6 +165,7 @@ def mix(
 
     A row's size is its number of words, 0 for a null text.  A null source is a source of its own, the last one.  Rows
     equal in key and text have one place in the seeded order and are taken alike.  An empty table gives an empty one.
+    Names that begin with ``mix_`` are this operator's own; a column of ``docs`` so named is replaced or dropped.
     """
     sized = docs.withColumn("mix_size", word_count(F.col(text))).withColumn(
         "mix_place", seeded_place(F.col(key), F.col(text), seed)
@@ -177,16 +178,16 @@ def mix(
         F.col("source").alias("mix_source"),
         F.col("source_size").alias("mix_source_size"),
         F.col("target").alias("mix_target"),
-        "whole",
-        "last",
-        "extra",
+        F.col("whole").alias("mix_whole"),
+        F.col("last").alias("mix_last"),
+        F.col("extra").alias("mix_extra"),
     )
-    once_more = (F.col("mix_place") <= F.col("last")) | F.coalesce(F.array_contains("extra", F.col("mix_place")), F.lit(False))
-    repeats = F.col("whole") + F.when(once_more, 1).otherwise(0)
+    fits = F.coalesce(F.array_contains("mix_extra", F.col("mix_place")), F.lit(False))
+    repeats = F.col("mix_whole") + F.when((F.col("mix_place") <= F.col("mix_last")) | fits, 1).otherwise(0)
     return (
         sized.join(cuts, F.col(source).eqNullSafe(F.col("mix_source")))
         .withColumn("mix_repeats", repeats)
-        .drop("mix_place", "mix_source", "whole", "last", "extra")
+        .drop("mix_place", "mix_source", "mix_whole", "mix_last", "mix_extra")
     )
 
 

@@ -270,7 +270,8 @@ def fit_lexicon(
 ) -> Lexicon:
     """Learns a lexicon from at most ``sample`` labelled rows of each class that are not ``held_out``.
 
-    Without labelled rows of both classes the lexicon is empty and every score is low.
+    Without labelled rows of both classes, or without a word that tells them apart, the lexicon is empty and every score
+    is low.
     """
     rows, sizes = labelled_sample(docs, labels, label, held_out, sample, key, text)
     words = F.size(F.split("text", r"\s+"))
@@ -283,6 +284,8 @@ def fit_lexicon(
     candidates = {r[0] for r in rough.select("part").limit(CANDIDATES).collect()}
     counts = [tuple(r) for r in _exact_counts(rows, candidates).collect()] if candidates else []
     lexicon = Lexicon(_chosen(counts, toxic_words, clean_words, max(1, len(candidates))))
+    if not lexicon.weights:
+        return lexicon
     lexicon.exceptions = _exceptions(rows, lexicon)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
