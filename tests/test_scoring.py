@@ -18,16 +18,31 @@ def sign_rows(symbol, signs):
     return [(symbol, at(3600 * i), b, 0.03 if v else 0.02, -1.0 if f else 0.0, 0.0, 1.0) for i, (b, v, f) in enumerate(signs)]
 
 
-def loop(steps):
-    price = wild = momentum = 0
-    for i, (b, v, f) in enumerate(steps[-3:]):
-        price += 0.3 * (i + 1) if b else 0
-        wild += 0.2 * (i + 1) if v else 0
-        momentum += 0.2 * (i + 1) if f else 0
-    return min(0.99, max(0.01, (price + wild + momentum) / 3.0))
+WEIGHTS = np.array([0.3, 0.2, 0.2])
 
 
-def test_probability_equals_the_loop_to_the_last_bit(spark):
+def weighted(signs):
+    """Flags of the last three rows, oldest first, weighed by kind and by place."""
+    last = np.array(signs[-3:], dtype=float)
+    return float(np.clip(np.arange(1, len(last) + 1) @ last @ WEIGHTS / 3.0, 0.01, 0.99))
+
+
+@pytest.mark.parametrize(
+    "signs,probability",
+    [
+        ([(0, 0, 0)], 0.01),
+        ([(1, 1, 1)], 0.7 / 3),
+        ([(1, 0, 0), (0, 1, 0), (0, 0, 1)], (0.3 + 0.4 + 0.6) / 3),
+        ([(1, 1, 1)] * 3, 0.99),
+        ([(1, 1, 1), (0, 0, 0), (0, 0, 0), (0, 0, 0)], 0.01),
+    ],
+)
+def test_probabilities_worked_by_hand(spark, signs, probability):
+    rows = M.fallback_probability(spark.createDataFrame(sign_rows("X", signs), SIGN_DDL), row=None).collect()
+    assert max(rows, key=lambda r: r.open_time).probability == pytest.approx(probability, rel=1e-12)
+
+
+def test_probability_of_every_row(spark):
     signs = list(itertools.product((0, 1), repeat=3))
     orders = {f"S{i}": [signs[(i * 5 + j * (i + 1)) % 8] for j in range(40)] for i in range(8)}
     rows = [row for s, steps in orders.items() for row in sign_rows(s, steps)]
@@ -35,7 +50,7 @@ def test_probability_equals_the_loop_to_the_last_bit(spark):
     assert len(out) == 320
     for row in out:
         i = round((row.open_time - at(0)).total_seconds() / 3600)
-        assert row.probability == loop(orders[row.symbol][: i + 1])
+        assert row.probability == pytest.approx(weighted(orders[row.symbol][: i + 1]), rel=1e-12)
 
 
 @pytest.mark.parametrize(

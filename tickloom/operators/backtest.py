@@ -1,8 +1,8 @@
 """Moving-average crossover report per symbol.
 
-A report covers at most 1000 bars per symbol, the platform's own limit, so after
-``slice_rows`` every group is bounded.  ``crossover_signals`` has no such limit
-and runs on blocks.
+Everything runs over whole series, in blocks; ``bars`` takes the newest ones
+where that is asked for.  The limit of 1000 bars is one of requests
+(``functions/params.py``), not of these operators.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.series import CANDLE_CHUNK, ROW, Blocks, index_rows, slice_rows
-from tickloom.schemas import LONG_PERIOD, MAX_BARS, PERIODS_PER_YEAR, SHORT_PERIOD, STARTING_CASH
+from tickloom.operators.series import CANDLE_CHUNK, ROW, Blocks, index_rows, running_rows, slice_rows
+from tickloom.schemas import LONG_PERIOD, PERIODS_PER_YEAR, SHORT_PERIOD, STARTING_CASH
 
 KEYS = ["symbol"]
 ORDER = ["open_time"]
@@ -36,69 +36,63 @@ def crossover_signals(
     return blocks.add(_crossing(blocks.frame, value, short, long)).rows().drop(ROW)
 
 
-def _checked(bars: int) -> int:
-    if not 1 <= bars <= MAX_BARS:
-        raise ValueError(f"a backtest covers 1 to {MAX_BARS} bars")
-    return bars
+def _series(candles: DataFrame, bars: int | None, keys, order, span: str) -> DataFrame:
+    """Numbered rows: the newest ``bars`` of every series, or all."""
+    return index_rows(candles, keys, order, span) if bars is None else slice_rows(candles, keys, order, bars, span=span)
 
 
 def backtest_bars(
-    candles: DataFrame, bars: int = MAX_BARS, short: int = SHORT_PERIOD, long: int = LONG_PERIOD,
-    value: str = "close", keys=KEYS, order=ORDER,
+    candles: DataFrame, bars: int | None = None, short: int = SHORT_PERIOD, long: int = LONG_PERIOD,
+    value: str = "close", keys=KEYS, order=ORDER, span: str = CANDLE_CHUNK,
 ) -> DataFrame:
-    """The newest ``bars`` candles with the action taken on each: buy, sell or null.
+    """The candles (the newest ``bars`` if given) with the action taken on each: buy, sell or null.
 
     The position after a bar is the sign of the last bar whose averages differed,
     so a buy is a change to +1 and a sell a change from +1 to -1.
     """
-    part = slice_rows(candles.select(*keys, *order, value), keys, order, _checked(bars))
-    series = Window.partitionBy(*keys).orderBy(ROW)
-    marked = part.withColumns(_crossing(series.rowsBetween, value, short, long))
+    part = _series(candles.select(*keys, *order, value), bars, keys, order, span)
+    blocks = Blocks.cut(part, keys, long)
+    marked = blocks.add(_crossing(blocks.frame, value, short, long)).rows()
     sign = F.when(F.col("direction") != 0, F.col("direction"))
-    before = F.last(sign, ignorenulls=True).over(series.rowsBetween(Window.unboundedPreceding, -1))
-    held = F.coalesce(before > 0, F.lit(False))
-    action = F.when((sign > 0) & ~held, "buy").when((sign < 0) & held, "sell")
-    return marked.withColumn("action", action)
+    signed = running_rows(marked.withColumn("_sign", sign), keys, {"_before": ("last", "_sign")}, end=-1)
+    held = F.coalesce(F.col("_before") > 0, F.lit(False))
+    action = F.when((F.col("_sign") > 0) & ~held, "buy").when((F.col("_sign") < 0) & held, "sell")
+    return signed.withColumn("action", action).drop("_sign", "_before")
 
 
 def round_trips(bars: DataFrame, value: str = "close", keys=KEYS, order=ORDER) -> DataFrame:
     """Every buy with the sell that follows it; no sell for an open position.
 
-    ``sell_return`` is the trade's return, ``equity`` the money after the sell.
+    ``sell_return`` is the trade's return, ``equity`` the money after the sell and
+    ``trip`` the trade's number.
     """
-    series = Window.partitionBy(*keys).orderBy(ROW)
     time = order[0]
-    deals = bars.filter(F.col("action").isNotNull())
-    # Actions alternate, starting with a buy.
-    paired = deals.withColumns(
-        {
-            "sell_time": F.lead(time).over(series),
-            "sell_price": F.lead(value).over(series),
-        }
-    ).filter("action = 'buy'")
-    growth = F.col("sell_price") / F.nullif(value, F.lit(0.0))
-    upto = series.rowsBetween(Window.unboundedPreceding, 0)
-    return paired.select(
-        *keys,
-        ROW,
-        F.col(time).alias("buy_time"),
-        F.col(value).alias("buy_price"),
-        "sell_time",
-        "sell_price",
-        (growth - 1).alias("sell_return"),
-        (F.product(growth).over(upto) * STARTING_CASH).alias("_after"),
-    ).select(
-        *keys, ROW, "buy_time", "buy_price", "sell_time", "sell_price", "sell_return",
-        F.when(F.col("sell_time").isNotNull(), F.col("_after")).alias("equity"),
+    deals = bars.filter(F.col("action").isNotNull()).withColumn("_one", F.lit(1).cast("long"))
+    # Actions alternate, starting with a buy, so two of them in a row are a trip.
+    numbered = running_rows(deals, keys, {"_deal": ("sum", "_one")})
+    bought, sold = F.col("action") == "buy", F.col("action") == "sell"
+    trips = numbered.groupBy(*keys, F.floor((F.col("_deal") + 1) / 2).cast("long").alias("trip")).agg(
+        F.max(F.when(bought, F.col(ROW))).alias(ROW),
+        F.max(F.when(bought, F.col(time))).alias("buy_time"),
+        F.max(F.when(bought, F.col(value))).alias("buy_price"),
+        F.max(F.when(sold, F.col(time))).alias("sell_time"),
+        F.max(F.when(sold, F.col(value))).alias("sell_price"),
+    )
+    grown = trips.withColumn("_growth", F.col("sell_price") / F.nullif("buy_price", F.lit(0.0)))
+    after = running_rows(grown, keys, {"_after": ("product", "_growth")}, row="trip")
+    return after.select(
+        *keys, ROW, "trip", "buy_time", "buy_price", "sell_time", "sell_price",
+        (F.col("_growth") - 1).alias("sell_return"),
+        F.when(F.col("sell_time").isNotNull(), F.col("_after") * STARTING_CASH).alias("equity"),
     )
 
 
 def with_drawdown(trips: DataFrame, keys=KEYS) -> DataFrame:
     """Fall of the equity after each sell below its running peak, in percent."""
-    upto = Window.partitionBy(*keys).orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
-    peak = F.greatest(F.lit(STARTING_CASH), F.max("equity").over(upto))
+    highest = running_rows(trips, keys, {"_highest": ("max", "equity")}, row="trip")
+    peak = F.greatest(F.lit(STARTING_CASH), "_highest")
     fall = (peak - F.col("equity")) / peak * 100
-    return trips.withColumns({"peak": peak, "drawdown": fall})
+    return highest.withColumns({"peak": peak, "drawdown": fall}).drop("_highest")
 
 
 def sharpe_ratio(returns: str) -> Column:
@@ -112,17 +106,18 @@ def sharpe_ratio(returns: str) -> Column:
 
 def backtest_report(
     candles: DataFrame,
-    bars: int = MAX_BARS,
+    bars: int | None = None,
     symbols: DataFrame | None = None,
     value: str = "close",
     keys=KEYS,
     order=ORDER,
+    span: str = CANDLE_CHUNK,
 ) -> DataFrame:
     """One row per symbol, amounts and percentages with two decimals.
 
     ``symbols`` lists requested symbols; those without candles get zeros.
     """
-    marked = backtest_bars(candles, bars, value=value, keys=keys, order=order)
+    marked = backtest_bars(candles, bars, value=value, keys=keys, order=order, span=span)
     ends = marked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("data_points"), F.max_by(value, ROW).alias("_last_price")
     )
@@ -135,7 +130,7 @@ def backtest_report(
         F.max("drawdown").alias("_drawdown"),
         sharpe_ratio("sell_return").alias("_sharpe"),
     )
-    # Both sides come from the slice, at most one row per symbol each.
+    # One row per symbol on both sides.
     both = ends.join(deals, keys, "left")
     if symbols is not None:
         both = symbols.select(*keys).distinct().join(both, keys, "left")
@@ -194,14 +189,15 @@ def scaled_series(
     keys=KEYS, order=ORDER,
 ) -> DataFrame:
     """Plot coordinates of the newest ``bars`` values; null when all are equal."""
-    part = slice_rows(candles.select(*keys, *order, value), keys, order, _checked(bars))
-    whole = Window.partitionBy(*keys)
-    low, high = F.min(value).over(whole), F.max(value).over(whole)
-    reach = F.nullif(high - low, F.lit(0.0))
-    last = F.nullif(F.max(ROW).over(whole) - 1, F.lit(0))
-    return part.withColumns(
+    part = slice_rows(candles.select(*keys, *order, value), keys, order, bars)
+    ends = part.groupBy(*keys).agg(
+        F.min(value).alias("_low"), F.max(value).alias("_high"), F.max(ROW).alias("_rows")
+    )
+    reach = F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
+    last = F.nullif(F.col("_rows") - 1, F.lit(0))
+    return part.join(ends, keys).withColumns(
         {
             "x": F.when(reach.isNotNull(), (F.col(ROW) - 1) / last * width),
-            "y": height - (F.col(value) - low) / reach * height,
+            "y": height - (F.col(value) - F.col("_low")) / reach * height,
         }
-    )
+    ).drop("_low", "_high", "_rows")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.times import micros, span_micros
+from tickloom.operators.series import LIMITED_RANK, index_rows
 from tickloom.schemas import LIVE_STATUS, STABLECOINS
 
 
@@ -62,10 +63,15 @@ def executable_orders(
 ) -> DataFrame:
     """Live orders named by an execution request of their owner.
 
-    ``requests`` has order_id, user_id and execution_price.
+    ``requests`` has order_id, user_id and execution_price.  An order executes once:
+    of several requests of its owner the first one counts, by ``requested_at`` and
+    ``request_id`` where the table has them, else the one with the lowest price.
     """
     live = orders.filter(F.col("status").isin(LIVE_STATUS))
-    asked = requests.select(F.col("order_id").alias("id"), "user_id", "execution_price")
+    first = F.struct(*[c for c in ("requested_at", "request_id", "execution_price") if c in requests.columns])
+    asked = requests.groupBy(F.col("order_id").alias("id"), "user_id").agg(
+        F.min_by("execution_price", first).alias("execution_price")
+    )
     owners = portfolios.select(F.col("id").alias("portfolio_id"), "user_id")
     pairs = symbols.select(F.col("id").alias("symbol_id"), "symbol", "base_asset_id", "quote_asset_id")
     codes = exchanges.select(F.col("id").alias("exchange_id"), F.col("code").alias("exchange_code"))
@@ -194,11 +200,20 @@ def page(
 ) -> DataFrame:
     """O2: the newest rows of every portfolio from ``offset`` on, at most ``limit``.
 
-    Each input partition passes on at most offset+limit rows per portfolio.
+    ``position`` counts from the newest row.  Up to ``LIMITED_RANK`` rows each input
+    partition passes on that many per portfolio at most; further pages number the
+    rows in two levels, so no task sorts a whole portfolio.
     """
-    newest = Window.partitionBy(*keys).orderBy(F.col(stamp).desc(), F.col(id_column).desc())
-    ranked = rows.withColumn("position", F.row_number().over(newest))
-    return ranked.filter(F.col("position") <= offset + limit).filter(F.col("position") > offset)
+    keys, until = list(keys), offset + limit
+    if until > LIMITED_RANK:
+        rows = index_rows(rows, keys, [stamp, id_column], span="1 day", name="_row")
+        sizes = rows.groupBy(*keys).agg(F.max("_row").alias("_rows"))
+        ranked = rows.join(sizes, keys).withColumn("position", (F.col("_rows") - F.col("_row") + 1).cast("int"))
+        ranked = ranked.drop("_row", "_rows")
+    else:
+        newest = Window.partitionBy(*keys).orderBy(F.col(stamp).desc(), F.col(id_column).desc())
+        ranked = rows.withColumn("position", F.row_number().over(newest))
+    return ranked.filter(F.col("position") <= until).filter(F.col("position") > offset)
 
 
 def single_page(rows: DataFrame, stamp: str, id_column: str = "id", limit: int = 100, offset: int = 0) -> DataFrame:

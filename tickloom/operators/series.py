@@ -10,7 +10,8 @@ pieces of bounded size instead:
 * ``Blocks`` groups indexed rows into equal blocks by row number.  Each block
   also receives the last rows of the block before it, so a bounded frame
   (``ROWS k PRECEDING``) sees what it would see in the whole series.
-* ``running`` is the two-level form of an unbounded running aggregate.
+* ``running`` and ``running_rows`` are the two-level form of an unbounded running
+  aggregate, by time and by row number.
 * ``slice_rows`` takes the newest or oldest n rows of every series.
 
 Key and order columns must not be null, as in the candle and trade tables.
@@ -124,39 +125,48 @@ def numbered(
 
 def _merged(kind: str, pre: Column, own: Column, data_type: T.DataType) -> Column:
     """Earlier chunks and own chunk together; a missing part counts as nothing."""
-    if kind != "sum":
+    if kind == "last":
+        return F.coalesce(own, pre)
+    if kind in ("min", "max"):
         return F.least(pre, own) if kind == "min" else F.greatest(pre, own)
     if isinstance(data_type, T.DecimalType):
         # Adding two decimal(38, s) would give up a digit of scale.
         narrow = T.DecimalType(min(data_type.precision, 37), data_type.scale)
         pre, own = pre.cast(narrow), own.cast(narrow)
-    return F.coalesce(pre + own, own, pre).cast(data_type)
+    both = pre * own if kind == "product" else pre + own
+    return F.coalesce(both, own, pre).cast(data_type)
 
 
-def running(
-    df: DataFrame, keys: list[str], order: list[str], columns: dict[str, tuple[str, str]], span: str
+_KINDS = {
+    "sum": F.sum,
+    "min": F.min,
+    "max": F.max,
+    "product": F.product,
+    "last": lambda column: F.last(column, ignorenulls=True),
+}
+
+
+def _running_chunks(
+    chunked: DataFrame, keys: list[str], order: list[str], columns: dict[str, tuple[str, str]], end: int = 0
 ) -> DataFrame:
-    """Unbounded running aggregates, in two levels.
+    """Running aggregates of rows that know their chunk, up to ``end`` rows after the current one (0 or -1)."""
 
-    ``columns`` maps an output name to ``(kind, input)`` with kind sum, min or
-    max.  Each (keys, chunk) is scanned on its own; the totals of the earlier
-    chunks come from the per-chunk summary.  ``order`` starts with a timestamp
-    and has to be total for the result to be deterministic.
-    """
-    kinds = {"sum": F.sum, "min": F.min, "max": F.max}
-    chunked = with_chunk(df, order[0], span)
-    summary = chunked.groupBy(*keys, CHUNK).agg(
-        *[kinds[kind](source).alias(f"_all_{name}") for name, (kind, source) in columns.items()]
-    )
+    def summed(name: str, kind: str, source: str) -> Column:
+        if kind == "last":
+            by = F.struct(*order) if len(order) > 1 else F.col(order[0])
+            return F.max_by(source, F.when(F.col(source).isNotNull(), by)).alias(f"_all_{name}")
+        return _KINDS[kind](source).alias(f"_all_{name}")
+
+    summary = chunked.groupBy(*keys, CHUNK).agg(*[summed(name, *spec) for name, spec in columns.items()])
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
         *keys,
         CHUNK,
-        *[kinds[kind](f"_all_{name}").over(earlier).alias(f"_pre_{name}") for name, (kind, _) in columns.items()],
+        *[_KINDS[kind](f"_all_{name}").over(earlier).alias(f"_pre_{name}") for name, (kind, _) in columns.items()],
     )
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     local = chunked.withColumns(
-        {f"_in_{name}": kinds[kind](source).over(inside) for name, (kind, source) in columns.items()}
+        {f"_in_{name}": _KINDS[kind](source).over(inside) for name, (kind, source) in columns.items()}
     )
     joined = local.join(carried, [*keys, CHUNK])
     out = joined.withColumns(
@@ -169,15 +179,53 @@ def running(
     return out.drop(CHUNK, *spent)
 
 
-def slice_rows(
-    df: DataFrame, keys: list[str], order: list[str], n: int, side: str = "newest", name: str = ROW
+def running(
+    df: DataFrame, keys: list[str], order: list[str], columns: dict[str, tuple[str, str]], span: str
 ) -> DataFrame:
+    """Unbounded running aggregates, in two levels.
+
+    ``columns`` maps an output name to ``(kind, input)`` with kind sum, min, max,
+    product or last (not null).  Each (keys, chunk) is scanned on its own; the
+    totals of the earlier chunks come from the per-chunk summary.  ``order``
+    starts with a timestamp and has to be total for the result to be
+    deterministic.
+    """
+    return _running_chunks(with_chunk(df, order[0], span), keys, order, columns)
+
+
+def running_rows(
+    df: DataFrame, keys: list[str], columns: dict[str, tuple[str, str]], row: str = ROW, end: int = 0,
+    size: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``running`` over numbered rows, in chunks of ``size`` numbers; ``end`` -1 leaves the row itself out."""
+    chunk = F.floor((F.col(row) - 1) / F.lit(size)).cast("long")
+    return _running_chunks(df.withColumn(CHUNK, F.coalesce(chunk, F.lit(0))), keys, [row], columns, end)
+
+
+#: Spark limits rank bounds up to this before the shuffle.
+LIMITED_RANK = 1000
+
+
+def slice_rows(
+    df: DataFrame, keys: list[str], order: list[str], n: int, side: str = "newest", name: str = ROW,
+    span: str = CANDLE_CHUNK,
+) -> DataFrame:
     """The newest or oldest ``n`` rows of each series, numbered from 1 in
-    ascending order.  Spark limits each input partition to n rows per series
-    before the shuffle, so a task holds a bounded part of a hot series."""
+    ascending order.
+
+    Up to ``LIMITED_RANK`` Spark limits each input partition to n rows per series
+    before the shuffle; for more the rows are numbered in two levels.  Either way
+    no task sorts a hot series.
+    """
     if side not in ("newest", "oldest"):
         raise ValueError(f"side must be newest or oldest, got {side!r}")
-    # The rank bound must be a literal at most 1000 for the group limit to apply.
+    if n > LIMITED_RANK:
+        indexed = index_rows(df, keys, order, span, name)
+        if side == "oldest":
+            return indexed.filter(F.col(name) <= n)
+        sizes = indexed.groupBy(*keys).agg(F.greatest(F.max(name) - n, F.lit(0)).alias("_skipped"))
+        newest = indexed.join(sizes, keys).withColumn(name, F.col(name) - F.col("_skipped"))
+        return newest.filter(F.col(name) > 0).drop("_skipped")
     ranked = [F.col(c).desc() for c in order] if side == "newest" else [F.col(c) for c in order]
     picked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked)))
     picked = picked.filter(F.col("_rank") <= n)

@@ -94,25 +94,31 @@ _EXECUTABLE = f"""WITH {V.ORDERS_SQL}, {V.SYMBOLS_SQL}, {V.EXCHANGES_SQL}, {V.PO
   WHERE o.status IN ('new', 'open'))"""
 
 
-def _executable(spark: SparkSession, folder: str) -> DataFrame:
+def _executable(spark: SparkSession, folder: str, requests=V.requests) -> DataFrame:
     return K.executable_orders(
         V.orders(spark, folder), V.symbols(spark, folder), V.portfolios(spark, folder), V.exchanges(spark, folder),
-        V.requests(spark, folder),
+        requests(spark, folder),
     )
 
 
-@query(
-    "J4_executable_orders",
-    f"""{_EXECUTABLE} SELECT id, portfolio_id, user_id, symbol, base_asset_id, quote_asset_id, exchange_code, side, status,
-       {r("execution_price")} AS execution_price FROM executable""",
-)
-def j4(spark: SparkSession, folder: str) -> DataFrame:
-    return _executable(spark, folder).select(
+_EXECUTABLE_COLUMNS = f""" SELECT id, portfolio_id, user_id, symbol, base_asset_id, quote_asset_id, exchange_code, side, status,
+       {r("execution_price")} AS execution_price FROM executable"""
+
+
+@query("J4_executable_orders", _EXECUTABLE + _EXECUTABLE_COLUMNS)
+def j4(spark: SparkSession, folder: str, requests=V.requests) -> DataFrame:
+    return _executable(spark, folder, requests).select(
         "id", "portfolio_id", "user_id", "symbol", "base_asset_id", "quote_asset_id", "exchange_code", "side", "status",
         "execution_price",
     )
 
 
+@query("J4_repeated_requests", _EXECUTABLE + _EXECUTABLE_COLUMNS)
+def j4_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests delivered twice execute once, by the first delivery."""
+    return j4(spark, folder, V.repeated_requests)
+
+
 @query(
     "J5_portfolio_list",
     f"""WITH {V.PORTFOLIOS_SQL}, {V.ASSETS_SQL} SELECT p.id, p.user_id, p.name, a.code AS base_currency_code, p.created_at
@@ -303,9 +309,9 @@ _FILLS = f"""{_EXECUTABLE}, fills AS (
   FROM (SELECT *, coalesce(nullif(execution_price, 0), nullif(price, 0), 0) AS fill_price FROM executable))"""
 
 
-def _fills(spark: SparkSession, folder: str) -> DataFrame:
+def _fills(spark: SparkSession, folder: str, requests=V.requests) -> DataFrame:
     # Settlement passes over the fills several times; the joins behind them run once.
-    return stage(L.fills(_executable(spark, folder)), "fills")
+    return stage(L.fills(_executable(spark, folder, requests)), "fills")
 
 
 @query(
@@ -354,14 +360,22 @@ settled AS (SELECT * FROM fold WHERE k > 0)"""
 )
 
 
-@query(
-    "L2_settlement",
-    f"""{_SETTLED} SELECT portfolio_id, id, accepted, {r("pay")} AS required, {r("available")} AS available FROM settled""",
+_SETTLEMENT = (
+    f"""{_SETTLED} SELECT portfolio_id, id, accepted, {r("pay")} AS required, {r("available")} AS available FROM settled"""
 )
+
+
+@query("L2_settlement", _SETTLEMENT)
 def l2(spark: SparkSession, folder: str) -> DataFrame:
     return L.settle(_fills(spark, folder), V.balances(spark, folder))
 
 
+@query("L2_repeated_requests", _SETTLEMENT)
+def l2_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests delivered twice settle once."""
+    return L.settle(_fills(spark, folder, V.repeated_requests), V.balances(spark, folder))
+
+
 @query(
     "L2_closing_balances",
     f"""{_SETTLED}, last AS (SELECT portfolio_id, arg_max(held, k) AS held FROM fold GROUP BY portfolio_id), entries AS (
@@ -397,6 +411,18 @@ def l3_trades(spark: SparkSession, folder: str) -> DataFrame:
     return L.new_trades(filled, settled, _now())
 
 
+@query(
+    "L3_repeated_requests",
+    f"""{_SETTLED} SELECT f.id AS order_id, {r("f.quantity")} AS quantity, {r("f.notional")} AS notional
+FROM fills f JOIN settled s ON s.id = f.id WHERE s.accepted""",
+)
+def l3_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """One trade for an order whose request came twice."""
+    filled = _fills(spark, folder, V.repeated_requests)
+    settled = stage(L.settle(filled, V.balances(spark, folder)), "settled")
+    return L.new_trades(filled, settled, _now()).select("order_id", "quantity", "notional")
+
+
 @query(
     "L4_cancel",
     f"""WITH {V.ORDERS_SQL}, {V.REQUESTS_SQL}, {V.PORTFOLIOS_SQL}, hits AS (

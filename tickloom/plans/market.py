@@ -514,6 +514,8 @@ money AS (
   FROM money m JOIN trips x ON x.symbol = m.symbol AND x.t = m.t + 1),
 curve AS (SELECT *, greatest(10000.0, max(equity) OVER (PARTITION BY symbol ORDER BY t)) AS peak FROM money)"""
 
+ALL_TRIPS = TRIPS.replace(V.BARS_SQL, V.MINUTE_BARS_SQL)
+
 
 @query(
     "W13_round_trips",
@@ -522,7 +524,22 @@ curve AS (SELECT *, greatest(10000.0, max(equity) OVER (PARTITION BY symbol ORDE
 )
 def w13(spark: SparkSession, folder: str) -> DataFrame:
     candles = V.hour_candles(spark, folder)
-    return B.round_trips(B.backtest_bars(candles)).drop(ROW, "equity")
+    return B.round_trips(B.backtest_bars(candles)).drop(ROW, "trip", "equity")
+
+
+def _minute_bars(spark: SparkSession, folder: str) -> DataFrame:
+    return stage(V.minute_candles(spark, folder), "candles-1m")
+
+
+@query(
+    "W13_all_bars",
+    f"""{ALL_TRIPS} SELECT symbol, t AS trip, buy_time, {r("buy_price")} AS buy_price, sell_time, {r("sell_price")} AS sell_price,
+       {r("growth - 1")} AS sell_return, {r("equity", 2)} AS equity FROM curve""",
+)
+def w13_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Every trip of a whole 1-minute series."""
+    trips = B.round_trips(B.backtest_bars(_minute_bars(spark, folder), span="1 day")).drop(ROW)
+    return trips.withColumn("equity", F.round("equity", 2))
 
 
 @query(
@@ -551,17 +568,23 @@ report AS (SELECT e.symbol, e.data_points, coalesce(trades, 0) AS trades, coales
   coalesce(sharpe, 0) AS sharpe FROM ends e LEFT JOIN sold USING (symbol))"""
 
 
-@query(
-    "W15_backtest_report",
-    f"""{_REPORT} SELECT symbol, {r("(final - 10000) / 100", 2)} AS total_return, {r("final - 10000", 2)} AS total_return_abs,
+_REPORT_COLUMNS = f""" SELECT symbol, {r("(final - 10000) / 100", 2)} AS total_return, {r("final - 10000", 2)} AS total_return_abs,
        {r("sharpe", 2)} AS sharpe_ratio, {r("drawdown", 2)} AS max_drawdown,
        {r("CASE WHEN trades > 0 THEN winning / trades * 100 ELSE 0 END", 2)} AS win_rate, trades, winning AS winning_trades,
-       trades - winning AS losing_trades, data_points, {r("final", 2)} AS final_equity FROM report""",
-)
+       trades - winning AS losing_trades, data_points, {r("final", 2)} AS final_equity FROM report"""
+
+
+@query("W15_backtest_report", _REPORT + _REPORT_COLUMNS)
 def w15(spark: SparkSession, folder: str) -> DataFrame:
     return B.backtest_report(V.hour_candles(spark, folder))
 
 
+@query("W15_all_bars", _REPORT.replace(TRIPS, ALL_TRIPS) + _REPORT_COLUMNS)
+def w15_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The report over whole 1-minute series."""
+    return B.backtest_report(_minute_bars(spark, folder), span="1 day")
+
+
 @query(
     "W16_drawdown",
     f"""{TRIPS} SELECT symbol, sell_time, {r("equity", 2)} AS equity, {r("peak", 2)} AS peak,

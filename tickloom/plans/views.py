@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.candles import trade_candles
 from tickloom.schemas import PRICE, QUANTITY
+from tickloom.operators.stacking import stack
 from tickloom.sources.staging import stage
 
 
@@ -71,6 +72,10 @@ BARS_SQL = (
     C1H_SQL + ",\nbars AS MATERIALIZED (SELECT symbol, open_time, high, close,"
     " row_number() OVER (PARTITION BY symbol ORDER BY open_time) AS n FROM c1h)"
 )
+MINUTE_BARS_SQL = (
+    C1M_SQL + ",\nbars AS MATERIALIZED (SELECT symbol, open_time, high, close,"
+    " row_number() OVER (PARTITION BY symbol ORDER BY open_time) AS n FROM c1m)"
+)
 
 
 def minute_candles(spark: SparkSession, folder: str) -> DataFrame:
@@ -346,6 +351,18 @@ def requests(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def repeated_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """The same requests, every one delivered again a minute later and half of them with another price."""
+    once = requests(spark, folder).withColumn("requested_at", F.lit("2024-03-01").cast("timestamp"))
+    again = once.withColumns(
+        {
+            "requested_at": F.col("requested_at") + F.expr("interval 1 minute"),
+            "execution_price": F.when(F.col("order_id") % 2 == 0, F.lit(1)).otherwise(F.col("execution_price")).cast(PRICE),
+        }
+    )
+    return stack(once, again)
+
+
 REQUESTS_SQL = """requests AS (
   SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 7 = 0 THEN o_custkey + 1 ELSE o_custkey END AS user_id,
          CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_totalprice * 0.99 AS DECIMAL(20,8)) END AS execution_price
