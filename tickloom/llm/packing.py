@@ -14,8 +14,8 @@ and bound search over sequences:
 * the search ends when the number of sequences equals the lower bound, or after
   ``nodes`` steps, and then the incumbent is the result.
 
-Sequences that a group could not fill completely are opened again and their
-pieces, far fewer, packed in a second round of groups.
+Sequences that a group left with much room are opened again and their pieces,
+far fewer, packed in a second round of groups.
 """
 
 from __future__ import annotations
@@ -34,7 +34,12 @@ from tickloom.sources.staging import stage
 
 CAPACITY = 2048
 GROUP_PIECES = 4096
-NODES = 8_000
+NODES = 4_000
+SMALLEST = 16
+#: Room, as a part of the capacity, from which a sequence is opened again for the second round.
+REOPENED = 1 / 32
+#: Groups are packed by at most so many tasks.
+TASKS = 10_000
 
 PIECES = "key long, piece int, start long, length long, ids_crc32 long"
 
@@ -73,7 +78,8 @@ def _fillings(left: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]:
     """Undominated fillings of ``room`` by at most three of the lengths counted in ``left``, the fullest first.
 
     To each first (and second) length only the largest length that still fits is added: every other choice there is
-    dominated.  One filling of each kind that leaves no waste ends the search, as none can beat it.
+    dominated.  Of the lengths that can be the smallest of three the ``SMALLEST`` largest are tried.  A filling that
+    leaves no waste ends the search, as none can beat it.
     """
     have = left[: room + 1] > 0
     have[0] = False
@@ -96,7 +102,7 @@ def _fillings(left: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]:
     if best < room and len(lengths) > 2:
         # Three: the smallest of them is at most a third of the room.
         found: list[tuple[int, ...]] = []
-        for small in lengths[: np.searchsorted(lengths, room // 3, side="right")].tolist():
+        for small in lengths[: np.searchsorted(lengths, room // 3, side="right")][-SMALLEST:].tolist():
             left[small] -= 1
             usable = lengths[(lengths >= small) & (lengths <= room - small) & (left[lengths] > 0)]
             if len(usable):
@@ -232,10 +238,12 @@ def pack_pieces(
         if not rows and done:
             break
         groups = max(1, -(-rows // group_pieces))
-        packed = stage(_grouped(rest, groups, first).groupBy("group").applyInPandas(_packed(capacity, nodes), PACKED), "packed")
-        last = turn == rounds - 1
-        done.append(packed if last else packed.where("room = 0"))
-        rest, first = packed.where("room > 0").select(*pieces.columns), first + groups
+        # The rows are few bytes and much work: their number of tasks follows the groups, not the bytes.
+        dealt = _grouped(rest, groups, first).repartition(min(groups, TASKS), "group")
+        packed = stage(dealt.groupBy("group").applyInPandas(_packed(capacity, nodes), PACKED), "packed")
+        last, much = turn == rounds - 1, F.col("room") >= capacity * REOPENED
+        done.append(packed if last else packed.where(~much))
+        rest, first = packed.where(much).select(*pieces.columns), first + groups
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
