@@ -92,3 +92,18 @@ def test_grid_and_synthetic_candles(spark):
     assert first.count() == 4
     assert first.exceptAll(book.synthetic_candles(grid.repartition(3), existing, 100.0, 10.0)).count() == 0
     assert first.filter(~F.col("close").between(100, 110)).count() == 0
+
+
+def test_ties_are_settled_by_id(spark):
+    """Trades of one instant, in any partitioning: the least id opens, the greatest closes."""
+    from tickloom.streaming.jobs import latest_price_stream
+
+    rows = [trade(price=float(i), trade_id=str(i)) for i in (11, 3, 9, 10, 5)]
+    for parts in (1, 2, 4):
+        frame = spark.createDataFrame(rows, TRADE_DDL).repartition(parts)
+        candle = C.trade_candles(frame).first()
+        assert (candle.open, candle.close) == (3.0, 11.0)
+        assert C.latest_price(frame).first().price == latest_price_stream(frame).first().price == 11.0
+    named = [trade(price=1.0, trade_id="b-2"), trade(price=2.0, trade_id="a-9"), trade(price=3.0, trade_id="7")]
+    candle = C.trade_candles(spark.createDataFrame(named, TRADE_DDL)).first()
+    assert (candle.open, candle.close) == (3.0, 1.0)

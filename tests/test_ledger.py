@@ -129,7 +129,7 @@ def test_upserts(spark):
 
 def test_seed_positions(spark):
     rows = [(1, 1, "buy", 89000.0, 0.05), (1, 1, "buy", 88500.0, 0.05), (1, 2, "buy", 3200.0, 1.0), (1, 2, "sell", 9999.0, 0.25)]
-    out = {r.symbol_id: (r.qty, r.avg_price) for r in L.positions(spark.createDataFrame(rows, "portfolio_id long, symbol_id long, side string, price double, quantity double")).collect()}
+    out = {r.symbol_id: (float(r.qty), r.avg_price) for r in L.positions(spark.createDataFrame(rows, "portfolio_id long, symbol_id long, side string, price double, quantity double")).collect()}
     assert out[1] == (pytest.approx(0.1), pytest.approx(88750.0)) and out[2] == (0.75, 3200.0)
 
 
@@ -176,3 +176,29 @@ def test_event_replay(spark):
     events = spark.createDataFrame(rows, "id long, order_id long, event_type string, created_at timestamp")
     assert {r.order_id: (r.last_event, r.events) for r in L.current_state(events, "order_id").collect()} == {1: ("order.submitted", 3), 2: ("odd", 1)}
     assert {r.event_type: r.known for r in L.event_counts(events, ["order.created", "order.filled", "order.submitted"]).collect()}["odd"] is False
+
+
+def test_products_keep_eighteen_digits(spark):
+    """Literal products; the second needs the quantity's last digits, the third its size."""
+    from tickloom.operators.normalize import exact_product
+
+    cases = [
+        ("50000.12345678", "0.123456789012345678", "6172.854692194924503578"),
+        ("9000000", "123456789.123456789012", "1111111102111111.101108000000000000"),
+        ("99999.99999999", "1000000000.000000000000000001", "99999999999990.000000000000100000"),
+        ("0.5", "-0.000000000000000002", "-0.000000000000000001"),
+    ]
+    rows = spark.createDataFrame(cases, "price string, quantity string, product string")
+    product = exact_product(F.col("price").cast("decimal(20,8)"), F.col("quantity").cast("decimal(38,18)"))
+    for row in rows.select("product", product.alias("got")).collect():
+        assert row.got == Decimal(row["product"])
+    with pytest.raises(ArithmeticException):
+        rows.limit(1).select(
+            exact_product(F.lit(9000000).cast("decimal(20,8)"), F.lit("99999999999999").cast("decimal(38,18)"))
+        ).collect()
+
+
+def test_positions_add_decimals(spark):
+    rows = [(1, 1, "buy", "1", "100000000.000000000000000001"), (1, 1, "sell", "1", "0.000000000000000003")]
+    frame = spark.createDataFrame(rows, "portfolio_id long, symbol_id long, side string, price string, quantity string")
+    assert str(L.positions(frame).first().qty) == "99999999.999999999999999998"

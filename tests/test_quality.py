@@ -210,3 +210,29 @@ def test_exact_notional(spark):
     price, quantity = F.col("p").cast("decimal(20,8)"), F.col("q").cast("decimal(38,18)")
     got = [r.n for r in rows.select(N.exact_product(price, quantity).alias("n")).collect()]
     assert got == [Decimal("4450.006181739012345678"), Decimal("1E-18")]
+
+
+def test_accuracy_counts_accepted_prices_only(spark):
+    """Outliers, at the edges of blocks too, and a lasting step that is never accepted: as the rule in order."""
+    from collections import deque
+
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    series = {name: 100 * np.exp(np.cumsum(rng.normal(0, 0.003, n))) for name, n in (("~A", 700), ("B", 300), ("C", 500))}
+    for i in (150, 151, 199, 200, 290, 305, 620):
+        series["~A"][i] *= 10
+    series["C"][250:] *= 5
+    rows = [(name, at(i), float(p), f"{i:05d}") for name, prices in series.items() for i, p in enumerate(prices)]
+    frame = spark.createDataFrame(rows, "symbol string, timestamp timestamp, price double, trade_id string")
+    found = {(r.symbol, int(r.trade_id)): r.accepted for r in Q.with_accepted(frame, size=100).collect()}
+    for name, prices in series.items():
+        expected = Q.judge_prices(deque(maxlen=100), prices)
+        assert [found[name, i] for i in range(len(prices))] == expected
+    assert sum(not ok for ok in found.values()) > 250
+
+
+def test_one_outlier_rejects_one_trade(spark):
+    rows = [("X", at(i), 100000.0 if i == 15 else 100.0, f"{i:03d}") for i in range(40)]
+    frame = spark.createDataFrame(rows, "symbol string, timestamp timestamp, price double, trade_id string")
+    assert [r.trade_id for r in Q.with_accepted(frame).where("not accepted").collect()] == ["015"]

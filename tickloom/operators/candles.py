@@ -10,22 +10,38 @@ from tickloom.functions.times import bucket_start, micros, span_micros
 ROLLUPS = {"5m": "5 minutes", "15m": "15 minutes", "1h": "1 hour"}
 
 
-def event_rank(stamp: str, span: str, tiebreak: str | None, numeric: bool = False) -> Column:
-    """A long that orders the events of one bucket by (time, tiebreak).
-
-    The offset inside the bucket fills the high bits, the tiebreak the rest: a
-    hash of it or, with ``numeric``, a small id itself.  A fixed-width key keeps
-    ``min_by``/``max_by`` in the hash aggregate with map-side combine; a struct
-    or string key would make Spark sort all trades first.  Trades at one
-    microsecond have no order of their own, so the hash's order serves as well
-    as any and is the same on every run.
+#: Codes of tie-breaking ids lie below this.
+_CODES = 10**20
+
+
+def id_code(tiebreak: str) -> Column:
+    """A number that orders ids: whole numbers by value, then other texts by their first eight bytes, then null."""
+    text = F.col(tiebreak).cast("string")
+    number = F.when(text.rlike("^[0-9]{1,18}$"), text).try_cast("decimal(20,0)")
+    head = F.rpad(F.hex(F.substring(text.cast("binary"), 1, 8)), 16, "0")
+    other = F.conv(head, 16, 10).cast("decimal(20,0)") + F.lit(10**18).cast("decimal(20,0)")
+    return F.coalesce(number, other, F.lit(str(_CODES - 1)).cast("decimal(20,0)")).cast("decimal(20,0)")
+
+
+def _ranked(time: Column, tiebreak: str) -> Column:
+    scaled = time.cast("decimal(17,0)") * F.lit(str(_CODES)).cast("decimal(21,0)")
+    return (scaled + id_code(tiebreak)).cast("decimal(38,0)")
+
+
+def event_rank(stamp: str, span: str, tiebreak: str | None) -> Column:
+    """A number that orders the events of one bucket by (time, tiebreak).
+
+    It is a long, or a decimal(38) where ids break ties.  A fixed-width key keeps
+    ``min_by``/``max_by`` in the hash aggregate with map-side combine; a struct or
+    string key would make Spark sort all trades first.
     """
     offset = F.pmod(micros(stamp), F.lit(span_micros(span)))
-    if tiebreak is None:
-        return offset
-    spare = 63 - (span_micros(span) - 1).bit_length()
-    low = F.col(tiebreak).cast("long") if numeric else F.xxhash64(tiebreak)
-    return F.shiftleft(offset, spare) + F.pmod(low, F.lit(1 << spare))
+    return offset if tiebreak is None else _ranked(offset, tiebreak)
+
+
+def instant_rank(stamp: Column, tiebreak: str) -> Column:
+    """``event_rank`` over all time."""
+    return _ranked(F.unix_micros(stamp), tiebreak)
 
 
 def first_by(value: str, rank: Column) -> Column:
@@ -93,7 +109,7 @@ def rollup_candles(
     as ``tiebreak``.
     """
     bucketed = candles.withColumn("_bucket", bucket_start(open_time, span))
-    rank = event_rank(open_time, span, tiebreak, numeric=True)
+    rank = event_rank(open_time, span, tiebreak)
     has_trades = "trades_count" in candles.columns
     trades = F.sum("trades_count") if has_trades else F.count(F.lit(1))
     grouped = bucketed.groupBy(*keys, "_bucket").agg(
@@ -116,17 +132,8 @@ def rollup_candles(
 def latest_price(
     trades: DataFrame, keys: tuple[str, ...] = ("symbol",), stamp: str = "timestamp", tiebreak: str = "trade_id"
 ) -> DataFrame:
-    """Last price and its time per symbol.
-
-    The last trade of each hour first, with the tie rule of ``event_rank``, then
-    the last hour: both steps are hash aggregates with map-side combine.
-    """
-    rank = event_rank(stamp, "1 hour", tiebreak)
-    hourly = (
-        trades.withColumn("_hour", bucket_start(stamp, "1 hour"))
-        .groupBy(*keys, "_hour")
-        .agg(last_by("price", rank).alias("price"), F.max(stamp).alias("price_time"))
-    )
-    return hourly.groupBy(*keys).agg(
-        F.max_by("price", "_hour").alias("price"), F.max("price_time").alias("price_time")
+    """Last price and its time per symbol, the greatest id deciding between trades of one instant."""
+    rank = instant_rank(F.col(stamp).cast("timestamp"), tiebreak)
+    return trades.groupBy(*keys).agg(
+        last_by("price", rank).alias("price"), F.max(stamp).alias("price_time")
     )

@@ -333,22 +333,24 @@ def trade_intake(
 
 
 def positions(trades: DataFrame) -> DataFrame:
-    """Net quantity and average buy price per portfolio and symbol."""
+    """Net quantity and average buy price per portfolio and symbol, in decimals; the average is divided last."""
     buy = F.col("side") == "buy"
-    quantity, price = F.col("quantity").cast("double"), F.col("price").cast("double")
+    quantity, price = F.col("quantity").cast(QUANTITY), F.col("price").cast(PRICE)
     bought = F.sum(F.when(buy, quantity))
+    paid = F.sum(F.when(buy, exact_product(price, quantity)))
     return trades.groupBy("portfolio_id", "symbol_id").agg(
-        F.sum(F.when(buy, quantity).otherwise(-quantity)).alias("qty"),
-        (F.sum(F.when(buy, price * quantity)) / F.nullif(bought, F.lit(0.0))).alias("avg_price"),
+        F.sum(F.when(buy, quantity).otherwise(-quantity)).cast(QUANTITY).alias("qty"),
+        (paid.cast("double") / F.nullif(bought.cast("double"), F.lit(0.0))).alias("avg_price"),
     )
 
 
 def current_state(events: DataFrame, key: str, stamp: str = "created_at", id_column: str = "id") -> DataFrame:
-    """The last event of every key and the number of its events."""
-    newest = Window.partitionBy(key).orderBy(F.col(stamp).desc(), F.col(id_column).desc())
-    last = events.withColumn("_n", F.row_number().over(newest)).filter("_n = 1")
-    counts = events.groupBy(key).agg(F.count(F.lit(1)).alias("events"))
-    return last.select(key, F.col("event_type").alias("last_event"), F.col(stamp).alias("last_at")).join(counts, key)
+    """The last event of every key and the number of its events, in one aggregate."""
+    last = F.max_by(F.struct("event_type", stamp), F.struct(stamp, id_column))
+    grouped = events.groupBy(key).agg(last.alias("_last"), F.count(F.lit(1)).alias("events"))
+    return grouped.select(
+        key, F.col("_last.event_type").alias("last_event"), F.col(f"_last.{stamp}").alias("last_at"), "events"
+    )
 
 
 def event_counts(events: DataFrame, vocabulary: list[str] | None = None) -> DataFrame:

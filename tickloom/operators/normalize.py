@@ -90,16 +90,24 @@ def message_key(trade_id: str = "trade_id", stamp: str = "timestamp") -> Column:
 
 
 def exact_product(price: Column, quantity: Column) -> Column:
-    """Price times quantity as decimal(38,18).
+    """Price times quantity as decimal(38,18), exact but for digits beyond the eighteenth, which are rounded.
 
-    decimal(20,8) * decimal(38,18) would drop to scale 6, so the quantity is first
-    narrowed to decimal(17,10); where that loses digits the product goes through
-    double instead.
+    decimal(20,8) * decimal(38,18) would drop to scale 6, so the quantity is split
+    into a whole part and two halves of its fraction, each narrow enough for an
+    exact product.  A product too large for the type is an error, not null.
     """
-    narrow = quantity.try_cast("decimal(17,10)")
-    fits = F.coalesce(narrow.cast(QUANTITY) == quantity, F.lit(False))
-    through_double = (price.cast("double") * quantity.cast("double")).try_cast(QUANTITY)
-    return F.when(fits, (price * narrow).cast(QUANTITY)).otherwise(through_double)
+    size = F.abs(quantity)
+    one, billion = F.lit(1).cast("decimal(1,0)"), F.lit(10**9).cast("decimal(10,0)")
+    whole = F.floor(size).cast("decimal(17,0)")
+    # A remainder keeps all digits; a difference of such wide decimals would not.
+    scaled = (size % one) * billion
+    unit = F.lit("0.000000001").cast("decimal(9,9)")
+    high = (F.floor(scaled).cast("decimal(9,0)") * unit).cast("decimal(9,9)")
+    low = (scaled % one).cast("decimal(9,9)")
+    summand = "decimal(37,18)"
+    fine = (price * high).cast(summand) + ((price * low) * unit).cast(summand)
+    product = ((price * whole).cast(summand) + fine.cast(summand)).cast(QUANTITY)
+    return F.when(quantity < 0, -product).otherwise(product).cast(QUANTITY)
 
 
 def generated_columns(trades: DataFrame) -> DataFrame:

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions import checks
-from tickloom.operators.series import ROW, TICK_CHUNK, Blocks, index_rows
+from tickloom.operators.series import BLOCK, BLOCK_ROWS, LEAD, ROW, TICK_CHUNK, Blocks, index_rows
+from tickloom.operators.stacking import stack
 from tickloom.schemas import (
     ACCURACY_MIN_HISTORY, ACCURACY_WINDOW, DEFAULT_EXCHANGE, MAX_DEVIATION, MAX_ORDER_QUANTITY,
     ORDER_SYMBOL_PATTERN, PRICED_TYPES, QUALITY_DIMENSIONS, REQUEST_EXCHANGES, REQUEST_TYPES, TRADE_SIDES,
     REQUEST_MESSAGES as TEXT, UUID_PATTERN,
 )
+from tickloom.sources.staging import stage
 
 FAILED = "failed_dimension"
 
@@ -27,6 +34,15 @@ def row_failure(as_of: Column, complete: Column | None = None) -> Column:
     return F.coalesce(*[F.when(~ok, F.lit(name)) for name, ok in passed.items()])
 
 
+def _measured(trades: DataFrame, keys: list[str], order: list[str], span: str) -> DataFrame:
+    blocks = Blocks.cut(index_rows(trades, keys, order, span), keys, ACCURACY_WINDOW)
+    before = blocks.frame(-ACCURACY_WINDOW, -1)
+    blocks = blocks.add({"recent_mean": F.avg("price").over(before)})
+    mean = F.col("recent_mean")
+    enough = (F.col(ROW) > ACCURACY_MIN_HISTORY) & (mean > 0)
+    return blocks.add({"deviation": F.when(enough, F.abs(F.col("price") - mean) / mean)}).rows()
+
+
 def with_deviation(
     trades: DataFrame, keys=("symbol",), order=("timestamp", "trade_id"), span: str = TICK_CHUNK
 ) -> DataFrame:
@@ -35,45 +51,152 @@ def with_deviation(
     Every trade given counts as accepted.  ``deviation`` is null with fewer than
     ten trades before or a mean that is not positive.
     """
-    keys, order = list(keys), list(order)
-    blocks = Blocks.cut(index_rows(trades, keys, order, span), keys, ACCURACY_WINDOW)
-    before = blocks.frame(-ACCURACY_WINDOW, -1)
-    blocks = blocks.add({"recent_mean": F.avg("price").over(before)})
-    mean = F.col("recent_mean")
-    enough = (F.col(ROW) > ACCURACY_MIN_HISTORY) & (mean > 0)
-    blocks = blocks.add({"deviation": F.when(enough, F.abs(F.col("price") - mean) / mean)})
-    return blocks.rows().drop(ROW)
+    return _measured(trades, list(keys), list(order), span).drop(ROW)
+
+
+# --- accuracy against accepted prices ---------------------------------------------------------
 
 
-SERIES = "_series"
-_SPREAD = 256
+def judge_prices(recent: deque, prices) -> list[bool]:
+    """Accepts or rejects prices in order; only accepted ones enter the history."""
+    verdicts = []
+    total = sum(recent)
+    for price in prices:
+        ok = True
+        if len(recent) >= ACCURACY_MIN_HISTORY:
+            mean = total / len(recent)
+            ok = not (mean > 0 and abs(price - mean) / mean > MAX_DEVIATION)
+        if ok:
+            if len(recent) == recent.maxlen:
+                recent.popleft()
+            recent.append(price)
+            # Summed anew: at most a hundred terms, and no drift over a long stream.
+            total = sum(recent)
+        verdicts.append(ok)
+    return verdicts
 
 
-def series_key() -> Column:
-    """The series a judged trade is measured in: its symbol, or for a trade that
-    failed already one of a few spread names that no symbol has."""
-    spread = F.pmod(F.xxhash64("trade_id", "timestamp"), F.lit(_SPREAD)).cast("string")
-    own = F.when(F.col(FAILED).isNull(), F.col("symbol")).otherwise(F.concat(F.lit("~"), spread))
-    # Never null, as for the chunk in series.with_chunk.
-    return F.coalesce(own, F.lit("~"))
+#: Rounds in which blocks are judged side by side; what is left then is judged in order, one series after the other.
+ROUNDS = 4
+
+
+def _judged_block(rows: pd.DataFrame, recent: deque) -> dict:
+    """Rejected rows of a block, the accepted prices at its end, and whether those are simply its last ones."""
+    verdicts = judge_prices(recent, rows["price"])
+    rejected = [int(r) for r, ok in zip(rows[ROW], verdicts) if not ok]
+    return {"rejected": rejected, "end": list(recent), "clean": len(verdicts) >= ACCURACY_WINDOW and all(verdicts[-ACCURACY_WINDOW:])}
+
+
+def with_accepted(
+    trades: DataFrame, keys=("symbol",), order=("timestamp", "trade_id"), span: str = TICK_CHUNK, size: int = BLOCK_ROWS
+) -> DataFrame:
+    """Q5 by the rule: ``accepted`` is false where the price is too far from the mean of the last 100 accepted prices.
+
+    As long as nothing is rejected these are the last 100 trades, so ``with_deviation`` says which blocks of a series
+    hold a rejection at all; the others are accepted whole.  Blocks with one are judged in order, each from the accepted
+    prices at the end of the block before.  A block that ends less than 100 trades after a rejection makes its
+    successor be judged too, in the next round; after ``ROUNDS`` rounds the rest of a series that is still open is judged
+    in one pass.  A row without a price is accepted and counts in no mean.
+    """
+    keys, order, size = list(keys), list(order), max(size, ACCURACY_WINDOW)
+    own_block = F.floor((F.col(ROW) - 1) / F.lit(size)).cast("long")
+    known = _measured(trades.where("price is not null"), keys, order, span).withColumn(BLOCK, own_block)
+    measured = stage(known, "measured")
+    priced = measured.select(*keys, ROW, BLOCK, "price")
+    kinds = {f.name: f.dataType for f in measured.schema.fields}
+    schema = T.StructType([T.StructField(k, kinds[k]) for k in keys] + [
+        T.StructField(BLOCK, T.LongType()), T.StructField("rejected", T.ArrayType(T.LongType())),
+        T.StructField("end", T.ArrayType(T.DoubleType())), T.StructField("clean", T.BooleanType())])
+
+    def judge(rows: pd.DataFrame) -> pd.DataFrame:
+        """One block after up to 100 rows before it, or after given prices."""
+        rows = rows.sort_values(ROW)
+        before, own = rows[rows[LEAD]], rows[~rows[LEAD]]
+        given = own["start"].iloc[0]
+        recent = deque(before["price"] if given is None else given, maxlen=ACCURACY_WINDOW)
+        return pd.DataFrame([{**{k: own[k].iloc[0] for k in keys}, BLOCK: own[BLOCK].iloc[0], **_judged_block(own, recent)}])
+
+    def judge_on(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Whole blocks in order, each from the prices the one before left."""
+        series, recent, block = None, None, None
+        for batch in batches:
+            parts = batch if block is None else pd.concat([block, batch])
+            groups = [g for _, g in parts.groupby([*keys, BLOCK], sort=False, dropna=False)]
+            block = groups.pop() if groups else None  # its last rows may be in the next batch
+            out = []
+            for rows in groups:
+                series, recent = start(rows, series, recent)
+                out.append({**{k: rows[k].iloc[0] for k in keys}, BLOCK: rows[BLOCK].iloc[0], **_judged_block(rows, recent)})
+            yield pd.DataFrame(out, columns=schema.names)
+        if block is not None:
+            series, recent = start(block, series, recent)
+            yield pd.DataFrame([{**{k: block[k].iloc[0] for k in keys}, BLOCK: block[BLOCK].iloc[0], **_judged_block(block, recent)}])
+
+    def start(rows: pd.DataFrame, series, recent):
+        own = tuple(rows[k].iloc[0] for k in keys)
+        return (own, recent) if own == series else (own, deque(rows["start"].iloc[0], maxlen=ACCURACY_WINDOW))
+
+    def with_context(todo: DataFrame) -> DataFrame:
+        """Rows of the blocks in ``todo`` (keys, block, start) and the up to 100 rows before each."""
+        place = F.pmod(F.col(ROW) - 1, F.lit(size))
+        homes = F.when(place >= size - ACCURACY_WINDOW, F.array(F.col(BLOCK), F.col(BLOCK) + 1)).otherwise(F.array(BLOCK))
+        spread = priced.withColumn("_own", F.col(BLOCK)).withColumn(BLOCK, F.explode(homes))
+        return spread.withColumn(LEAD, F.col("_own") != F.col(BLOCK)).drop("_own").join(todo, [*keys, BLOCK])
+
+    names = [*keys, BLOCK]
+    first = measured.where(F.col("deviation") > MAX_DEVIATION).select(*names).distinct()
+    todo = stage(first.withColumn("start", F.lit(None).cast("array<double>")), "blocks")
+    judged = None
+    for turn in range(ROUNDS + 1):
+        if not todo.take(1):
+            break
+        if turn < ROUNDS:
+            new = with_context(todo).groupBy(*names).applyInPandas(judge, schema)
+        else:
+            opened = todo.groupBy(*keys).agg(F.min_by("start", BLOCK).alias("start"), F.min(BLOCK).alias("_from"))
+            rest = priced.join(opened, keys).where(F.col(BLOCK) >= F.col("_from")).drop("_from")
+            new = rest.repartition(*keys).sortWithinPartitions(*keys, ROW).mapInPandas(judge_on, schema)
+        new = stage(new.withColumn("_turn", F.lit(turn)), "judged-blocks")
+        judged = new if judged is None else stage(
+            stack(judged, new).groupBy(*names).agg(
+                F.max_by(F.struct("rejected", "end", "clean", "_turn"), "_turn").alias("_last")
+            ).select(*names, "_last.*"), "judged-blocks")
+        # A block that did not end clean starts the next one, if that was not judged from the same prices already.
+        open_ends = judged.where(~F.col("clean") & (F.col("_turn") == turn)).select(
+            *keys, (F.col(BLOCK) + 1).alias(BLOCK), F.col("end").alias("start")
+        )
+        # And one that is clean now may have started its successor otherwise before.
+        closed = judged.where(F.col("clean") & (F.col("_turn") == turn) & (F.lit(turn) > 0)).select(
+            *keys, (F.col(BLOCK) + 1).alias(BLOCK), F.col("end").alias("start")
+        )
+        again = closed.join(judged.select(*names), names, "left_semi")
+        todo = stage(stack(open_ends, again).join(priced.select(*names).distinct(), names, "left_semi"), "blocks")
+    out = measured.withColumn("accepted", F.lit(True))
+    if judged is not None:
+        rejected = judged.select(*keys, F.explode("rejected").alias(ROW)).withColumn("_rejected", F.lit(True))
+        joined = measured.join(rejected, [*keys, ROW], "left")
+        out = joined.withColumn("accepted", F.col("_rejected").isNull()).drop("_rejected")
+    unpriced = trades.where("price is null").withColumns(
+        {"recent_mean": F.lit(None).cast("double"), "deviation": F.lit(None).cast("double"), "accepted": F.lit(True)}
+    )
+    return stack(out.select(*unpriced.columns), unpriced)
 
 
 def gate(trades: DataFrame, as_of: Column, complete: Column | None = None, span: str = TICK_CHUNK) -> DataFrame:
     """Q6: every trade with its first failed dimension, null when it is accepted.
 
     Only trades that pass the other four dimensions make up the series accuracy
-    looks at; the failed ones travel along in series of their own.  Splitting
-    them off by a filter instead would repeat the parsing behind the trades in
-    the filter's condition.
+    looks at, and only accepted ones its means.  The judgement by the row is
+    stored first, so the trades are parsed once and the failed ones are not
+    sorted.
     """
-    judged = trades.withColumn(FAILED, row_failure(as_of, complete))
-    placed = judged.withColumns(
-        {SERIES: series_key(), "_at": F.coalesce(F.col("timestamp").cast("timestamp"), F.timestamp_micros(F.lit(0)))}
-    )
-    measured = with_deviation(placed, (SERIES,), ("_at", "trade_id"), span)
-    accuracy = F.when(F.col("deviation") > MAX_DEVIATION, F.lit("accuracy"))
-    judgement = F.when(F.col(FAILED).isNull(), accuracy).otherwise(F.col(FAILED))
-    return measured.withColumn(FAILED, judgement).drop("recent_mean", "deviation", SERIES, "_at")
+    stored = stage(trades.withColumn(FAILED, row_failure(as_of, complete)), "judged")
+    passed = stored.filter(F.col(FAILED).isNull())
+    placed = passed.withColumn("_at", F.coalesce(F.col("timestamp").cast("timestamp"), F.timestamp_micros(F.lit(0))))
+    measured = with_accepted(placed, ("symbol",), ("_at", "trade_id"), span)
+    accuracy = F.when(~F.col("accepted"), F.lit("accuracy"))
+    priced = measured.withColumn(FAILED, accuracy).select(*stored.columns)
+    return stack(stored.filter(F.col(FAILED).isNotNull()), priced)
 
 
 def accepted(judged: DataFrame) -> DataFrame:

@@ -340,14 +340,19 @@ _CHECKED = """checked AS (
 _JUDGED = """first_four AS (
   SELECT *, CASE WHEN NOT q1 THEN 'completeness' WHEN NOT q2 THEN 'validity' WHEN NOT q3 THEN 'consistency'
                  WHEN NOT q4 THEN 'timeliness' END AS failed FROM checked),
-measured AS (
-  SELECT event_id, price, avg(price) OVER w AS recent_mean, count(*) OVER w AS seen FROM first_four WHERE failed IS NULL
-  WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp", trade_id ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING)),
+seq AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY "timestamp", trade_id) AS k FROM first_four WHERE failed IS NULL),
+walk AS (
+  SELECT symbol, k, event_id, [price] AS recent, true AS ok FROM seq WHERE k = 1
+  UNION ALL
+  SELECT symbol, k, event_id, CASE WHEN ok THEN list_slice(list_append(recent, price), -100, -1) ELSE recent END, ok
+  FROM (SELECT s.symbol, s.k, s.event_id, s.price, w.recent,
+               len(w.recent) < 10 OR NOT (list_avg(w.recent) > 0 AND abs(s.price - list_avg(w.recent)) / list_avg(w.recent) > 0.5) AS ok
+        FROM walk w JOIN seq s ON s.symbol = w.symbol AND s.k = w.k + 1)),
 judged AS (
-  SELECT f.event_id, f.symbol, coalesce(f.failed, CASE WHEN m.seen >= 10 AND m.recent_mean > 0
-         AND abs(m.price - m.recent_mean) / m.recent_mean > 0.5 THEN 'accuracy' END) AS failed_dimension
-  FROM first_four f LEFT JOIN measured m USING (event_id))"""
-CHECKED_SQL = f"WITH {V.GATE_INPUT_SQL}, {_CHECKED}"
+  SELECT f.event_id, f.symbol, coalesce(f.failed, CASE WHEN NOT w.ok THEN 'accuracy' END) AS failed_dimension
+  FROM first_four f LEFT JOIN walk w USING (event_id))"""
+CHECKED_SQL = f"WITH RECURSIVE {V.GATE_INPUT_SQL}, {_CHECKED}"
 JUDGED_SQL = f"{CHECKED_SQL}, {_JUDGED}"
 
 
@@ -392,6 +397,23 @@ def q5(spark: SparkSession, folder: str) -> DataFrame:
     return Q.with_deviation(V.ticks(spark, folder)).select("symbol", "trade_id", "recent_mean", "deviation")
 
 
+@query(
+    "Q5_accepted",
+    f"""WITH RECURSIVE {V.TICKS_SQL}, seq AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY "timestamp", trade_id) AS k FROM ticks), walk AS (
+  SELECT symbol, k, trade_id, [price] AS recent, true AS accepted FROM seq WHERE k = 1
+  UNION ALL
+  SELECT symbol, k, trade_id, CASE WHEN ok THEN list_slice(list_append(recent, price), -100, -1) ELSE recent END, ok
+  FROM (SELECT s.symbol, s.k, s.trade_id, s.price, w.recent,
+               len(w.recent) < 10 OR NOT (list_avg(w.recent) > 0 AND abs(s.price - list_avg(w.recent)) / list_avg(w.recent) > 0.5) AS ok
+        FROM walk w JOIN seq s ON s.symbol = w.symbol AND s.k = w.k + 1))
+SELECT symbol, trade_id, accepted FROM walk""",
+)
+def q5_accepted(spark: SparkSession, folder: str) -> DataFrame:
+    """Accuracy against accepted prices only."""
+    return Q.with_accepted(V.ticks(spark, folder)).select("symbol", "trade_id", "accepted")
+
+
 @query("Q6_first_failure", f"{JUDGED_SQL} SELECT event_id, failed_dimension FROM judged")
 def q6(spark: SparkSession, folder: str) -> DataFrame:
     return Q.gate(V.gate_input(spark, folder), F.col("as_of")).select("event_id", "failed_dimension")

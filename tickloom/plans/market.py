@@ -110,6 +110,27 @@ LATEST_SQL = f"""WITH {V.TICKS_SQL}
 SELECT symbol, {r('arg_max(price, "timestamp")')} AS price, max("timestamp") AS price_time FROM ticks GROUP BY symbol"""
 
 
+@query(
+    "A1_tied_instants",
+    f"""WITH {V.TIED_TICKS_SQL}, tied_1m AS (
+  SELECT symbol, {V.MINUTE} AS open_time, arg_min(price, turn) AS open, max(price) AS high, min(price) AS low,
+         arg_max(price, turn) AS close, sum(volume) AS volume, count(*) AS trades_count FROM tied GROUP BY ALL)
+SELECT symbol, open_time, {OHLCV}, open_time + INTERVAL 1 MINUTE AS close_time, trades_count FROM tied_1m""",
+)
+def a1_tied(spark: SparkSession, folder: str) -> DataFrame:
+    """Trades of one instant open and close by their ids."""
+    return C.trade_candles(V.tied_ticks(spark, folder))
+
+
+@query(
+    "A9_tied_instants",
+    f"""WITH {V.TIED_TICKS_SQL} SELECT symbol, {r("arg_max(price, turn)")} AS price, max("timestamp") AS price_time
+FROM tied GROUP BY symbol""",
+)
+def a9_tied(spark: SparkSession, folder: str) -> DataFrame:
+    return C.latest_price(V.tied_ticks(spark, folder))
+
+
 @query("A9_latest_price", LATEST_SQL)
 def a9(spark: SparkSession, folder: str) -> DataFrame:
     return C.latest_price(V.ticks(spark, folder))

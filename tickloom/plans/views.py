@@ -53,6 +53,23 @@ TICKS_SQL = """ticks AS (
          event_id
   FROM events)"""
 
+
+
+def tied_ticks(spark: SparkSession, folder: str) -> DataFrame:
+    """Trades of which two thirds happen on the full hour, many at one instant."""
+    rows = ticks(spark, folder)
+    return rows.withColumn(
+        "timestamp",
+        F.when(F.col("trade_id").cast("long") % 3 > 0, F.date_trunc("hour", "timestamp")).otherwise(F.col("timestamp")),
+    )
+
+
+TIED_TICKS_SQL = TICKS_SQL + """, tied AS (
+  SELECT * REPLACE (CASE WHEN event_id % 3 > 0 THEN date_trunc('hour', "timestamp") ELSE "timestamp" END AS "timestamp"),
+         row_number() OVER (PARTITION BY symbol ORDER BY
+           CASE WHEN event_id % 3 > 0 THEN date_trunc('hour', "timestamp") ELSE "timestamp" END, event_id) AS turn
+  FROM ticks)"""
+
 MINUTE = """date_trunc('minute', "timestamp")"""
 HOUR = """date_trunc('hour', "timestamp")"""
 

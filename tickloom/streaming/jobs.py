@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tickloom.operators.candles import close_time, event_rank, first_by, last_by
-from tickloom.operators.quality import FAILED, SERIES, quality_report, series_key
+from tickloom.operators.candles import close_time, event_rank, first_by, instant_rank, last_by
+from tickloom.operators.quality import FAILED, judge_prices, quality_report
 from tickloom.schemas import ACCURACY_MIN_HISTORY, ACCURACY_WINDOW, MAX_DEVIATION, QUALITY_DIMENSIONS
 from tickloom.sources import sinks
 
@@ -72,10 +72,10 @@ def rollup_stream(windowed: DataFrame, span: str) -> DataFrame:
 
 
 def latest_price_stream(trades: DataFrame) -> DataFrame:
-    """Last price per symbol, for update mode; one state row per symbol."""
+    """Last price per symbol, for update mode; one state row per symbol.  Ties as in A9."""
     stamp = F.col("timestamp").cast("timestamp")
     return trades.groupBy("symbol").agg(
-        F.max_by("price", F.unix_micros(stamp)).alias("price"), F.max(stamp).alias("price_time")
+        last_by("price", instant_rank(stamp, "trade_id")).alias("price"), F.max(stamp).alias("price_time")
     )
 
 
@@ -107,32 +107,18 @@ def deduplicated(trades: DataFrame, lateness: str = "10 minutes") -> DataFrame:
 _STATE = "prices array<double>"
 
 
-def judge_prices(recent: deque, prices) -> list[bool]:
-    """Accepts or rejects prices in arrival order; only accepted ones enter the history."""
-    verdicts = []
-    total = sum(recent)
-    for price in prices:
-        ok = True
-        if len(recent) >= ACCURACY_MIN_HISTORY:
-            mean = total / len(recent)
-            ok = not (mean > 0 and abs(price - mean) / mean > MAX_DEVIATION)
-        if ok:
-            if len(recent) == recent.maxlen:
-                recent.popleft()
-            recent.append(price)
-            # Summed anew: at most a hundred terms, and no drift over a long stream.
-            total = sum(recent)
-        verdicts.append(ok)
-    return verdicts
+def _judged(batches: Iterator[pd.DataFrame], state: GroupState) -> tuple[pd.DataFrame, list[bool]]:
+    """All trades of a group in this micro-batch, in order, and their verdicts."""
+    recent = deque(state.get[0] if state.exists else [], maxlen=ACCURACY_WINDOW)
+    ordered = pd.concat(list(batches)).sort_values(["timestamp", "trade_id"], kind="stable")
+    verdicts = judge_prices(recent, ordered["price"])
+    state.update((list(recent),))
+    return ordered, verdicts
 
 
 def _gate_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    recent = deque(state.get[0] if state.exists else [], maxlen=ACCURACY_WINDOW)
-    for batch in batches:
-        ordered = batch.sort_values(["timestamp", "trade_id"], kind="stable")
-        verdicts = judge_prices(recent, ordered["price"])
-        yield ordered.assign(accepted=verdicts)
-    state.update((list(recent),))
+    ordered, verdicts = _judged(batches, state)
+    yield ordered.assign(accepted=verdicts)
 
 
 def accuracy_stream(trades: DataFrame) -> DataFrame:
@@ -140,7 +126,9 @@ def accuracy_stream(trades: DataFrame) -> DataFrame:
     accepted prices of its symbol.  The state is a hundred numbers per symbol.
 
     Each verdict depends on the ones before it, so the trades of a symbol in one
-    micro-batch run through one task, a bounded part at a time.
+    micro-batch are put in order of (timestamp, trade_id) in one task.  They are
+    held there: bound a micro-batch by the source's maxFilesPerTrigger or
+    maxOffsetsPerTrigger.  Between micro-batches the order of arrival counts.
     """
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in trades.schema.fields)
     return trades.groupBy("symbol").applyInPandasWithState(
@@ -148,25 +136,29 @@ def accuracy_stream(trades: DataFrame) -> DataFrame:
     )
 
 
+PASSED, SERIES = "_passed", "_series"
+_SPREAD = 256
+
+
 def _judge_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if key[0].startswith("~"):
+    if not key[0]:
         for batch in batches:
-            yield batch.drop(columns=SERIES)
+            yield batch.drop(columns=[PASSED, SERIES])
         return
-    recent = deque(state.get[0] if state.exists else [], maxlen=ACCURACY_WINDOW)
-    for batch in batches:
-        ordered = batch.drop(columns=SERIES).sort_values(["timestamp", "trade_id"], kind="stable")
-        verdicts = judge_prices(recent, ordered["price"])
-        yield ordered.assign(**{FAILED: [None if ok else "accuracy" for ok in verdicts]})
-    state.update((list(recent),))
+    ordered, verdicts = _judged(batches, state)
+    failures = [None if ok else "accuracy" for ok in verdicts]
+    yield ordered.drop(columns=[PASSED, SERIES]).assign(**{FAILED: failures})
 
 
 def gate_stream(judged: DataFrame) -> DataFrame:
     """Q6 on a stream: trades judged by the row, those that passed judged by their
-    price too.  The others pass through in groups of their own, without state, so
-    the source is read and parsed once."""
+    price too.  The others pass through in spread groups of their own, without
+    state, so the source is read and parsed once."""
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in judged.schema.fields)
-    return judged.withColumn(SERIES, series_key()).groupBy(SERIES).applyInPandasWithState(
+    passed = F.col(FAILED).isNull()
+    spread = F.pmod(F.xxhash64("trade_id", "timestamp"), F.lit(_SPREAD)).cast("string")
+    keyed = judged.withColumns({PASSED: passed, SERIES: F.when(passed, F.col("symbol")).otherwise(spread)})
+    return keyed.groupBy(PASSED, SERIES).applyInPandasWithState(
         _judge_group, kinds, _STATE, "append", GroupStateTimeout.NoTimeout
     )
 
