@@ -147,6 +147,9 @@ def source_cuts(placed: DataFrame, targets: DataFrame) -> DataFrame:
         .drop("of")
         .join(starts, F.col("source").eqNullSafe(F.col("edge_of")), "left")
         .withColumn("last", F.coalesce(F.expr("shiftleft(edge_bucket, fine_shift) - 1"), F.lit(-1)))
+        # A source taken in whole repetitions alone has no part; its empty texts would still fit into none.
+        .withColumn("last", F.when(F.col("part") > 0, F.col("last")).otherwise(-1))
+        .withColumn("extra", F.when(F.col("part") > 0, F.col("extra")))
         .select("source", "source_size", "target", "whole", "last", "extra")
     )
 
