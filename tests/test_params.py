@@ -32,3 +32,10 @@ def test_symbols():
     for bad in ("btc", "B", "", "A" * 21, "BTC-USD"):
         with pytest.raises(ValueError):
             P.check_symbol(bad)
+
+
+def test_horizon():
+    assert P.horizon_minutes() == 60 and P.horizon_minutes("1") == 1 and P.horizon_minutes(1440) == 1440
+    for bad in (0, 1441, "x", -1):
+        with pytest.raises(ValueError):
+            P.horizon_minutes(bad)

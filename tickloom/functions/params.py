@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column
 
-from tickloom.schemas import DEFAULT_INTERVAL, INTERVALS, MAX_BARS, SYMBOL_PATTERN
+from tickloom.schemas import DEFAULT_HORIZON, DEFAULT_INTERVAL, INTERVALS, MAX_BARS, MAX_HORIZON, SYMBOL_PATTERN
 
 
 def valid_symbol(symbol: Column) -> Column:
@@ -69,3 +69,18 @@ def lookback_bars(days: int, interval: str) -> int:
     """
     per_day = {"1h": 24, "1m": 1440}.get(interval, 288)
     return min(days * per_day, MAX_BARS)
+
+
+def horizon_minutes(value: int | str | None = None) -> int:
+    """Minutes a prediction looks ahead: ``DEFAULT_HORIZON`` when absent, an error outside 1 to ``MAX_HORIZON``."""
+    if value is None or value == "":
+        return DEFAULT_HORIZON
+    try:
+        number = int(value)
+    except ValueError:
+        raise ValueError("horizon must be a number") from None
+    if number < 1:
+        raise ValueError("horizon must be at least 1 minute")
+    if number > MAX_HORIZON:
+        raise ValueError(f"horizon cannot exceed {MAX_HORIZON} minutes (24 hours)")
+    return number

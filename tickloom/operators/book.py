@@ -150,6 +150,18 @@ def portfolio_value(priced: DataFrame) -> DataFrame:
     )
 
 
+def allocation(priced: DataFrame) -> DataFrame:
+    """Each held balance's share of its portfolio's value in percent, with its position, largest value first.
+
+    All shares are 0 where the portfolio is worth nothing.
+    """
+    whole = Window.partitionBy("portfolio_id")
+    order = whole.orderBy(F.col("value").desc(), "asset_code")
+    total = F.sum("value").over(whole)
+    share = F.when(total > 0, F.col("value") / total * 100).otherwise(F.lit(0.0))
+    return priced.filter(F.col("qty") > 0).withColumns({"share": share, "position": F.row_number().over(order)})
+
+
 def nested_portfolios(portfolios: DataFrame, balances: DataFrame, assets: DataFrame) -> DataFrame:
     """Portfolios with their held balances as an array, empty when there are none.
 
@@ -222,8 +234,12 @@ def single_page(rows: DataFrame, stamp: str, id_column: str = "id", limit: int =
 
 
 def sorted_balances(balances: DataFrame, assets: DataFrame) -> DataFrame:
-    """Balances by quantity, largest first, then by asset code."""
-    return named_balances(balances, assets).orderBy(F.col("qty").desc(), "asset_code")
+    """The balances of every portfolio with their ``position``: by quantity, largest first, then by asset code.
+
+    A portfolio has one balance per asset, so a window holds no more rows than there are assets.
+    """
+    order = Window.partitionBy("portfolio_id").orderBy(F.col("qty").desc(), "asset_code", "asset_id")
+    return named_balances(balances, assets).withColumn("position", F.row_number().over(order))
 
 
 def response_rows(bars: DataFrame, interval: str, fields: list[str], keys=("symbol",), time: str = "open_time") -> DataFrame:

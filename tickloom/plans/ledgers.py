@@ -203,6 +203,20 @@ def a8(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("portfolio_id", F.round("total_value", 4).alias("total_value"))
 
 
+@query(
+    "A8_allocation",
+    f"""{_PRICED} SELECT portfolio_id, asset_code,
+       {r("coalesce(qty * price / nullif(sum(qty * price) OVER (PARTITION BY portfolio_id), 0), 0) * 100", 4)} AS share,
+       row_number() OVER (PARTITION BY portfolio_id ORDER BY round(qty * price, 6) DESC, asset_code) AS position
+FROM priced WHERE qty > 0""",
+    places=4,
+)
+def a8_allocation(spark: SparkSession, folder: str) -> DataFrame:
+    """Shares of a portfolio's value."""
+    priced = _priced(spark, folder)
+    return K.allocation(priced.withColumn("value", F.round("value", 6))).select("portfolio_id", "asset_code", "share", "position")
+
+
 @query("A10_held_assets", f"""{_PRICED} SELECT portfolio_id, count(*) FILTER (WHERE qty > 0) AS held_assets FROM priced GROUP BY portfolio_id""")
 def a10(spark: SparkSession, folder: str) -> DataFrame:
     return K.portfolio_value(_priced(spark, folder)).select("portfolio_id", "held_assets")
@@ -292,8 +306,9 @@ def o2_single(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "O4_sorted_balances",
-    f"""WITH {V.BALANCES_SQL}, {V.ASSETS_SQL} SELECT b.portfolio_id, b.asset_id, {r("b.qty")} AS qty, a.code AS asset_code, a.name AS asset_name
-FROM balances b JOIN assets a ON b.asset_id = a.id ORDER BY b.qty DESC, a.code""",
+    f"""WITH {V.BALANCES_SQL}, {V.ASSETS_SQL} SELECT b.portfolio_id, b.asset_id, {r("b.qty")} AS qty, a.code AS asset_code, a.name AS asset_name,
+       row_number() OVER (PARTITION BY b.portfolio_id ORDER BY b.qty DESC, a.code, b.asset_id) AS position
+FROM balances b JOIN assets a ON b.asset_id = a.id""",
 )
 def o4(spark: SparkSession, folder: str) -> DataFrame:
     return K.sorted_balances(V.balances(spark, folder), V.assets(spark, folder))

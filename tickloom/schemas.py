@@ -33,6 +33,7 @@ INTERVALS = {"1m": "1 minute", "5m": "5 minutes", "15m": "15 minutes", "1h": "1
 DEFAULT_INTERVAL = "1h"
 SYMBOL_PATTERN = "^[A-Z0-9]{2,20}$"
 MAX_BARS = 1000
+DEFAULT_HORIZON, MAX_HORIZON = 60, 1440  # minutes
 
 # --- fixed values: order requests ------------------------------------------------
 ORDER_SYMBOL_PATTERN = "^[A-Z]{2,10}USDT$"
