@@ -195,3 +195,25 @@ def test_months_and_lake_table(spark, tmp_path):
     assert {r.month: r["count"] for r in spark.read.parquet(str(tmp_path / "m")).groupBy("month").count().collect()} == {"2024-01": 1, "2024-02": 1}
     table = sinks.create_lake_table(spark, "lake_trades", str(tmp_path / "t"))
     assert table.columns == ["symbol", "timestamp", "price", "volume", "side", "trade_id", "source"]
+
+
+def test_few_files_and_no_copies_after_many_batches(spark, tmp_path):
+    """Twenty micro-batches of bronze rows and prices: one file for a batch and day, and nothing staged is left."""
+    import os
+    from pathlib import Path
+
+    from helpers import TRADE_DDL, trade
+    from tickloom.operators.normalize import CANONICAL
+    from tickloom.sources import sinks
+    from tickloom.sources.staging import shared_folder
+
+    before = set(os.listdir(shared_folder(spark)))
+    for i in range(20):
+        rows = spark.createDataFrame([trade(second=60 * i + j, trade_id=f"{i}-{j}", symbol=f"S{j}USDT") for j in range(8)], TRADE_DDL).repartition(4)
+        whole = rows.withColumns({"processing_time": F.col("timestamp"), "date_partition": F.to_date("timestamp")}).select(*CANONICAL)
+        sinks.write_bronze(whole, f"{tmp_path}/bronze")
+        sinks.publish_latest(rows.select("symbol", "price", F.col("timestamp").alias("price_time")), f"{tmp_path}/prices")
+    assert len(list(Path(f"{tmp_path}/bronze").rglob("*.parquet"))) == 20
+    prices = spark.read.parquet(f"{tmp_path}/prices")
+    assert prices.count() == 8 and len(list(Path(f"{tmp_path}/prices").rglob("*.parquet"))) <= sinks.PRICE_BUCKETS
+    assert set(os.listdir(shared_folder(spark))) == before

@@ -198,13 +198,14 @@ def j6(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _grid_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Symbols of the ticks, paired with one exchange by its code; no cross join."""
+    """Symbols of the ticks, each paired with the first of its exchanges by code."""
     hour = C.bucket_start("timestamp", "1 hour")
-    ends = V.ticks(spark, folder).groupBy("symbol").agg(F.min(hour).alias("start"), F.max(hour).alias("end"))
+    ends = V.ticks(spark, folder).groupBy("symbol").agg(
+        F.min(hour).alias("start"), F.max(hour).alias("end"), F.upper(F.min("source")).alias("code")
+    )
     one = V.exchanges(spark, folder).select("code", F.col("id").alias("exchange_id"))
     return (
-        ends.withColumn("code", F.lit("BINANCE"))
-        .join(one, "code")
+        ends.join(one, "code")
         .select(F.length("symbol").cast("long").alias("symbol_id"), "exchange_id", "symbol", "start", "end")
     )
 

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.ledger import upsert_latest
 from tickloom.operators.normalize import CANONICAL
-from tickloom.sources.staging import stage
+from tickloom.sources.staging import staged
+
+#: Folders of the table of latest prices.
+PRICE_BUCKETS = 8
 
 
 def bronze_rows(trades: DataFrame) -> DataFrame:
@@ -17,12 +20,12 @@ def bronze_rows(trades: DataFrame) -> DataFrame:
     return trades.select(*CANONICAL).withColumns(naive)
 
 
-def write_bronze(trades: DataFrame, path: str, spread: bool = False) -> None:
+def write_bronze(trades: DataFrame, path: str, spread: bool = True) -> None:
     """S3/O3: appends to the day-partitioned lake table, sorted by time, symbol, side.
 
-    A micro-batch is written by the tasks that hold it.  For a backfill, ``spread``
-    first gathers the rows of a day, which adaptive execution splits again where
-    a day is larger than the advisory partition size.
+    ``spread`` first gathers the rows of a day, so a micro-batch adds one file to
+    each day it touches; adaptive execution splits a day again where it is larger
+    than the advisory partition size.
     """
     rows = bronze_rows(trades)
     order = ["date_partition", "timestamp", "symbol", "side"]
@@ -51,14 +54,16 @@ def upsert_table(batch: DataFrame, path: str, keys: list[str], version: list[str
     """
     spark = batch.sparkSession
     # Read twice below: for the partitions it touches and for its rows.
-    batch = stage(batch, "upsert-batch")
-    stored = _stored(spark, path, batch)
-    current = batch.limit(0)
-    if stored is not None:
-        touched = batch.select(partition).distinct()
-        current = stored.join(touched, partition, "left_semi").select(*batch.columns)
-    staged = stage(upsert_latest(current, batch, keys, version), "upsert-merged")
-    staged.hint("rebalance", partition).write.partitionBy(partition).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    with staged(batch, "upsert-batch") as rows:
+        stored = _stored(spark, path, rows)
+        current = rows.limit(0)
+        if stored is not None:
+            touched = rows.select(partition).distinct()
+            current = stored.join(touched, partition, "left_semi").select(*rows.columns)
+        with staged(upsert_latest(current, rows, keys, version), "upsert-merged") as merged:
+            merged.hint("rebalance", partition).write.partitionBy(partition).mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).parquet(path)
 
 
 def upsert_candles(candles: DataFrame, path: str) -> None:
@@ -72,8 +77,10 @@ def upsert_candles(candles: DataFrame, path: str) -> None:
 
 
 def publish_latest(prices: DataFrame, path: str) -> None:
-    """Latest price and time per symbol, last trade time wins."""
-    upsert_table(prices.select("symbol", "price", "price_time"), path, ["symbol"], ["price_time", "price"], "symbol")
+    """Latest price and time per symbol, last trade time wins, in a few folders by a hash of the symbol."""
+    rows = prices.select("symbol", "price", "price_time")
+    spread = rows.withColumn("bucket", F.pmod(F.xxhash64("symbol"), F.lit(PRICE_BUCKETS)).cast("int"))
+    upsert_table(spread, path, ["symbol"], ["price_time", "price"], "bucket")
 
 
 def with_month(rows: DataFrame, stamp: str) -> DataFrame:
