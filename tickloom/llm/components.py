@@ -23,6 +23,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return stack(others, least.select("a", F.col("m").alias("b")))
 
 
+#: Links that one file of a written round holds, about.
+FILE_LINKS = 200_000
+
+
 def component_roots(links: DataFrame) -> DataFrame:
     """``node, root`` of every node that is not the least of its component, from links ``a, b`` of integers.
 
@@ -36,6 +40,6 @@ def component_roots(links: DataFrame) -> DataFrame:
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == mark or not now[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        mark = now
-        larger = stage(_large_star(edges).where("a <> b").distinct(), "links")
-        edges = stage(_small_star(larger).where("a <> b").distinct(), "links")
+        mark, files = now, 1 + now[0] // FILE_LINKS
+        larger = stage(_large_star(edges).where("a <> b").distinct().coalesce(files), "links")
+        edges = stage(_small_star(larger).where("a <> b").distinct().coalesce(files), "links")

@@ -22,10 +22,10 @@ Rows of equal signature meet by one shuffle.  Equal sets were made one before.
 The pairs in a signature's rows are not all written out: first every set is
 compared with the one set that it shares most signatures with among those that
 come first in them.  Links found so far are contracted to components; after that
-only signatures whose rows are of different components are looked at, with one,
-two, four ... of their first sets as partners of all the others, until every pair
-of sets that share a signature is in one component or was compared.  Each pair is
-verified on its whole sets.
+only signatures whose rows are of different components are looked at, with the
+first ``PARTNERS`` of their sets as partners of all the others, then the next
+ones, ever more, until every pair of sets that share a signature is in one
+component or was compared.  Each pair is verified on its whole sets.
 
 Shingles are 64-bit hashes of 64-bit hashes of their words.
 """
@@ -54,6 +54,10 @@ OVER, UNDER = 9, 10
 FEW_SETS = 1 << 20
 #: Parts that the partners of one set are dealt into.
 SALTS = 64
+#: Partners that a signature's sets get in the first round; each later round takes so many times as many.
+PARTNERS = 64
+#: Documents' rows that one file of a written round holds, about.
+FILE_ROWS = 20_000
 #: Share of unrelated sets of like size that hold a given shingle, for the cost of short segments.
 COMMON = 0.25
 SLICE = 1 << 20
@@ -323,28 +327,27 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     )
     rows = unique.select("doc", "n", F.inline(both)).withColumn("root", F.col("doc"))
     met = stage(_met(rows), "met")
-    sets = _sets_of(docs, stage(met.select("doc").distinct(), "met-documents"), width)
+    wanted = stage(met.select("doc").distinct(), "met-documents")
+    sets = _sets_of(docs, wanted, width)
+    files = 8 + wanted.count() // FILE_ROWS
 
     # Each set with the one it shares most signatures with among the first ones.
-    best = (
-        _partners(met, 0, 1).groupBy("a").agg(F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"))
-    )
+    best = _partners(met, 0, 1).groupBy("a").agg(F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"))
     compared = _verified(best, sets)
-    links, turn = compared.where("linked").select("a", "b"), 0
+    roots = stage(component_roots(compared.where("linked").select("a", "b")), "roots")
+    met, done, until = met.drop("root"), 0, PARTNERS
     while True:
-        roots = stage(component_roots(links), "roots")
-        left = stage(_open(_rooted(met.drop("root"), roots), (1 << turn) - 1), "open")
-        if not left.take(1):
+        met = stage(_open(_rooted(met, roots), done).coalesce(files), "open")
+        if not met.take(1):
             break
-        met = left
-        new = _partners(left, (1 << turn) - 1, (2 << turn) - 1).drop("votes")
-        fresh = stage(new.join(compared, ["a", "b"], "left_anti"), "partners")
-        more = _verified(fresh, sets)
-        compared = stage(stack(compared, more), "verified")
-        links = stack(
-            roots.select(F.col("node").alias("a"), F.col("root").alias("b")), more.where("linked").select("a", "b")
-        )
-        turn += 1
+        new = _partners(met, done, until).drop("votes").join(compared, ["a", "b"], "left_anti")
+        more = _verified(stage(new.coalesce(files), "partners"), sets)
+        met, done, until = met.drop("root"), until, until * PARTNERS
+        compared = stage(stack(compared, more).coalesce(files), "verified")
+        linked = more.where("linked").select("a", "b")
+        if linked.take(1):
+            known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = stage(component_roots(stack(known, linked)), "roots")
     least = named.groupBy(*digest).agg(F.min("doc").alias("doc"))
     own = _rooted(least, roots).select(*digest, F.col("root").alias("set_root"))
     by_set = signed.select("doc", *digest).join(own, digest, "left")
