@@ -295,9 +295,15 @@ def test_similar_sets_meet():
                     y = np.union1d(y, missing[:1])
                 if not len(y) or np.array_equal(x, y):
                     continue
-                owner, signature, deleted = near_duplicates.signatures(np.array([len(x), len(y)]), np.concatenate([x, y]), sets)
-                rows = [set(zip(signature[owner == i].tolist(), deleted[owner == i].tolist())) for i in (0, 1)]
-                full = [{s for s, d in r if not d} for r in rows]
+                both = np.array([len(x), len(y)]), np.concatenate([x, y])
+                owner, signature, kind = near_duplicates.signatures(*both, sets)
+                rows = [set(zip(signature[owner == i].tolist(), kind[owner == i].tolist())) for i in (0, 1)]
+                full = [{s for s, k in r if k < 2} for r in rows]
+                drawn = near_duplicates.sketches(*both)
+                for a, b in itertools.product((0, 1), repeat=2):
+                    if len(drawn[a][0]) == len(drawn[b][1]) > 0:
+                        unlike = sum(p != q for p, q in zip(drawn[a][0], drawn[b][1]))
+                        assert unlike <= len(np.setxor1d(x, y)) or a != b and np.diff(np.searchsorted(near_duplicates.bands(size), both[0], side="right"))[0] == 0
                 every = [{s for s, _ in r} for r in rows]
                 assert full[0] & every[1] or full[1] & every[0], (sets, size, len(y))
 

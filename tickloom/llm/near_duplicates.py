@@ -25,7 +25,9 @@ come first in them.  Links found so far are contracted to components; after that
 only signatures whose rows are of different components are looked at, with the
 first ``PARTNERS`` of their sets as partners of all the others, then the next
 ones, ever more, until every pair of sets that share a signature is in one
-component or was compared.  Each pair is verified on its whole sets.
+component or was compared.  A sketch of each set, a byte for each of many small
+segments, refutes most pairs that are not similar: sets differ in at least as many
+elements as bytes.  Each other pair is verified on its whole sets.
 
 Shingles are 64-bit hashes of 64-bit hashes of their words.
 """
@@ -56,6 +58,10 @@ FEW_SETS = 1 << 20
 SALTS = 64
 #: Partners that a signature's sets get in the first round; each later round takes so many times as many.
 PARTNERS = 64
+#: Sketch bytes for each element by which sets may differ.
+SKETCH = 8
+#: Sets with fewer shingles vote with all their signatures.
+FEW_SHINGLES = 64
 #: Documents' rows that one file of a written round holds, about.
 FILE_ROWS = 20_000
 #: Share of unrelated sets of like size that hold a given shingle, for the cost of short segments.
@@ -118,11 +124,16 @@ def bands(most: int) -> np.ndarray:
     return np.array([*first, max(first[-1] + 1, (first[-1] - 1) * UNDER // OVER + 1)], np.int64)
 
 
+def limit(smaller: int) -> int:
+    """Elements by which two similar sets differ at most, where the smaller one has at most ``smaller``."""
+    return (smaller + smaller * UNDER // OVER) * (UNDER - OVER) // (UNDER + OVER)
+
+
 @lru_cache(maxsize=None)
 def allocation(smaller: int, sets: int) -> tuple[int, int, int]:
     """(segments, how many of them with deletions, whether one is to spare) for pairs whose smaller set has at most
     ``smaller`` elements, where about ``sets`` sets are of a like size.  No segments: only equal sets are similar."""
-    differ = (smaller + smaller * UNDER // OVER) * (UNDER - OVER) // (UNDER + OVER)
+    differ = limit(smaller)
     if not differ:
         return 0, 0, 0
 
@@ -175,54 +186,87 @@ def _signatures(group: np.ndarray, segments: np.ndarray, deleting: np.ndarray, s
     return tuple(np.concatenate(part) for part in zip(*out))
 
 
-def signatures(sizes: np.ndarray, values: np.ndarray, sets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(owner, signature, deleted): rows in which any two similar, unequal sets meet, not both deleted."""
+def _groups(sizes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """First sizes of the bands; every set's group with the band above and with the band below; which of these exist."""
     first = bands(int(sizes.max(initial=1)))
     band = np.searchsorted(first, sizes, side="right") - 1
+    groups = [band, band - 1]
+    return first, groups, [(g >= 0) & (sizes > 0) for g in groups]
+
+
+def signatures(sizes: np.ndarray, values: np.ndarray, sets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, signature, kind): rows in which any two similar, unequal sets meet, not both deleted.
+
+    ``kind`` is 1 for a set that is the larger band's in its group, and 2 more for a deleted element.
+    """
+    first, groups, real = _groups(sizes)
     parts = []
-    for group in (band, band - 1):  # with the band above, and with the band below
-        real = (group >= 0) & (sizes > 0)
+    for upper, (group, some) in enumerate(zip(groups, real)):
         choices = np.array(
-            [allocation(int(first[g + 1] - 1), sets) if r else (0, 0, 0) for g, r in zip(group.tolist(), real.tolist())]
+            [allocation(int(first[g + 1] - 1), sets) if r else (0, 0, 0) for g, r in zip(group.tolist(), some.tolist())]
         ).reshape(-1, 3)
-        parts.append(_signatures(group, choices[:, 0], choices[:, 1], choices[:, 2], sizes, values))
+        owner, signature, deleted = _signatures(group, choices[:, 0], choices[:, 1], choices[:, 2], sizes, values)
+        parts.append((owner, signature, upper + 2 * deleted.astype(np.int64)))
     return tuple(np.concatenate(p) for p in zip(*parts))
 
 
+def sketches(sizes: np.ndarray, values: np.ndarray) -> list[list[bytes]]:
+    """For both groups of every set one byte of each of ``SKETCH`` times as many small segments as elements may differ.
+
+    Two sets of a group differ in at least as many elements as bytes.
+    """
+    first, groups, real = _groups(sizes)
+    out, n = [], len(sizes)
+    for group, some in zip(groups, real):
+        lengths = np.array([SKETCH * limit(int(first[g + 1] - 1)) if r else 0 for g, r in zip(group.tolist(), some.tolist())], np.int64)
+        offsets, owner = np.cumsum(lengths) - lengths, np.repeat(np.arange(n), sizes)
+        use = (lengths > 0)[owner]
+        of, own = owner[use], values[use]
+        place = offsets[of] + ((own >> _S) * lengths[of].astype(np.uint64) >> _S).astype(np.int64)
+        total = int(lengths.sum())
+        counts, sums = np.bincount(place, minlength=total), np.zeros(total, np.uint64)
+        filled = np.flatnonzero(counts)
+        if len(filled):
+            sums[filled] = np.add.reduceat(_mix(own + _A), (np.cumsum(counts) - counts)[filled])
+        data = (_mix(sums) >> np.uint64(56)).astype(np.uint8).tobytes()
+        out.append([data[a : a + k] for a, k in zip(offsets.tolist(), lengths.tolist())])
+    return out
+
+
 def _lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
     order = np.argsort(owner, kind="stable")
     ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=n)))).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values[order].view(np.int64)))
 
 
+KINDS = ("full", "full_above", "deleted", "deleted_above")
+
+
 def _signed_sets(docs: DataFrame, width: int, sets: int) -> DataFrame:
-    """``doc, n, d1, d2, full, deleted``: size, digest and signatures of every text's set."""
+    """``doc, n, d1, d2`` and the signatures of each kind: size, digest and signatures of every text's set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 sizes, values = shingle_sets(part.column("text"), width)
-                owner, signature, deleted = signatures(sizes, values, sets)
+                owner, signature, kind = signatures(sizes, values, sets)
                 of = np.repeat(np.arange(len(sizes)), sizes)
                 digests = []
                 for seed in (_A, _B):
                     sums = np.zeros(len(sizes), np.uint64)
                     np.add.at(sums, of, _mix(values ^ seed))
                     digests.append(pa.array(sums.view(np.int64)))
+                lists = [_lists(owner[kind == k], signature[kind == k], len(sizes)) for k in range(len(KINDS))]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc"), pa.array(sizes, pa.int64()), *digests,
-                        _lists(owner[~deleted], signature[~deleted], len(sizes)),
-                        _lists(owner[deleted], signature[deleted], len(sizes)),
-                    ],
-                    ["doc", "n", "d1", "d2", "full", "deleted"],
-                )
+                    [part.column("doc"), pa.array(sizes, pa.int64()), *digests, *lists], ["doc", "n", "d1", "d2", *KINDS]
+                )
 
-    return docs.mapInArrow(sign, "doc long, n long, d1 long, d2 long, full array<long>, deleted array<long>")
+    lists = ", ".join(f"{k} array<long>" for k in KINDS)
+    return docs.mapInArrow(sign, f"doc long, n long, d1 long, d2 long, {lists}")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``doc, n, elements`` of the documents in ``wanted``."""
+    """``doc, elements, own_sketch, below_sketch`` of the documents in ``wanted``."""
     few = wanted.count() <= FEW_SETS
     some = docs.join(F.broadcast(wanted) if few else wanted, "doc")
 
@@ -231,17 +275,18 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             for part in slices(batch, "text", SLICE):
                 sizes, values = shingle_sets(part.column("text"), width)
                 data, ends = values.tobytes(), 8 * np.cumsum(sizes)
+                whole = [data[e - 8 * n : e] for e, n in zip(ends.tolist(), sizes.tolist())]
+                columns = [pa.array(c, pa.binary()) for c in (whole, *sketches(sizes, values))]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc"), pa.array(sizes, pa.int64()),
-                        pa.array([data[e - 8 * n : e] for e, n in zip(ends.tolist(), sizes.tolist())], pa.binary()),
-                    ],
-                    ["doc", "n", "elements"],
-                )
-
-    found = some.select("doc", "text").mapInArrow(find, "doc long, n long, elements binary")
+                    [part.column("doc"), *columns], ["doc", "elements", "own_sketch", "below_sketch"]
+                )
+
+    found = some.select("doc", "text").mapInArrow(
+        find, "doc long, elements binary, own_sketch binary, below_sketch binary"
+    )
     # A document given twice has one set here.
-    return stage(found.groupBy("doc").agg(F.max("n").alias("n"), F.max("elements").alias("elements")), "sets")
+    one = F.max_by(F.struct("elements", "own_sketch", "below_sketch"), "elements").alias("one")
+    return stage(found.groupBy("doc").agg(one).select("doc", "one.*"), "sets")
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -277,35 +322,75 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return stage(together.mapInArrow(compare, "a long, b long, linked boolean"), "verified")
 
 
-def _partners(rows: DataFrame, since: int, until: int) -> DataFrame:
-    """``a, b, votes``: sets b that are number ``since`` to ``until`` among a signature's rows, and all sets a after them.
+def _firsts(rows: DataFrame) -> DataFrame:
+    """``a, b, votes``: how many signatures each set shares with the set that comes first in them.
 
-    Rows are ``signature, doc, n, deleted, root``.  Only partners of a like size, of different components and not both
-    by deletion are given; of a signature's rows the first ``until`` are held at a time.
+    Of sets with many signatures an eighth of these vote; the pairs that matter are found by ``_partners`` anyway.
     """
-    ordered = rows.repartition("signature").sortWithinPartitions("signature", "deleted", "doc")
+    voting = rows.where((F.col("n") < FEW_SHINGLES) | (F.pmod("signature", F.lit(8)) == 0))
+    ordered = voting.repartition("signature").sortWithinPartitions("signature", "kind", "doc")
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, heads, seen = None, [], 0
+        current, head = None, None
         for batch in batches:
             out = []
-            for s, doc, n, deleted, root in zip(
-                *[batch.column(c).to_pylist() for c in ("signature", "doc", "n", "deleted", "root")]
-            ):
+            for s, doc, n in zip(*[batch.column(c).to_pylist() for c in ("signature", "doc", "n")]):
                 if s != current:
-                    current, heads, seen = s, [], 0
-                for other, size, root_b, gone in heads:
-                    if root != root_b and doc != other and UNDER * min(n, size) >= OVER * max(n, size) and not (gone and deleted):
-                        out.append((doc, other))
-                if since <= seen < until:
-                    heads.append((doc, n, root, deleted))
-                seen += 1
+                    current, head = s, (doc, n)
+                elif doc != head[0] and UNDER * min(n, head[1]) >= OVER * max(n, head[1]):
+                    out.append((doc, head[0]))
             columns = list(zip(*out)) or [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
     return ordered.mapInArrow(pair, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("votes"))
 
 
+def _partners(rows: DataFrame, sets: DataFrame, since: int, until: int) -> DataFrame:
+    """``a, b``: sets b that are number ``since`` to ``until`` among a signature's rows, with all sets a after them.
+
+    Rows are ``signature, doc, n, kind, root``.  Only partners of a like size, of different components, not both by
+    deletion and whose sketches differ in no more bytes than similar sets may; of a signature's rows the first ``until``
+    are held at a time.
+    """
+    known = sets.select("doc", "own_sketch", "below_sketch")
+    sketch = F.when(F.col("kind") % 2 == 1, F.col("below_sketch")).otherwise(F.col("own_sketch"))
+    drawn = rows.join(known, "doc").select("signature", "doc", "n", "kind", "root", sketch.alias("sketch"))
+    # Sketches of one length: equal signatures of different groups, which chance makes, are kept apart.
+    ordered = drawn.repartition("signature").sortWithinPartitions("signature", F.length("sketch"), "kind", "doc")
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, seen, held, facts, drawings = None, 0, 0, None, None
+        for batch in batches:
+            out = []
+            for s, doc, n, kind, root, bits in zip(
+                *[batch.column(c).to_pylist() for c in ("signature", "doc", "n", "kind", "root", "sketch")]
+            ):
+                own = np.frombuffer(bits, np.uint8)
+                if (s, len(own)) != current:
+                    current, seen, held = (s, len(own)), 0, 0
+                    facts, drawings = np.zeros((4, 4), np.int64), np.zeros((4, len(own)), np.uint8)
+                if held:
+                    heads = facts[:held]
+                    fits = (heads[:, 2] != root) & (heads[:, 0] != doc) & ((heads[:, 3] < 2) | (kind < 2))
+                    fits &= UNDER * np.minimum(heads[:, 1], n) >= OVER * np.maximum(heads[:, 1], n)
+                    at = np.flatnonzero(fits)
+                    if len(at):
+                        least = (drawings[at] != own).sum(axis=1)
+                        at = at[(UNDER + OVER) * least <= (UNDER - OVER) * (heads[at, 1] + n)]
+                        out += [(doc, b) for b in heads[at, 0].tolist()]
+                if since <= seen < until:
+                    if held == len(facts):
+                        facts = np.concatenate([facts, np.zeros_like(facts)])
+                        drawings = np.concatenate([drawings, np.zeros_like(drawings)])
+                    facts[held], drawings[held] = (doc, n, root, kind), own
+                    held += 1
+                seen += 1
+            columns = list(zip(*set(out))) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    return ordered.mapInArrow(pair, "a long, b long").distinct()
+
+
 def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
     """``key, n_shingles, component_id`` of every row: its set's size and the least key that links lead to.
 
@@ -319,28 +404,28 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # Equal sets are one, by their least key.
     digest = ["n", "d1", "d2"]
     unique = named.groupBy(*digest).agg(
-        F.min("doc").alias("doc"), F.first("full").alias("full"), F.first("deleted").alias("deleted")
-    )
-    both = F.concat(
-        F.transform("full", lambda s: F.struct(s.alias("signature"), F.lit(False).alias("deleted"))),
-        F.transform("deleted", lambda s: F.struct(s.alias("signature"), F.lit(True).alias("deleted"))),
+        F.min("doc").alias("doc"), *[F.first(k).alias(k) for k in KINDS]
     )
-    rows = unique.select("doc", "n", F.inline(both)).withColumn("root", F.col("doc"))
+
+    def of_kind(number: int):
+        return F.transform(KINDS[number], lambda s: F.struct(s.alias("signature"), F.lit(number).alias("kind")))
+
+    rows = unique.select("doc", "n", F.inline(F.concat(*[of_kind(k) for k in range(len(KINDS))])))
     met = stage(_met(rows), "met")
     wanted = stage(met.select("doc").distinct(), "met-documents")
     sets = _sets_of(docs, wanted, width)
     files = 8 + wanted.count() // FILE_ROWS
 
     # Each set with the one it shares most signatures with among the first ones.
-    best = _partners(met, 0, 1).groupBy("a").agg(F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"))
+    best = _firsts(met).groupBy("a").agg(F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"))
     compared = _verified(best, sets)
     roots = stage(component_roots(compared.where("linked").select("a", "b")), "roots")
-    met, done, until = met.drop("root"), 0, PARTNERS
+    done, until = 0, PARTNERS
     while True:
         met = stage(_open(_rooted(met, roots), done).coalesce(files), "open")
         if not met.take(1):
             break
-        new = _partners(met, done, until).drop("votes").join(compared, ["a", "b"], "left_anti")
+        new = _partners(met, sets, done, until).join(compared, ["a", "b"], "left_anti")
         more = _verified(stage(new.coalesce(files), "partners"), sets)
         met, done, until = met.drop("root"), until, until * PARTNERS
         compared = stage(stack(compared, more).coalesce(files), "verified")
