@@ -69,13 +69,15 @@ def neighbour_sums(docs: DataFrame, text: str = "text") -> DataFrame:
             for part in slices(batch, "text", SLICE):
                 lengths, slots = encode(part.column("text"))
                 slots, owner = slots.astype(np.int64), np.repeat(np.arange(len(lengths)), lengths)
+                cells, weights = [], []
                 for step in range(1, REACH + 1):
                     same = owner[step:] == owner[:-step]
                     left, right = slots[:-step][same], slots[step:][same]
                     for word, other in ((left, right), (right, left)):
-                        for k in range(NONZERO):
-                            at = word * WIDTH + places[other, k]
-                            sums += np.bincount(at, signs[other, k], minlength=len(sums)).astype(np.int64)
+                        cells.append((word[:, None] * WIDTH + places[other]).ravel())
+                        weights.append(signs[other].ravel())
+                counted = np.bincount(np.concatenate(cells), np.concatenate(weights), minlength=len(sums))
+                sums += counted.astype(np.int64)
         table = sums.reshape(SLOTS, WIDTH)
         used = np.flatnonzero(table.any(axis=1))
         yield pa.RecordBatch.from_arrays(
