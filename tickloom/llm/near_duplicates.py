@@ -1,7 +1,7 @@
 """Exact Jaccard self-join of word shingles by partitions of the universe.
 
-Two sets whose Jaccard similarity is at least 9/10 differ in at most H elements,
-and H follows from their sizes.  The universe of shingle hashes is cut into m
+Two sets whose Jaccard similarity is at least a given fraction differ in at most H
+elements, and H follows from their sizes.  The universe of shingle hashes is cut into m
 segments.  With m = H + 1 at least one segment of both sets is the same; with one
 to spare (m = H + 2) at least two are.  Where a segment's one-deletion
 neighbourhood is indexed too, it stands for two: the sets meet in it even when
@@ -34,6 +34,7 @@ Shingles are 64-bit hashes of 64-bit hashes of their words.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -50,8 +51,8 @@ from tickloom.llm.components import component_roots
 from tickloom.operators.stacking import stack
 from tickloom.sources.staging import stage
 
-#: Similarity as a fraction.
-OVER, UNDER = 9, 10
+#: Similarity as a fraction, unless a caller names another.
+LEAST = (9, 10)
 #: Sets known to be few enough for every task to hold their ids; more are joined by a shuffle.
 FEW_SETS = 1 << 20
 #: Parts that the partners of one set are dealt into.
@@ -116,31 +117,34 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=None)
-def bands(most: int) -> np.ndarray:
+def bands(most: int, least: tuple[int, int] = LEAST) -> np.ndarray:
     """First sizes of the bands, up to the one beyond ``most``."""
+    over, under = least
     first = [1]
     while first[-1] <= most:
-        first.append(max(first[-1] + 1, (first[-1] - 1) * UNDER // OVER + 1))
-    return np.array([*first, max(first[-1] + 1, (first[-1] - 1) * UNDER // OVER + 1)], np.int64)
+        first.append(max(first[-1] + 1, (first[-1] - 1) * under // over + 1))
+    return np.array([*first, max(first[-1] + 1, (first[-1] - 1) * under // over + 1)], np.int64)
 
 
-def limit(smaller: int) -> int:
+def limit(smaller: int, least: tuple[int, int] = LEAST) -> int:
     """Elements by which two similar sets differ at most, where the smaller one has at most ``smaller``."""
-    return (smaller + smaller * UNDER // OVER) * (UNDER - OVER) // (UNDER + OVER)
+    over, under = least
+    return (smaller + smaller * under // over) * (under - over) // (under + over)
 
 
 @lru_cache(maxsize=None)
-def allocation(smaller: int, sets: int) -> tuple[int, int, int]:
+def allocation(smaller: int, sets: int, least: tuple[int, int] = LEAST) -> tuple[int, int, int]:
     """(segments, how many of them with deletions, whether one is to spare) for pairs whose smaller set has at most
     ``smaller`` elements, where about ``sets`` sets are of a like size.  No segments: only equal sets are similar."""
-    differ = limit(smaller)
+    differ = limit(smaller, least)
     if not differ:
         return 0, 0, 0
 
     def cost(choice: tuple[int, int, int]) -> float:
-        m, a, _ = choice
+        m, a, spare = choice
         t = smaller / m
-        return (m - a) * (1 + sets * COMMON**t) + a * (1 + t) * (1 + sets * COMMON ** max(t - 1, 0))
+        pairs = spare * (m * math.exp(-t)) ** 2 / 2  # of empty segments
+        return (m - a) * (1 + sets * COMMON**t) + a * (1 + t) * (1 + sets * COMMON ** max(t - 1, 0)) + pairs
 
     with_deletions = [(m, differ + 1 - m, 0) for m in range((differ + 2) // 2, differ + 1)]
     return min([(differ + 2, 0, 1), (differ + 1, 0, 0), *with_deletions], key=cost)
@@ -186,39 +190,47 @@ def _signatures(group: np.ndarray, segments: np.ndarray, deleting: np.ndarray, s
     return tuple(np.concatenate(part) for part in zip(*out))
 
 
-def _groups(sizes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+def _groups(sizes: np.ndarray, least: tuple[int, int]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
     """First sizes of the bands; every set's group with the band above and with the band below; which of these exist."""
-    first = bands(int(sizes.max(initial=1)))
+    first = bands(int(sizes.max(initial=1)), least)
     band = np.searchsorted(first, sizes, side="right") - 1
     groups = [band, band - 1]
     return first, groups, [(g >= 0) & (sizes > 0) for g in groups]
 
 
-def signatures(sizes: np.ndarray, values: np.ndarray, sets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def signatures(
+    sizes: np.ndarray, values: np.ndarray, sets: int, least: tuple[int, int] = LEAST
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(owner, signature, kind): rows in which any two similar, unequal sets meet, not both deleted.
 
     ``kind`` is 1 for a set that is the larger band's in its group, and 2 more for a deleted element.
     """
-    first, groups, real = _groups(sizes)
+    first, groups, real = _groups(sizes, least)
     parts = []
     for upper, (group, some) in enumerate(zip(groups, real)):
         choices = np.array(
-            [allocation(int(first[g + 1] - 1), sets) if r else (0, 0, 0) for g, r in zip(group.tolist(), some.tolist())]
+            [
+                allocation(int(first[g + 1] - 1), sets, least) if r else (0, 0, 0)
+                for g, r in zip(group.tolist(), some.tolist())
+            ]
         ).reshape(-1, 3)
         owner, signature, deleted = _signatures(group, choices[:, 0], choices[:, 1], choices[:, 2], sizes, values)
         parts.append((owner, signature, upper + 2 * deleted.astype(np.int64)))
     return tuple(np.concatenate(p) for p in zip(*parts))
 
 
-def sketches(sizes: np.ndarray, values: np.ndarray) -> list[list[bytes]]:
+def sketches(sizes: np.ndarray, values: np.ndarray, least: tuple[int, int] = LEAST) -> list[list[bytes]]:
     """For both groups of every set one byte of each of ``SKETCH`` times as many small segments as elements may differ.
 
     Two sets of a group differ in at least as many elements as bytes.
     """
-    first, groups, real = _groups(sizes)
+    first, groups, real = _groups(sizes, least)
     out, n = [], len(sizes)
     for group, some in zip(groups, real):
-        lengths = np.array([SKETCH * limit(int(first[g + 1] - 1)) if r else 0 for g, r in zip(group.tolist(), some.tolist())], np.int64)
+        lengths = np.array(
+            [SKETCH * limit(int(first[g + 1] - 1), least) if r else 0 for g, r in zip(group.tolist(), some.tolist())],
+            np.int64,
+        )
         offsets, owner = np.cumsum(lengths) - lengths, np.repeat(np.arange(n), sizes)
         use = (lengths > 0)[owner]
         of, own = owner[use], values[use]
@@ -242,14 +254,14 @@ def _lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
 KINDS = ("full", "full_above", "deleted", "deleted_above")
 
 
-def _signed_sets(docs: DataFrame, width: int, sets: int) -> DataFrame:
+def _signed_sets(docs: DataFrame, width: int, sets: int, least: tuple[int, int]) -> DataFrame:
     """``doc, n, d1, d2`` and the signatures of each kind: size, digest and signatures of every text's set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 sizes, values = shingle_sets(part.column("text"), width)
-                owner, signature, kind = signatures(sizes, values, sets)
+                owner, signature, kind = signatures(sizes, values, sets, least)
                 of = np.repeat(np.arange(len(sizes)), sizes)
                 digests = []
                 for seed in (_A, _B):
@@ -265,7 +277,7 @@ def _signed_sets(docs: DataFrame, width: int, sets: int) -> DataFrame:
     return docs.mapInArrow(sign, f"doc long, n long, d1 long, d2 long, {lists}")
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, least: tuple[int, int]) -> DataFrame:
     """``doc, elements, own_sketch, below_sketch`` of the documents in ``wanted``."""
     few = wanted.count() <= FEW_SETS
     some = docs.join(F.broadcast(wanted) if few else wanted, "doc")
@@ -276,7 +288,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 sizes, values = shingle_sets(part.column("text"), width)
                 data, ends = values.tobytes(), 8 * np.cumsum(sizes)
                 whole = [data[e - 8 * n : e] for e, n in zip(ends.tolist(), sizes.tolist())]
-                columns = [pa.array(c, pa.binary()) for c in (whole, *sketches(sizes, values))]
+                columns = [pa.array(c, pa.binary()) for c in (whole, *sketches(sizes, values, least))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc"), *columns], ["doc", "elements", "own_sketch", "below_sketch"]
                 )
@@ -289,12 +301,13 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return stage(found.groupBy("doc").agg(one).select("doc", "one.*"), "sets")
 
 
-def similar(x: np.ndarray, y: np.ndarray) -> bool:
+def similar(x: np.ndarray, y: np.ndarray, least: tuple[int, int] = LEAST) -> bool:
+    over, under = least
     common = int(np.isin(x, y, assume_unique=True).sum())
-    return UNDER * common >= OVER * (len(x) + len(y) - common)
+    return under * common >= over * (len(x) + len(y) - common)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
     """``a, b, linked`` of all pairs ``a, b``: a's set travels to b's, which stays for all its partners."""
     pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
     movers = pairs.join(sets.select(F.col("doc").alias("a"), "elements"), "a").select("b", "salt", "a", "elements")
@@ -314,7 +327,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 if a is None:
                     head = values
                 else:
-                    rows.append((a, b, similar(values, head)))
+                    rows.append((a, b, similar(values, head, least)))
             columns = list(zip(*rows)) or [[], [], []]
             kinds = (pa.int64(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "b", "linked"])
@@ -322,11 +335,12 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return stage(together.mapInArrow(compare, "a long, b long, linked boolean"), "verified")
 
 
-def _firsts(rows: DataFrame) -> DataFrame:
+def _firsts(rows: DataFrame, least: tuple[int, int]) -> DataFrame:
     """``a, b, votes``: how many signatures each set shares with the set that comes first in them.
 
     Of sets with many signatures an eighth of these vote; the pairs that matter are found by ``_partners`` anyway.
     """
+    over, under = least
     voting = rows.where((F.col("n") < FEW_SHINGLES) | (F.pmod("signature", F.lit(8)) == 0))
     ordered = voting.repartition("signature").sortWithinPartitions("signature", "kind", "doc")
 
@@ -337,7 +351,7 @@ def _firsts(rows: DataFrame) -> DataFrame:
             for s, doc, n in zip(*[batch.column(c).to_pylist() for c in ("signature", "doc", "n")]):
                 if s != current:
                     current, head = s, (doc, n)
-                elif doc != head[0] and UNDER * min(n, head[1]) >= OVER * max(n, head[1]):
+                elif doc != head[0] and under * min(n, head[1]) >= over * max(n, head[1]):
                     out.append((doc, head[0]))
             columns = list(zip(*out)) or [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
@@ -345,13 +359,14 @@ def _firsts(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(pair, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("votes"))
 
 
-def _partners(rows: DataFrame, sets: DataFrame, since: int, until: int) -> DataFrame:
+def _partners(rows: DataFrame, sets: DataFrame, since: int, until: int, least: tuple[int, int]) -> DataFrame:
     """``a, b``: sets b that are number ``since`` to ``until`` among a signature's rows, with all sets a after them.
 
     Rows are ``signature, doc, n, kind, root``.  Only partners of a like size, of different components, not both by
     deletion and whose sketches differ in no more bytes than similar sets may; of a signature's rows the first ``until``
     are held at a time.
     """
+    over, under = least
     known = sets.select("doc", "own_sketch", "below_sketch")
     sketch = F.when(F.col("kind") % 2 == 1, F.col("below_sketch")).otherwise(F.col("own_sketch"))
     drawn = rows.join(known, "doc").select("signature", "doc", "n", "kind", "root", sketch.alias("sketch"))
@@ -372,11 +387,11 @@ def _partners(rows: DataFrame, sets: DataFrame, since: int, until: int) -> DataF
                 if held:
                     heads = facts[:held]
                     fits = (heads[:, 2] != root) & (heads[:, 0] != doc) & ((heads[:, 3] < 2) | (kind < 2))
-                    fits &= UNDER * np.minimum(heads[:, 1], n) >= OVER * np.maximum(heads[:, 1], n)
+                    fits &= under * np.minimum(heads[:, 1], n) >= over * np.maximum(heads[:, 1], n)
                     at = np.flatnonzero(fits)
                     if len(at):
-                        least = (drawings[at] != own).sum(axis=1)
-                        at = at[(UNDER + OVER) * least <= (UNDER - OVER) * (heads[at, 1] + n)]
+                        unlike = (drawings[at] != own).sum(axis=1)
+                        at = at[(under + over) * unlike <= (under - over) * (heads[at, 1] + n)]
                         out += [(doc, b) for b in heads[at, 0].tolist()]
                 if since <= seen < until:
                     if held == len(facts):
@@ -391,15 +406,19 @@ def _partners(rows: DataFrame, sets: DataFrame, since: int, until: int) -> DataF
     return ordered.mapInArrow(pair, "a long, b long").distinct()
 
 
-def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
+def similar_components(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, least: tuple[int, int] = LEAST
+) -> DataFrame:
     """``key, n_shingles, component_id`` of every row: its set's size and the least key that links lead to.
 
+    Sets of shingles of ``width`` words are linked whose Jaccard similarity is at least the fraction ``least``.
+
     Null and empty texts have an empty set and no links.  Keys are meant to be unique: of rows with one key and
     different texts only one text is compared.  A row without a key has no links and no component.  Columns of other
     names are not read.
     """
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    signed = stage(_signed_sets(docs, width, max(1, docs.count() // 64)), "signed-sets")
+    signed = stage(_signed_sets(docs, width, max(1, docs.count() // 64), least), "signed-sets")
     named = signed.where("doc is not null and n > 0")
     # Equal sets are one, by their least key.
     digest = ["n", "d1", "d2"]
@@ -413,28 +432,28 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows = unique.select("doc", "n", F.inline(F.concat(*[of_kind(k) for k in range(len(KINDS))])))
     met = stage(_met(rows), "met")
     wanted = stage(met.select("doc").distinct(), "met-documents")
-    sets = _sets_of(docs, wanted, width)
+    sets = _sets_of(docs, wanted, width, least)
     files = 8 + wanted.count() // FILE_ROWS
 
     # Each set with the one it shares most signatures with among the first ones.
-    best = _firsts(met).groupBy("a").agg(F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"))
-    compared = _verified(best, sets)
+    best = _firsts(met, least).groupBy("a").agg(F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"))
+    compared = _verified(best, sets, least)
     roots = stage(component_roots(compared.where("linked").select("a", "b")), "roots")
     done, until = 0, PARTNERS
     while True:
         met = stage(_open(_rooted(met, roots), done).coalesce(files), "open")
         if not met.take(1):
             break
-        new = _partners(met, sets, done, until).join(compared, ["a", "b"], "left_anti")
-        more = _verified(stage(new.coalesce(files), "partners"), sets)
+        new = _partners(met, sets, done, until, least).join(compared, ["a", "b"], "left_anti")
+        more = _verified(stage(new.coalesce(files), "partners"), sets, least)
         met, done, until = met.drop("root"), until, until * PARTNERS
         compared = stage(stack(compared, more).coalesce(files), "verified")
         linked = more.where("linked").select("a", "b")
         if linked.take(1):
             known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
             roots = stage(component_roots(stack(known, linked)), "roots")
-    least = named.groupBy(*digest).agg(F.min("doc").alias("doc"))
-    own = _rooted(least, roots).select(*digest, F.col("root").alias("set_root"))
+    firsts = named.groupBy(*digest).agg(F.min("doc").alias("doc"))
+    own = _rooted(firsts, roots).select(*digest, F.col("root").alias("set_root"))
     by_set = signed.select("doc", *digest).join(own, digest, "left")
     found = by_set.withColumn("component_id", F.when(F.col("doc").isNotNull(), F.coalesce("set_root", "doc")))
     return found.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), "component_id")
