@@ -142,20 +142,23 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
     pa.default_memory_pool().release_unused()
 
 
-_tokenizers: dict[str, ChunkEncoder] = {}
+_tokenizers: dict[tuple[str, bool], ChunkEncoder] = {}
 
 
-def token_encoder(path: str) -> ChunkEncoder:
+def token_encoder(path: str, plain: bool = False) -> ChunkEncoder:
     """Ids of the tokenizer in the file ``path`` without special tokens, as ``encode(text).ids`` has them.
 
     Pieces go through the library's own normalizer, pre-tokenizer and model, many
     in a call; what ``encode`` adds to that is offsets.  One encoder is kept per
     worker process.
+
+    With ``plain`` the name of a special token in a text is text like any other and never gives that token's id.
     """
-    if path not in _tokenizers:
+    if (path, plain) not in _tokenizers:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = plain
         normal, split, model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
         words = Recent(
             lambda new: [array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in new], WORDS_REMEMBERED
@@ -190,5 +193,5 @@ def token_encoder(path: str) -> ChunkEncoder:
         def whole(text: str) -> list[int]:
             return tokenizer.encode(text, add_special_tokens=False).ids
 
-        _tokenizers[path] = ChunkEncoder(encode, whole)
-    return _tokenizers[path]
+        _tokenizers[path, plain] = ChunkEncoder(encode, whole)
+    return _tokenizers[path, plain]

@@ -29,12 +29,13 @@ def write_flat_files(
 ) -> DataFrame:
     """One flat file of unsigned 16-bit ids per partition; returns ``key, path, ordinal`` of every document.
 
-    Documents keep the order of their partition.  A null text is an empty document.  The tokenizer must not give ids
-    beyond 65535, nor the end id within a text; both are refused.
+    Documents keep the order of their partition.  A null text is an empty document.  Names of special tokens in a text are
+    encoded as the characters they are, so a text that spells the end of a document does not end one.  The tokenizer must
+    not give ids beyond 65535, nor the end id within a text; both are refused.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, ordinal = token_encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encode, part, ordinal = token_encoder(tokenizer, plain=True), TaskContext.get().partitionId(), 0
         with writing(folder, f"flat-{part:06d}", ".u16") as (path, stream):
             for batch in batches:
                 for piece in slices(batch, "text"):
