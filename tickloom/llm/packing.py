@@ -6,11 +6,13 @@ the row, so no key can make a group large, and every group is packed by a branch
 and bound search over sequences:
 
 * the sequence around the largest piece left is filled next;
-* the fillings tried are the undominated ones: a filling is left out when
-  another one puts larger pieces in the same places;
+* the fillings tried, of any number of pieces, come from the sums that the
+  lengths left can give, the fullest first; a filling is left out when another
+  one puts larger pieces in the same places;
 * the waste that a filling causes is counted against the best solution known,
-  the incumbent, which at first is that of best-fit decreasing; a branch whose
-  waste can no longer give fewer sequences is cut;
+  the incumbent, which at first is that of best-fit decreasing or of largest
+  pieces with smallest ones; a branch whose waste can no longer give fewer
+  sequences is cut;
 * the search ends when the number of sequences equals the lower bound, or after
   ``nodes`` steps, and then the incumbent is the result.
 
@@ -21,6 +23,7 @@ far fewer, packed in a second round of groups.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +38,10 @@ from tickloom.sources.staging import stage
 CAPACITY = 2048
 GROUP_PIECES = 4096
 NODES = 4_000
-SMALLEST = 16
+#: Pieces left from which on the search tries many more fillings.
+FEW_PIECES = 32
+#: Parts of the capacity that the lower bound counts pieces by.
+MOST_PARTS = 32
 #: Room, as a part of the capacity, from which a sequence is opened again for the second round.
 REOPENED = 1 / 32
 #: Groups are packed by at most so many tasks.
@@ -74,51 +80,100 @@ def token_pieces(
     return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(cut, PIECES)
 
 
+def _sums(lengths: list[int], counts: list[int], room: int) -> list[int]:
+    """For each number of the first lengths, as bits, the sums up to ``room`` that these lengths give."""
+    mask, sums = (2 << room) - 1, [1]
+    for n, count in zip(lengths, counts):
+        reached, count, some = sums[-1], min(count, room // n), 1
+        while count > 0:
+            reached |= (reached << min(some, count) * n) & mask
+            count, some = count - some, 2 * some
+        sums.append(reached)
+    return sums
+
+
 def _fillings(left: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` by at most three of the lengths counted in ``left``, the fullest first.
+    """Undominated fillings of ``room`` by any number of the lengths counted in ``left``, the fullest first.
 
-    To each first (and second) length only the largest length that still fits is added: every other choice there is
-    dominated.  Of the lengths that can be the smallest of three the ``SMALLEST`` largest are tried.  A filling that
-    leaves no waste ends the search, as none can beat it.
+    At most ``width`` are given, each with another largest piece while many pieces are left, and sixteen times as many
+    of all kinds once ``FEW_PIECES`` are left.
     """
-    have = left[: room + 1] > 0
-    have[0] = False
-    lengths = np.flatnonzero(have)
-    if not len(lengths):
+    lengths = np.flatnonzero(left[: room + 1]).tolist()
+    if not lengths:
         return [()]
-    fit = np.maximum.accumulate(np.where(have, np.arange(room + 1), 0))  # the largest length that fits into so much room
-    single = int(lengths[-1])
-    if single == room:
-        return [(single,)]
-
-    def partner(room_left: np.ndarray, first: np.ndarray) -> np.ndarray:
-        got = fit[room_left]
-        same = (got == first) & (left[first] < 2)
-        return np.where(same, fit[np.minimum(room_left, np.maximum(first - 1, 0))], got)
-
-    second = partner(room - lengths, lengths)
-    total = lengths + second
-    best = int(total.max())
-    if best < room and len(lengths) > 2:
-        # Three: the smallest of them is at most a third of the room.
-        found: list[tuple[int, ...]] = []
-        for small in lengths[: np.searchsorted(lengths, room // 3, side="right")][-SMALLEST:].tolist():
-            left[small] -= 1
-            usable = lengths[(lengths >= small) & (lengths <= room - small) & (left[lengths] > 0)]
-            if len(usable):
-                third = partner(room - small - usable, usable)
-                i = int((usable + third).argmax())
-                found.append((small, int(usable[i]), int(third[i])))
-            left[small] += 1
-            if found and sum(found[-1]) == room:
-                break
-        found.sort(key=sum, reverse=True)
-    else:
-        found = []
-    order = np.argsort(-total, kind="stable")[:width]
-    found += [(int(lengths[i]), int(second[i])) for i in order] + [(single,)]
-    unique = {tuple(sorted((x for x in f if x), reverse=True)) for f in found}
-    return sorted(unique, key=lambda f: (-sum(f), len(f), [-x for x in f]))[:width]
+    if lengths[-1] == room:
+        return [(room,)]
+    counts = left[lengths].tolist()
+    sums = _sums(lengths, counts, room)
+    few = int(left.sum()) <= FEW_PIECES
+    if few:
+        width *= 16
+
+    def exact(first: int, rest: int) -> Iterator[tuple[int, ...]]:
+        """Fillings of ``rest`` by the ``first`` smallest lengths, larger pieces first."""
+        if not rest:
+            yield ()
+            return
+        for i in range(min(first, bisect_right(lengths, rest)) - 1, -1, -1):
+            n = lengths[i]
+            if not sums[i + 1] >> rest & 1:
+                return  # nor do fewer lengths give it
+            for k in range(min(counts[i], rest // n), 0, -1):
+                if sums[i] >> (rest - k * n) & 1:
+                    for others in exact(i, rest - k * n):
+                        yield (n,) * k + others
+
+    def one_each(total: int) -> Iterator[tuple[int, ...]]:
+        for i in range(bisect_right(lengths, total) - 1, -1, -1):
+            n = lengths[i]
+            for k in range(min(counts[i], total // n), 0, -1):
+                if sums[i] >> (total - k * n) & 1:
+                    yield (n,) * k + next(exact(i, total - k * n))
+                    break
+
+    found: list[tuple[int, ...]] = []
+    reached = sums[-1]
+    tried = 0
+    while reached:
+        total = reached.bit_length() - 1
+        reached ^= 1 << total
+        for filling in exact(len(lengths), total) if few else one_each(total):
+            tried += 1
+            # Dominated: another one has a piece at least as large in each place.
+            if not any(len(f) >= len(filling) and all(x >= y for x, y in zip(f, filling)) for f in found):
+                found.append(filling)
+            if len(found) == width or tried == 8 * width:
+                return found
+    return found
+
+
+def ends_first(lengths: np.ndarray, capacity: int) -> list[list[int]]:
+    """The largest piece, the smallest ones as long as two more fit, and then the largest that fits."""
+    rest, sequences = sorted(lengths.tolist()), []
+    while rest:
+        own = [rest.pop()]
+        room = capacity - own[0]
+        while rest and rest[0] <= room:
+            both = len(rest) > 1 and rest[0] + rest[1] <= room
+            own.append(rest.pop(0 if both else bisect_right(rest, room) - 1))
+            room -= own[-1]
+        sequences.append(own)
+    return sequences
+
+
+def fewest_sequences(lengths: np.ndarray, capacity: int) -> int:
+    """A lower bound: by the sum, and by how many pieces beyond a part of the capacity a sequence can hold.
+
+    A piece counts floor((k + 1) length / capacity) of k, or its share of the capacity where that has no remainder:
+    pieces that fit together never count more than one.
+    """
+    bound = -(-int(lengths.sum()) // capacity)
+    for k in range(1, MOST_PARTS + 1):
+        whole, over = np.divmod((k + 1) * lengths, capacity)
+        # In parts of k (k + 1), so that both kinds are whole numbers.
+        counted = np.where(over == 0, whole * k, whole * (k + 1))
+        bound = max(bound, -(-int(counted.sum()) // (k * (k + 1))))
+    return bound
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -145,10 +200,9 @@ def complete_bins(lengths: np.ndarray, capacity: int, nodes: int = NODES, width:
     """Sequences of lengths, each of at most ``capacity`` in sum, as few as the search finds."""
     if not len(lengths):
         return []
-    incumbent = best_fit(lengths, capacity)
+    incumbent = min(best_fit(lengths, capacity), ends_first(lengths, capacity), key=len)
     total = int(lengths.sum())
-    halves = int((lengths > capacity // 2).sum())  # no two of these fit together
-    bound = max(-(-total // capacity), halves)
+    bound = fewest_sequences(lengths, capacity)
     left = np.bincount(lengths, minlength=capacity + 1)
     path: list[list[int]] = []  # the sequences so far
     choices: list[list[tuple[int, ...]]] = []  # fillings of each that are yet to be tried
