@@ -4,6 +4,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from helpers import at

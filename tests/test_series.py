@@ -3,7 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from helpers import CANDLE_DDL, closes, walk
-from tickloom.operators.series import BLOCK, LEAD, ROW, Blocks, index_rows, running, slice_rows
+from tickloom.operators.series import BLOCK, LEAD, ROW, Blocks, index_rows, number_rows, running, running_rows, slice_rows
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +21,36 @@ def test_row_numbers_equal_a_window(candles):
     assert indexed.count() == candles.count()
 
 
+def test_numbers_by_ranges_equal_a_window(candles):
+    numbered = number_rows(candles, ["symbol"], ["open_time"])
+    expected = F.row_number().over(Window.partitionBy("symbol").orderBy("open_time"))
+    assert numbered.withColumn("n", expected).filter(F.col("n") != F.col(ROW)).count() == 0
+    assert numbered.count() == candles.count()
+
+
+def test_equal_rows_are_dealt_to_several_ranges(spark):
+    # Nine tenths of all rows stand at one time of one symbol.
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 10 > 0, "HOT").otherwise("B").alias("symbol"),
+        F.when(F.col("id") % 10 > 0, 0).otherwise(F.col("id")).alias("open_time"),
+    )
+    numbered = number_rows(rows, ["symbol"], ["open_time"]).persist()
+    for symbol, count in (("HOT", 36_000), ("B", 4_000)):
+        own = numbered.filter(F.col("symbol") == symbol).agg(F.min(ROW), F.max(ROW), F.count_distinct(ROW)).first()
+        assert own == (1, count, count)
+    salted = rows.withColumn("s", F.monotonically_increasing_id()).repartitionByRange(4, "symbol", "open_time", "s")
+    sizes = [r["count"] for r in salted.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+    numbered.unpersist()
+
+
+def test_running_xor(candles):
+    hashed = index_rows(candles, ["symbol"], ["open_time"]).withColumn("h", F.xxhash64("symbol", "open_time"))
+    out = running_rows(hashed, ["symbol"], {"x": ("xor", "h")}, size=100)
+    whole = F.bit_xor("h").over(Window.partitionBy("symbol").orderBy(ROW))
+    assert out.withColumn("w", whole).filter(F.col("w") != F.col("x")).count() == 0
+
+
 def test_no_block_outgrows_its_size(candles):
     blocks = Blocks.cut(index_rows(candles, ["symbol"], ["open_time"]), ["symbol"], 20, 128)
     sizes = blocks.df.groupBy("symbol", BLOCK).agg(F.count_if(~F.col(LEAD)).alias("own"), F.count("*").alias("all"))

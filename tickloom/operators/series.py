@@ -12,6 +12,8 @@ pieces of bounded size instead:
   (``ROWS k PRECEDING``) sees what it would see in the whole series.
 * ``running`` and ``running_rows`` are the two-level form of an unbounded running
   aggregate, by time and by row number.
+* ``number_rows`` numbers rows by ranges of equal size instead of time chunks, so a
+  series may have all its rows at one time.
 * ``slice_rows`` takes the newest or oldest n rows of every series.
 
 Key and order columns must not be null, as in the candle and trade tables.
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.times import micros, span_micros
+from tickloom.sources.staging import stage
 
 CHUNK = "_chunk"
 ROW = "_row"
@@ -74,6 +77,29 @@ def index_rows(
     )
 
 
+def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = ROW) -> DataFrame:
+    """Numbers the rows of each series from 1 in ``order``, however they are spread over keys and times.
+
+    The rows are dealt into sorted ranges of about equal size, so a series with many rows fills several of them.  Rows
+    that agree in keys and order are dealt out too; which of them comes first is not defined.  The ranges are staged;
+    the counts of each series in each range give the offsets.
+    """
+    ranged = df.withColumn("_salt", F.monotonically_increasing_id())
+    by = [*keys, *order, "_salt"]
+    ranged = ranged.repartitionByRange(*by).sortWithinPartitions(*by).drop("_salt")
+    placed = stage(
+        ranged.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "ranges"
+    )
+    runs = placed.groupBy(*keys, "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.select(*keys, "_range", "_first", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
+    return (
+        placed.join(offsets, [*keys, "_range"])
+        .withColumn(name, F.col("_at") - F.col("_first") + F.col("_offset") + 1)
+        .drop("_range", "_at", "_first", "_offset")
+    )
+
+
 @dataclass(frozen=True)
 class Blocks:
     """Indexed rows in blocks of ``size`` rows, with leading context rows."""
@@ -129,6 +155,8 @@ def _merged(kind: str, pre: Column, own: Column, data_type: T.DataType) -> Colum
         return F.coalesce(own, pre)
     if kind in ("min", "max"):
         return F.least(pre, own) if kind == "min" else F.greatest(pre, own)
+    if kind == "xor":
+        return F.coalesce(pre.bitwiseXOR(own), own, pre)
     if isinstance(data_type, T.DecimalType):
         # Adding two decimal(38, s) would give up a digit of scale.
         narrow = T.DecimalType(min(data_type.precision, 37), data_type.scale)
@@ -142,6 +170,7 @@ _KINDS = {
     "min": F.min,
     "max": F.max,
     "product": F.product,
+    "xor": F.bit_xor,
     "last": lambda column: F.last(column, ignorenulls=True),
 }
 
@@ -185,7 +214,7 @@ def running(
     """Unbounded running aggregates, in two levels.
 
     ``columns`` maps an output name to ``(kind, input)`` with kind sum, min, max,
-    product or last (not null).  Each (keys, chunk) is scanned on its own; the
+    product, xor (of integers) or last (not null).  Each (keys, chunk) is scanned on its own; the
     totals of the earlier chunks come from the per-chunk summary.  ``order``
     starts with a timestamp and has to be total for the result to be
     deterministic.
