@@ -4,7 +4,7 @@ from importlib import import_module
 
 from tickloom.llm.registry import ORACLES, QUERIES
 
-for _part in ("token_queries", "corpus_queries", "score_queries"):
+for _part in ("token_queries", "corpus_queries", "score_queries", "scan_queries"):
     import_module(f"tickloom.llm.{_part}")
 
 __all__ = ["ORACLES", "QUERIES"]
