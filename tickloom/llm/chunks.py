@@ -14,6 +14,7 @@ a special token) are encoded whole, so results never differ.
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Callable, Iterator, Sequence
 
@@ -142,9 +143,66 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
     pa.default_memory_pool().release_unused()
 
 
+class PlainWords:
+    """What a pre-tokenizer makes of a space, letters and at most one mark after them, without calling it.
+
+    It is asked once for each letter and each mark.  Letters that it keeps together between two others stay together in
+    any word, as pre-tokenizers go by classes of characters; all else is left to it.
+    """
+
+    SHAPE = re.compile(r" ([^\W\d_]+)([,.;:!?]?)").fullmatch
+
+    def __init__(self, split):
+        def tokens(text: str) -> list[str]:
+            return [t for t, _ in split.pre_tokenize_str(text)]
+
+        start, self.marks = tokens(" ab"), {}
+        self.usable = len(start) == 1 and start[0].endswith("ab")
+        if not self.usable:
+            return
+        self.before = start[0][:-2]
+        for mark in ",.;:!?":
+            found = tokens(f" ab{mark}")
+            if len(found) == 2 and found[0] == start[0]:
+                self.marks[mark] = found[1]
+        before = self.before
+
+        class Letters(dict):
+            """A letter as it stands in tokens, or a NUL where it doesn't stand in a word."""
+
+            def __missing__(self, code: int) -> str:
+                found = tokens(f" a{chr(code)}a")
+                whole = len(found) == 1 and found[0].startswith(f"{before}a") and found[0].endswith("a")
+                self[code] = out = found[0][len(before) + 1 : -1] if whole else "\0"
+                return out
+
+        self.letters = Letters()
+
+    def __call__(self, piece: str) -> tuple[str, ...] | None:
+        """The one or two tokens of a piece, None where the pre-tokenizer has to see it."""
+        shape = self.SHAPE(piece) if self.usable else None
+        if shape is None:
+            return None
+        letters, mark = shape.groups()
+        letters = letters.translate(self.letters)
+        if "\0" in letters:
+            return None
+        word = self.before + letters
+        if not mark:
+            return (word,)
+        return (word, self.marks[mark]) if mark in self.marks else None
+
+
 _tokenizers: dict[tuple[str, bool], ChunkEncoder] = {}
 
 
+def forget_encoders() -> None:
+    """Gives back the memory of this worker's encoders, for tasks that need none."""
+    if _tokenizers:
+        _tokenizers.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def token_encoder(path: str, plain: bool = False) -> ChunkEncoder:
     """Ids of the tokenizer in the file ``path`` without special tokens, as ``encode(text).ids`` has them.
 
@@ -171,13 +229,35 @@ def token_encoder(path: str, plain: bool = False) -> ChunkEncoder:
             parts = [" " + p for p in joined.split(" ")[1:]]
             return parts if len(parts) == len(pieces) else [normal.normalize_str(p) for p in pieces]
 
+        plain_words = PlainWords(split)
+
         def encode(pieces: list[str]) -> list[bytes]:
             inner = [len(p) > 1 and p[0] in " \n" for p in pieces]
             if not all(inner):
                 # What opens or ends a text (no white space before it, or nothing after) can't stand among others.
                 rest = iter(encode([p for p, i in zip(pieces, inner) if i]))
                 return [next(rest) if i else alone(p) for p, i in zip(pieces, inner)]
+            if not pieces:
+                return []
             pieces = normalized(pieces)
+            parted = [plain_words(p) for p in pieces]
+            rest = iter(pre_tokenized([p for p, w in zip(pieces, parted) if w is None]))
+            known = words([w for parts in parted if parts for w in parts])
+            at, out = 0, []
+            for parts in parted:
+                if parts is None:
+                    out.append(next(rest))
+                elif len(parts) == 1:
+                    out.append(known[at])
+                    at += 1
+                else:
+                    out.append(known[at] + known[at + 1])
+                    at += 2
+            return out
+
+        def pre_tokenized(pieces: list[str]) -> list[bytes]:
+            if not pieces:
+                return []
             found = split.pre_tokenize_str("".join(pieces))
             different = {w: i for i, w in enumerate(dict.fromkeys([w for w, _ in found]))}
             encoded = words(list(different))

@@ -11,8 +11,8 @@ the file and decompresses only the documents it was asked for.  Any zstandard
 tool can decompress a whole file; it skips the two last frames.
 
 Ids are little-endian unsigned 32-bit integers.  A null text has no ids but its
-end id.  Rows with equal keys stand one after the other, ordered by text; a null
-key comes last.
+end id.  Rows with equal keys stand one after the other, ordered by a hash of the text; a
+null key comes last.
 """
 
 from __future__ import annotations
@@ -131,19 +131,21 @@ def write_token_files(
             for batch in _chained(first, batches):
                 for piece in slices(batch, "text"):
                     lengths, ids = encode(piece.column("text"))
-                    ends = np.cumsum(lengths)
-                    for k, a, b in zip(piece.column("key").to_pylist(), ends - lengths, ends):
-                        writer.add(k, np.append(ids[a:b], np.uint32(end_id)))
-                    n_ids += len(ids) + len(lengths)
+                    ids = np.insert(ids, np.cumsum(lengths), end_id)
+                    ends = np.cumsum(lengths + 1)
+                    for k, a, b in zip(piece.column("key").to_pylist(), ends - lengths - 1, ends):
+                        writer.add(k, ids[a:b])
+                    n_ids += len(ids)
             writer.finish()
         yield pa.RecordBatch.from_pydict(
             {"part": [part], "path": [path], "n_docs": [len(writer.keys)], "n_ids": [n_ids]}
         )
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange(F.col("key").asc_nulls_last()).sortWithinPartitions(
-        F.col("key").asc_nulls_last(), "text"
-    )
+    # Hash and number let the rows of one key, a null one too, fill several ranges.
+    placed = rows.withColumns({"hash": F.xxhash64("text"), "number": F.monotonically_increasing_id()})
+    by = [F.col("key").asc_nulls_last(), F.col("hash"), F.col("number")]
+    ordered = placed.repartitionByRange(*by).sortWithinPartitions(*by).select("key", "text")
     files = stage(ordered.mapInArrow(write, PARTS), "token-files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
