@@ -33,21 +33,35 @@ SLOTS, WIDTH, NONZERO, REACH = 1 << 14, 32, 4, 2
 SEED = 9
 #: Labelled texts of each class the network is fitted on, at most.
 SAMPLE = 6000
-HIDDEN, STEPS = 32, 400
+HIDDEN, STEPS, PENALTY = 32, 400, 1e-4
 SLICE = 1 << 20
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|(?:[^\w\s]|_)+")
+#: The same for pieces joined by NUL, which no piece holds.
+_JOINED = re.compile(r"\0|[^\W\d_]+|\d+|(?:[^\w\s\0]|_)+")
+#: Words pooled at a time, so that their vectors stay in the processor's cache.
+POOLED = 4096
 _encoders: list[ChunkEncoder] = []
 
 
-def _slots(piece: str) -> list[int]:
-    return [zlib.crc32(t.encode()) % SLOTS for t in _TOKEN.findall(piece)]
+def _slots(text: str) -> list[int]:
+    return [zlib.crc32(t.encode()) % SLOTS for t in _TOKEN.findall(text)]
+
+
+def _slots_of_pieces(pieces: list[str]) -> list[bytes]:
+    """``_slots`` of each piece, by one search over all of them."""
+    tokens = _JOINED.findall("\0".join([*pieces, ""]))
+    crc = zlib.crc32
+    codes = np.array([crc(t.encode()) % SLOTS for t in tokens], np.uint16)
+    ends = np.flatnonzero(np.array([t == "\0" for t in tokens], bool)).tolist()
+    data = codes.tobytes()
+    return [data[2 * a : 2 * b] for a, b in zip([0, *(e + 1 for e in ends)], ends)]
 
 
 def slot_encoder() -> ChunkEncoder:
     """Texts to slots; one encoder is kept per worker process."""
     if not _encoders:
-        _encoders.append(ChunkEncoder(lambda pieces: [np.array(_slots(p), np.uint16).tobytes() for p in pieces], _slots, np.uint16))
+        _encoders.append(ChunkEncoder(_slots_of_pieces, _slots, np.uint16))
     return _encoders[0]
 
 
@@ -108,23 +122,46 @@ FEATURES = 4 * WIDTH + 4
 
 
 def pooled(vectors: np.ndarray, lengths: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    """A row of ``FEATURES`` for each text; an empty text's row is 0."""
+    """A row of ``FEATURES`` for each text; an empty text's row is 0.
+
+    A text's equal words are counted first, so each adds its vector once; the vectors of a few thousand words are held
+    at a time, however long a text is.
+    """
     out = np.zeros((len(lengths), FEATURES), np.float32)
     full = np.flatnonzero(lengths)
     if not len(full):
         return out
-    starts, n = (np.cumsum(lengths) - lengths)[full], lengths[full, None].astype(np.float32)
-    words = vectors[slots]
-    mean = np.add.reduceat(words, starts, axis=0) / n
-    spread = np.sqrt(np.maximum(np.add.reduceat(words * words, starts, axis=0) / n - mean * mean, 0))
+    n = lengths[full].astype(np.float32)
+    starts = (np.cumsum(lengths) - lengths)[full]
+    # Texts by different words and how often each stands in them.
+    place = np.repeat(np.arange(len(full)) * SLOTS, lengths[full]) + slots
+    if len(full) * SLOTS < 1 << 31:
+        place = place.astype(np.int32)
+    place.sort()
+    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+    counts = np.diff(np.append(first, len(place))).astype(np.float32)
+    place = place[first]
+    different, owner = place % SLOTS, place // SLOTS
+    bounds = np.searchsorted(owner, np.arange(len(full) + 1)).tolist()
+    # Sums and sums of squares by one product for each text.
+    both = np.concatenate([vectors, vectors * vectors], axis=1)
+    sums = np.zeros((len(full), 4 * WIDTH), np.float32)
+    for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        for at in range(a, b, POOLED):
+            some = slice(at, min(at + POOLED, b))
+            sums[i] += counts[some] @ both[different[some]]
+    sums /= n[:, None]
+    mean, square = sums[:, : 2 * WIDTH], sums[:, 2 * WIDTH :]
+    spread = np.sqrt(np.maximum(square - mean * mean, 0))
     repeated = np.concatenate(([0.0], slots[1:] == slots[:-1]))
-    likeness = np.concatenate(([0.0], np.einsum("ij,ij->i", words[1:], words[:-1])))
+    likeness = np.zeros(len(slots))
+    for at in range(0, len(slots), POOLED):
+        words = vectors[slots[at : at + POOLED + 1]]
+        likeness[at + 1 : at + POOLED + 1] = np.einsum("ij,ij->i", words[1:], words[:-1])
     repeated[starts], likeness[starts] = 0, 0  # a text's first word has none before it
-    order = np.lexsort((slots, np.repeat(np.arange(len(full)), lengths[full])))
-    fresh = np.concatenate(([1.0], slots[order][1:] != slots[order][:-1]))
-    fresh[starts] = 1
-    scalars = [np.add.reduceat(x, starts)[:, None] / n for x in (repeated, likeness, fresh)]
-    out[full] = np.concatenate([mean, spread, *scalars, np.log1p(n)], axis=1)
+    scalars = [np.add.reduceat(x, starts) / n for x in (repeated, likeness)]
+    fresh = np.diff(bounds) / n
+    out[full] = np.column_stack([mean, spread, *scalars, fresh, np.log1p(n)])
     return out
 
 
@@ -152,6 +189,15 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def gradients(parameters: list[np.ndarray], z: np.ndarray, w: np.ndarray, t: np.ndarray) -> list[np.ndarray]:
+    """Of the weighted log loss with a small penalty on the weights: first layer, its bias, second layer, its bias."""
+    first, bias, second, offset = parameters
+    hidden = np.maximum(z @ first + bias, 0)
+    error = w * (_sigmoid(hidden @ second + offset) - t)
+    back = np.outer(error, second) * (hidden > 0)
+    return [z.T @ back + PENALTY * first, back.sum(axis=0), hidden.T @ error + PENALTY * second, error.sum()]
+
+
 def fit_network(x: np.ndarray, y: np.ndarray, weight: np.ndarray, unseen: np.ndarray) -> Network:
     """Full-batch Adam on the rows not ``unseen``; the temperature is the one with the least log loss on the others."""
     rng = np.random.default_rng(SEED)
@@ -166,12 +212,7 @@ def fit_network(x: np.ndarray, y: np.ndarray, weight: np.ndarray, unseen: np.nda
     ]
     mean, square = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
     for step in range(1, STEPS + 1):
-        first, bias, second, offset = parameters
-        hidden = np.maximum(z @ first + bias, 0)
-        error = w * (_sigmoid(hidden @ second + offset) - t)
-        back = np.outer(error, second) * (hidden > 0)
-        gradients = [z.T @ back + 1e-4 * first, back.sum(axis=0), hidden.T @ error + 1e-4 * second, error.sum()]
-        for i, g in enumerate(gradients):
+        for i, g in enumerate(gradients(parameters, z, w, t)):
             mean[i] = 0.9 * mean[i] + 0.1 * g
             square[i] = 0.999 * square[i] + 0.001 * g * g
             parameters[i] = parameters[i] - 0.02 * (mean[i] / (1 - 0.9**step)) / (np.sqrt(square[i] / (1 - 0.999**step)) + 1e-9)
