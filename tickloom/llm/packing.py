@@ -27,12 +27,13 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.chunks import slices, token_encoder
+from tickloom.llm.chunks import forget_encoders, slices, token_encoder
+from tickloom.operators.series import number_rows
+from tickloom.operators.stacking import stack
 from tickloom.sources.staging import stage
 
 CAPACITY = 2048
@@ -253,30 +254,66 @@ def complete_bins(lengths: np.ndarray, capacity: int, nodes: int = NODES, width:
     return incumbent
 
 
+PACKED = f"{PIECES}, group long, sequence long, offset long, room long"
+
+
 def _packed(capacity: int, nodes: int):
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        # Pieces of one length are alike; the order of the others in a group makes the result the same at every run.
-        rows = rows.sort_values(["length", "key", "piece", "ids_crc32", "start"], kind="stable").reset_index(drop=True)
-        lengths = rows["length"].to_numpy()
+    """A mapInArrow function over rows that are sorted by group and length: sequence and offset of every row."""
+
+    def places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sequences = complete_bins(lengths, capacity, nodes)
         bins = np.repeat(np.arange(len(sequences)), [len(s) for s in sequences])
         members = np.array([n for s in sequences for n in s], dtype=np.int64)
         offsets = np.concatenate([np.cumsum([0, *s[:-1]]) for s in sequences])
         fill = np.array([sum(s) for s in sequences], dtype=np.int64)
         by_length = np.argsort(members, kind="stable")  # the i-th smallest member takes the i-th row
-        rows["sequence"], rows["offset"] = bins[by_length], offsets[by_length]
-        rows["room"] = capacity - fill[bins[by_length]]
-        return rows[["key", "piece", "start", "length", "ids_crc32", "group", "sequence", "offset", "room"]]
+        return bins[by_length], offsets[by_length], capacity - fill[bins[by_length]]
 
-    return pack
+    def solved(table: pa.Table) -> pa.RecordBatch:
+        """All rows of one group."""
+        batch = table.combine_chunks().to_batches()[0]
+        added = [pa.array(x.astype(np.int64)) for x in places(np.asarray(batch.column("length")))]
+        return pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "sequence", "offset", "room"])
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
+        held: list[pa.RecordBatch] = []  # rows of the group that goes on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = np.asarray(batch.column("group"))
+            starts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist()]
+            for a, b in zip(starts, [*starts[1:], len(group)]):
+                if held and held[0].column("group")[0].as_py() != group[a]:
+                    yield solved(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield solved(pa.Table.from_batches(held))
 
-PACKED = f"{PIECES}, group long, sequence long, offset long, room long"
+    return pack
 
 
-def _grouped(pieces: DataFrame, groups: int, first: int) -> DataFrame:
-    dealt = F.pmod(F.xxhash64(F.lit(first), "key", "piece", "ids_crc32", "length"), F.lit(groups))
-    return pieces.withColumn("group", (dealt + first).cast("long"))
+def _grouped(pieces: DataFrame, groups: int, first: int, group_pieces: int) -> DataFrame:
+    """Adds ``group``: a hash of the row, and for rows of which there are many equal ones of their number too."""
+    row = ["key", "piece", "ids_crc32", "length", "start"]
+    counts = pieces.groupBy(*row).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > max(1, group_pieces // 16))
+    counts = stage(counts.drop("copies"), "copied-pieces")
+    dealt = F.xxhash64(F.lit(first), *row[:4])
+    if counts.isEmpty():
+        spread = pieces.withColumn("dealt", dealt)
+    else:
+        # Null keys are equal here too.
+        same = [F.col(f"p.{c}").eqNullSafe(F.col(f"c.{c}")) for c in row]
+        others = pieces.alias("p").join(counts.alias("c"), same, "left_anti")
+        copies = number_rows(
+            pieces.alias("p").join(counts.alias("c"), same, "left_semi").withColumn("like", F.xxhash64(F.col("key").isNull(), *row)),
+            ["like"], row, "copy",
+        )
+        spread = stack(
+            others.withColumn("dealt", dealt), copies.withColumn("dealt", F.xxhash64("like", "copy")).select(*pieces.columns, "dealt")
+        )
+    return spread.withColumn("group", (F.pmod("dealt", F.lit(groups)) + first).cast("long")).drop("dealt")
 
 
 def pack_pieces(
@@ -292,17 +329,16 @@ def pack_pieces(
         if not rows and done:
             break
         groups = max(1, -(-rows // group_pieces))
-        # The rows are few bytes and much work: their number of tasks follows the groups, not the bytes.
-        dealt = _grouped(rest, groups, first).repartition(min(groups, TASKS), "group")
-        packed = stage(dealt.groupBy("group").applyInPandas(_packed(capacity, nodes), PACKED), "packed")
+        # The rows are few bytes and much work: their number of tasks follows the groups, not the bytes.  Pieces of one
+        # length are alike; the order of the others in a group makes the result the same at every run.
+        dealt = _grouped(rest, groups, first, group_pieces).repartition(min(groups, TASKS), "group")
+        sorted_rows = dealt.sortWithinPartitions("group", "length", "key", "piece", "ids_crc32", "start")
+        packed = stage(sorted_rows.mapInArrow(_packed(capacity, nodes), PACKED), "packed")
         last, much = turn == rounds - 1, F.col("room") >= capacity * REOPENED
         done.append(packed if last else packed.where(~much))
         rest, first = packed.where(much).select(*pieces.columns), first + groups
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
     # Group and place in the group: a group has fewer sequences than pieces.
-    return out.withColumn("sequence_id", F.shiftleft(F.col("group"), 32) + F.col("sequence")).drop(
+    return stack(*done).withColumn("sequence_id", F.shiftleft(F.col("group"), 32) + F.col("sequence")).drop(
         "group", "sequence", "room"
     )
 
