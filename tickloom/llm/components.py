@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.stacking import stack
-from tickloom.sources.staging import stage
+from tickloom.sources.staging import Scratch, stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,16 +30,19 @@ FILE_LINKS = 200_000
 def component_roots(links: DataFrame) -> DataFrame:
     """``node, root`` of every node that is not the least of its component, from links ``a, b`` of integers.
 
-    Each round is written to the shared folder; it ends when the links no longer change, after a number of rounds that
-    grows with the logarithm of the longest chain.
+    Each round is written to the shared folder, and the one before it is deleted; it ends when the links no longer
+    change, after a number of rounds that grows with the logarithm of the longest chain.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = stage(edges, "links")
-    mark = None
-    while True:
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == mark or not now[0]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        mark, files = now, 1 + now[0] // FILE_LINKS
-        larger = stage(_large_star(edges).where("a <> b").distinct().coalesce(files), "links")
-        edges = stage(_small_star(larger).where("a <> b").distinct().coalesce(files), "links")
+    with Scratch(links.sparkSession) as scratch:
+        edges = scratch.stage(edges, "links")
+        mark = None
+        while True:
+            now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+            if now == mark or not now[0]:
+                return stage(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).coalesce(1 + now[0] // FILE_LINKS), "roots")
+            mark, files = now, 1 + now[0] // FILE_LINKS
+            larger = scratch.stage(_large_star(edges).where("a <> b").distinct().coalesce(files), "links")
+            scratch.drop(edges)
+            edges = scratch.stage(_small_star(larger).where("a <> b").distinct().coalesce(files), "links")
+            scratch.drop(larger)

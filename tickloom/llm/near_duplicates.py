@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.chunks import ChunkEncoder, slices
 from tickloom.llm.components import component_roots
 from tickloom.operators.stacking import stack
-from tickloom.sources.staging import stage
+from tickloom.sources.staging import Scratch, stage
 
 #: Similarity as a fraction, unless a caller names another.
 LEAST = (9, 10)
@@ -60,7 +60,7 @@ SALTS = 64
 #: Partners that a signature's sets get in the first round; each later round takes so many times as many.
 PARTNERS = 64
 #: Sketch bytes for each element by which sets may differ.
-SKETCH = 8
+SKETCH = 3
 #: Sets with fewer shingles vote with all their signatures.
 FEW_SHINGLES = 64
 #: Documents' rows that one file of a written round holds, about.
@@ -254,6 +254,18 @@ def _lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
 KINDS = ("full", "full_above", "deleted", "deleted_above")
 
 
+DIGEST = ["n", "d1", "d2"]
+
+
+def _digests(sizes: np.ndarray, values: np.ndarray) -> list[pa.Array]:
+    of, out = np.repeat(np.arange(len(sizes)), sizes), []
+    for seed in (_A, _B):
+        sums = np.zeros(len(sizes), np.uint64)
+        np.add.at(sums, of, _mix(values ^ seed))
+        out.append(pa.array(sums.view(np.int64)))
+    return out
+
+
 def _signed_sets(docs: DataFrame, width: int, sets: int, least: tuple[int, int]) -> DataFrame:
     """``doc, n, d1, d2`` and the signatures of each kind: size, digest and signatures of every text's set."""
 
@@ -262,43 +274,44 @@ def _signed_sets(docs: DataFrame, width: int, sets: int, least: tuple[int, int])
             for part in slices(batch, "text", SLICE):
                 sizes, values = shingle_sets(part.column("text"), width)
                 owner, signature, kind = signatures(sizes, values, sets, least)
-                of = np.repeat(np.arange(len(sizes)), sizes)
-                digests = []
-                for seed in (_A, _B):
-                    sums = np.zeros(len(sizes), np.uint64)
-                    np.add.at(sums, of, _mix(values ^ seed))
-                    digests.append(pa.array(sums.view(np.int64)))
                 lists = [_lists(owner[kind == k], signature[kind == k], len(sizes)) for k in range(len(KINDS))]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc"), pa.array(sizes, pa.int64()), *digests, *lists], ["doc", "n", "d1", "d2", *KINDS]
-                )
+                columns = [part.column("doc"), pa.array(sizes, pa.int64()), *_digests(sizes, values), *lists]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", *DIGEST, *KINDS])
 
     lists = ", ".join(f"{k} array<long>" for k in KINDS)
     return docs.mapInArrow(sign, f"doc long, n long, d1 long, d2 long, {lists}")
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, least: tuple[int, int]) -> DataFrame:
-    """``doc, elements, own_sketch, below_sketch`` of the documents in ``wanted``."""
-    few = wanted.count() <= FEW_SETS
-    some = docs.join(F.broadcast(wanted) if few else wanted, "doc")
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of the documents in ``wanted``, which may hold other sets too."""
+    keys = wanted.select("key").distinct()
+    few = keys.count() <= FEW_SETS
+    return docs.join(F.broadcast(keys) if few else keys, docs["doc"] == keys["key"], "left_semi").select("text")
+
+
+def _made_of(docs: DataFrame, wanted: DataFrame, width: int, make, names: list[str]) -> DataFrame:
+    """``doc`` and the binary columns that ``make(sizes, values)`` gives for the set of every row of ``wanted``.
+
+    ``wanted`` has ``doc`` (the set's node), ``key`` (a document with that set) and the set's digest.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 sizes, values = shingle_sets(part.column("text"), width)
-                data, ends = values.tobytes(), 8 * np.cumsum(sizes)
-                whole = [data[e - 8 * n : e] for e, n in zip(ends.tolist(), sizes.tolist())]
-                columns = [pa.array(c, pa.binary()) for c in (whole, *sketches(sizes, values, least))]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc"), *columns], ["doc", "elements", "own_sketch", "below_sketch"]
-                )
-
-    found = some.select("doc", "text").mapInArrow(
-        find, "doc long, elements binary, own_sketch binary, below_sketch binary"
-    )
-    # A document given twice has one set here.
-    one = F.max_by(F.struct("elements", "own_sketch", "below_sketch"), "elements").alias("one")
-    return stage(found.groupBy("doc").agg(one).select("doc", "one.*"), "sets")
+                columns = [pa.array(sizes, pa.int64()), *_digests(sizes, values)]
+                columns += [pa.array(c, pa.binary()) for c in make(sizes, values)]
+                yield pa.RecordBatch.from_arrays(columns, [*DIGEST, *names])
+
+    kinds = ", ".join([*(f"{c} long" for c in DIGEST), *(f"{c} binary" for c in names)])
+    # Equal texts are one set; the documents may have sets that are not wanted.
+    found = _texts_of(docs, wanted).mapInArrow(find, kinds).groupBy(*DIGEST).agg(*[F.first(c).alias(c) for c in names])
+    return found.join(wanted.select("doc", *DIGEST), DIGEST).select("doc", *names)
+
+
+def _elements(sizes: np.ndarray, values: np.ndarray) -> list[list[bytes]]:
+    data, ends = values.tobytes(), 8 * np.cumsum(sizes)
+    return [[data[e - 8 * n : e] for e, n in zip(ends.tolist(), sizes.tolist())]]
 
 
 def similar(x: np.ndarray, y: np.ndarray, least: tuple[int, int] = LEAST) -> bool:
@@ -332,7 +345,34 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> Data
             kinds = (pa.int64(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "b", "linked"])
 
-    return stage(together.mapInArrow(compare, "a long, b long, linked boolean"), "verified")
+    return together.mapInArrow(compare, "a long, b long, linked boolean")
+
+
+def _not_refuted(pairs: DataFrame, drawn: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Those of the pairs ``a, b`` whose sketches differ in no more bytes than similar sets may.
+
+    Of two bands' sets the one of the larger band takes part with the sketch of the group below it.
+    """
+    over, under = least
+    first = pairs.join(drawn.select(F.col("doc").alias("a"), *[F.col(c).alias(f"a_{c}") for c in DRAWN]), "a")
+    both = first.join(drawn.select(F.col("doc").alias("b"), *[F.col(c).alias(f"b_{c}") for c in DRAWN]), "b")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
+            fit = []
+            for n, m, x, y, u, v in zip(*(columns[f"{s}_{c}"] for c in DRAWN for s in "ab")):
+                # The sketches of the group that both are in: of one band, or one's own and the other's below.
+                own, other = (x, y) if len(x) == len(y) else (x, v) if len(x) == len(v) else (u, y)
+                if len(own) == len(other):
+                    unlike = int((np.frombuffer(own, np.uint8) != np.frombuffer(other, np.uint8)).sum())
+                    fit.append((under + over) * unlike <= (under - over) * (n + m))
+                else:
+                    fit.append(False)  # bands apart
+            yield batch.select(["a", "b"]).filter(pa.array(fit, pa.bool_()))
+
+    columns = ["a", "b", *(f"{s}_{c}" for c in DRAWN for s in "ab")]
+    return both.select(*columns).mapInArrow(keep, "a long, b long")
 
 
 def _firsts(rows: DataFrame, least: tuple[int, int]) -> DataFrame:
@@ -406,6 +446,12 @@ def _partners(rows: DataFrame, sets: DataFrame, since: int, until: int, least: t
     return ordered.mapInArrow(pair, "a long, b long").distinct()
 
 
+#: What pairs are refuted by: the size of a set and its two sketches.
+DRAWN = ["size", "own_sketch", "below_sketch"]
+#: A set is joined by broadcast when more than this part of all rows have it; so there are fewer such sets.
+HOT_PART = 512
+
+
 def similar_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, least: tuple[int, int] = LEAST
 ) -> DataFrame:
@@ -413,50 +459,91 @@ def similar_components(
 
     Sets of shingles of ``width`` words are linked whose Jaccard similarity is at least the fraction ``least``.
 
-    Null and empty texts have an empty set and no links.  Keys are meant to be unique: of rows with one key and
-    different texts only one text is compared.  A row without a key has no links and no component.  Columns of other
-    names are not read.
+    Null and empty texts have an empty set and no links.  A row without a key has no links and no component.  Rows that
+    share a key but not their set are linked each by its own set.  Columns of other names are not read.
     """
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    signed = stage(_signed_sets(docs, width, max(1, docs.count() // 64), least), "signed-sets")
-    named = signed.where("doc is not null and n > 0")
-    # Equal sets are one, by their least key.
-    digest = ["n", "d1", "d2"]
-    unique = named.groupBy(*digest).agg(
-        F.min("doc").alias("doc"), *[F.first(k).alias(k) for k in KINDS]
+    with Scratch(docs.sparkSession) as scratch:
+        signed = scratch.stage(_signed_sets(docs, width, max(1, docs.count() // 64), least), "signed-sets")
+        named = signed.where("doc is not null and n > 0")
+        found = scratch.stage(signed.select("doc", *DIGEST), "documents-sets")
+        # Equal sets are one, named by their least key; sets that would share a name are named by their digest.
+        firsts = found.where("doc is not null and n > 0").groupBy(*DIGEST).agg(
+            F.min("doc").alias("key"), F.count(F.lit(1)).alias("rows")
+        )
+        firsts = scratch.stage(firsts, "least-keys")
+        shared = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+        shared = scratch.stage(shared, "shared-keys")
+        node = F.when(F.col("sets").isNotNull(), F.xxhash64(F.lit(7), *DIGEST)).otherwise(F.col("key"))
+        firsts = scratch.stage(firsts.join(shared, "key", "left").withColumn("doc", node).drop("sets"), "sets-nodes")
+
+        def of_kind(number: int):
+            return F.transform(KINDS[number], lambda s: F.struct(s.alias("signature"), F.lit(number).alias("kind")))
+
+        unique = named.groupBy(*DIGEST).agg(F.min("doc").alias("key"), *[F.first(k).alias(k) for k in KINDS])
+        unique = unique.join(shared, "key", "left").withColumn("doc", node)
+        rows = unique.select("doc", "n", F.inline(F.concat(*[of_kind(k) for k in range(len(KINDS))])))
+        met = scratch.stage(_met(rows), "met")
+        scratch.drop(signed)
+        wanted = scratch.stage(firsts.join(met.select("doc").distinct(), "doc", "left_semi"), "met-sets")
+        files = 8 + wanted.count() // FILE_ROWS
+        drawn = _made_of(docs, wanted, width, lambda sizes, values: sketches(sizes, values, least), DRAWN[1:])
+        drawn = drawn.join(wanted.select("doc", F.col("n").alias("size")), "doc")
+        drawn = scratch.stage(drawn.coalesce(files), "sketches")
+        sets = None
+
+        def verified(pairs: DataFrame) -> DataFrame:
+            """Verdicts on pairs; the sets that none before needed are made from their texts."""
+            nonlocal sets
+            needed = stack(pairs.select(F.col("a").alias("doc")), pairs.select(F.col("b").alias("doc"))).distinct()
+            if sets is not None:
+                needed = needed.join(sets.select("doc"), "doc", "left_anti")
+            needed = scratch.stage(wanted.join(needed, "doc", "left_semi"), "needed-sets")
+            made = scratch.stage(_made_of(docs, needed, width, _elements, ["elements"]), "sets")
+            scratch.drop(needed)
+            sets = made if sets is None else stack(sets, made)
+            return scratch.stage(_verified(pairs, sets, least).coalesce(files), "verified")
+
+        # Each set with the one it shares most signatures with among the first ones.
+        best = _firsts(met, least).groupBy("a").agg(F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"))
+        best = scratch.stage(_not_refuted(best, drawn, least).coalesce(files), "partners")
+        compared = verified(best)
+        roots = component_roots(compared.where("linked").select("a", "b"))
+        done, until = 0, PARTNERS
+        while True:
+            before = met
+            met = scratch.stage(_open(_rooted(met, roots), done).coalesce(files), "open")
+            scratch.drop(before)
+            if not met.take(1):
+                break
+            new = _partners(met, drawn, done, until, least).join(compared, ["a", "b"], "left_anti")
+            more = verified(scratch.stage(new.coalesce(files), "partners"))
+            met, done, until = met.drop("root"), until, until * PARTNERS
+            compared = scratch.stage(stack(compared, more).coalesce(files), "verified")
+            linked = more.where("linked").select("a", "b")
+            if linked.take(1):
+                known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+                roots = component_roots(stack(known, linked))
+        return stage(_answers(found, firsts, roots).withColumnRenamed("doc", key), "components")
+
+
+def _answers(found: DataFrame, firsts: DataFrame, roots: DataFrame) -> DataFrame:
+    """``doc, n_shingles, component_id`` of every row, from its set and the components of sets."""
+    rooted = _rooted(firsts, roots)
+    # Names of sets are not all keys: a component is called by its least key.
+    linked = rooted.join(stack(roots.select("root"), roots.select(F.col("node").alias("root"))).distinct(), "root", "left_semi")
+    names = linked.groupBy("root").agg(F.min("key").alias("least_key"))
+    own = rooted.join(names, "root", "left").select(*DIGEST, "rows", F.coalesce("least_key", "key").alias("component_id"))
+    hot = F.col("rows") * HOT_PART > F.lit(found.count())
+    with_set = found.where("doc is not null and n > 0")
+    # All sets' rows together are the table, so fewer than HOT_PART are hot.
+    few, rest = F.broadcast(own.where(hot).drop("rows")), own.where(~hot).drop("rows")
+    out = stack(
+        with_set.join(few, DIGEST),
+        with_set.join(F.broadcast(own.where(hot).select(*DIGEST)), DIGEST, "left_anti").join(rest, DIGEST),
+        found.where("doc is null or n = 0").withColumn("component_id", F.col("doc")),
     )
-
-    def of_kind(number: int):
-        return F.transform(KINDS[number], lambda s: F.struct(s.alias("signature"), F.lit(number).alias("kind")))
-
-    rows = unique.select("doc", "n", F.inline(F.concat(*[of_kind(k) for k in range(len(KINDS))])))
-    met = stage(_met(rows), "met")
-    wanted = stage(met.select("doc").distinct(), "met-documents")
-    sets = _sets_of(docs, wanted, width, least)
-    files = 8 + wanted.count() // FILE_ROWS
-
-    # Each set with the one it shares most signatures with among the first ones.
-    best = _firsts(met, least).groupBy("a").agg(F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"))
-    compared = _verified(best, sets, least)
-    roots = stage(component_roots(compared.where("linked").select("a", "b")), "roots")
-    done, until = 0, PARTNERS
-    while True:
-        met = stage(_open(_rooted(met, roots), done).coalesce(files), "open")
-        if not met.take(1):
-            break
-        new = _partners(met, sets, done, until, least).join(compared, ["a", "b"], "left_anti")
-        more = _verified(stage(new.coalesce(files), "partners"), sets, least)
-        met, done, until = met.drop("root"), until, until * PARTNERS
-        compared = stage(stack(compared, more).coalesce(files), "verified")
-        linked = more.where("linked").select("a", "b")
-        if linked.take(1):
-            known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = stage(component_roots(stack(known, linked)), "roots")
-    firsts = named.groupBy(*digest).agg(F.min("doc").alias("doc"))
-    own = _rooted(firsts, roots).select(*digest, F.col("root").alias("set_root"))
-    by_set = signed.select("doc", *digest).join(own, digest, "left")
-    found = by_set.withColumn("component_id", F.when(F.col("doc").isNotNull(), F.coalesce("set_root", "doc")))
-    return found.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), "component_id")
+    return out.select("doc", F.col("n").alias("n_shingles"), "component_id")
 
 
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
