@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.fingerprints import compare_with_next
-from tickloom.llm.mixing import BUCKET_ROWS, SEED, mix
+from tickloom.llm.mixing import SEED, mix
 from tickloom.llm.near_duplicates import similar_components
 from tickloom.llm.registry import query, table
 from tickloom.llm.sharding import assign_shards
@@ -40,33 +40,23 @@ targets AS (
   FROM marked),
 wanted AS (
   SELECT *, CASE WHEN n > 0 THEN floor(target / n) ELSE 0 END AS whole FROM targets),
-grouped AS (
-  SELECT source, place, sum(size) AS size, floor(place::HUGEINT / (1::HUGEINT << (60 - bits)))::BIGINT AS bucket
-  FROM (SELECT s.source, ('0x' || place)::BIGINT AS place, size,
-               greatest(0, ceil(log2(count(*) OVER (PARTITION BY s.source) / {BUCKET_ROWS})))::INT AS bits FROM sized s)
-  GROUP BY ALL),
-ends AS (
-  SELECT g.*, w.target - w.whole * w.n AS part, sum(size) OVER (PARTITION BY g.source ORDER BY place) AS upto,
-         sum(size) OVER (PARTITION BY g.source ORDER BY bucket) AS bucket_upto
-  FROM grouped g JOIN wanted w ON g.source IS NOT DISTINCT FROM w.source),
-edge AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY place) AS i,
-         first_value(upto - size) OVER (PARTITION BY source ORDER BY place) AS before
-  FROM (SELECT *, min(bucket) FILTER (bucket_upto > part) OVER (PARTITION BY source) AS edge FROM ends) WHERE bucket = edge),
+walked AS (
+  SELECT s.source, s.place, sum(s.size) AS size, row_number() OVER (PARTITION BY s.source ORDER BY s.place) AS i,
+         floor(any_value(w.target - w.whole * w.n)) AS part, any_value(w.target - w.whole * w.n) > 0 AS has_part
+  FROM sized s JOIN wanted w ON s.source IS NOT DISTINCT FROM w.source GROUP BY s.source, s.place),
 walk AS (
-  SELECT source, place, i, size <= part - before AS fits, part - before - CASE WHEN size <= part - before THEN size ELSE 0 END
-         AS rest FROM edge WHERE i = 1
+  SELECT source, place, i, size <= part AS fits, part - CASE WHEN size <= part THEN size ELSE 0 END AS rest
+  FROM walked WHERE i = 1 AND has_part
   UNION ALL
   SELECT e.source, e.place, e.i, e.size <= w.rest, w.rest - CASE WHEN e.size <= w.rest THEN e.size ELSE 0 END
-  FROM walk w JOIN edge e ON e.source IS NOT DISTINCT FROM w.source AND e.i = w.i + 1),
+  FROM walk w JOIN walked e ON e.source IS NOT DISTINCT FROM w.source AND e.i = w.i + 1),
 taken AS (
-  SELECT e.source, e.place, w.n, w.target,
-         w.whole + CASE WHEN k.fits OR (k.fits IS NULL AND e.bucket_upto <= e.part) THEN 1 ELSE 0 END AS repeats
-  FROM ends e JOIN wanted w ON e.source IS NOT DISTINCT FROM w.source
+  SELECT e.source, e.place, w.n, w.target, w.whole + CASE WHEN k.fits THEN 1 ELSE 0 END AS repeats
+  FROM walked e JOIN wanted w ON e.source IS NOT DISTINCT FROM w.source
   LEFT JOIN walk k ON k.source IS NOT DISTINCT FROM e.source AND k.place = e.place)
 SELECT s.doc_id, CAST(s.size AS BIGINT) AS size, CAST(t.n AS BIGINT) AS source_size, round(t.target, 6) AS target,
        CAST(s.size * t.repeats AS BIGINT) AS taken
-FROM sized s JOIN taken t ON s.source IS NOT DISTINCT FROM t.source AND ('0x' || s.place)::BIGINT = t.place
+FROM sized s JOIN taken t ON s.source IS NOT DISTINCT FROM t.source AND s.place = t.place
 """
 
 

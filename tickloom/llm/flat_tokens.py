@@ -22,6 +22,8 @@ from tickloom.llm.shared_files import reading, writing
 from tickloom.sources.staging import stage
 
 BLOCK_IDS = 1 << 20
+#: Blocks that one task scans, one after the other.
+TASK_BLOCKS = 16
 
 
 def write_flat_files(
@@ -134,6 +136,6 @@ def token_counts(paths: DataFrame, end_id: int, block_ids: int = BLOCK_IDS) -> D
     files = paths.select("path").distinct()
     spread = files.repartition(max(1, files.count()))
     blocks = stage(blocks_of(spread, block_ids), "flat-blocks")
-    tasks = max(1, blocks.count())
+    tasks = max(1, -(-blocks.count() // TASK_BLOCKS))
     # Written, so that its size is known where it is joined: it has a row for each document.
     return stage(document_spans(scan_blocks(blocks.repartition(tasks), end_id)), "flat-spans")

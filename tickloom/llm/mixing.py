@@ -8,10 +8,13 @@ sources at their cap come first, so running sums over the sources, one row for
 each, tell which those are.
 
 A source's target is taken in whole repetitions of all its documents and one
-repetition of a part of them: those that come first in a seeded order, as long
-as the part lasts.  Its end is found without sorting a source: sums over coarse
-buckets of the order name one bucket, sums over its fine buckets one of these,
-and of that one's documents each is taken that still fits.
+repetition of a part of them: in a seeded order each document is taken that still
+fits into what is left of the part, so what is missed at the end is less than the
+smallest document left out.  No source is sorted or walked through.  In rounds,
+for all sources side by side: of the documents that are small enough, sums over
+coarse buckets of the order name the bucket in which the rest runs out, sums over
+its fine buckets one of these; all before it are taken, its few documents are
+walked through, and the next round goes on behind it with the smaller rest.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.stacking import stack
 from tickloom.sources.staging import stage
 
 #: What is between words: space, and the characters from tab to carriage return.
@@ -80,10 +84,14 @@ def source_targets(
     return filled.select("source", "source_size", "rows", "weight", target.alias("target"))
 
 
+_LAST = 2**63 - 1
+
+
 def source_cuts(placed: DataFrame, targets: DataFrame) -> DataFrame:
-    """Adds ``whole`` repetitions to each source, and the part taken once more: places to ``last``, and those in ``extra``.
+    """Adds to each source ``whole`` repetitions, and what of it is taken once more: ``spans`` and single ``places``.
 
-    ``placed`` has a row ``source, size, place`` for each document.
+    ``placed`` has a row ``source, size, place`` for each document; rows of one place are one document.  A span is taken
+    from behind its ``start`` to its ``end`` but for documents above its ``limit``.
     """
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("rows") / BUCKET_ROWS))).cast("int")
@@ -94,63 +102,109 @@ def source_cuts(placed: DataFrame, targets: DataFrame) -> DataFrame:
         .withColumn("coarse_shift", (_BITS - F.floor(bits / 2)).cast("int")),
         "mix-sources",
     )
-    named = wanted.withColumnRenamed("source", "of")
-    rows = placed.join(named, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    # A source taken in whole repetitions alone has no part; its empty texts would still fit into none.
+    state = wanted.where("part > 0").select(
+        F.col("source").alias("of"), F.floor("part").alias("rest"), F.lit(-1).cast("long").alias("start"), "fine_shift", "coarse_shift"
+    )
+    rounds = []
+    state = stage(state, "mix-state")
+    while not state.isEmpty():
+        done = _round(placed, state)
+        rounds.append(done)
+        state = stage(
+            done.where("edge is not null").select(
+                "of", F.col("left").alias("rest"), F.expr("shiftleft(edge + 1, fine_shift) - 1").alias("start"), "fine_shift", "coarse_shift"
+            ),
+            "mix-state",
+        )
+    if not rounds:
+        return wanted.select(
+            "source", "source_size", "target", "whole",
+            F.expr("cast(array() as array<struct<start: bigint, end: bigint, limit: bigint>>)").alias("spans"),
+            F.expr("cast(array() as array<bigint>)").alias("places"),
+        )
+    end = F.when(F.col("edge").isNull(), F.lit(_LAST)).otherwise(F.expr("shiftleft(edge, fine_shift) - 1"))
+    span = F.struct("start", end.alias("end"), F.col("rest").alias("limit"))
+    taken = (
+        stack(*rounds).groupBy("of")
+        .agg(F.array_sort(F.collect_list(span)).alias("spans"), F.flatten(F.collect_list("places")).alias("places"))
+    )
+    return wanted.join(taken, F.col("source").eqNullSafe(F.col("of")), "left").select(
+        "source", "source_size", "target", "whole", "spans", "places"
+    )
+
+
+def _round(placed: DataFrame, state: DataFrame) -> DataFrame:
+    """One round: ``state`` with the fine bucket ``edge`` in which the rest runs out (null if it doesn't), the ``places``
+    taken in it and what is ``left`` after it."""
+    same = F.col("source").eqNullSafe(F.col("of"))
+    rows = placed.join(state, same).where((F.col("place") > F.col("start")) & (F.col("size") <= F.col("rest")))
     rows = rows.withColumn("coarse", F.expr("shiftright(place, coarse_shift)")).withColumn(
         "fine", F.expr("shiftright(place, fine_shift)")
     )
-    fine = stage(
-        rows.groupBy("source", "part", "coarse", "fine").agg(F.sum("size").alias("size")), "mix-buckets"
-    )
+    sums = rows.groupBy("source", "rest", "coarse", "fine").agg(F.sum("size").alias("size"))
+    sums = stage(sums, "mix-buckets")
 
     def edge(buckets: DataFrame, by: str) -> DataFrame:
-        """Of every source the bucket in which the sum of sizes passes its part, and the sum before it."""
+        """Of every source the bucket in which the sum of sizes passes its rest, and the sum before it."""
         up_to = Window.partitionBy("source").orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        sums = buckets.withColumn("upto", F.col("before") + F.sum("size").over(up_to))
+        upto = buckets.withColumn("upto", F.col("before") + F.sum("size").over(up_to))
         return (
-            sums.where(F.col("upto") > F.col("part"))
+            upto.where(F.col("upto") > F.col("rest"))
             .groupBy("source")
             .agg(F.min_by(F.struct(by, (F.col("upto") - F.col("size")).alias("before")), by).alias("edge"))
-            .select(F.col("source").alias("of"), F.col(f"edge.{by}").alias("edge"), F.col("edge.before").alias("before"))
+            .select(F.col("source").alias("at"), F.col(f"edge.{by}").alias("edge"), F.col("edge.before").alias("before"))
         )
 
-    same = F.col("source").eqNullSafe(F.col("of"))
-    coarse = fine.groupBy("source", "part", "coarse").agg(F.sum("size").alias("size")).withColumn("before", F.lit(0).cast("long"))
+    there = F.col("source").eqNullSafe(F.col("at"))
+    coarse = sums.groupBy("source", "rest", "coarse").agg(F.sum("size").alias("size")).withColumn("before", F.lit(0).cast("long"))
     in_coarse = stage(edge(coarse, "coarse"), "mix-coarse")
     in_fine = stage(
-        edge(fine.join(in_coarse, same & (F.col("coarse") == F.col("edge"))).drop("of", "edge"), "fine"), "mix-fine"
+        edge(sums.join(in_coarse, there & (F.col("coarse") == F.col("edge"))).drop("at", "edge"), "fine"), "mix-fine"
     )
-    # Documents of the edge buckets, in order, each taken if it still fits; equal places are one document.
+    # Documents of the edge buckets, in order, each taken if it still fits.
     near = (
-        rows.join(in_fine, same & (F.col("fine") == F.col("edge")))
-        .groupBy("source", "part", "before", "place")
+        rows.join(in_fine, there & (F.col("fine") == F.col("edge")))
+        .groupBy("source", "rest", "before", "place")
         .agg(F.sum("size").alias("size"))
     )
-    nothing = F.struct(
-        (F.col("part") - F.col("before")).cast("double").alias("rest"), F.array().cast("array<bigint>").alias("places")
-    )
+    nothing = F.struct((F.col("rest") - F.col("before")).alias("left"), F.expr("cast(array() as array<bigint>)").alias("places"))
 
     def taken(so_far: Column, doc: Column) -> Column:
         more = F.struct(
-            (so_far["rest"] - doc["size"]).alias("rest"), F.concat(so_far["places"], F.array(doc["place"])).alias("places")
+            (so_far["left"] - doc["size"]).alias("left"), F.concat(so_far["places"], F.array(doc["place"])).alias("places")
         )
-        return F.when(doc["size"] <= so_far["rest"], more).otherwise(so_far)
+        return F.when(doc["size"] <= so_far["left"], more).otherwise(so_far)
 
-    fitting = (
-        near.groupBy("source", "part", "before")
+    walked = (
+        near.groupBy("source", "rest", "before")
         .agg(F.sort_array(F.collect_list(F.struct("place", "size"))).alias("docs"))
-        .select(F.col("source").alias("of"), F.aggregate("docs", nothing, taken)["places"].alias("extra"))
+        .select(F.col("source").alias("walked"), F.aggregate("docs", nothing, taken).alias("walk"))
+    )
+    out = (
+        state.join(in_fine.drop("before"), F.col("of").eqNullSafe(F.col("at")) & F.col("edge").isNotNull(), "left")
+        .join(walked, F.col("of").eqNullSafe(F.col("walked")) & F.col("edge").isNotNull(), "left")
+        .select(*state.columns, "edge", "walk.left", F.coalesce("walk.places", F.expr("cast(array() as array<bigint>)")).alias("places"))
+    )
+    return stage(out, "mix-round")
+
+
+def _taken(docs: DataFrame, weights, total: float, cap: float, seed: int, key: str, text: str, source: str) -> DataFrame:
+    """``doc`` (a row of ``docs``), ``size, source_size, target, repeats``."""
+    sized = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col(f"`{source}`").alias("source"),
+        word_count(F.col(f"`{text}`")).alias("size"),
+        seeded_place(F.col(f"`{key}`"), F.col(f"`{text}`"), seed).alias("place"),
     )
-    starts = in_fine.select(F.col("of").alias("edge_of"), F.col("edge").alias("edge_bucket"))
-    return (
-        wanted.join(fitting, same, "left")
-        .drop("of")
-        .join(starts, F.col("source").eqNullSafe(F.col("edge_of")), "left")
-        .withColumn("last", F.coalesce(F.expr("shiftleft(edge_bucket, fine_shift) - 1"), F.lit(-1)))
-        # A source taken in whole repetitions alone has no part; its empty texts would still fit into none.
-        .withColumn("last", F.when(F.col("part") > 0, F.col("last")).otherwise(-1))
-        .withColumn("extra", F.when(F.col("part") > 0, F.col("extra")))
-        .select("source", "source_size", "target", "whole", "last", "extra")
+    placed = stage(sized.select("source", "size", "place"), "mix-places")
+    cuts = stage(source_cuts(placed, source_targets(placed, weights, total, cap)), "mix-cuts")
+    cuts = cuts.withColumnRenamed("source", "of")
+    inside = F.exists("spans", lambda s: (F.col("place") > s["start"]) & (F.col("place") <= s["end"]) & (F.col("size") <= s["limit"]))
+    once_more = F.coalesce(inside | F.array_contains("places", F.col("place")), F.lit(False))
+    joined = sized.join(cuts, F.col("source").eqNullSafe(F.col("of")))
+    return joined.select(
+        "doc", "size", "source_size", "target", (F.col("whole") + F.when(once_more, 1).otherwise(0)).alias("repeats")
     )
 
 
@@ -168,34 +222,25 @@ def mix(
 
     A row's size is its number of words, 0 for a null text.  A null source is a source of its own, the last one.  Rows
     equal in key and text have one place in the seeded order and are taken alike.  An empty table gives an empty one.
-    Names that begin with ``mix_`` are this operator's own; a column of ``docs`` so named is replaced or dropped.
+    Columns of ``docs`` that have the names of the added ones are replaced.
     """
-    sized = docs.withColumn("mix_size", word_count(F.col(text))).withColumn(
-        "mix_place", seeded_place(F.col(key), F.col(text), seed)
-    )
-    placed = stage(
-        sized.select(F.col(source).alias("source"), F.col("mix_size").alias("size"), F.col("mix_place").alias("place")),
-        "mix-places",
-    )
-    cuts = stage(source_cuts(placed, source_targets(placed, weights, total, cap)), "mix-cuts").select(
-        F.col("source").alias("mix_source"),
-        F.col("source_size").alias("mix_source_size"),
-        F.col("target").alias("mix_target"),
-        F.col("whole").alias("mix_whole"),
-        F.col("last").alias("mix_last"),
-        F.col("extra").alias("mix_extra"),
-    )
-    fits = F.coalesce(F.array_contains("mix_extra", F.col("mix_place")), F.lit(False))
-    repeats = F.col("mix_whole") + F.when((F.col("mix_place") <= F.col("mix_last")) | fits, 1).otherwise(0)
-    return (
-        sized.join(cuts, F.col(source).eqNullSafe(F.col("mix_source")))
-        .withColumn("mix_repeats", repeats)
-        .drop("mix_place", "mix_source", "mix_whole", "mix_last", "mix_extra")
-    )
+    added = {f"mix_{name}": F.col(name) for name in ("size", "source_size", "target", "repeats")}
+    own = [c for c in docs.columns if c.lower() not in added]
+    taken = _taken(docs, weights, total, cap, seed, key, text, source)
+    return taken.select(*[F.col("doc")[c].alias(c) for c in own], *[column.alias(name) for name, column in added.items()])
 
 
-def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+def mixed_rows(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    total: float = TOTAL,
+    cap: float = CAP,
+    seed: int = SEED,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
     """The mix itself: every row as often as it is taken, with the columns of ``docs``."""
-    taken = mix(docs, **options)
-    copies = F.expr("sequence(1, cast(mix_repeats as int))")
-    return taken.where("mix_repeats > 0").withColumn("mix_copy", F.explode(copies)).select(*docs.columns)
+    taken = _taken(docs, weights, total, cap, seed, key, text, source).where("repeats > 0")
+    copies = taken.select("doc", F.explode(F.expr("sequence(1, cast(repeats as int))")))
+    return copies.select(*[F.col("doc")[c].alias(c) for c in docs.columns])

@@ -9,15 +9,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators.series import number_rows
 from tickloom.sources.staging import stage
 
 SHARDS = 16
-#: Rows numbered together; a shard of more is numbered in parts.
-PART_ROWS = 4096
 
 # Fixed values of the published algorithm.
 MULTIPLIER = np.uint64(2862933555777941757)
@@ -58,8 +57,8 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", te
 
     ``size`` is the text's bytes and one for its separator; a null text is empty.  A null key goes where key 0 goes.
     ``slot`` numbers a shard's rows in the order of a hash of the key, then of key and text, so it doesn't depend on
-    how the table is stored.  Numbering takes two steps: rows are counted in parts of about ``PART_ROWS``, the parts'
-    sums give each part its first slot, and rows are numbered within their part.
+    how the table is stored.  Numbering takes sorted ranges of about equal size, whose counts give each range its first
+    slot, so the rows of one key may fill many of them.
     """
     filled = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
@@ -75,18 +74,14 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", te
         .drop("hashed"),
         "shards",
     )
-    bits = max(0, (placed.count() // (shards * PART_ROWS)).bit_length())
-    placed = placed.withColumn("part", F.shiftright("spot", 60 - bits))
-    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = placed.groupBy("shard", "part").agg(F.count("*").alias("rows"))
-    firsts = parts.select("shard", "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"))
-    within = Window.partitionBy("shard", "part").orderBy("spot", F.col("key").asc_nulls_last(), "text_crc32", "size")
-    return placed.join(firsts, ["shard", "part"]).select(
+    # Equal rows may take each other's slots; all else goes by the row.
+    numbered = number_rows(placed.withColumn("keyless", F.col("key").isNull()), ["shard"], ["spot", "keyless", "key", "text_crc32", "size"], "n")
+    return numbered.select(
         F.col("key").alias(key),
         "size",
         "text_crc32",
         F.lit("key").alias("law"),
         "shard",
-        (F.col("first") + F.row_number().over(within) - 1).alias("slot"),
+        (F.col("n") - 1).alias("slot"),
         "grown_shard",
     )

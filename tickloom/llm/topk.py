@@ -69,10 +69,23 @@ def _parts(dimensions: int, lists: int) -> list[slice]:
 ENTRY = "query_id long, list int, vec_id long, score long"
 
 
-def _entries(queries, parts, chosen, whole: bool):
+def _distinct(at: np.ndarray, row: np.ndarray, local: list[np.ndarray], rows: np.ndarray, k: int) -> np.ndarray:
+    """Of a query's rows that are alike in every list the ``k`` least ids: the others can't be in its result."""
+    scores = [scores[at, row] for scores in local]
+    order = np.lexsort((rows[row], *scores, at))
+    same = np.ones(max(0, len(order) - 1), bool)
+    for column in (at, *scores):
+        same &= column[order][1:] == column[order][:-1]
+    starts = np.flatnonzero(np.concatenate(([True], ~same)))
+    rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
+    return np.sort(order[rank < k])
+
+
+def _entries(queries, parts, chosen, whole: bool, k: int):
     """A mapInArrow function: the entries that ``chosen(queries, local scores)`` picks in each list.
 
     ``whole``: with the local scores that the other lists have for the picked rows, which stand in the same partition.
+    Of rows that are alike to a query in every list, such as repeated vectors, a block of rows gives the first ``k``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,8 +99,15 @@ def _entries(queries, parts, chosen, whole: bool):
                     other = ids[some, None] != rows[None, :]
                     local = [_product(matrix[some, part], vectors[:, part]) for part in parts]
                     picked = [chosen(some, scores, other) & other for scores in local]
+                    either = np.logical_or.reduce(picked)
+                    at, row = np.nonzero(either)
+                    kept = _distinct(at, row, local, rows, k)
+                    if len(kept) < len(at):
+                        some_rows = np.zeros(either.shape, bool)
+                        some_rows[at[kept], row[kept]] = True
+                        picked, either = [mask & some_rows for mask in picked], some_rows
                     if whole:
-                        picked = [np.logical_or.reduce(picked)] * len(parts)
+                        picked = [either] * len(parts)
                     for number, (mask, scores) in enumerate(zip(picked, local)):
                         at, row = np.nonzero(mask)
                         yield pa.RecordBatch.from_arrays(
@@ -136,7 +156,7 @@ def _top_of_block(spark, vectors: DataFrame, ids: np.ndarray, matrix: np.ndarray
     queries = spark.sparkContext.broadcast((ids, matrix))
 
     # Phase 1: the highest of every list in every partition, with their scores in the other lists.
-    first = vectors.mapInArrow(_entries(queries, parts, _highest(k), whole=True), ENTRY)
+    first = vectors.mapInArrow(_entries(queries, parts, _highest(k), whole=True, k=k), ENTRY)
     reach = dict(_reach(first, lists, k)[1].collect())
 
     # Phase 2: all entries that reach an equal share of it; all, where a query has fewer than k rows to go by.
@@ -147,7 +167,7 @@ def _top_of_block(spark, vectors: DataFrame, ids: np.ndarray, matrix: np.ndarray
     def sufficient(some, local, _other):
         return local >= cut.value[some, None]
 
-    second = stage(vectors.mapInArrow(_entries(queries, parts, sufficient, whole=False), ENTRY), "topk-entries")
+    second = stage(vectors.mapInArrow(_entries(queries, parts, sufficient, whole=False, k=k), ENTRY), "topk-entries")
     seen, better = _reach(second, lists, k)
     limits = spark.createDataFrame(
         [(q, int(c), reach.get(q)) for q, c in zip(ids.tolist(), cutoffs)], "query_id long, cutoff long, first long"

@@ -19,9 +19,11 @@ import math
 import re
 import unicodedata
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +53,10 @@ LOOKALIKES = {
     "τ": "t", "υ": "u", "χ": "x", "ω": "w", "ı": "i", "ł": "l", "ø": "o", "đ": "d", "ħ": "h", "ɑ": "a", "ɡ": "g",
 }
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g"}
-SIGNS = {"@": "a", "$": "s"}
+SIGNS = {"@": "a", "$": "s", "!": "i", "|": "i"}
 
-_SIGN = re.compile(r"[@$](?=\w)")
+#: Signs in place of letters: before a letter, or between two where they also end sentences and cells.
+_SIGN = re.compile(r"[@$](?=\w)|(?<=\w)[!|](?=\w)")
 
 
 def _folded_char(c: str) -> str:
@@ -69,7 +72,8 @@ class _Folding(dict):
 
     def __missing__(self, code: int) -> str:
         c = chr(code)
-        self[code] = out = DIGITS.get(c) or ("" if unicodedata.combining(c) else _folded_char(c))
+        hidden = unicodedata.combining(c) or unicodedata.category(c) == "Cf"
+        self[code] = out = DIGITS.get(c) or ("" if hidden else _folded_char(c))
         return out
 
 
@@ -77,7 +81,8 @@ _folding = _Folding()
 
 
 def folded_words(text: str) -> list[str]:
-    if "@" in text or "$" in text:
+    """Words of a-z and letters that have no Latin likeness; marks and invisible characters go without a trace."""
+    if "@" in text or "$" in text or "!" in text or "|" in text:
         text = _SIGN.sub(lambda m: SIGNS[m[0]], text)
     return text.translate(_folding).split()
 
@@ -101,10 +106,11 @@ class Lexicon:
             import ahocorasick
 
             self._automaton = ahocorasick.Automaton()
-            for entry, weight in self.weights.items():
-                self._automaton.add_word(" " + entry, (False, len(entry) + 1, weight))
+            # Entries that differ in i and l alone are one, of the greater weight.
+            for entry, weight in sorted(self.weights.items(), key=lambda e: e[1]):
+                self._automaton.add_word(_one_stroke(" " + entry), (False, len(entry) + 1, weight))
             for phrase in self.exceptions:
-                self._automaton.add_word(f" {phrase} ", (True, len(phrase) + 2, 0.0))
+                self._automaton.add_word(_one_stroke(f" {phrase} "), (True, len(phrase) + 2, 0.0))
             self._automaton.make_automaton()
         return self._automaton
 
@@ -113,12 +119,17 @@ class Lexicon:
         if not words or not (self.weights or self.exceptions):
             return []
         found, free = [], []
-        for end, (exception, length, weight) in self.automaton().iter(f" {' '.join(words)} "):
+        for end, (exception, length, weight) in self.automaton().iter(_one_stroke(f" {' '.join(words)} ")):
             if exception:
                 free.append((end - length + 1, end))
             else:
                 found.append((end - length + 1, end, weight))
-        return [(a, w) for a, b, w in found if not any(x <= a and b <= y for x, y in free)]
+        if not free:
+            return [(a, w) for a, _, w in found]
+        free.sort()
+        starts, reach = [x for x, _ in free], list(accumulate((y for _, y in free), max))
+        inside = ((a, b, bisect_right(starts, a)) for a, b, _ in found)
+        return [(f[0], f[2]) for f, (_, b, i) in zip(found, inside) if not (i and b <= reach[i - 1])]
 
     def features(self, words: list[str]) -> tuple[float, float]:
         weight = sum(w for _, w in self.matches(words))
@@ -130,6 +141,11 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, offset + slope * total + by_length * dense))))
 
 
+def _one_stroke(line: str) -> str:
+    """l and i are one letter to the automaton: 1, ! and | stand for either."""
+    return line.replace("l", "i")
+
+
 def _parts(word: str) -> list[str]:
     """Beginnings of the word, and the word itself."""
     return [*(word[:n] for n in range(SHORTEST, min(len(word), LONGEST) + 1)), word + " "] if len(word) >= 3 else []
@@ -140,17 +156,17 @@ def _neighbourhoods(words: list[str]) -> Iterator[tuple[str, str, str]]:
 
 
 def _rough_counts(rows: DataFrame) -> DataFrame:
-    """``part, toxic, clean``: neighbourhoods of each part, those of one batch counted once."""
+    """``part, toxic, clean``: neighbourhoods of each part, those of one text counted once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = ({}, {})
             for label in (0, 1):
-                seen, parts = set(), counts[label]
+                seen, parts = Counter(), counts[label]
                 for text, own in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
                     if own == label:
-                        seen.update(_neighbourhoods(folded_words(text)))
-                for word, n in Counter(w for _, w, _ in seen).items():
+                        seen.update(w for _, w, _ in set(_neighbourhoods(folded_words(text))))
+                for word, n in seen.items():
                     for p in _parts(word):
                         parts[p] = parts.get(p, 0) + n
             clean, toxic = counts
