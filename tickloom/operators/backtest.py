@@ -184,6 +184,20 @@ def ticker(trends: DataFrame) -> DataFrame:
     )
 
 
+def day_volume(trades: DataFrame, span: str = "24 hours", stamp: str = "timestamp") -> DataFrame:
+    """Volume and quote volume of every symbol in the ``span`` up to its last trade, plain and as shown."""
+    at = F.col(stamp).cast("timestamp")
+    lasts = trades.groupBy("symbol").agg((F.max(at) - F.expr(f"INTERVAL {span}")).alias("_since"))
+    recent = trades.join(lasts, "symbol").where(at > F.col("_since"))
+    sums = recent.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("trades"), F.sum("volume").alias("volume"),
+        F.sum(F.col("price") * F.col("volume")).alias("quote_volume"),
+    )
+    return sums.withColumns(
+        {"shown_thousands": F.round(F.col("volume") / 1000), "shown_quote_millions": F.round(F.col("quote_volume") / 1_000_000, 1)}
+    )
+
+
 def scaled_series(
     candles: DataFrame, bars: int, value: str = "close", height: float = 20.0, width: float = 60.0,
     keys=KEYS, order=ORDER,

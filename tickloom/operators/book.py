@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.times import micros, span_micros
 from tickloom.operators.series import LIMITED_RANK, index_rows
+from tickloom.operators.stacking import stack
 from tickloom.schemas import LIVE_STATUS, STABLECOINS
 
 
@@ -187,6 +188,24 @@ def equity_snapshot(priced: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def equity_history(balances: DataFrame, prices: DataFrame, start: Column, end: Column, step: str = "1 hour") -> DataFrame:
+    """Equity of every portfolio at ``start`` and every ``step`` after it, up to ``end``.
+
+    ``balances`` has portfolio_id, asset_code and qty; ``prices`` symbol, snapshot_ts and price, the price that was known at
+    each of these times (``asof.as_of``).  An asset without a price counts nothing, a stablecoin 1.
+    """
+    times = F.explode(F.sequence(start, end, F.expr(f"INTERVAL {step}")))
+    stable = F.col("asset_code").isin(STABLECOINS)
+    # Cash needs no price, so it isn't joined; other assets are joined by code and time.
+    cash = balances.where(stable).select("portfolio_id", times.alias("snapshot_ts"), F.col("qty").cast("double").alias("value"))
+    quotes = prices.select(F.regexp_replace("symbol", "USDT$", "").alias("asset_code"), "snapshot_ts", "price")
+    held = balances.where(~stable).select("portfolio_id", "asset_code", "qty", times.alias("snapshot_ts"))
+    valued = held.join(quotes, ["asset_code", "snapshot_ts"], "left").select(
+        "portfolio_id", "snapshot_ts", (F.col("qty").cast("double") * F.coalesce("price", F.lit(0.0))).alias("value")
+    )
+    return stack(cash, valued).groupBy("portfolio_id", "snapshot_ts").agg(F.sum("value").alias("equity_base"))
+
+
 def size_orders(orders: DataFrame, prices: DataFrame, fee_rate: float = 0.001) -> DataFrame:
     """P10: quantity for an amount, amount for a quantity, fee and largest quantity.
 

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.normalize import exact_product
-from tickloom.operators.series import running
+from tickloom.operators.series import BLOCK_ROWS, ROW, number_rows, running
 from tickloom.operators.stacking import stack
 from tickloom.schemas import (
-    BAD_OPERATION, BAD_QUANTITY, DEFAULT_EXCHANGE, LIVE_STATUS, NO_EXCHANGE, NOT_OWNED, PRICE, QUANTITY,
+    BAD_OPERATION, BAD_QUANTITY, DEFAULT_EXCHANGE, LIVE_STATUS, NO_EXCHANGE, NOT_OWNED, ORDER_TRANSITIONS, PLATFORM_STATUS,
+    PRICE, QUANTITY,
 )
 
 # One account may hold a third of all postings; a day of it is one task's work.
@@ -359,3 +360,99 @@ def event_counts(events: DataFrame, vocabulary: list[str] | None = None) -> Data
     if vocabulary is None:
         return counts
     return counts.withColumn("known", F.col("event_type").isin(vocabulary))
+
+
+def platform_status(status: Column) -> Column:
+    """The platform's name of an order service's status; other names are the same."""
+    pairs = [F.lit(x) for pair in PLATFORM_STATUS.items() for x in pair]
+    return F.coalesce(F.element_at(F.create_map(*pairs), status), status)
+
+
+def service_status(status: Column) -> Column:
+    """The order service's name of a platform's status."""
+    return F.when(status == PLATFORM_STATUS["pending"], "pending").otherwise(status)
+
+
+def replay_orders(
+    events: DataFrame, key: str = "order_id", stamp: str = "created_at", id_column: str = "id", size: int = BLOCK_ROWS
+) -> DataFrame:
+    """Every event with the order's ``status`` after it and whether it was ``accepted``.
+
+    Events are taken in the order of (time, id).  One that the status doesn't allow, or of an unknown type, changes
+    nothing.  An event maps statuses to statuses, and such maps can be put together: every chunk of ``size`` events of an
+    order becomes one map, the maps give each chunk the status it starts from, and the chunks are replayed side by side.
+    """
+    names = list(dict.fromkeys(status for status, _ in ORDER_TRANSITIONS.values()))
+    states: list[str | None] = [None, *names]
+    kinds = list(ORDER_TRANSITIONS)
+    # What follows each status (by row) on each event, and on an unknown one; -1 where that is not allowed.
+    follows = [
+        states.index(ORDER_TRANSITIONS[k][0]) if s in ORDER_TRANSITIONS[k][1] else -1 for s in states for k in kinds
+    ]
+    table = F.array(*[F.lit(f) for f in follows])
+
+    def allowed(state: Column, kind: Column) -> Column:
+        at = F.element_at(table, (state * len(kinds) + kind + 1).cast("int"))
+        return F.when(kind < len(kinds), at).otherwise(F.lit(-1))
+
+    def after(state: Column, kind: Column) -> Column:
+        following = allowed(state, kind)
+        return F.when(following >= 0, following).otherwise(state)
+
+    kind = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(i)) for i, k in enumerate(kinds)], F.lit(len(kinds)))
+    rows = events.select(key, stamp, F.col(id_column).alias("_id"), kind.alias("_kind"))
+    numbered = number_rows(rows, [key], [stamp, "_id"])
+    chunk = F.floor((F.col(ROW) - 1) / F.lit(size)).cast("long").alias("_chunk")
+    steps = F.array_sort(F.collect_list(F.struct(F.col(ROW).alias("row"), F.col("_id").alias("id"), F.col("_kind").alias("kind"))))
+    chunks = numbered.groupBy(key, chunk).agg(steps.alias("_steps"))
+    mapped = F.transform(
+        F.sequence(F.lit(0), F.lit(len(states) - 1)),
+        lambda s: F.aggregate("_steps", s, lambda state, step: after(state, step["kind"])),
+    )
+    chunks = chunks.withColumn("_map", mapped)
+    # One small row for each chunk of an order.
+    starts = chunks.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_chunk", "_map"))).alias("_maps")).select(
+        key,
+        F.inline(
+            F.aggregate(
+                "_maps",
+                F.struct(F.lit(0).alias("now"), F.expr("cast(array() as array<struct<_chunk: bigint, _start: int>>)").alias("seen")),
+                lambda all_, m: F.struct(
+                    F.element_at(m["_map"], all_["now"] + 1).alias("now"),
+                    F.concat(all_["seen"], F.array(F.struct(m["_chunk"].alias("_chunk"), all_["now"].alias("_start")))).alias("seen"),
+                ),
+            )["seen"]
+        ),
+    )
+    out = f"array<struct<row: bigint, id: {events.schema[id_column].dataType.simpleString()}, state: int, accepted: boolean>>"
+    replayed = F.aggregate(
+        "_steps",
+        F.struct(F.col("_start").alias("now"), F.expr(f"cast(array() as {out})").alias("seen")),
+        lambda all_, step: F.struct(
+            after(all_["now"], step["kind"]).alias("now"),
+            F.concat(
+                all_["seen"],
+                F.array(
+                    F.struct(
+                        step["row"].alias("row"), step["id"].alias("id"), after(all_["now"], step["kind"]).alias("state"),
+                        (allowed(all_["now"], step["kind"]) >= 0).alias("accepted"),
+                    )
+                ),
+            ).alias("seen"),
+        ),
+    )["seen"]
+    found = chunks.select(key, "_chunk", "_steps").join(starts, [key, "_chunk"]).select(key, F.inline(replayed))
+    named = F.array(*[F.lit(s).cast("string") for s in states])
+    return found.select(
+        key, F.col("row").alias("number"), F.col("id").alias(id_column), F.element_at(named, F.col("state") + 1).alias("status"), "accepted"
+    )
+
+
+def replayed_state(replayed: DataFrame, key: str = "order_id") -> DataFrame:
+    """Status of every order after its replay, in both vocabularies, and its accepted and rejected events."""
+    grouped = replayed.groupBy(key).agg(
+        F.max_by("status", "number").alias("status"),
+        F.count_if("accepted").alias("accepted"),
+        F.count_if(~F.col("accepted")).alias("rejected"),
+    )
+    return grouped.withColumn("platform_status", platform_status(F.col("status")))

@@ -9,6 +9,7 @@ from tickloom.operators import audit as U
 from tickloom.operators import book as K
 from tickloom.operators import candles as C
 from tickloom.operators import ledger as L
+from tickloom.operators.asof import as_of
 from tickloom.operators.normalize import generated_columns
 from tickloom.plans import views as V
 from tickloom.plans.registry import query, r
@@ -249,6 +250,35 @@ def l10(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("equity_base", F.round("equity_base", 4))
 
 
+_DAY = "INTERVAL 1 DAY"
+
+
+@query(
+    "L10_equity_history",
+    f"""WITH {V.TICKS_SQL}, {V.BALANCES_SQL}, {V.ASSETS_SQL}, ends AS (
+  SELECT date_trunc('day', min("timestamp")) + {_DAY} AS a, date_trunc('day', max("timestamp")) + {_DAY} AS b FROM ticks),
+grid AS (SELECT unnest(generate_series(a, b, {_DAY})) AS snapshot_ts FROM ends),
+points AS (SELECT symbol, snapshot_ts FROM (SELECT DISTINCT symbol FROM ticks) CROSS JOIN grid),
+priced AS (SELECT p.symbol, p.snapshot_ts, t.price FROM points p ASOF JOIN ticks t ON p.symbol = t.symbol AND p.snapshot_ts >= t."timestamp")
+SELECT b.portfolio_id, CAST(g.snapshot_ts AS TIMESTAMP) AS snapshot_ts,
+       {r("sum(CAST(b.qty AS DOUBLE) * CASE WHEN a.code IN ('USDT', 'USDC', 'USD') THEN 1 ELSE coalesce(p.price, 0) END)", 4)} AS equity_base
+FROM balances b JOIN assets a ON b.asset_id = a.id CROSS JOIN grid g
+LEFT JOIN priced p ON p.symbol = a.code || 'USDT' AND p.snapshot_ts = g.snapshot_ts GROUP BY ALL""",
+)
+def l10_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Equity of every portfolio at every midnight that the trades reach."""
+    ticks = V.ticks(spark, folder)
+    day = F.expr(_DAY)
+    first, last = ticks.agg(F.date_trunc("day", F.min("timestamp")) + day, F.date_trunc("day", F.max("timestamp")) + day).first()
+    start, end = F.lit(first), F.lit(last)
+    points = ticks.select("symbol").distinct().withColumn("timestamp", F.explode(F.sequence(start, end, day)))
+    prices = as_of(points, ticks, ["symbol"], "timestamp", ["price"], ties=("trade_id",))
+    prices = stage(prices.withColumnRenamed("timestamp", "snapshot_ts"), "daily-prices")
+    held = K.named_balances(V.balances(spark, folder), V.assets(spark, folder))
+    rows = K.equity_history(held, prices, start, end, "1 DAY")
+    return rows.withColumn("equity_base", F.round("equity_base", 4))
+
+
 _SIZING = """sizing AS (
   SELECT o_orderkey AS id, CASE o_orderkey % 5 WHEN 0 THEN 'ERRORUSDT' WHEN 1 THEN 'VIEWUSDT' WHEN 2 THEN 'PURCHASEUSDT'
            WHEN 3 THEN 'SIGNUPUSDT' ELSE 'CLICKUSDT' END AS symbol, CASE WHEN o_orderkey % 2 = 0 THEN 'buy' ELSE 'sell' END AS side,
@@ -632,6 +662,29 @@ def l11_counts(spark: SparkSession, folder: str) -> DataFrame:
     return L.event_counts(_order_events(spark, folder), EVENT_TYPES)
 
 
+_NEXT = """CASE WHEN e.event_type = 'order.created' AND {s} = 'none' THEN 'pending'
+  WHEN e.event_type = 'order.submitted' AND {s} = 'pending' THEN 'open'
+  WHEN e.event_type = 'order.filled' AND {s} IN ('pending', 'open', 'partially_filled') THEN 'filled'
+  WHEN e.event_type = 'order.rejected' AND {s} IN ('pending', 'open') THEN 'rejected' END"""
+
+
+@query(
+    "L11_replay",
+    f"""WITH RECURSIVE {_EVENTS}, numbered AS (
+  SELECT order_id, event_type, row_number() OVER (PARTITION BY order_id ORDER BY created_at, id) AS n FROM order_events), walk AS (
+  SELECT e.order_id, n, coalesce({_NEXT.format(s="'none'")}, 'none') AS s, {_NEXT.format(s="'none'")} IS NOT NULL AS accepted
+  FROM numbered e WHERE n = 1
+  UNION ALL
+  SELECT e.order_id, e.n, coalesce({_NEXT.format(s="w.s")}, w.s), {_NEXT.format(s="w.s")} IS NOT NULL
+  FROM walk w JOIN numbered e ON e.order_id = w.order_id AND e.n = w.n + 1)
+SELECT order_id, nullif(arg_max(s, n), 'none') AS status, count(*) FILTER (accepted) AS accepted, count(*) FILTER (NOT accepted) AS rejected,
+       CASE nullif(arg_max(s, n), 'none') WHEN 'pending' THEN 'new' WHEN 'expired' THEN 'canceled' ELSE nullif(arg_max(s, n), 'none') END AS platform_status
+FROM walk GROUP BY order_id""",
+)
+def l11_replay(spark: SparkSession, folder: str) -> DataFrame:
+    return L.replayed_state(L.replay_orders(_order_events(spark, folder)))
+
+
 # --- audit ---------------------------------------------------------------------------------------------------
 
 

@@ -669,6 +669,19 @@ def p12(spark: SparkSession, folder: str) -> DataFrame:
     return B.ticker(trends).select("symbol", "shown_price", "shown_change", "colour")
 
 
+@query(
+    "P12_day_volume",
+    f"""WITH {V.TICKS_SQL}, lasts AS (SELECT symbol, max("timestamp") - INTERVAL 24 HOUR AS since FROM ticks GROUP BY symbol), sums AS (
+  SELECT symbol, count(*) AS trades, sum(volume) AS volume, sum(price * volume) AS quote_volume
+  FROM ticks JOIN lasts USING (symbol) WHERE "timestamp" > since GROUP BY symbol)
+SELECT symbol, trades, {r("volume")} AS volume, {r("quote_volume", 4)} AS quote_volume, {r("round(volume / 1000)")} AS shown_thousands,
+       {r("round(quote_volume / 1000000, 1)")} AS shown_quote_millions FROM sums""",
+)
+def p12_volume(spark: SparkSession, folder: str) -> DataFrame:
+    rows = B.day_volume(V.ticks(spark, folder))
+    return rows.withColumn("quote_volume", F.round("quote_volume", 4))
+
+
 # --- flagship ------------------------------------------------------------------------------------
 
 

@@ -81,6 +81,18 @@ ORDER_STATUS = [
     "new", "pending", "open", "partially_filled", "filled", "canceled", "rejected", "expired",
 ]
 LIVE_STATUS = ["new", "open"]
+# The order service's names of statuses and the platform's, where they differ.
+PLATFORM_STATUS = {"pending": "new", "expired": "canceled"}
+# What an event makes of an order, and the statuses it may come from; None before there is an order.
+ORDER_TRANSITIONS = {
+    "order.created": ("pending", [None]),
+    "order.submitted": ("open", ["pending"]),
+    "order.partially_filled": ("partially_filled", ["pending", "open", "partially_filled"]),
+    "order.filled": ("filled", ["pending", "open", "partially_filled"]),
+    "order.canceled": ("canceled", ["pending", "open", "partially_filled"]),
+    "order.rejected": ("rejected", ["pending", "open"]),
+    "order.expired": ("expired", ["pending", "open", "partially_filled"]),
+}
 ORDER_TYPES = ["market", "limit", "stop", "stop_limit", "stop_loss"]
 TRANSACTION_TYPES = ["trade", "deposit", "withdrawal", "fee", "transfer"]
 STABLECOINS = ["USDT", "USDC", "USD"]
