@@ -245,41 +245,75 @@ def sketches(sizes: np.ndarray, values: np.ndarray, least: tuple[int, int] = LEA
     return out
 
 
-def _lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
-    order = np.argsort(owner, kind="stable")
-    ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=n)))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values[order].view(np.int64)))
-
-
-KINDS = ("full", "full_above", "deleted", "deleted_above")
-
-
 DIGEST = ["n", "d1", "d2"]
 
 
-def _digests(sizes: np.ndarray, values: np.ndarray) -> list[pa.Array]:
-    of, out = np.repeat(np.arange(len(sizes)), sizes), []
+def _digests(sizes: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit digests of each set; those of an empty set are 0."""
+    some = sizes > 0
+    starts, out = (np.cumsum(sizes) - sizes)[some], []
     for seed in (_A, _B):
         sums = np.zeros(len(sizes), np.uint64)
-        np.add.at(sums, of, _mix(values ^ seed))
-        out.append(pa.array(sums.view(np.int64)))
+        if len(starts):
+            sums[some] = np.add.reduceat(_mix(values ^ seed), starts)
+        out.append(sums)
     return out
 
 
-def _signed_sets(docs: DataFrame, width: int, sets: int, least: tuple[int, int]) -> DataFrame:
-    """``doc, n, d1, d2`` and the signatures of each kind: size, digest and signatures of every text's set."""
+#: Nodes whose signatures a task has given out and remembers, at most.
+REMEMBERED = 1 << 20
+
+
+def _node_ids(digests: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit names of each set; the second one is for sets whose first name another set has too."""
+    return tuple((digests[i] ^ _mix(digests[1 - i] + c)).view(np.int64) for i, c in ((0, _B), (1, _A)))
+
+
+def _documents_sets(docs: DataFrame, width: int) -> DataFrame:
+    """``doc, n, d1, d2, node, other`` of every row: its set's size and digest, and two 64-bit names of the set."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SLICE):
+                sizes, values = shingle_sets(part.column("text"), width)
+                digests = _digests(sizes, values)
+                columns = [pa.array(c.view(np.int64)) for c in (*digests, *_node_ids(digests))]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc"), pa.array(sizes, pa.int64()), *columns], ["doc", *DIGEST, "node", "other"]
+                )
+
+    return docs.mapInArrow(digest, "doc long, n long, d1 long, d2 long, node long, other long")
+
+
+def _signature_rows(docs: DataFrame, width: int, sets: int, least: tuple[int, int], clashing: list[int]) -> DataFrame:
+    """``doc, n, signature, kind`` of the set of every row with a key, ``doc`` its name by 64 bits.
+
+    A task gives a set's rows once, so copies of a text add a set's rows for each task at most.  ``clashing`` are the first
+    names that different sets share.
+    """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 sizes, values = shingle_sets(part.column("text"), width)
+                nodes, others = _node_ids(_digests(sizes, values))
+                if clashing:
+                    nodes = np.where(np.isin(nodes, clashing), others, nodes)
+                fresh = np.zeros(len(nodes), bool)
+                for i, node in enumerate(nodes.tolist()):
+                    if sizes[i] and node not in given:
+                        fresh[i] = True
+                        given.add(node)
+                if len(given) > REMEMBERED:
+                    given.clear()
+                values = values[np.repeat(fresh, sizes)]
+                sizes, nodes = sizes[fresh], nodes[fresh]
                 owner, signature, kind = signatures(sizes, values, sets, least)
-                lists = [_lists(owner[kind == k], signature[kind == k], len(sizes)) for k in range(len(KINDS))]
-                columns = [part.column("doc"), pa.array(sizes, pa.int64()), *_digests(sizes, values), *lists]
-                yield pa.RecordBatch.from_arrays(columns, ["doc", *DIGEST, *KINDS])
+                columns = [nodes[owner], sizes[owner], signature.view(np.int64), kind.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "n", "signature", "kind"])
 
-    lists = ", ".join(f"{k} array<long>" for k in KINDS)
-    return docs.mapInArrow(sign, f"doc long, n long, d1 long, d2 long, {lists}")
+    return docs.where("doc is not null").mapInArrow(sign, "doc long, n long, signature long, kind int")
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -299,7 +333,7 @@ def _made_of(docs: DataFrame, wanted: DataFrame, width: int, make, names: list[s
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 sizes, values = shingle_sets(part.column("text"), width)
-                columns = [pa.array(sizes, pa.int64()), *_digests(sizes, values)]
+                columns = [pa.array(sizes, pa.int64()), *(pa.array(d.view(np.int64)) for d in _digests(sizes, values))]
                 columns += [pa.array(c, pa.binary()) for c in make(sizes, values)]
                 yield pa.RecordBatch.from_arrays(columns, [*DIGEST, *names])
 
@@ -464,27 +498,19 @@ def similar_components(
     """
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     with Scratch(docs.sparkSession) as scratch:
-        signed = scratch.stage(_signed_sets(docs, width, max(1, docs.count() // 64), least), "signed-sets")
-        named = signed.where("doc is not null and n > 0")
-        found = scratch.stage(signed.select("doc", *DIGEST), "documents-sets")
-        # Equal sets are one, named by their least key; sets that would share a name are named by their digest.
-        firsts = found.where("doc is not null and n > 0").groupBy(*DIGEST).agg(
+        found = scratch.stage(_documents_sets(docs, width), "documents-sets")
+        # Equal sets are one.
+        firsts = found.where("doc is not null and n > 0").groupBy(*DIGEST, "node", "other").agg(
             F.min("doc").alias("key"), F.count(F.lit(1)).alias("rows")
         )
-        firsts = scratch.stage(firsts, "least-keys")
-        shared = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
-        shared = scratch.stage(shared, "shared-keys")
-        node = F.when(F.col("sets").isNotNull(), F.xxhash64(F.lit(7), *DIGEST)).otherwise(F.col("key"))
-        firsts = scratch.stage(firsts.join(shared, "key", "left").withColumn("doc", node).drop("sets"), "sets-nodes")
-
-        def of_kind(number: int):
-            return F.transform(KINDS[number], lambda s: F.struct(s.alias("signature"), F.lit(number).alias("kind")))
-
-        unique = named.groupBy(*DIGEST).agg(F.min("doc").alias("key"), *[F.first(k).alias(k) for k in KINDS])
-        unique = unique.join(shared, "key", "left").withColumn("doc", node)
-        rows = unique.select("doc", "n", F.inline(F.concat(*[of_kind(k) for k in range(len(KINDS))])))
-        met = scratch.stage(_met(rows), "met")
-        scratch.drop(signed)
+        firsts = scratch.stage(firsts, "sets-nodes")
+        # Names that different sets share are a handful among billions of sets.
+        shared = firsts.groupBy("node").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+        clashing = [r.node for r in shared.collect()]
+        name = F.when(F.col("node").isin(clashing), F.col("other")).otherwise(F.col("node")) if clashing else F.col("node")
+        firsts = firsts.withColumn("doc", name).drop("node", "other")
+        met = _met(_signature_rows(docs, width, max(1, firsts.count() // 64), least, clashing))
+        met = scratch.stage(met, "met")
         wanted = scratch.stage(firsts.join(met.select("doc").distinct(), "doc", "left_semi"), "met-sets")
         files = 8 + wanted.count() // FILE_ROWS
         drawn = _made_of(docs, wanted, width, lambda sizes, values: sketches(sizes, values, least), DRAWN[1:])
@@ -552,24 +578,30 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """Rows whose signature another set has too."""
-    ordered = rows.repartition("signature").sortWithinPartitions("signature")
+    """Rows whose signature another set has too, each row once."""
+    ordered = rows.repartition("signature").sortWithinPartitions("signature", "doc", "kind")
 
     def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, given = None, False  # the row before this batch, and whether it was given out
+        # Rows of the last signature: all of them while one set alone has it, else the last one, which was given out.
+        held, several_sets = None, False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if last is not None:
-                batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
-            s = np.asarray(batch.column("signature"))
+            given = held.num_rows if several_sets else 0
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            s, doc, kind = (np.asarray(batch.column(c)) for c in ("signature", "doc", "kind"))
             same = s[1:] == s[:-1]
-            keep = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-            ends = bool(keep[-1])
-            if last is not None and given:
-                keep[0] = False
+            new = np.concatenate(([True], ~same | (doc[1:] != doc[:-1]) | (kind[1:] != kind[:-1])))
+            group = np.concatenate(([0], np.cumsum(~same)))
+            shared = np.zeros(group[-1] + 1, bool)
+            shared[group[1:][same & (doc[1:] != doc[:-1])]] = True
+            shared[0] |= several_sets
+            keep = shared[group] & new
+            keep[:given] = False
             yield batch.filter(pa.array(keep))
-            last, given = batch.slice(batch.num_rows - 1), ends
+            several_sets, start = bool(shared[-1]), int(np.searchsorted(group, group[-1]))
+            held = batch.slice(batch.num_rows - 1) if several_sets else batch.slice(start).filter(pa.array(new[start:]))
 
     return ordered.mapInArrow(several, rows.schema)
 
