@@ -41,6 +41,8 @@ GROUP_PIECES = 4096
 NODES = 4_000
 #: Pieces left from which on the search tries many more fillings.
 FEW_PIECES = 32
+#: Lengths that a filling is first looked for among, where there are many more.
+SPREAD = 48
 #: Parts of the capacity that the lower bound counts pieces by.
 MOST_PARTS = 32
 #: Room, as a part of the capacity, from which a sequence is opened again for the second round.
@@ -104,9 +106,14 @@ def _fillings(left: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]:
         return [()]
     if lengths[-1] == room:
         return [(room,)]
+    few = int(left.sum()) <= FEW_PIECES
+    if not few and len(lengths) > 2 * SPREAD:
+        # Some of the lengths, spread evenly, often fill the room already; fuller than full no others can make it.
+        some = lengths[:: len(lengths) // SPREAD]
+        if _sums(some, left[some].tolist(), room)[-1] >> room & 1:
+            lengths = some
     counts = left[lengths].tolist()
     sums = _sums(lengths, counts, room)
-    few = int(left.sum()) <= FEW_PIECES
     if few:
         width *= 16
 
