@@ -65,8 +65,9 @@ SKETCH = 3
 FEW_SHINGLES = 64
 #: Documents' rows that one file of a written round holds, about.
 FILE_ROWS = 20_000
-#: Share of unrelated sets of like size that hold a given shingle, for the cost of short segments.
-COMMON = 0.25
+#: Share of unrelated sets of like size that hold a given word, for the cost of short segments; a shingle's is that share
+#: to the power of its words.
+COMMON = 0.63
 SLICE = 1 << 20
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -133,18 +134,20 @@ def limit(smaller: int, least: tuple[int, int] = LEAST) -> int:
 
 
 @lru_cache(maxsize=None)
-def allocation(smaller: int, sets: int, least: tuple[int, int] = LEAST) -> tuple[int, int, int]:
+def allocation(smaller: int, sets: int, least: tuple[int, int] = LEAST, width: int = 3) -> tuple[int, int, int]:
     """(segments, how many of them with deletions, whether one is to spare) for pairs whose smaller set has at most
-    ``smaller`` elements, where about ``sets`` sets are of a like size.  No segments: only equal sets are similar."""
+    ``smaller`` elements of ``width`` words, where about ``sets`` sets are of a like size.  No segments: only equal sets
+    are similar."""
     differ = limit(smaller, least)
     if not differ:
         return 0, 0, 0
+    common = COMMON**width
 
     def cost(choice: tuple[int, int, int]) -> float:
         m, a, spare = choice
         t = smaller / m
         pairs = spare * (m * math.exp(-t)) ** 2 / 2  # of empty segments
-        return (m - a) * (1 + sets * COMMON**t) + a * (1 + t) * (1 + sets * COMMON ** max(t - 1, 0)) + pairs
+        return (m - a) * (1 + sets * common**t) + a * (1 + t) * (1 + sets * common ** max(t - 1, 0)) + pairs
 
     with_deletions = [(m, differ + 1 - m, 0) for m in range((differ + 2) // 2, differ + 1)]
     return min([(differ + 2, 0, 1), (differ + 1, 0, 0), *with_deletions], key=cost)
@@ -199,7 +202,7 @@ def _groups(sizes: np.ndarray, least: tuple[int, int]) -> tuple[np.ndarray, list
 
 
 def signatures(
-    sizes: np.ndarray, values: np.ndarray, sets: int, least: tuple[int, int] = LEAST
+    sizes: np.ndarray, values: np.ndarray, sets: int, least: tuple[int, int] = LEAST, width: int = 3
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(owner, signature, kind): rows in which any two similar, unequal sets meet, not both deleted.
 
@@ -210,7 +213,7 @@ def signatures(
     for upper, (group, some) in enumerate(zip(groups, real)):
         choices = np.array(
             [
-                allocation(int(first[g + 1] - 1), sets, least) if r else (0, 0, 0)
+                allocation(int(first[g + 1] - 1), sets, least, width) if r else (0, 0, 0)
                 for g, r in zip(group.tolist(), some.tolist())
             ]
         ).reshape(-1, 3)
@@ -309,7 +312,7 @@ def _signature_rows(docs: DataFrame, width: int, sets: int, least: tuple[int, in
                     given.clear()
                 values = values[np.repeat(fresh, sizes)]
                 sizes, nodes = sizes[fresh], nodes[fresh]
-                owner, signature, kind = signatures(sizes, values, sets, least)
+                owner, signature, kind = signatures(sizes, values, sets, least, width)
                 columns = [nodes[owner], sizes[owner], signature.view(np.int64), kind.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "n", "signature", "kind"])
 
