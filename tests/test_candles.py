@@ -107,3 +107,39 @@ def test_ties_are_settled_by_id(spark):
     named = [trade(price=1.0, trade_id="b-2"), trade(price=2.0, trade_id="a-9"), trade(price=3.0, trade_id="7")]
     candle = C.trade_candles(spark.createDataFrame(named, TRADE_DDL)).first()
     assert (candle.open, candle.close) == (3.0, 1.0)
+
+
+def id_key(text):
+    """Whole numbers by value, then other texts, then null."""
+    if text is None:
+        return (2, 0, "")
+    return (0, int(text), "") if text == "0" or (text.isdigit() and text[0] != "0") else (1, 0, text)
+
+
+def test_long_ids_are_compared_whole(spark):
+    """UUIDs, ids of equal first bytes, of 20 digits, signed, padded and null ones at the same instants."""
+    ids = [f"aaaaaaaa-{i}" for i in range(1, 9)] + ["aaaaaaaa", "aaaaaaaa-10", "9" * 20, "1" + "0" * 20, "-5", "007", " 8", "é", None]
+    ids += ["12", "9", "10", str(2**63 - 1), str(2**63), "12345678901234567890123456789012345678901234567890"]
+    rows = [trade(second=s, price=float(100 * s + i), trade_id=t) for s in (3, 9) for i, t in enumerate(ids)]
+    # One candle of numbers only, one of names only, and one each whose ends are of the other kind.
+    rows += [trade(second=60 + i, price=float(i), trade_id=str(9 - i)) for i in range(4)]
+    rows += [trade(second=120, price=float(i), trade_id=f"x{i}") for i in range(12)]
+    rows += [trade(second=180, price=1.0, trade_id="b"), trade(second=181, price=2.0, trade_id="4"), trade(second=182, price=3.0, trade_id="a")]
+    rows += [trade(second=240, price=1.0, trade_id="5"), trade(second=240, price=2.0, trade_id="b"), trade(second=241, price=3.0, trade_id="4")]
+    frame, place = spark.createDataFrame(rows, TRADE_DDL), {n: i for i, n in enumerate(f.strip().split()[0] for f in TRADE_DDL.split(","))}
+    groups = {}
+    for row in rows:
+        row = row if isinstance(row, tuple) else tuple(row.values())
+        stamp = row[place["timestamp"]]
+        groups.setdefault(stamp.replace(second=0), []).append((stamp, id_key(row[place["trade_id"]]), row[place["price"]]))
+    expected = {minute: (min(events)[2], max(events)[2], len(events)) for minute, events in groups.items()}
+    latest = max(e for events in groups.values() for e in events)[2]
+    for parts in (1, 3, 7):
+        dealt = frame.repartition(parts)
+        got = {r.open_time: (r.open, r.close, r.trades_count) for r in C.trade_candles(dealt).collect()}
+        assert got == expected
+        assert [r.price for r in C.latest_price(dealt).collect()] == [latest]
+    from tickloom.streaming.jobs import candle_stream
+
+    streamed = candle_stream(frame).collect()
+    assert {r.window.start: (r.open, r.close, r.trades_count) for r in streamed} == expected

@@ -99,11 +99,11 @@ SELECT symbol, {V.HOUR} AS open_time, {r('arg_min(price, "timestamp")')} AS firs
 FROM ticks GROUP BY ALL""",
 )
 def a7(spark: SparkSession, folder: str) -> DataFrame:
-    rank = C.event_rank("timestamp", "1 hour", "trade_id")
     hours = V.ticks(spark, folder).withColumn("open_time", C.bucket_start("timestamp", "1 hour"))
-    return hours.groupBy("symbol", "open_time").agg(
-        C.first_by("price", rank).alias("first_price"), C.last_by("price", rank).alias("last_price")
-    )
+    return C.ordered_ends(
+        hours, ["symbol", "open_time"], C.event_offset("timestamp", "1 hour"), "trade_id",
+        {"first_price": "price"}, {"last_price": "price"},
+    )
 
 
 LATEST_SQL = f"""WITH {V.TICKS_SQL}

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tickloom.operators.candles import close_time, event_rank, first_by, instant_rank, last_by
+from tickloom.operators.candles import close_time, event_offset, event_order, first_by, id_order, last_by
 from tickloom.operators.quality import FAILED, judge_prices, quality_report
 from tickloom.schemas import ACCURACY_MIN_HISTORY, ACCURACY_WINDOW, MAX_DEVIATION, QUALITY_DIMENSIONS
 from tickloom.sources import sinks
@@ -31,7 +31,7 @@ def candle_stream(trades: DataFrame, lateness: str = "1 minute", span: str = "1
     Trades later than the watermark are dropped and counted in the query's
     progress; they never reopen a candle.
     """
-    rank = event_rank("timestamp", span, "trade_id")
+    rank = event_order(trades, event_offset("timestamp", span), "trade_id")
     # The watermark needs an instant, not a time without zone.
     timed = trades.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", lateness)
     grouped = timed.groupBy("symbol", F.window("timestamp", span)).agg(
@@ -57,7 +57,7 @@ def candle_rows(windowed: DataFrame, span: str = "1 minute") -> DataFrame:
 def rollup_stream(windowed: DataFrame, span: str) -> DataFrame:
     """Longer candles from the candle stream, chained on its event time."""
     at = F.col("window")["start"]
-    rank = event_rank("_open", span, None)
+    rank = event_offset("_open", span)
     inner = windowed.withColumns({"_open": at, "_time": F.window_time("window")})
     grouped = inner.groupBy("symbol", F.window("_time", span)).agg(
         first_by("open", rank).alias("open"),
@@ -75,7 +75,7 @@ def latest_price_stream(trades: DataFrame) -> DataFrame:
     """Last price per symbol, for update mode; one state row per symbol.  Ties as in A9."""
     stamp = F.col("timestamp").cast("timestamp")
     return trades.groupBy("symbol").agg(
-        last_by("price", instant_rank(stamp, "trade_id")).alias("price"), F.max(stamp).alias("price_time")
+        last_by("price", event_order(trades, F.unix_micros(stamp), "trade_id")).alias("price"), F.max(stamp).alias("price_time")
     )
 
 
