@@ -236,3 +236,27 @@ def test_one_outlier_rejects_one_trade(spark):
     rows = [("X", at(i), 100000.0 if i == 15 else 100.0, f"{i:03d}") for i in range(40)]
     frame = spark.createDataFrame(rows, "symbol string, timestamp timestamp, price double, trade_id string")
     assert [r.trade_id for r in Q.with_accepted(frame).where("not accepted").collect()] == ["015"]
+
+
+def test_lasting_steps_need_no_pass_in_order(spark, monkeypatch):
+    """A level that stays threefold for forty blocks and comes back, beside prices that are often rejected."""
+    from collections import deque
+
+    import numpy as np
+    from pyspark.sql import DataFrame
+
+    def in_order(*_):
+        raise AssertionError("a series was judged in order")
+
+    monkeypatch.setattr(DataFrame, "mapInPandas", in_order)
+    rng = np.random.default_rng(5)
+    step = 100 * np.exp(rng.normal(0, 0.01, 5000))
+    step[333:4350] *= 3
+    wild = 100 * np.exp(rng.normal(0, 0.4, 1500))
+    series = {"STEP": step, "WILD": wild}
+    rows = [(name, at(i), float(p), f"{i:05d}") for name, prices in series.items() for i, p in enumerate(prices)]
+    frame = spark.createDataFrame(rows, "symbol string, timestamp timestamp, price double, trade_id string")
+    found = {(r.symbol, int(r.trade_id)): r.accepted for r in Q.with_accepted(frame, size=100).collect()}
+    for name, prices in series.items():
+        expected = Q.judge_prices(deque(maxlen=100), prices)
+        assert [found[name, i] for i in range(len(prices))] == expected

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.series import CANDLE_CHUNK, ROW, Blocks, index_rows, running_rows, slice_rows
 from tickloom.schemas import LONG_PERIOD, PERIODS_PER_YEAR, SHORT_PERIOD, STARTING_CASH
+from tickloom.sources.staging import stage
 
 KEYS = ["symbol"]
 ORDER = ["open_time"]
@@ -117,11 +118,12 @@ def backtest_report(
 
     ``symbols`` lists requested symbols; those without candles get zeros.
     """
-    marked = backtest_bars(candles, bars, value=value, keys=keys, order=order, span=span)
+    # The running passes below read their input twice, so each reads a stored one.
+    marked = stage(backtest_bars(candles, bars, value=value, keys=keys, order=order, span=span), "backtest-bars")
     ends = marked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("data_points"), F.max_by(value, ROW).alias("_last_price")
     )
-    trips = with_drawdown(round_trips(marked, value, keys, order), keys)
+    trips = with_drawdown(stage(round_trips(marked, value, keys, order), "round-trips"), keys)
     deals = trips.groupBy(*keys).agg(
         F.count("sell_time").alias("trades"),
         F.count_if(F.col("sell_return") > 0).alias("winning_trades"),

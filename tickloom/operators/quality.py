@@ -6,7 +6,7 @@ from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,15 +76,40 @@ def judge_prices(recent: deque, prices) -> list[bool]:
     return verdicts
 
 
-#: Rounds in which blocks are judged side by side; what is left then is judged in order, one series after the other.
-ROUNDS = 4
+#: Rounds in which blocks are judged side by side.  Only a series whose blocks keep waiting for each other longer is judged
+#: in order from there on.
+ROUNDS = 12
 
 
 def _judged_block(rows: pd.DataFrame, recent: deque) -> dict:
     """Rejected rows of a block, the accepted prices at its end, and whether those are simply its last ones."""
+    given = list(recent)
     verdicts = judge_prices(recent, rows["price"])
     rejected = [int(r) for r, ok in zip(rows[ROW], verdicts) if not ok]
-    return {"rejected": rejected, "end": list(recent), "clean": len(verdicts) >= ACCURACY_WINDOW and all(verdicts[-ACCURACY_WINDOW:])}
+    return {"start": given, "rejected": rejected, "end": list(recent), "clean": len(verdicts) >= ACCURACY_WINDOW and all(verdicts[-ACCURACY_WINDOW:])}
+
+
+def _open_blocks(judged: DataFrame, every: DataFrame, keys: list[str]) -> DataFrame:
+    """Blocks whose start is not what the block before them ended with, and the start to judge them from.
+
+    A block not judged from given prices started from the rows before it, which is right after a clean block.  The first
+    open block of a series gets its true start, so each round settles one block at least.
+    """
+    names = [*keys, BLOCK]
+    ends = judged.select(
+        *keys, (F.col(BLOCK) + 1).alias(BLOCK), F.col("end").alias("_start"), F.col("clean").alias("_after_clean"),
+        (F.col("_given") & (F.col("start") == F.col("end"))).alias("_handed_on"),
+    )
+    known = judged.select(*names, "start", "_given")
+    pairs = every.join(ends, names, "left").join(known, names, "left")
+    fits = F.when(F.col("_given"), F.col("start") == F.col("_start")).otherwise(F.col("_after_clean"))
+    pairs = pairs.withColumn("_open", F.col("_start").isNotNull() & ~fits)
+    # One row a block: what the last open block after an all-rejecting one hands on to all blocks after it.
+    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, 0)
+    handed = F.last(F.when(F.col("_open") & F.col("_handed_on"), F.col("_start")), ignorenulls=True).over(before)
+    tried = pairs.withColumn("_handed", handed).withColumn("_from", F.coalesce("_handed", F.when(F.col("_open"), F.col("_start"))))
+    same = F.coalesce(F.col("_given") & (F.col("start") == F.col("_from")), F.lit(False))
+    return tried.where(F.col("_from").isNotNull() & ~same).select(*names, F.col("_from").alias("start"))
 
 
 def with_accepted(
@@ -93,10 +118,12 @@ def with_accepted(
     """Q5 by the rule: ``accepted`` is false where the price is too far from the mean of the last 100 accepted prices.
 
     As long as nothing is rejected these are the last 100 trades, so ``with_deviation`` says which blocks of a series
-    hold a rejection at all; the others are accepted whole.  Blocks with one are judged in order, each from the accepted
-    prices at the end of the block before.  A block that ends less than 100 trades after a rejection makes its
-    successor be judged too, in the next round; after ``ROUNDS`` rounds the rest of a series that is still open is judged
-    in one pass.  A row without a price is accepted and counts in no mean.
+    hold a rejection at all; the others are accepted whole.  Blocks with one are judged side by side, first as if the 100
+    trades before had been accepted.  In each further round those blocks are judged again whose start is not what the
+    block before ended with; most end as they did before, so the next block need not be judged again, and when all starts
+    fit the ends before them the verdicts are those of one pass in order.  After a block that rejects everything, as a
+    lasting step of the level makes them, all later blocks are tried from the same start at once.  A row without a price
+    is accepted and counts in no mean.
     """
     keys, order, size = list(keys), list(order), max(size, ACCURACY_WINDOW)
     own_block = F.floor((F.col(ROW) - 1) / F.lit(size)).cast("long")
@@ -105,7 +132,7 @@ def with_accepted(
     priced = measured.select(*keys, ROW, BLOCK, "price")
     kinds = {f.name: f.dataType for f in measured.schema.fields}
     schema = T.StructType([T.StructField(k, kinds[k]) for k in keys] + [
-        T.StructField(BLOCK, T.LongType()), T.StructField("rejected", T.ArrayType(T.LongType())),
+        T.StructField(BLOCK, T.LongType()), T.StructField("start", T.ArrayType(T.DoubleType())), T.StructField("rejected", T.ArrayType(T.LongType())),
         T.StructField("end", T.ArrayType(T.DoubleType())), T.StructField("clean", T.BooleanType())])
 
     def judge(rows: pd.DataFrame) -> pd.DataFrame:
@@ -146,7 +173,8 @@ def with_accepted(
     names = [*keys, BLOCK]
     first = measured.where(F.col("deviation") > MAX_DEVIATION).select(*names).distinct()
     todo = stage(first.withColumn("start", F.lit(None).cast("array<double>")), "blocks")
-    judged = None
+    every = stage(priced.select(*names).distinct(), "all-blocks")
+    judged, rounds = None, []
     for turn in range(ROUNDS + 1):
         if not todo.take(1):
             break
@@ -156,21 +184,11 @@ def with_accepted(
             opened = todo.groupBy(*keys).agg(F.min_by("start", BLOCK).alias("start"), F.min(BLOCK).alias("_from"))
             rest = priced.join(opened, keys).where(F.col(BLOCK) >= F.col("_from")).drop("_from")
             new = rest.repartition(*keys).sortWithinPartitions(*keys, ROW).mapInPandas(judge_on, schema)
-        new = stage(new.withColumn("_turn", F.lit(turn)), "judged-blocks")
-        judged = new if judged is None else stage(
-            stack(judged, new).groupBy(*names).agg(
-                F.max_by(F.struct("rejected", "end", "clean", "_turn"), "_turn").alias("_last")
-            ).select(*names, "_last.*"), "judged-blocks")
-        # A block that did not end clean starts the next one, if that was not judged from the same prices already.
-        open_ends = judged.where(~F.col("clean") & (F.col("_turn") == turn)).select(
-            *keys, (F.col(BLOCK) + 1).alias(BLOCK), F.col("end").alias("start")
-        )
-        # And one that is clean now may have started its successor otherwise before.
-        closed = judged.where(F.col("clean") & (F.col("_turn") == turn) & (F.lit(turn) > 0)).select(
-            *keys, (F.col(BLOCK) + 1).alias(BLOCK), F.col("end").alias("start")
-        )
-        again = closed.join(judged.select(*names), names, "left_semi")
-        todo = stage(stack(open_ends, again).join(priced.select(*names).distinct(), names, "left_semi"), "blocks")
+        rounds.append(stage(new.withColumns({"_turn": F.lit(turn), "_given": F.lit(turn > 0)}), "judged-blocks"))
+        parts = ["start", "rejected", "end", "clean", "_turn", "_given"]
+        last = F.max_by(F.struct(*parts), "_turn").alias("_last")
+        judged = rounds[0] if turn == 0 else stack(*rounds).groupBy(*names).agg(last).select(*names, "_last.*")
+        todo = stage(_open_blocks(judged, every, keys), "blocks")
     out = measured.withColumn("accepted", F.lit(True))
     if judged is not None:
         rejected = judged.select(*keys, F.explode("rejected").alias(ROW)).withColumn("_rejected", F.lit(True))

@@ -162,15 +162,15 @@ def panel_signals(features: DataFrame) -> DataFrame:
 _SCORE_BUCKETS = 1024
 
 
-def area_under_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """AUC by the rank sum, ties counted half; one row, null when a class is absent.
+def _ranked_levels(scored: DataFrame, label: str, score: str) -> DataFrame:
+    """Distinct scores with their positives, negatives and the negatives below.
 
     Scores are counted first, then cumulated inside score buckets; only the
     bucket totals, at most 1026 rows, meet in one task.  Scores lie in 0..1.
     """
-    positive = F.count_if(F.col(label) == 1)
+    positive, known = F.count_if(F.col(label) == 1), F.count_if(F.col(label) != 1)
     levels = scored.groupBy(F.col(score).alias("_score")).agg(
-        positive.alias("_pos"), (F.count(F.lit(1)) - positive).alias("_neg")
+        positive.alias("_pos"), (F.count(F.lit(1)) - positive).alias("_neg"), known.alias("_good")
     )
     bucket = F.floor(F.least(F.greatest(F.col("_score"), F.lit(0.0)), F.lit(1.0)) * _SCORE_BUCKETS)
     levels = levels.withColumn("_bucket", bucket.cast("int"))
@@ -180,10 +180,18 @@ def area_under_curve(scored: DataFrame, label: str = "label", score: str = "scor
     lower = totals.select("_bucket", F.coalesce(F.sum("_bucket_neg").over(earlier), F.lit(0)).alias("_lower"))
     inside = Window.partitionBy("_bucket").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("_neg").over(inside), F.lit(0))
-    ranked = levels.withColumn("_below", below).join(lower, "_bucket")
+    return levels.withColumn("_below", below).join(lower, "_bucket")
+
+
+def _area() -> Column:
     wins = F.sum(F.col("_pos") * (F.col("_lower") + F.col("_below") + F.col("_neg") / 2.0))
     pairs = F.sum("_pos").cast("double") * F.sum("_neg")
-    return ranked.agg((wins / F.nullif(pairs, F.lit(0.0))).alias("auc"))
+    return (wins / F.nullif(pairs, F.lit(0.0))).alias("auc")
+
+
+def area_under_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """AUC by the rank sum, ties counted half; one row, null when a class is absent."""
+    return _ranked_levels(scored, label, score).agg(_area())
 
 
 # Keeps the ratio finite at a precision of 1.  Fixed value.
@@ -194,12 +202,17 @@ def evaluate(
     scored: DataFrame, threshold: float = SELL_THRESHOLD, label: str = "label", score: str = "score"
 ) -> DataFrame:
     """M4: confusion counts, precision, recall, F1, AUC and the trading metrics."""
-    sell, bad = F.col(score) >= threshold, F.col(label) == 1
-    counts = scored.agg(
-        F.count_if(~sell & ~bad).alias("tn"),
-        F.count_if(sell & ~bad).alias("fp"),
-        F.count_if(~sell & bad).alias("fn"),
-        F.count_if(sell & bad).alias("tp"),
+    sell = F.col("_score") >= threshold
+
+    def number(column: str, when: Column) -> Column:
+        return F.coalesce(F.sum(F.when(when, F.col(column))), F.lit(0).cast("long"))
+
+    counts = _ranked_levels(scored, label, score).agg(
+        number("_good", ~sell).alias("tn"),
+        number("_good", sell).alias("fp"),
+        number("_pos", ~sell).alias("fn"),
+        number("_pos", sell).alias("tp"),
+        _area(),
     )
     tp, fp, fn = F.col("tp").cast("double"), F.col("fp").cast("double"), F.col("fn").cast("double")
 
@@ -222,12 +235,9 @@ def evaluate(
         {
             "sharpe_approx": F.col("profit_per_signal") / (2 * F.sqrt(p * (1 - p)) + _TINY),
             "threshold": F.lit(threshold),
-            "_one": F.lit(1),
         }
     )
-    # One row on each side.
-    auc = area_under_curve(scored, label, score).withColumn("_one", F.lit(1))
-    return report.join(auc, "_one").drop("_one")
+    return report.select(*[c for c in report.columns if c != "auc"], "auc")
 
 
 def model_sequences(
