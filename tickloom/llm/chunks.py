@@ -14,6 +14,7 @@ a special token) are encoded whole, so results never differ.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Callable, Iterator, Sequence
@@ -193,6 +194,30 @@ class PlainWords:
         return (word, self.marks[mark]) if mark in self.marks else None
 
 
+def ascii_normalizer(normalizer: dict | None) -> Callable[[str], str] | None:
+    """What a normalizer makes of an ASCII piece whose only white space is its first character, without calling it.
+
+    ``normalizer`` is its description in the tokenizer's file.  None where it holds a step not known here.
+    """
+    if normalizer is None:
+        return str
+    steps = normalizer.get("normalizers", [normalizer])
+    lower = space = False
+    for step in steps:
+        if step["type"] == "Lowercase":
+            lower = True
+        elif step["type"] == "Replace" and step["pattern"] == {"Regex": r"\s+"} and step["content"] == " ":
+            space = True
+        elif step["type"] not in ("NFC", "NFD", "NFKC", "NFKD"):  # these leave ASCII alone
+            return None
+
+    def normalized(piece: str) -> str:
+        piece = " " + piece[1:] if space else piece
+        return piece.lower() if lower else piece
+
+    return normalized
+
+
 _tokenizers: dict[tuple[str, bool], ChunkEncoder] = {}
 
 
@@ -218,13 +243,27 @@ def token_encoder(path: str, plain: bool = False) -> ChunkEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = plain
         normal, split, model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
-        words = Recent(
-            lambda new: [array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in new], WORDS_REMEMBERED
-        )
+
+        def modelled(new: list[str]) -> list[bytes]:
+            if normal is None:
+                return [array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in new]
+            # A normalizer makes one word of several pieces; each goes through the model once.
+            found = {w: array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in dict.fromkeys(new)}
+            return [found[w] for w in new]
+
+        words = Recent(modelled, WORDS_REMEMBERED)
+
+        by_ascii = ascii_normalizer(json.loads(tokenizer.to_str())["normalizer"]) if normal else None
 
         def normalized(pieces: list[str]) -> list[str]:
             if normal is None:
                 return pieces
+            if by_ascii is None:
+                return by_library(pieces)
+            rest = iter(by_library([p for p in pieces if not p.isascii()]))
+            return [by_ascii(p) if p.isascii() else next(rest) for p in pieces]
+
+        def by_library(pieces: list[str]) -> list[str]:
             joined = normal.normalize_str("".join(pieces))
             parts = [" " + p for p in joined.split(" ")[1:]]
             return parts if len(parts) == len(pieces) else [normal.normalize_str(p) for p in pieces]
