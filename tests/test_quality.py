@@ -260,3 +260,28 @@ def test_lasting_steps_need_no_pass_in_order(spark, monkeypatch):
     for name, prices in series.items():
         expected = Q.judge_prices(deque(maxlen=100), prices)
         assert [found[name, i] for i in range(len(prices))] == expected
+
+
+def test_gate_orders_one_instant_by_id(spark):
+    """Ids 9 and 10 in the order of their values, in the batch gate and in the stream's groups."""
+    from collections import deque
+
+    import numpy as np
+    import pandas as pd
+
+    from tickloom.streaming.jobs import _judged
+
+    class State:
+        exists = False
+
+        def update(self, _):
+            pass
+
+    prices = 100 * np.exp(np.random.default_rng(8).normal(0, 0.6, 40))
+    rows = [trade(second=5, price=float(p), trade_id=str(i + 1)) for i, p in enumerate(prices)]
+    expected = Q.judge_prices(deque(maxlen=100), prices)
+    judged = Q.gate(made(spark, rows[::-1]).repartition(3), F.lit(at(60)).cast("timestamp")).collect()
+    assert [r.failed_dimension is None for r in sorted(judged, key=lambda r: int(r.trade_id))] == expected
+    frame = pd.DataFrame(rows[::-1], columns=["symbol", "timestamp", "price", "volume", "side", "trade_id", "source"])
+    ordered, verdicts = _judged(iter([frame]), State())
+    assert verdicts == expected and ordered["trade_id"].tolist() == [r[5] for r in rows]

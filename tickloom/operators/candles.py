@@ -40,6 +40,14 @@ def _id_parts(text: Column) -> list[Column]:
     return [kind, F.when(whole, F.length(text)).otherwise(0), text]
 
 
+def id_turn(number: str | None) -> tuple[int, int, str]:
+    """``id_order`` of one id, within tasks."""
+    if number is None:
+        return 2, 0, ""
+    whole = number.isascii() and number.isdigit() and (number == "0" or number[0] != "0")
+    return 0 if whole else 1, len(number) if whole else 0, number
+
+
 def event_order(rows: DataFrame, at: Column, tiebreak: str) -> Column:
     """Orders events by (time, id), for ``min_by`` and ``max_by``.  ``at`` is a long.
 

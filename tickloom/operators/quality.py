@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions import checks
+from tickloom.operators.candles import id_order
 from tickloom.operators.series import BLOCK, BLOCK_ROWS, LEAD, ROW, TICK_CHUNK, Blocks, index_rows
 from tickloom.operators.stacking import stack
 from tickloom.schemas import (
@@ -211,7 +212,9 @@ def gate(trades: DataFrame, as_of: Column, complete: Column | None = None, span:
     stored = stage(trades.withColumn(FAILED, row_failure(as_of, complete)), "judged")
     passed = stored.filter(F.col(FAILED).isNull())
     placed = passed.withColumn("_at", F.coalesce(F.col("timestamp").cast("timestamp"), F.timestamp_micros(F.lit(0))))
-    measured = with_accepted(placed, ("symbol",), ("_at", "trade_id"), span)
+    # Trades of one instant in the order of their ids, as candles have them.
+    placed = placed.withColumn("_turn", id_order("trade_id"))
+    measured = with_accepted(placed, ("symbol",), ("_at", "_turn"), span)
     accuracy = F.when(~F.col("accepted"), F.lit("accuracy"))
     priced = measured.withColumn(FAILED, accuracy).select(*stored.columns)
     return stack(stored.filter(F.col(FAILED).isNotNull()), priced)

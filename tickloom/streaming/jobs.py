@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tickloom.operators.candles import close_time, event_offset, event_order, first_by, id_order, last_by
+from tickloom.operators.candles import close_time, event_offset, event_order, first_by, id_turn, last_by
 from tickloom.operators.quality import FAILED, judge_prices, quality_report
 from tickloom.schemas import ACCURACY_MIN_HISTORY, ACCURACY_WINDOW, MAX_DEVIATION, QUALITY_DIMENSIONS
 from tickloom.sources import sinks
@@ -110,7 +110,9 @@ _STATE = "prices array<double>"
 def _judged(batches: Iterator[pd.DataFrame], state: GroupState) -> tuple[pd.DataFrame, list[bool]]:
     """All trades of a group in this micro-batch, in order, and their verdicts."""
     recent = deque(state.get[0] if state.exists else [], maxlen=ACCURACY_WINDOW)
-    ordered = pd.concat(list(batches)).sort_values(["timestamp", "trade_id"], kind="stable")
+    rows = pd.concat(list(batches))
+    turns = rows.assign(_turn=[id_turn(None if pd.isna(t) else str(t)) for t in rows["trade_id"]])
+    ordered = turns.sort_values(["timestamp", "_turn"], kind="stable").drop(columns="_turn")
     verdicts = judge_prices(recent, ordered["price"])
     state.update((list(recent),))
     return ordered, verdicts
