@@ -3,6 +3,7 @@
 import json
 import random
 from collections import deque
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -90,6 +91,45 @@ def test_accuracy_state_spans_batches(spark, tmp_path):
         assert got == gate_loop(series) and not all(got)
 
 
+def shuffled_batches(rows, parts, lateness, rng):
+    """Rows in the order of arrival, each up to ``lateness`` seconds after its time, in so many files."""
+    late = sorted(rows, key=lambda r: r[1].timestamp() + rng.uniform(0, lateness))
+    size = -(-len(late) // parts)
+    return [late[i : i + size] for i in range(0, len(late), size)]
+
+
+def test_shuffled_files_give_the_batch_verdicts(spark, tmp_path):
+    """Trades up to a minute late, over seven files: the verdicts are those of one pass in order of time and id."""
+    rng = random.Random(5)
+    prices = {s: [100 * rng.choice([1, 1, 1, 1, 0.4, 1.6, 3]) * rng.uniform(0.95, 1.05) for _ in range(250)] for s in ("BTCUSDT", "ETHUSDT")}
+    # Two trades of one instant, ids 9 and 10 among them.
+    rows = [trade(s, 3 * (i // 2), p, trade_id=str(i)) for s in prices for i, p in enumerate(prices[s])]
+    batches = shuffled_batches(rows, 7, 60, rng)
+    assert any(a[1] > b[1] for x, y in zip(batches, batches[1:]) for a in x for b in y)
+    out, _ = drained(spark, J.accuracy_stream(stream_of(spark, str(tmp_path / "in"), batches), "1 minute"), str(tmp_path))
+    closed = max(r[1] for r in rows) - timedelta(minutes=1)
+    got = {(r.symbol, int(r.trade_id)): r.accepted for r in out.collect()}
+    expected = {(s, i): ok for s in prices for i, ok in enumerate(gate_loop(prices[s])) if at(3 * (i // 2)) <= closed}
+    assert got == expected and 400 < len(got) < 500 and len(set(got.values())) == 2
+
+
+def test_late_trades_are_counted_and_failed_ones_never_late(spark, tmp_path):
+    batches = [
+        [trade(second=0, trade_id="1"), trade(second=600, trade_id="2")],
+        [trade(second=700, trade_id="3"), trade(second=9000, trade_id="bad", side="hold")],
+        [trade(second=10, trade_id="late"), trade(second=20, trade_id="old", side="hold"), trade(second=690, trade_id="4")],
+        [trade(second=800, trade_id="5"), (None, None, 5.0, 1.0, "hold", None, None)],
+    ]
+    stream = stream_of(spark, str(tmp_path / "in"), batches)
+    judged = stream.withColumn("failed_dimension", F.when(F.col("side") == "hold", "validity"))
+    out, query = drained(spark, J.gate_stream(judged, "1 minute"), str(tmp_path))
+    got = {r.trade_id: r.failed_dimension for r in out.collect()}
+    assert got == {"1": None, "2": None, "3": None, "4": None, "bad": "validity", "old": "validity", None: "validity"}
+    assert dict(out.dtypes) == dict(judged.dtypes)
+    dropped = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in json.loads(p.json if isinstance(p.json, str) else p.json())["stateOperators"])
+    assert dropped == 1
+
+
 def test_exact_deviation_is_accepted():
     assert J.judge_prices(deque([100.0] * 10, maxlen=100), [150.0]) == [True]
     assert J.judge_prices(deque([100.0] * 10, maxlen=100), [150.0001]) == [False]

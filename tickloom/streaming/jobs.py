@@ -11,7 +11,8 @@ from collections import deque
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -104,64 +105,125 @@ def deduplicated(trades: DataFrame, lateness: str = "10 minutes") -> DataFrame:
 
 # --- accuracy gate with state ----------------------------------------------------------
 
-_STATE = "prices array<double>"
+# Accepted prices, and the trades that still wait for the watermark as an Arrow stream.
+_STATE = "prices array<double>, waiting binary"
+PASSED, SERIES, EVENT_AT, EVENT_MICROS = "_passed", "_series", "_event_at", "_event_micros"
+_SPREAD = 256
 
 
-def _judged(batches: Iterator[pd.DataFrame], state: GroupState) -> tuple[pd.DataFrame, list[bool]]:
-    """All trades of a group in this micro-batch, in order, and their verdicts."""
-    recent = deque(state.get[0] if state.exists else [], maxlen=ACCURACY_WINDOW)
-    rows = pd.concat(list(batches))
-    turns = rows.assign(_turn=[id_turn(None if pd.isna(t) else str(t)) for t in rows["trade_id"]])
-    ordered = turns.sort_values(["timestamp", "_turn"], kind="stable").drop(columns="_turn")
-    verdicts = judge_prices(recent, ordered["price"])
-    state.update((list(recent),))
-    return ordered, verdicts
+def _packed(rows: pd.DataFrame) -> bytes | None:
+    if rows.empty:
+        return None
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
 
 
-def _gate_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    ordered, verdicts = _judged(batches, state)
-    yield ordered.assign(accepted=verdicts)
+def _unpacked(waiting: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(waiting)).read_all().to_pandas()
 
 
-def accuracy_stream(trades: DataFrame) -> DataFrame:
-    """T4: every trade with whether its price is accepted, against the last 100
-    accepted prices of its symbol.  The state is a hundred numbers per symbol.
+def _judged(rows: pd.DataFrame, recent: deque) -> tuple[pd.DataFrame, list[bool]]:
+    """Trades in order of (time, id) and their verdicts."""
+    turns = rows.assign(_turn=[id_turn(None if pd.isna(t) else str(t)) for t in rows["trade_id"]])
+    ordered = turns.sort_values([EVENT_MICROS, "_turn"], kind="stable").drop(columns="_turn")
+    return ordered, judge_prices(recent, ordered["price"])
 
-    Each verdict depends on the ones before it, so the trades of a symbol in one
-    micro-batch are put in order of (timestamp, trade_id) in one task.  They are
-    held there: bound a micro-batch by the source's maxFilesPerTrigger or
-    maxOffsetsPerTrigger.  Between micro-batches the order of arrival counts.
-    """
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in trades.schema.fields)
-    return trades.groupBy("symbol").applyInPandasWithState(
-        _gate_group, f"{kinds}, accepted boolean", _STATE, "append", GroupStateTimeout.NoTimeout
-    )
 
+def _ready(batches: Iterator[pd.DataFrame], state: GroupState, waits: bool) -> tuple[pd.DataFrame, list[bool]] | None:
+    """The trades of a group whose turn has come, judged; the others are kept in the state.
 
-PASSED, SERIES = "_passed", "_series"
-_SPREAD = 256
+    Without ``waits`` that is every trade of the micro-batch, else those that the watermark has reached: no earlier one can
+    come any more.
+    """
+    prices, waiting = state.get if state.exists else ([], None)
+    parts = [b for b in batches if len(b)]
+    if waiting is not None:
+        parts.insert(0, _unpacked(waiting))
+    rows = pd.concat(parts, ignore_index=True) if parts else None
+    later = None
+    if rows is not None and waits:
+        mark = state.getCurrentWatermarkMs()
+        due = rows[EVENT_MICROS] <= mark * 1000
+        rows, later = rows[due], rows[~due]
+    recent = deque(prices, maxlen=ACCURACY_WINDOW)
+    judged = _judged(rows, recent) if rows is not None and len(rows) else None
+    held = later is not None and len(later)
+    state.update((list(recent), _packed(later) if held else None))
+    if held:
+        # Fires once the watermark is past this millisecond, that is, at the first waiting trade.
+        state.setTimeoutTimestamp(-(-int(later[EVENT_MICROS].min()) // 1000) - 1)
+    return judged
+
+
+def _event_time(trades: DataFrame, lateness: str | None, judged: Column | None = None) -> DataFrame:
+    """Adds the time that orders the trades.  With ``lateness`` it also moves the watermark, but for the rows that are not
+    ``judged``: neither do they move it nor are they late."""
+    at = F.col("timestamp").cast("timestamp")
+    timed = trades.withColumn(EVENT_MICROS, F.coalesce(F.unix_micros(at), F.lit(0)))
+    if lateness is None:
+        return timed
+    return timed.withColumn(EVENT_AT, at if judged is None else F.when(judged, at)).withWatermark(EVENT_AT, lateness)
+
+
+def _timeout(lateness: str | None) -> str:
+    return GroupStateTimeout.NoTimeout if lateness is None else GroupStateTimeout.EventTimeTimeout
+
+
+def accuracy_stream(trades: DataFrame, lateness: str | None = None) -> DataFrame:
+    """T4: every trade with whether its price is accepted, against the last 100
+    accepted prices of its symbol.
+
+    Each verdict depends on the ones before it, so the trades of a symbol are put in
+    order of (timestamp, trade_id) in one task.  They are held there: bound a
+    micro-batch by the source's maxFilesPerTrigger or maxOffsetsPerTrigger.
+
+    With ``lateness`` trades wait in the state until the watermark reaches them, so
+    the verdicts are those of the batch gate however the trades are spread over
+    micro-batches.  The state is a hundred numbers and the trades of that span per
+    symbol; trades that come later than that are dropped and counted in the query's
+    progress, as in T1.  Without it a trade is judged in the micro-batch it arrives
+    in, and between micro-batches the order of arrival counts.  A trade without a
+    time is judged at once, before the others.
+    """
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in trades.schema.fields)
+    spent, waits = [EVENT_MICROS, EVENT_AT], lateness is not None
 
+    def judge(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        ready = _ready(batches, state, waits)
+        if ready is not None:
+            yield ready[0].drop(columns=spent, errors="ignore").assign(accepted=ready[1])
 
-def _judge_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if not key[0]:
-        for batch in batches:
-            yield batch.drop(columns=[PASSED, SERIES])
-        return
-    ordered, verdicts = _judged(batches, state)
-    failures = [None if ok else "accuracy" for ok in verdicts]
-    yield ordered.drop(columns=[PASSED, SERIES]).assign(**{FAILED: failures})
+    return _event_time(trades, lateness).groupBy("symbol").applyInPandasWithState(
+        judge, f"{kinds}, accepted boolean", _STATE, "append", _timeout(lateness)
+    )
 
 
-def gate_stream(judged: DataFrame) -> DataFrame:
+def gate_stream(judged: DataFrame, lateness: str | None = None) -> DataFrame:
     """Q6 on a stream: trades judged by the row, those that passed judged by their
-    price too.  The others pass through in spread groups of their own, without
-    state, so the source is read and parsed once."""
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in judged.schema.fields)
+    price too, in event time with ``lateness`` as in ``accuracy_stream``.  The others
+    pass through in spread groups of their own, without state, so the source is read
+    and parsed once; they are never late and do not move the watermark."""
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in judged.schema.fields)
     passed = F.col(FAILED).isNull()
     spread = F.pmod(F.xxhash64("trade_id", "timestamp"), F.lit(_SPREAD)).cast("string")
     keyed = judged.withColumns({PASSED: passed, SERIES: F.when(passed, F.col("symbol")).otherwise(spread)})
-    return keyed.groupBy(PASSED, SERIES).applyInPandasWithState(
-        _judge_group, kinds, _STATE, "append", GroupStateTimeout.NoTimeout
+    spent, waits = [PASSED, SERIES, EVENT_MICROS, EVENT_AT], lateness is not None
+
+    def judge(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if not key[0]:
+            for batch in batches:
+                yield batch.drop(columns=spent, errors="ignore")
+            return
+        ready = _ready(batches, state, waits)
+        if ready is not None:
+            failures = [None if ok else "accuracy" for ok in ready[1]]
+            yield ready[0].drop(columns=spent, errors="ignore").assign(**{FAILED: failures})
+
+    return _event_time(keyed, lateness, passed).groupBy(PASSED, SERIES).applyInPandasWithState(
+        judge, kinds, _STATE, "append", _timeout(lateness)
     )
 
 
