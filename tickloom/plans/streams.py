@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.times import span_micros
 from tickloom.operators import normalize as N
 from tickloom.operators import quality as Q
 from tickloom.plans import ingest as P
@@ -92,23 +93,60 @@ def t3(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).select("symbol", "price", "price_time")
 
 
-@query(
-    "T4_accuracy_gate",
-    f"""WITH RECURSIVE {V.TICKS_SQL}, seq AS MATERIALIZED (
+_WALK = f"""WITH RECURSIVE {V.TICKS_SQL}, seq AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY "timestamp", trade_id) AS k FROM ticks), walk AS (
   SELECT symbol, k, trade_id, [price] AS recent, true AS accepted FROM seq WHERE k = 1
   UNION ALL
   SELECT symbol, k, trade_id, CASE WHEN ok THEN list_slice(list_append(recent, price), -100, -1) ELSE recent END, ok
   FROM (SELECT s.symbol, s.k, s.trade_id, s.price, w.recent,
                len(w.recent) < 10 OR NOT (list_avg(w.recent) > 0 AND abs(s.price - list_avg(w.recent)) / list_avg(w.recent) > 0.5) AS ok
-        FROM walk w JOIN seq s ON s.symbol = w.symbol AND s.k = w.k + 1))
-SELECT symbol, trade_id, accepted FROM walk""",
-)
+        FROM walk w JOIN seq s ON s.symbol = w.symbol AND s.k = w.k + 1))"""
+
+
+@query("T4_accuracy_gate", f"{_WALK} SELECT symbol, trade_id, accepted FROM walk")
 def t4(spark: SparkSession, folder: str) -> DataFrame:
     gated = _collected(spark, J.accuracy_stream(_tick_stream(spark, folder)), "stream-gate")
     return gated.select("symbol", "trade_id", "accepted")
 
 
+_PARTS, _LATENESS = 5, "1 day"
+
+
+def _arriving(trades: DataFrame, key: str) -> tuple[str, list[DataFrame]]:
+    """A folder, and the trades in parts by their arrival, up to ``_LATENESS`` after their time."""
+    delay = F.pmod(F.xxhash64(key), F.lit(span_micros(_LATENESS)))
+    late = trades.withColumn("_arrival", F.unix_micros("timestamp") + delay)
+    first, last = late.agg(F.min("_arrival"), F.max("_arrival")).first()
+    step = ((last or 0) - (first or 0)) // _PARTS + 1
+    part = F.floor((F.col("_arrival") - F.lit(first or 0)) / F.lit(step))
+    return fresh_path(trades.sparkSession, "arriving"), [late.where(part == i).drop("_arrival") for i in range(_PARTS)]
+
+
+def _in_parts(parts: tuple[str, list[DataFrame]], run) -> None:
+    """Runs a stream once after each part arrived, so a part is a micro-batch whatever its files, and each run goes on
+    from the checkpoint of the one before."""
+    path, rows = parts
+    for i, part in enumerate(rows):
+        part.write.parquet(f"{path}/{i:03d}")
+        run(part.sparkSession.readStream.schema(part.schema).parquet(f"{path}/*")).awaitTermination()
+
+
+def _released(verdicts: str) -> str:
+    """Of ``symbol, trade_id, accepted`` those that the watermark has reached at the end."""
+    return f"""SELECT w.symbol, w.trade_id, w.accepted FROM ({verdicts}) w JOIN ticks t USING (trade_id)
+WHERE t."timestamp" <= (SELECT date_trunc('milliseconds', max("timestamp")) - INTERVAL 1 DAY FROM ticks)"""
+
+
+@query("T4_event_time_gate", f"{_WALK} {_released('SELECT symbol, trade_id, accepted FROM walk')}")
+def t4_event_time(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdicts of one pass in order of time, from parts whose trades come up to a day late."""
+    out = fresh_path(spark, "stream-gate")
+    parts = _arriving(V.ticks(spark, folder), "trade_id")
+    _in_parts(parts, lambda stream: J.to_files(J.accuracy_stream(stream, _LATENESS), out, f"{out}-checkpoint", every=None))
+    gated = spark.read.schema("symbol string, trade_id string, accepted boolean").parquet(out)
+    return gated.select("symbol", "trade_id", "accepted")
+
+
 @query(
     "T5_bronze_batches",
     f"""{P._NORMAL_SQL} SELECT symbol, side, source, strftime("timestamp", '%Y-%m-%d') AS date_partition, count(*) AS trades,
