@@ -257,3 +257,66 @@ def test_few_files_and_no_copies_after_many_batches(spark, tmp_path):
     prices = spark.read.parquet(f"{tmp_path}/prices")
     assert prices.count() == 8 and len(list(Path(f"{tmp_path}/prices").rglob("*.parquet"))) <= sinks.PRICE_BUCKETS
     assert set(os.listdir(shared_folder(spark))) == before
+
+
+def test_replayed_batches_are_in_the_lake_once(spark, tmp_path):
+    """A batch written twice, one that broke off after some files, and the same number from another query."""
+    import os
+
+    rows = [trade(second=3600 * i, trade_id=str(i)) for i in range(60)]
+    path = str(tmp_path / "bronze")
+    first, second = bronze_input(spark, rows[:40]), bronze_input(spark, rows[40:])
+    for _ in range(2):
+        sinks.write_bronze(first, path, batch=("q", 0))
+    assert readers.read_bronze(spark, path).count() == 40
+    # What an attempt leaves that ends between its files and its last marker.
+    sinks.write_bronze(second, path, batch=("q", 1))
+    os.remove(f"{path}/_batches/batch-q-1.done")
+    sinks.write_bronze(second, path, batch=("q", 1))
+    assert sorted(int(r.trade_id) for r in readers.read_bronze(spark, path).collect()) == list(range(60))
+    assert {f.split(".")[0] for f in os.listdir(f"{path}/_batches") if not f.startswith(".")} == {"batch-q-1"}
+    sinks.write_bronze(first, path, batch=("q", 10))
+    sinks.write_bronze(second, path, batch=("other", 1))
+    os.remove(f"{path}/_batches/batch-other-1.done")
+    sinks.write_bronze(second.limit(0), path, batch=("other", 1))
+    assert readers.read_bronze(spark, path).count() == 100
+
+
+def test_a_query_that_fails_after_its_write_goes_on(spark, tmp_path):
+    rows = [trade(second=i, trade_id=str(i)) for i in range(30)]
+    stream = stream_of(spark, str(tmp_path / "in"), [rows[:10], rows[10:20], rows[20:]])
+    trades = stream.withColumns({"processing_time": F.lit(at(0)).cast("timestamp"), "date_partition": F.to_date("timestamp")})
+    write, path, failed = J.to_bronze(str(tmp_path / "bronze")), str(tmp_path / "bronze"), []
+
+    def breaks_off(batch, number):
+        write(batch, number)
+        if number == 1 and not failed:
+            failed.append(number)
+            raise RuntimeError("lost after the write")
+
+    query = J.start(trades, str(tmp_path / "check"), breaks_off, every=None)
+    try:
+        query.awaitTermination()
+    except Exception as error:
+        assert "lost after the write" in str(error)
+    assert failed == [1]
+    J.start(trades, str(tmp_path / "check"), breaks_off, every=None).awaitTermination()
+    assert sorted(int(r.trade_id) for r in readers.read_bronze(spark, path).collect()) == list(range(30))
+
+
+def test_counters_of_every_batch_are_kept(spark, tmp_path):
+    log = J.CounterLog(spark, str(tmp_path / "counters"))
+    spark.streams.addListener(log)
+    try:
+        batches = [[trade(second=i, trade_id=str(i)) for i in range(20)], [trade(second=500, trade_id="a"), trade(second=501, side="hold", trade_id="b")],
+                   [trade(second=900, price=1e6, trade_id="c")], [trade(second=1, trade_id="late"), trade(second=2000, trade_id="d")]]
+        stream = stream_of(spark, str(tmp_path / "in"), batches)
+        judged = stream.withColumn("failed_dimension", F.when(F.col("side") == "hold", "validity"))
+        drained(spark, J.observed(J.gate_stream(judged, "1 minute")), str(tmp_path))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
+    kept = spark.read.parquet(str(tmp_path / "counters"))
+    got = kept.agg(*[F.sum(c).alias(c) for c in ("input_rows", "late_rows", "all_records", "failed_validity", "failed_accuracy")]).first()
+    assert tuple(got) == (25, 1, 23, 1, 1)
+    assert kept.select("query", "batch").distinct().count() == kept.count() >= 4

@@ -16,6 +16,7 @@ from tickloom.plans import ingest as P
 from tickloom.plans import views as V
 from tickloom.plans.market import OHLCV, rollup_sql
 from tickloom.plans.registry import query, r
+from tickloom.schemas import QUALITY_DIMENSIONS
 from tickloom.sources import decode, readers
 from tickloom.sources.staging import fresh_path
 from tickloom.streaming import jobs as J
@@ -43,11 +44,12 @@ def _each_batch(spark: SparkSession, stream: DataFrame, label: str, sink, mode:
     return path
 
 
-def message_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The messages written as files and read as a stream of them."""
+def message_stream(spark: SparkSession, folder: str, files: int | None = None) -> DataFrame:
+    """The messages written as files and read as a stream of them, ``files`` of them in a micro-batch."""
     path = fresh_path(spark, "messages")
-    V.messages(spark, folder).write.parquet(path)
-    return readers.message_stream(spark, "parquet", path=path)
+    rows = V.messages(spark, folder)
+    (rows.repartition(4, "key") if files else rows).write.parquet(path)
+    return readers.message_stream(spark, "parquet", path=path, per_trigger=files)
 
 
 @query(
@@ -180,6 +182,34 @@ def t6(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).agg(*[F.sum(c).alias(c) for c in counters])
 
 
+@query(
+    "T6_all_dimensions",
+    f"""{P.JUDGED_SQL}, row_passed AS (SELECT j.event_id, g."timestamp" AS seen_at, j.failed_dimension AS failed,
+    coalesce(j.failed_dimension, 'accuracy') = 'accuracy' AS passed FROM judged j JOIN gate_input g USING (event_id)),
+mark AS (SELECT date_trunc('milliseconds', max(seen_at)) - INTERVAL 1 DAY AS closed_at FROM row_passed WHERE passed)
+SELECT (SELECT count(*) FROM gate_input) AS input_rows, 0 AS late_rows, count(*) AS all_records,
+       {", ".join(f"count(*) FILTER (WHERE failed = '{d}') AS failed_{d}" for d in QUALITY_DIMENSIONS)}
+FROM row_passed, mark WHERE NOT passed OR seen_at <= closed_at""",
+)
+def t6_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The counters that the listener kept of every micro-batch of the whole gate, summed; trades come up to a day late."""
+    out, log = fresh_path(spark, "stream-judged"), fresh_path(spark, "stream-counters")
+    counters = J.CounterLog(spark, log)
+
+    def run(stream: DataFrame):
+        judged = stream.withColumn(Q.FAILED, Q.row_failure(F.col("as_of")))
+        return J.to_files(J.observed(J.gate_stream(judged, _LATENESS)), out, f"{out}-checkpoint", every=None)
+
+    spark.streams.addListener(counters)
+    try:
+        _in_parts(_arriving(V.gate_input(spark, folder), "event_id"), run)
+        counters.wait()
+    finally:
+        spark.streams.removeListener(counters)
+    names = ["input_rows", "late_rows", "all_records", *[f"failed_{d}" for d in QUALITY_DIMENSIONS]]
+    return spark.read.parquet(log).agg(*[F.sum(c).alias(c) for c in names])
+
+
 @query(
     "T7_deduplicated",
     f"""WITH {V.TICKS_SQL} SELECT symbol, count(*) AS trades, {r("sum(volume)")} AS volume FROM ticks GROUP BY symbol""",
@@ -191,6 +221,27 @@ def t7(spark: SparkSession, folder: str) -> DataFrame:
     return kept.groupBy("symbol").agg(F.count(F.lit(1)).alias("trades"), F.sum("volume").alias("volume"))
 
 
+@query(
+    "T7_replayed_batch",
+    f"""{P._NORMAL_SQL} SELECT symbol, side, source, strftime("timestamp", '%Y-%m-%d') AS date_partition, count(*) AS trades,
+       {r("sum(price)")} AS price, {r("sum(volume)")} AS volume FROM normal GROUP BY ALL""",
+)
+def t7_replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """T5 with every micro-batch written twice, as after a failure between the write and the commit."""
+    rows = N.normalise(decode.decode_messages(message_stream(spark, folder, files=1)), P.processed_at())
+
+    def twice(path: str):
+        write = J.to_bronze(path)
+        return lambda batch, number: (write(batch, number), write(batch, number))
+
+    path = _each_batch(spark, rows, "stream-replayed", twice, "append")
+    return (
+        readers.read_bronze(spark, path)
+        .groupBy("symbol", "side", "source", "date_partition")
+        .agg(F.count(F.lit(1)).alias("trades"), F.sum("price").alias("price"), F.sum("volume").alias("volume"))
+    )
+
+
 def _bar_updates(trades: DataFrame) -> DataFrame:
     """An update per trade of its hourly bar; every eighth trade closes the bar."""
     number = F.col("trade_id").cast("long")

@@ -1,9 +1,9 @@
-"""Outputs: bronze append, keyed upserts, month partitions, event envelopes."""
+"""Outputs: bronze append, batches written once, keyed upserts, month partitions, event envelopes."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.ledger import upsert_latest
@@ -20,19 +20,51 @@ def bronze_rows(trades: DataFrame) -> DataFrame:
     return trades.select(*CANONICAL).withColumns(naive)
 
 
-def write_bronze(trades: DataFrame, path: str, spread: bool = True) -> None:
+def write_bronze(trades: DataFrame, path: str, spread: bool = True, batch: tuple[str, int] | None = None) -> None:
     """S3/O3: appends to the day-partitioned lake table, sorted by time, symbol, side.
 
     ``spread`` first gathers the rows of a day, so a micro-batch adds one file to
     each day it touches; adaptive execution splits a day again where it is larger
-    than the advisory partition size.
+    than the advisory partition size.  ``batch`` names the writer and the number of
+    the micro-batch, which is then in the table once however often it is written.
     """
     rows = bronze_rows(trades)
     order = ["date_partition", "timestamp", "symbol", "side"]
     rows = rows.hint("rebalance", "date_partition") if spread else rows
-    rows.sortWithinPartitions(*order).write.partitionBy("date_partition").mode("append").option(
-        "compression", "zstd"
-    ).parquet(path)
+    writer = rows.sortWithinPartitions(*order).write.partitionBy("date_partition").option("compression", "zstd")
+    if batch is None:
+        writer.mode("append").parquet(path)
+    else:
+        append_once(rows.sparkSession, writer, path, "date_partition", *batch)
+
+
+def append_once(spark: SparkSession, writer: DataFrameWriter, path: str, partition: str, source: str, number: int) -> None:
+    """Appends a micro-batch to a Parquet table with one partition column, exactly once.
+
+    The files carry the names of their source and batch.  A marker is set before the
+    write and another after it: a batch that is marked as done is not written again,
+    and one that was only begun first loses the files of the attempt that broke off.
+    A source writes its batches one after the other, as a streaming query does, so
+    the markers of the batch before are no longer needed.
+    """
+    def place(name: str):
+        return spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
+
+    name = f"batch-{source}-{number}"
+    # Spark's readers pass over names that begin with an underscore.
+    begun, done = (place(f"_batches/{name}.{state}") for state in ("begun", "done"))
+    files = begun.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(done):
+        return
+    if files.exists(begun):
+        for left in files.globStatus(place(f"{partition}=*/{name}-*")) or []:
+            files.delete(left.getPath(), False)
+    else:
+        files.create(begun, True).close()
+    writer.mode("append").option("mapreduce.output.basename", name).parquet(path)
+    files.create(done, True).close()
+    for state in ("begun", "done"):
+        files.delete(place(f"_batches/batch-{source}-{number - 1}.{state}"), False)
 
 
 def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:

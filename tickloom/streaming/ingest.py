@@ -29,7 +29,9 @@ class Tables:
     candles: str
 
 
-def judged_trades(messages: DataFrame, as_of: Column | None = None, processing_time: Column | None = None) -> DataFrame:
+def judged_trades(
+    messages: DataFrame, as_of: Column | None = None, processing_time: Column | None = None, lateness: str | None = None
+) -> DataFrame:
     """S2, P3 and the whole gate: every trade with its first failed dimension.
 
     The records are normalised before they are judged, so both wire formats can
@@ -37,19 +39,21 @@ def judged_trades(messages: DataFrame, as_of: Column | None = None, processing_t
     """
     now = F.current_timestamp() if as_of is None else as_of
     trades = normalise(decode_messages(messages), processing_time)
-    return jobs.gate_stream(trades.withColumn(Q.FAILED, Q.row_failure(now, checks.complete())))
+    return jobs.gate_stream(trades.withColumn(Q.FAILED, Q.row_failure(now, checks.complete())), lateness)
 
 
 def store_batch(tables: Tables) -> Callable[[DataFrame, int], None]:
-    """Splits a judged batch into the lake, the rejects and the price table."""
+    """Splits a judged batch into the lake, the rejects and the price table, each of which has it once."""
 
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
+        named = jobs.batch_name(batch, number)
         batch.persist()
         try:
             good = Q.accepted(batch)
-            sinks.write_bronze(good, tables.bronze)
+            sinks.write_bronze(good, tables.bronze, batch=named)
             sinks.publish_latest(latest_price(good), tables.latest)
-            Q.rejected(batch).write.mode("append").partitionBy(Q.FAILED).parquet(tables.rejects)
+            rejects = Q.rejected(batch).write.partitionBy(Q.FAILED)
+            sinks.append_once(batch.sparkSession, rejects, tables.rejects, Q.FAILED, *named)
         finally:
             batch.unpersist()
 
@@ -63,13 +67,16 @@ def start_storage(
     every: str | None = jobs.BATCH_EVERY,
     as_of: Column | None = None,
     processing_time: Column | None = None,
+    lateness: str | None = None,
 ) -> StreamingQuery:
     """Messages to the lake, the rejects and the latest prices.
 
-    The lake append is at least once, as on the platform; the prices are a keyed
-    upsert and come out the same after a replay.
+    A micro-batch is in the lake and the rejects once, also when it is written again
+    after a failure; the prices are a keyed upsert and come out the same.  With
+    ``lateness`` accuracy is judged in event time (``jobs.gate_stream``) and accepted
+    trades reach the lake that much later.
     """
-    judged = jobs.observed(judged_trades(messages, as_of, processing_time))
+    judged = jobs.observed(judged_trades(messages, as_of, processing_time, lateness))
     return jobs.start(judged, checkpoint, store_batch(tables), every=every)
 
 

@@ -2,7 +2,7 @@
 
 Every function takes a streaming DataFrame and returns one; ``start`` and the
 sinks attach it to storage.  Sources replay from their checkpoint; the keyed sinks
-come out the same after a replay, the bronze append is at least once (T7).
+come out the same after a replay, and the appends hold every batch once (T7).
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickloom.operators.candles import close_time, event_offset, event_order, first_by, id_turn, last_by
@@ -236,6 +236,44 @@ def observed(judged: DataFrame, name: str = "quality") -> DataFrame:
     return judged.observe(name, F.count(F.lit(1)).alias("all_records"), *failures)
 
 
+_COUNTERS = ("all_records", *[f"failed_{d}" for d in QUALITY_DIMENSIONS])
+_LOG = "observed_name string, input_rows long, late_rows long, " + ", ".join(f"{name} long" for name in _COUNTERS)
+
+
+class CounterLog(StreamingQueryListener):
+    """Keeps the counters of every micro-batch, and the rows the watermark dropped, in a Parquet table.
+
+    Each batch has a folder of its own, so a replayed batch replaces its row.  Add it with ``spark.streams.addListener``
+    before the query starts; it hears every query of the session and notes those that are ``observed`` under ``name``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, name: str = "quality"):
+        self.spark, self.path, self.name = spark, path.rstrip("/"), name
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        counted = progress.observedMetrics.get(self.name)
+        if counted is None:
+            return
+        late = sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+        row = (self.name, progress.numInputRows, late, *[counted[name] for name in _COUNTERS])
+        folder = f"{self.path}/query={progress.id}/batch={progress.batchId}"
+        self.spark.createDataFrame([row], _LOG).coalesce(1).write.mode("overwrite").parquet(folder)
+
+    def wait(self) -> None:
+        """Returns once every event so far has been heard."""
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def start(
     stream: DataFrame,
     checkpoint: str,
@@ -263,8 +301,17 @@ def to_files(stream: DataFrame, path: str, checkpoint: str, every: str | None =
     )
 
 
+def batch_name(batch: DataFrame, number: int) -> tuple[str, int]:
+    """The streaming query that runs a micro-batch, by the id its checkpoint keeps, and the number of the batch."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if query is None:
+        raise ValueError("only a streaming query's batches have a name")
+    return query, number
+
+
 def to_bronze(path: str) -> Callable[[DataFrame, int], None]:
-    return lambda batch, _: sinks.write_bronze(batch, path)
+    """Every micro-batch is in the lake table once, also when it is written again after a failure."""
+    return lambda batch, number: sinks.write_bronze(batch, path, batch=batch_name(batch, number))
 
 
 def to_candles(path: str) -> Callable[[DataFrame, int], None]:
