@@ -59,6 +59,24 @@ def test_ema(candles, series, period):
         np.testing.assert_allclose(got[symbol][f"ema_{period}"], ema(values, period), rtol=1e-12)
 
 
+def test_averages_pass_over_many_spans(spark, monkeypatch):
+    """Small blocks and spans, so that the start of a series has to pass through dozens of both."""
+    monkeypatch.setattr(I, "_MAX_EMA_BLOCK", 8)
+    monkeypatch.setattr(I, "_SPAN_BLOCKS", 4)
+    # What the first value leaves after 1500 rows is far above everything else.
+    values = [1e300, *walk(1499, 8)]
+    frame = spark.createDataFrame(closes({"S": values, "SHORT": values[:33], "ONE": values[:1]}), CANDLE_DDL)
+    got = by_symbol(I.with_ema(frame, [12, 2000]))
+    for symbol, n in (("S", 1500), ("SHORT", 33), ("ONE", 1)):
+        for period in (12, 2000):
+            np.testing.assert_allclose(got[symbol][f"ema_{period}"], ema(values[:n], period), rtol=1e-11)
+    line = [x - y for x, y in zip(ema(values[1:], 12), ema(values[1:], 26))]
+    tail = spark.createDataFrame(closes({"S": values[1:]}), CANDLE_DDL)
+    macd = by_symbol(I.with_macd(tail))["S"]
+    np.testing.assert_allclose(macd["macd"], line, atol=1e-11 * max(values[1:]))
+    np.testing.assert_allclose(macd["macd_signal"], ema(line, 9), atol=1e-11 * max(values[1:]))
+
+
 def test_macd(candles, series):
     got = by_symbol(I.with_macd(candles, [I.Macd("a", 12, 26, 9), I.Macd("b", 9, 35, 9)]))
     for symbol, values in series.items():

@@ -14,13 +14,12 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.series import BLOCK, CANDLE_CHUNK, LEAD, ROW, Blocks, index_rows, numbered, slice_rows
 
-# Weight below which an earlier block no longer reaches a double, whatever the
-# prices in the accepted range (1e-5 to 1e7).
-_VANISHED = 1e-60
 # Running sums inside a block carry factors up to decay**-size; this keeps them
 # far from the end of the double range.
 _MAX_EXPONENT = 500.0
 _MAX_EMA_BLOCK = 1024
+# Blocks whose carries are folded together; spans of so many blocks are folded on.
+_SPAN_BLOCKS = 128
 
 KEYS = ["symbol"]
 ORDER = ["open_time"]
@@ -124,7 +123,8 @@ def _rsi_of(period: int) -> Column:
 # An EMA is e[t] = k*x[t] + (1-k)*e[t-1], started as if e[-1] were x[0].  Inside a
 # block the part that stems from the block's own rows is a running sum; what
 # stems from earlier blocks is the EMA at the end of the block before, decayed.
-# Those block-end values follow the same recurrence over one row per block.
+# Those block-end values follow the same recurrence over one row per block, and
+# are scanned in two levels: inside spans of blocks, and over the spans.
 
 
 @dataclass(frozen=True)
@@ -155,12 +155,6 @@ def _block_rows(periods: list[int]) -> int:
     return size
 
 
-def _reach(periods: list[int], size: int) -> int:
-    """Number of earlier blocks whose weight has not vanished."""
-    slowest = max(_decay(p) for p in periods)
-    return math.ceil(math.log(_VANISHED) / (size * math.log(slowest))) + 1
-
-
 def _power(base: float, exponent: Column) -> Column:
     return F.pow(F.lit(base), exponent)
 
@@ -200,38 +194,45 @@ def _block_carries(
     summary = indexed.groupBy(*keys, block.alias(BLOCK)).agg(
         F.min_by(value, ROW).alias("_first"), *[column.alias(name) for name, column in sums.items()]
     )
-    periods = emas + [p for m in macds for p in (m.fast, m.slow, m.signal)]
-    reach = _reach(periods, size)
-    by_block = Window.partitionBy(*keys).orderBy(BLOCK)
-    recent = by_block.rowsBetween(-reach, -1)
-    start = F.first("_first").over(by_block.rowsBetween(Window.unboundedPreceding, 0))
-    # Further back than `reach` the starting value has vanished as well.
-    seed = F.when(F.col(BLOCK) <= reach, start).otherwise(F.lit(0.0))
-    zero = F.struct(
-        *[seed.alias(f"_s{p}") for p in emas], *[F.lit(0.0).alias(f"_g_{m.name}") for m in macds]
-    )
+    states = [f"_s{p}" for p in emas] + [f"_g_{m.name}" for m in macds]
+    nothing = F.struct(*[F.lit(0.0).alias(name) for name in states])
+
+    def passed_on(rows: int):
+        """What the averages are ``rows`` rows later, given what these rows add by themselves."""
+
+        def step(state: Column, piece: Column) -> Column:
+            nxt = [(state[f"_s{p}"] * (_decay(p) ** rows) + piece[f"_s{p}"]).alias(f"_s{p}") for p in emas]
+            for m in macds:
+                g = _decay(m.signal)
 
-    def step(state: Column, piece: Column) -> Column:
-        nxt = [
-            (state[f"_s{p}"] * (_decay(p) ** size) + piece[f"_s{p}"]).alias(f"_s{p}") for p in emas
-        ]
-        for m in macds:
-            g = _decay(m.signal)
-
-            def passed(period: int) -> Column:
-                # What a carried average adds to the signal while it decays through a block.
-                return state[f"_s{period}"] * _gain(m.signal) * _decay(period) * _geometric(_decay(period), g, size)
-
-            nxt.append(
-                (
-                    state[f"_g_{m.name}"] * (g**size) + passed(m.fast) - passed(m.slow) + piece[f"_g_{m.name}"]
-                ).alias(f"_g_{m.name}")
-            )
-        return F.struct(*nxt)
-
-    pieces = F.collect_list(F.struct(*[F.col(name) for name in sums])).over(recent)
-    carried = F.aggregate(pieces, zero, step)
-    return summary.select(*keys, BLOCK, carried.alias("_carry"))
+                def passed(period: int) -> Column:
+                    # What a carried average adds to the signal while it decays.
+                    return state[f"_s{period}"] * _gain(m.signal) * _decay(period) * _geometric(_decay(period), g, rows)
+
+                signal = state[f"_g_{m.name}"] * (g**rows) + passed(m.fast) - passed(m.slow) + piece[f"_g_{m.name}"]
+                nxt.append(signal.alias(f"_g_{m.name}"))
+            return F.struct(*nxt)
+
+        return step
+
+    piece = F.struct(BLOCK, *states)
+    spans = summary.withColumn("_span", F.floor(F.col(BLOCK) / F.lit(_SPAN_BLOCKS)).cast("long"))
+    # A span that others come after is full, so all of them decay alike.
+    ends = spans.groupBy(*keys, "_span").agg(
+        F.min_by("_first", BLOCK).alias("_first"),
+        F.aggregate(F.sort_array(F.collect_list(piece)), nothing, passed_on(size)).alias("_sums"),
+    )
+    by_span = Window.partitionBy(*keys).orderBy("_span")
+    start = F.first("_first").over(by_span.rowsBetween(Window.unboundedPreceding, 0))
+    seed = F.struct(*[start.alias(f"_s{p}") for p in emas], *[F.lit(0.0).alias(f"_g_{m.name}") for m in macds])
+    earlier = F.collect_list("_sums").over(by_span.rowsBetween(Window.unboundedPreceding, -1))
+    begins = ends.select(
+        *keys, "_span", F.aggregate(earlier, seed, passed_on(size * _SPAN_BLOCKS)).alias("_begin")
+    )
+    inside = Window.partitionBy(*keys, "_span").orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    listed = spans.withColumn("_pieces", F.collect_list(piece).over(inside)).join(begins, [*keys, "_span"])
+    carried = F.aggregate("_pieces", F.col("_begin"), passed_on(size))
+    return listed.select(*keys, BLOCK, carried.alias("_carry"))
 
 
 def _scan(blocks: Blocks, value: Column, period: int, carry: Column) -> Column:
