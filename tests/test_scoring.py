@@ -95,6 +95,31 @@ def test_area_under_curve(spark, levels):
     assert M.area_under_curve(rows.filter("label = 1")).first().auc is None
 
 
+def test_close_scores_spread_over_all_ranges(spark):
+    """Scores within a thousandth, some outside 0 to 1, some missing: ranges of like size, and the plain rank sum."""
+    rng = np.random.default_rng(4)
+    label = rng.integers(0, 2, 2000)
+    score = np.where(rng.random(2000) < 0.99, 0.5 + rng.integers(0, 1500, 2000) / 2e6, rng.uniform(-3, 3, 2000))
+    pos, neg = score[label == 1], score[label == 0]
+    wins = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
+    rows = [(int(a), float(b)) for a, b in zip(label, score)] + [(1, None), (0, None)]
+    frame = spark.createDataFrame(rows, "label int, score double").repartition(3)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        levels = M._ranked_levels(frame, "label", "score")
+        sizes = [r["count"] for r in levels.groupBy("_range").count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
+        report = M.evaluate(frame, 0.5)
+        got = report.first()
+        assert "NestedLoop" not in report._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert got.auc == pytest.approx(wins / (len(pos) * len(neg)), rel=1e-12)
+    assert (got.tp, got.fp) == ((pos >= 0.5).sum(), (neg >= 0.5).sum()) and got.tp + got.fn + got.tn + got.fp == 2000
+
+
 @pytest.fixture(scope="module")
 def features(spark):
     return I.feature_rows(spark.createDataFrame(closes({"A": walk(230, 3), "B": walk(205, 4)}), CANDLE_DDL))

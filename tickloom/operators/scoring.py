@@ -13,6 +13,7 @@ from tickloom.functions import checks
 from tickloom.operators.indicators import feature_sequences
 from tickloom.operators.series import CANDLE_CHUNK, ROW, Blocks, numbered
 from tickloom.schemas import FEATURES, SELL_THRESHOLD, SEQUENCE_LENGTH
+from tickloom.sources.staging import stage
 
 KEYS = ["symbol"]
 ORDER = ["open_time"]
@@ -159,28 +160,27 @@ def panel_signals(features: DataFrame) -> DataFrame:
 
 # --- evaluation ----------------------------------------------------------------------
 
-_SCORE_BUCKETS = 1024
-
 
 def _ranked_levels(scored: DataFrame, label: str, score: str) -> DataFrame:
     """Distinct scores with their positives, negatives and the negatives below.
 
-    Scores are counted first, then cumulated inside score buckets; only the
-    bucket totals, at most 1026 rows, meet in one task.  Scores lie in 0..1.
+    Scores are counted first, then dealt into sorted ranges of about as many distinct
+    scores each, however close they lie, and cumulated inside the ranges; only the
+    range totals, one row for each partition, meet in one task.  The ranges are
+    staged, so all that reads them sees the same.  Rows without a score are left out.
     """
     positive, known = F.count_if(F.col(label) == 1), F.count_if(F.col(label) != 1)
-    levels = scored.groupBy(F.col(score).alias("_score")).agg(
+    levels = scored.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("_score")).agg(
         positive.alias("_pos"), (F.count(F.lit(1)) - positive).alias("_neg"), known.alias("_good")
     )
-    bucket = F.floor(F.least(F.greatest(F.col("_score"), F.lit(0.0)), F.lit(1.0)) * _SCORE_BUCKETS)
-    levels = levels.withColumn("_bucket", bucket.cast("int"))
-    totals = levels.groupBy("_bucket").agg(F.sum("_neg").alias("_bucket_neg"))
-    # One row per bucket: the bucket number bounds this window, not the data.
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    lower = totals.select("_bucket", F.coalesce(F.sum("_bucket_neg").over(earlier), F.lit(0)).alias("_lower"))
-    inside = Window.partitionBy("_bucket").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
+    levels = stage(levels.repartitionByRange("_score").withColumn("_range", F.spark_partition_id()), "score-ranges")
+    totals = levels.groupBy("_range").agg(F.sum("_neg").alias("_range_neg"))
+    # One row per range: the number of partitions bounds this window, not the data.
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    lower = totals.select("_range", F.coalesce(F.sum("_range_neg").over(earlier), F.lit(0)).alias("_lower"))
+    inside = Window.partitionBy("_range").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("_neg").over(inside), F.lit(0))
-    return levels.withColumn("_below", below).join(lower, "_bucket")
+    return levels.withColumn("_below", below).join(lower, "_range")
 
 
 def _area() -> Column:
