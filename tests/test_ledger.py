@@ -65,6 +65,44 @@ def test_settlement_equals_the_loop(spark):
     assert len(set(expected.values())) == 2
 
 
+def free_balances(orders, balances):
+    """What every order finds of the asset it pays with."""
+    held, free = {(p, a): q for p, a, q in balances}, {}
+    for o in sorted(orders, key=lambda o: (o[7], o[0])):
+        pay = o[9] if o[4] == "buy" else o[8]
+        cost, gain = (o[5] * o[6], o[6]) if o[4] == "buy" else (o[6], o[5] * o[6])
+        free[o[0]] = held.get((o[1], pay), D(0))
+        if free[o[0]] >= cost:
+            held[o[1], pay] = free[o[0]] - cost
+            got = (o[1], o[8] if o[4] == "buy" else o[9])
+            held[got] = held.get(got, D(0)) + gain
+    return free
+
+
+@pytest.mark.parametrize("cash,stock,rounds", [("90000", 60, 16), ("3000", 3, 16), ("3000", 3, 3), ("90000", 60, 1)])
+def test_long_portfolios_are_settled_in_blocks(spark, monkeypatch, cash, stock, rounds):
+    """Half of all orders in one portfolio, many at one instant, in blocks of sixteen: scattered shortfalls are settled by the
+    rounds alone, what they leave open is folded in order."""
+    monkeypatch.setattr(L, "ROUNDS", rounds)
+    monkeypatch.setattr(L, "STILL_OPEN", 0.75 if rounds == 16 else 1.0)
+    sequential, calls = L._folded, []
+    monkeypatch.setattr(L, "_folded", lambda *given: calls.append(1) or sequential(*given))
+    rng = random.Random(11)
+    balances = [(p, 0, D(cash)) for p in range(5)] + [(p, a, D(stock)) for p in (0, 1, 3) for a in (1, 2, 3)] + [(9, 0, D(5))]
+    orders = [
+        order(i, 0 if i % 2 == 0 else rng.randint(1, 7), rng.choice(["buy", "buy", "sell"]), str(rng.randint(1, 900)),
+              str(rng.randint(1, 400) / 100), second=3600 * rng.randint(0, 40), base=rng.choice([1, 2, 3]))
+        for i in range(1, 700)
+    ]
+    expected, _ = loop(orders, balances)
+    held = spark.createDataFrame(balances, BALANCE_DDL)
+    got = L.settle(L.fills(spark.createDataFrame(orders, FILL_DDL)), held, size=16).collect()
+    assert len(got) == len(orders) and {r.id: r.accepted for r in got} == expected
+    assert {r.id: r.available for r in got} == free_balances(orders, balances)
+    assert len({ok for i, ok in expected.items() if i % 2 == 0}) == 2
+    assert len(calls) == 2 if stock == 3 else len(calls) == 1 or rounds == 1
+
+
 @pytest.mark.parametrize("cash,accepted", [("100", True), ("99.999999999999999999", False), ("100.000000000000000001", True)])
 def test_exact_balance(spark, cash, accepted):
     got, _ = settled(spark, [order(1, 1, "buy", "50", "2")], [(1, 0, D(cash))])

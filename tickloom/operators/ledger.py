@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.normalize import exact_product
-from tickloom.operators.series import BLOCK_ROWS, ROW, number_rows, running
+from tickloom.operators.series import BLOCK, BLOCK_ROWS, ROW, number_rows, running
 from tickloom.operators.stacking import stack
 from tickloom.schemas import (
     BAD_OPERATION, BAD_QUANTITY, DEFAULT_EXCHANGE, LIVE_STATUS, NO_EXCHANGE, NOT_OWNED, ORDER_TRANSITIONS, PLATFORM_STATUS,
     PRICE, QUANTITY,
 )
+from tickloom.sources.staging import stage
 
 # One account may hold a third of all postings; a day of it is one task's work.
 LEDGER_CHUNK = "1 day"
@@ -98,15 +99,138 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["portfolio_id", "id", "accepted", "required", "available"])
 
 
-def settle(filled: DataFrame, balances: DataFrame, span: str = LEDGER_CHUNK) -> DataFrame:
+#: Blocks of long portfolios are folded side by side for so many rounds at most, and as long as a round leaves no more than
+#: this share of the blocks open that the one before left; what is open then is folded in order.
+ROUNDS, STILL_OPEN = 16, 0.75
+_BLOCK_FOLD = (
+    f"portfolio_id long, {BLOCK} long, asset_id long, id long, accepted boolean, required decimal(38,18), "
+    "available decimal(38,18), start decimal(38,18), delta decimal(38,18), slack decimal(38,18), lack decimal(38,18)"
+)
+
+
+def _fold_block(fills: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
+    """The fills of one block in order, from given balances.
+
+    A row for every fill, and one for every asset: what it began with and gained, the least an accepted fill left
+    (``slack``) and the least a rejected one lacked (``lack``).
+    """
+    names = [field.split()[0] for field in _BLOCK_FOLD.split(", ")]
+    if fills.empty:
+        return pd.DataFrame([], columns=names, dtype=object)
+    fills = fills.sort_values(ROW)
+    place = (int(fills.portfolio_id.iloc[0]), int(fills[BLOCK].iloc[0]))
+    begun = {int(asset): start for asset, start in zip(starts.asset_id, starts.start)}
+    held, slack, lack, rows = dict(begun), {}, {}, []
+    for order, pay, cost, asset, gain in zip(fills.id, fills.pay_asset, fills.cost, fills.gain_asset, fills.gain):
+        available = held[pay]
+        left = _EXACT.subtract(available, cost)
+        if left >= 0:
+            held[pay] = left
+            held[asset] = _EXACT.add(held[asset], gain)
+            slack[pay] = min(left, slack.get(pay, left))
+        else:
+            lack[pay] = min(-left, lack.get(pay, -left))
+        rows.append((*place, int(pay), int(order), left >= 0, cost, available, None, None, None, None))
+    for asset, start in begun.items():
+        moved = _EXACT.subtract(held[asset], start)
+        rows.append((*place, asset, None, None, None, None, start, moved, slack.get(asset), lack.get(asset)))
+    return pd.DataFrame(rows, columns=names, dtype=object)
+
+
+def _settle_blocks(legs: DataFrame, balances: DataFrame, size: int) -> DataFrame:
+    """L2 for long portfolios: blocks of ``size`` fills folded side by side, in rounds.
+
+    The first round guesses the balances at the start of a block.  What the folded blocks add up to gives new starts.  A
+    block keeps its verdicts as long as every asset's start moved by no more than its accepted fills left and by less than
+    its rejected ones lacked; only the other blocks are folded again, the first of them from its true start.  Scattered
+    shortfalls are settled in a few rounds.  In a portfolio that is short all the time every verdict hangs on the one
+    before, so a round settles little more than one block; its rest goes through one task in order, as does no other.
+    """
+    block, place, nothing = ["portfolio_id", BLOCK], ["portfolio_id", BLOCK, "asset_id"], F.lit(0).cast(QUANTITY)
+    numbered = number_rows(legs, ["portfolio_id"], ["created_ts", "id"])
+    own = F.floor((F.col(ROW) - 1) / F.lit(size)).cast("long")
+    fills = stage(numbered.withColumn(BLOCK, own), "fills")
+    opening = balances.groupBy("portfolio_id", "asset_id").agg(F.sum(F.col("qty").cast(QUANTITY)).cast(QUANTITY).alias("_opening"))
+    before = Window.partitionBy("portfolio_id", "asset_id").orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+
+    def starts(deltas: DataFrame) -> DataFrame:
+        """Every asset a block touches and its balance at the start, given what the blocks add."""
+        moved = F.coalesce(F.sum("delta").over(before).cast(QUANTITY), nothing)
+        known = deltas.withColumn("_moved", moved).join(opening, ["portfolio_id", "asset_id"], "left")
+        start = _wide(F.coalesce("_opening", nothing)) + _wide(F.col("_moved"))
+        return known.select(*place, start.cast(QUANTITY).alias("start"))
+
+    def move(asset: str, amount: Column) -> Column:
+        return F.struct(F.col(asset).alias("asset_id"), amount.cast(QUANTITY).alias("delta"))
+
+    both = F.explode(F.array(move("pay_asset", -F.col("cost")), move("gain_asset", F.col("gain"))))
+    all_accepted = fills.select(*block, both.alias("_m")).select(*block, "_m.*").groupBy(*place).agg(
+        F.sum("delta").cast(QUANTITY).alias("delta")
+    )
+    guess = F.when(F.col(BLOCK) == 0, F.col("start")).otherwise(F.greatest("start", nothing))
+    todo = stage(starts(all_accepted).withColumn("start", guess), "starts")
+    rounds, waiting = [], fills.select(*block).distinct().count()
+    for turn in range(ROUNDS):
+        again = fills if turn == 0 else fills.join(todo.select(*block).distinct(), block, "left_semi")
+        folded = again.groupBy(*block).cogroup(todo.groupBy(*block)).applyInPandas(_fold_block, _BLOCK_FOLD)
+        rounds.append(stage(folded.withColumn("_turn", F.lit(turn)), "folded"))
+        every = stack(*rounds) if turn else rounds[0]
+        newest = every.where(F.col("id").isNull()).groupBy(*block).agg(F.max("_turn").alias("_turn"))
+        current = every.join(newest, [*block, "_turn"])
+        assets = current.where(F.col("id").isNull()).select(*place, "delta", "slack", "lack", F.col("start").alias("_from"))
+        shifted = assets.join(starts(assets.select(*place, "delta")), place)
+        shift = _wide(F.col("start")) - _wide(F.col("_from"))
+        broken = F.coalesce(shift + F.col("slack") < 0, F.lit(False)) | F.coalesce(shift >= F.col("lack"), F.lit(False))
+        checked = stage(shifted.withColumns({"_shift": shift.cast(QUANTITY), "_broken": broken}), "checked")
+        open_blocks = checked.where("_broken").select(*block).distinct()
+        todo = stage(checked.join(open_blocks, block, "left_semi").select(*place, "start"), "starts")
+        before_it, waiting = waiting, todo.select(*block).distinct().count()
+        if waiting == 0 or waiting > STILL_OPEN * before_it:
+            break
+    by_pay = checked.select(*place, "_shift")
+    # The balances moved without changing a verdict.
+    right = current.where(F.col("id").isNotNull()).join(by_pay, place).withColumn(
+        "available", (_wide(F.col("available")) + _wide(F.col("_shift"))).cast(QUANTITY)
+    )
+    names = ["portfolio_id", "id", "accepted", "required", "available"]
+    if waiting == 0:
+        return right.select(*names)
+    first = stage(todo.groupBy("portfolio_id").agg(F.min(BLOCK).alias("_first")), "open")
+    settled = right.join(first, "portfolio_id", "left").where(F.col("_first").isNull() | (F.col(BLOCK) < F.col("_first")))
+    moved = checked.join(first, "portfolio_id").where(F.col(BLOCK) < F.col("_first")).select("portfolio_id", "asset_id", "delta")
+    held = stack(opening.withColumnRenamed("_opening", "delta").select(*moved.columns), moved).groupBy("portfolio_id", "asset_id").agg(
+        F.sum("delta").cast(QUANTITY).alias("qty")
+    )
+    rest = fills.join(first, "portfolio_id").where(F.col(BLOCK) >= F.col("_first"))
+    in_order = _folded(rest.select(*legs.columns), held.join(first, "portfolio_id", "left_semi"))
+    return stack(settled.select(*names), in_order)
+
+
+def _folded(legs: DataFrame, balances: DataFrame) -> DataFrame:
+    """Whole portfolios in order, streamed through one task each."""
+    opening = balances.select(
+        "portfolio_id", F.lit(True).alias("opening"), F.lit(-1).cast("long").alias("id"),
+        F.timestamp_micros(F.lit(0)).alias("created_ts"),
+        F.col("asset_id").alias("pay_asset"), F.col("qty").cast(QUANTITY).alias("cost"),
+        F.col("asset_id").alias("gain_asset"), F.lit(0).cast(QUANTITY).alias("gain"),
+    )
+    stream = stack(opening, legs.withColumn("opening", F.lit(False)).select(*opening.columns))
+    return (
+        stream.repartition("portfolio_id")
+        .sortWithinPartitions("portfolio_id", F.col("opening").desc(), "created_ts", "id")
+        .select("portfolio_id", "opening", "id", "pay_asset", "cost", "gain_asset", "gain")
+        .mapInPandas(_fold, _SETTLED)
+    )
+
+
+def settle(filled: DataFrame, balances: DataFrame, span: str = LEDGER_CHUNK, size: int = BLOCK_ROWS) -> DataFrame:
     """L2: whether each fill finds enough of the asset it pays with, in
     (created_ts, id) order, each acceptance changing the balances of the next.
 
-    Whether a fill is accepted depends on every fill of its portfolio before it,
-    so one portfolio is folded in sequence: rows stream through, sorted by Spark,
-    and only the balances are held.  Portfolios in which no shortfall occurs even
-    if everything is accepted need no fold; ``running_balances`` finds them, so a
-    large, funded portfolio is settled in parallel.
+    Portfolios in which no shortfall occurs even if everything is accepted are
+    settled by their running balances.  Of the others, those of at most ``size``
+    fills are folded in order, many in a task; longer ones are cut into blocks that
+    are folded side by side until their starts fit (``_settle_blocks``).
     """
     buy = F.col("side") == "buy"
     sides = {
@@ -114,33 +238,27 @@ def settle(filled: DataFrame, balances: DataFrame, span: str = LEDGER_CHUNK) ->
         "cost": F.when(buy, F.col("notional")).otherwise(F.col("quantity")).cast(QUANTITY),
         "gain_asset": F.when(buy, F.col("base_asset_id")).otherwise(F.col("quote_asset_id")),
         "gain": F.when(buy, F.col("quantity")).otherwise(F.col("notional")).cast(QUANTITY),
+        "created_ts": F.col("created_ts").cast("timestamp"),
     }
-    legs = filled.withColumns(sides).withColumn("opening", F.lit(False))
-    screened = running_balances(filled, balances, span)
-    short = screened.filter(F.col("balance") < 0).select("portfolio_id").distinct()
+    legs = filled.withColumns(sides).select("portfolio_id", "id", "created_ts", "pay_asset", "cost", "gain_asset", "gain")
+    screened = stage(running_balances(filled, balances, span), "screened")
+    paying = (F.col("id") >= 0) & (F.col("leg") == 0)
+    portfolios = screened.groupBy("portfolio_id").agg(F.min("balance").alias("_least"), F.count_if(paying).alias("_fills"))
+    short = stage(portfolios.where(F.col("_least") < 0).select("portfolio_id", (F.col("_fills") > size).alias("_long")), "short")
 
-    fine = screened.filter((F.col("id") >= 0) & (F.col("leg") == 0)).join(short, "portfolio_id", "left_anti")
+    fine = screened.filter(paying).join(short, "portfolio_id", "left_anti")
     parallel = fine.select(
         "portfolio_id", "id", F.lit(True).alias("accepted"), (-F.col("delta")).cast(QUANTITY).alias("required"),
         (_wide(F.col("balance")) - _wide(F.col("delta"))).cast(QUANTITY).alias("available"),
     )
 
-    opening = balances.select(
-        "portfolio_id", F.lit(True).alias("opening"), F.lit(-1).cast("long").alias("id"),
-        F.timestamp_micros(F.lit(0)).alias("created_ts"),
-        F.col("asset_id").alias("pay_asset"), F.col("qty").cast(QUANTITY).alias("cost"),
-        F.col("asset_id").alias("gain_asset"), F.lit(0).cast(QUANTITY).alias("gain"),
-    )
-    names = opening.columns
-    stream = stack(opening, legs.withColumn("created_ts", F.col("created_ts").cast("timestamp")).select(*names))
-    folded = (
-        stream.join(short, "portfolio_id", "left_semi")
-        .repartition("portfolio_id")
-        .sortWithinPartitions("portfolio_id", F.col("opening").desc(), "created_ts", "id")
-        .select("portfolio_id", "opening", "id", "pay_asset", "cost", "gain_asset", "gain")
-        .mapInPandas(_fold, _SETTLED)
-    )
-    return stack(parallel, folded)
+    def of(rows: DataFrame, chosen: Column) -> DataFrame:
+        return rows.join(short.where(chosen), "portfolio_id", "left_semi")
+
+    parts = [parallel, _folded(of(legs, ~F.col("_long")), of(balances, ~F.col("_long")))]
+    if short.where("_long").take(1):
+        parts.append(_settle_blocks(of(legs, F.col("_long")), of(balances, F.col("_long")), size))
+    return stack(*parts)
 
 
 def closing_balances(filled: DataFrame, settled: DataFrame, balances: DataFrame) -> DataFrame:
