@@ -25,9 +25,12 @@ come first in them.  Links found so far are contracted to components; after that
 only signatures whose rows are of different components are looked at, with the
 first ``PARTNERS`` of their sets as partners of all the others, then the next
 ones, ever more, until every pair of sets that share a signature is in one
-component or was compared.  A sketch of each set, a byte for each of many small
+component or was compared.  Those that share most signatures come first: what copies
+were made from shares more than any copy, so a large group is one component before
+many of its pairs are written.  A sketch of each set, a byte for each of many small
 segments, refutes most pairs that are not similar: sets differ in at least as many
-elements as bytes.  Each other pair is verified on its whole sets.
+elements as bytes.  Rows carry its outline, of long sketches two bits of each byte,
+which refutes most of them already.  Each other pair is verified on its whole sets.
 
 Shingles are 64-bit hashes of 64-bit hashes of their words.
 """
@@ -57,8 +60,8 @@ LEAST = (9, 10)
 FEW_SETS = 1 << 20
 #: Parts that the partners of one set are dealt into.
 SALTS = 64
-#: Partners that a signature's sets get in the first round; each later round takes so many times as many.
-PARTNERS = 64
+#: Partners that a signature's sets get in the first round, and how many times as many in each later round.
+PARTNERS, MORE_PARTNERS = 2, 64
 #: Sketch bytes for each element by which sets may differ.
 SKETCH = 3
 #: Sets with fewer shingles vote with all their signatures.
@@ -248,6 +251,28 @@ def sketches(sizes: np.ndarray, values: np.ndarray, least: tuple[int, int] = LEA
     return out
 
 
+#: Sketches up to so many bytes are outlines as they are; fewer bits would refute too little.
+SHORT_SKETCH = 128
+#: By an outline's first byte: of each other byte, how many of its fields (one, or four of two bits) are not 0.
+_FIELDS = np.array([[x > 0 for x in range(256)], [sum(x >> k & 3 > 0 for k in (0, 2, 4, 6)) for x in range(256)]], np.uint8)
+
+
+def outlines(drawn: list[bytes]) -> list[bytes]:
+    """A sketch that is short, behind a 0, or two bits of each of its bytes, four in a byte, behind a 1.
+
+    Outlines differ in no more fields than sketches in bytes.
+    """
+    out = []
+    for sketch in drawn:
+        if len(sketch) <= SHORT_SKETCH:
+            out.append(b"\0" + sketch)
+            continue
+        bits = np.zeros((-(-len(sketch) // 4), 4), np.uint8)
+        bits.reshape(-1)[: len(sketch)] = np.frombuffer(sketch, np.uint8) & 3
+        out.append(b"\1" + (bits << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes())
+    return out
+
+
 DIGEST = ["n", "d1", "d2"]
 
 
@@ -436,55 +461,105 @@ def _firsts(rows: DataFrame, least: tuple[int, int]) -> DataFrame:
     return ordered.mapInArrow(pair, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("votes"))
 
 
+def _unlike(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The number of fields in which the outlines of rows ``x`` and ``y``, of one length each pair, differ."""
+    out = np.zeros(len(x), np.int64)
+    for i in range(0, len(x), AT_A_TIME):
+        own, other = x[i : i + AT_A_TIME], y[i : i + AT_A_TIME]
+        sizes = lengths[own]
+        if sizes.min() == sizes.max():
+            rows = np.lib.stride_tricks.sliding_window_view(data, sizes[0])
+            bits, form = rows[starts[own]] ^ rows[starts[other]], data[starts[own[0]]]
+            out[i : i + AT_A_TIME] = _FIELDS[1][bits].sum(axis=1) if form else np.count_nonzero(bits, axis=1)
+            continue
+        ends = np.cumsum(sizes)
+        at = np.repeat(starts[own] - (ends - sizes), sizes) + np.arange(ends[-1])
+        bits = data[at] ^ data[at + np.repeat(starts[other] - starts[own], sizes)]
+        fields = _FIELDS[np.repeat(data[starts[own]], sizes), bits]
+        out[i : i + AT_A_TIME] = np.add.reduceat(fields, ends - sizes, dtype=np.int64)
+    return out
+
+
 def _partners(rows: DataFrame, sets: DataFrame, since: int, until: int, least: tuple[int, int]) -> DataFrame:
     """``a, b``: sets b that are number ``since`` to ``until`` among a signature's rows, with all sets a after them.
 
     Rows are ``signature, doc, n, kind, root``.  Only partners of a like size, of different components, not both by
-    deletion and whose sketches differ in no more bytes than similar sets may; of a signature's rows the first ``until``
-    are held at a time.
+    deletion and whose outlines differ in no more fields than similar sets may; of a signature's rows the first ``until``
+    are held at a time.  ``sets`` has how many rows each set ``shared``; those with most come first.
     """
     over, under = least
-    known = sets.select("doc", "own_sketch", "below_sketch")
-    sketch = F.when(F.col("kind") % 2 == 1, F.col("below_sketch")).otherwise(F.col("own_sketch"))
-    drawn = rows.join(known, "doc").select("signature", "doc", "n", "kind", "root", sketch.alias("sketch"))
-    # Sketches of one length: equal signatures of different groups, which chance makes, are kept apart.
-    ordered = drawn.repartition("signature").sortWithinPartitions("signature", F.length("sketch"), "kind", "doc")
+    known = sets.select("doc", "shared", "own_outline", "below_outline")
+    outline = F.when(F.col("kind") % 2 == 1, F.col("below_outline")).otherwise(F.col("own_outline"))
+    drawn = rows.join(known, "doc").select("signature", "doc", "n", "kind", "root", "shared", outline.alias("outline"))
+    # Outlines of one length: equal signatures of different groups, which chance makes, are kept apart.
+    order = [F.length("outline"), F.col("kind") > 1, F.col("shared").desc(), F.col("doc"), F.col("kind")]
+    ordered = drawn.repartition("signature").sortWithinPartitions("signature", *order).drop("shared")
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, seen, held, facts, drawings = None, 0, 0, None, None
+        # Of the last signature: its key, how many of its rows have come, and the partners among them.
+        current, seen, held = None, 0, None
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            goes_on = current == (batch.column("signature")[0].as_py(), len(batch.column("outline")[0].as_py()))
+            old = held.num_rows if goes_on else 0
+            if old:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            signature, doc, n, kind, root = (np.asarray(batch.column(c)) for c in ("signature", "doc", "n", "kind", "root"))
+            lengths = np.asarray(pc.binary_length(batch.column("outline"))).astype(np.int64)
+            data = np.frombuffer(b"".join(batch.column("outline").to_pylist()), np.uint8)
+            starts = np.cumsum(lengths) - lengths
+            fresh = np.concatenate(([True], (signature[1:] != signature[:-1]) | (lengths[1:] != lengths[:-1])))
+            first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+            # The row of a signature's number j is ``zero + j``; held ones are numbers from ``since`` on.
+            place, zero = np.arange(len(doc)) - first, first.copy()
+            if goes_on:
+                own = first == 0
+                place[own] += seen - old
+                zero[own] = -min(seen, since)
+                place[:old] = np.arange(since, since + old)
             out = []
-            for s, doc, n, kind, root, bits in zip(
-                *[batch.column(c).to_pylist() for c in ("signature", "doc", "n", "kind", "root", "sketch")]
-            ):
-                own = np.frombuffer(bits, np.uint8)
-                if (s, len(own)) != current:
-                    current, seen, held = (s, len(own)), 0, 0
-                    facts, drawings = np.zeros((4, 4), np.int64), np.zeros((4, len(own)), np.uint8)
-                if held:
-                    heads = facts[:held]
-                    fits = (heads[:, 2] != root) & (heads[:, 0] != doc) & ((heads[:, 3] < 2) | (kind < 2))
-                    fits &= under * np.minimum(heads[:, 1], n) >= over * np.maximum(heads[:, 1], n)
-                    at = np.flatnonzero(fits)
-                    if len(at):
-                        unlike = (drawings[at] != own).sum(axis=1)
-                        at = at[(under + over) * unlike <= (under - over) * (heads[at, 1] + n)]
-                        out += [(doc, b) for b in heads[at, 0].tolist()]
-                if since <= seen < until:
-                    if held == len(facts):
-                        facts = np.concatenate([facts, np.zeros_like(facts)])
-                        drawings = np.concatenate([drawings, np.zeros_like(drawings)])
-                    facts[held], drawings[held] = (doc, n, root, kind), own
-                    held += 1
-                seen += 1
-            columns = list(zip(*set(out))) or [[], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+            def try_all(x: np.ndarray, y: np.ndarray, among: np.ndarray | bool = True) -> None:
+                """Rows ``x`` with partners ``y``, of shapes that go together."""
+                fits = (root[y] != root[x]) & (doc[y] != doc[x]) & ((kind[y] < 2) | (kind[x] < 2)) & among
+                fits &= under * np.minimum(n[y], n[x]) >= over * np.maximum(n[y], n[x])
+                x, y = (np.broadcast_to(rows, fits.shape)[fits] for rows in (x, y))
+                near = (under + over) * _unlike(data, starts, lengths, x, y) <= (under - over) * (n[x] + n[y])
+                out.append(np.stack([doc[x[near]], doc[y[near]]], axis=1))
+
+            ends = np.concatenate((np.flatnonzero(fresh)[1:], [len(doc)]))
+            many = np.minimum(place[ends - 1], until) - since > FEW_PARTNERS
+            later = np.flatnonzero(~many[np.cumsum(fresh) - 1])
+            later = later[later >= old]
+            for j in range(since, min(until, since + FEW_PARTNERS)):
+                later = later[place[later] > j]
+                if not len(later):
+                    break
+                try_all(later, zero[later] + j)
+            # Signatures with many partners, one after the other.
+            for end in ends[many].tolist():
+                x = np.arange(max(first[end - 1], old if first[end - 1] == 0 else 0), end)
+                numbers = np.arange(since, min(until, int(place[end - 1])))
+                step = max(1, CELLS // len(numbers))
+                for part in (x[i : i + step, None] for i in range(0, len(x), step)):
+                    try_all(part, zero[end - 1] + numbers[None, :], numbers[None, :] < place[part])
+            pairs = np.unique(np.concatenate([*out, np.zeros((0, 2), np.int64)]), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs.T], ["a", "b"])
+            current, seen = (int(signature[-1]), int(lengths[-1])), int(place[-1]) + 1
+            last = np.flatnonzero((first == first[-1]) & (place >= since) & (place < until))
+            held = batch.take(pa.array(last))
 
     return ordered.mapInArrow(pair, "a long, b long").distinct()
 
 
+#: Signatures with at most so many partners are looked at side by side, others alone, so many pairs at a time.
+FEW_PARTNERS, CELLS = 64, 1 << 18
+#: Pairs whose outlines are compared at a time.
+AT_A_TIME = 4096
 #: What pairs are refuted by: the size of a set and its two sketches.
 DRAWN = ["size", "own_sketch", "below_sketch"]
+OUTLINES = ["own_outline", "below_outline"]
 #: A set is joined by broadcast when more than this part of all rows have it; so there are fewer such sets.
 HOT_PART = 512
 
@@ -514,10 +589,16 @@ def similar_components(
         firsts = firsts.withColumn("doc", name).drop("node", "other")
         met = _met(_signature_rows(docs, width, max(1, firsts.count() // 64), least, clashing))
         met = scratch.stage(met, "met")
-        wanted = scratch.stage(firsts.join(met.select("doc").distinct(), "doc", "left_semi"), "met-sets")
+        shared = met.groupBy("doc").agg(F.count(F.lit(1)).alias("shared"))
+        wanted = scratch.stage(firsts.join(shared, "doc"), "met-sets")
         files = 8 + wanted.count() // FILE_ROWS
-        drawn = _made_of(docs, wanted, width, lambda sizes, values: sketches(sizes, values, least), DRAWN[1:])
-        drawn = drawn.join(wanted.select("doc", F.col("n").alias("size")), "doc")
+
+        def sketched(sizes: np.ndarray, values: np.ndarray) -> list[list[bytes]]:
+            both = sketches(sizes, values, least)
+            return [*both, *map(outlines, both)]
+
+        drawn = _made_of(docs, wanted, width, sketched, [*DRAWN[1:], *OUTLINES])
+        drawn = drawn.join(wanted.select("doc", F.col("n").alias("size"), "shared"), "doc")
         drawn = scratch.stage(drawn.coalesce(files), "sketches")
         sets = None
 
@@ -546,8 +627,10 @@ def similar_components(
             if not met.take(1):
                 break
             new = _partners(met, drawn, done, until, least).join(compared, ["a", "b"], "left_anti")
-            more = verified(scratch.stage(new.coalesce(files), "partners"))
-            met, done, until = met.drop("root"), until, until * PARTNERS
+            outlined = scratch.stage(new.coalesce(files), "outlined")
+            more = verified(scratch.stage(_not_refuted(outlined, drawn, least).coalesce(files), "partners"))
+            scratch.drop(outlined)
+            met, done, until = met.drop("root"), until, until * MORE_PARTNERS
             compared = scratch.stage(stack(compared, more).coalesce(files), "verified")
             linked = more.where("linked").select("a", "b")
             if linked.take(1):
