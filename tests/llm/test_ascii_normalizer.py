@@ -31,3 +31,21 @@ def test_repeated_and_mixed_pieces_give_the_ids_of_whole_texts(name):
     lengths, ids = token_encoder(path)(pa.array(texts))
     expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert lengths.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+
+
+def test_plain_pieces_go_through_the_model_by_word():
+    """A word in several cases, with marks and after a line feed, is one word to the model; other letters stay with the library."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    encode, asked = token_encoder(path), []
+    known = encode.plain.words.encode
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    texts = ["x qwzab Qwzab, QWZAB.\nqwzab! qwzÄb\nQWZäB?", *(f"a {c} {c}, b{c}d. {c}{c}\n{c}́ e{c}̈!" for c in letters)]
+    try:
+        encode.plain.words.encode = lambda words: asked.extend(words) or known(words)
+        lengths, ids = encode(pa.array(texts))
+    finally:
+        encode.plain.words.encode = known
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert lengths.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+    assert asked.count("qwzab") == asked.count("qwzäb") == 1 and not {"Qwzab", "QWZAB", "qwzab,"} & set(asked)

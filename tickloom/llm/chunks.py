@@ -81,8 +81,10 @@ class ChunkEncoder:
     A piece starts with the space or line feed before its word, but for a text's first one.
     """
 
-    def __init__(self, encode: Encode, whole: Callable[[str], Sequence[int]], dtype=np.uint32):
-        self.dtype, self.whole = np.dtype(dtype), whole
+    def __init__(
+        self, encode: Encode, whole: Callable[[str], Sequence[int]], dtype=np.uint32, plain: PlainPieces | None = None
+    ):
+        self.dtype, self.whole, self.plain = np.dtype(dtype), whole, plain
         # Keys have lost the space they were cut at; a line feed stays, and a first piece is marked by a carriage return.
         self.recent = Recent(
             lambda keys: encode([k[1:] if k[:1] == "\r" else k if k[:1] == "\n" else " " + k for k in keys])
@@ -99,19 +101,35 @@ class ChunkEncoder:
         pieces, bounds = lists.flatten(), np.concatenate(([0], np.cumsum(pc.list_value_length(lists)))).astype(np.int64)
         coded = pieces.dictionary_encode()
         first = pieces.take(pa.array(bounds[:-1])).dictionary_encode()
-        keys = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         order = np.array(coded.indices, dtype=np.int64)
-        order[bounds[:-1]] = len(keys) + np.asarray(first.indices, dtype=np.int64)
-        encoded = self.recent(keys + ["\r" + k for k in first.dictionary.to_pylist()])
-        sizes = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded)) // self.dtype.itemsize
+        order[bounds[:-1]] = len(coded.dictionary) + np.asarray(first.indices, dtype=np.int64)
+        sizes, known = self._encoded(coded.dictionary, ["\r" + k for k in first.dictionary.to_pylist()])
         starts, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
-        ids = gather(np.frombuffer(b"".join(encoded), dtype=self.dtype), starts, sizes)
+        ids = gather(known, starts, sizes)
         ends = np.concatenate(([0], np.cumsum(sizes)))[bounds]
         lengths = np.diff(ends)
         if odd.any():
             lengths, ids = self._with_whole(texts, np.flatnonzero(odd), lengths, ids, ends)
         return lengths, ids
 
+    def _encoded(self, pieces: pa.Array, opening: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each of the pieces and then of those that open a text, and all these ids in that order."""
+        taken = self.plain.found(pieces) if self.plain else np.zeros(len(pieces), bool)
+        rest = pieces.filter(pa.array(~taken)) if taken.any() else pieces
+        encoded = self.recent(rest.to_numpy(zero_copy_only=False).tolist() + opening)
+        sizes = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded)) // self.dtype.itemsize
+        ids = np.frombuffer(b"".join(encoded), dtype=self.dtype)
+        if not taken.any():
+            return sizes, ids
+        plain_sizes, plain_ids = self.plain(pieces.filter(pa.array(taken)))
+        # Both kinds in the order of the pieces.
+        of_plain = np.concatenate((taken, np.zeros(len(opening), bool)))
+        starts, both = np.empty(len(of_plain), np.int64), np.empty(len(of_plain), np.int64)
+        both[of_plain], both[~of_plain] = plain_sizes, sizes
+        starts[of_plain] = np.cumsum(plain_sizes) - plain_sizes
+        starts[~of_plain] = len(plain_ids) + np.cumsum(sizes) - sizes
+        return both, gather(np.concatenate((plain_ids, ids)), starts, both)
+
     def _with_whole(self, texts, odd, lengths, ids, ends):
         parts, last, lengths = [], 0, lengths.copy()
         for i in odd:
@@ -194,6 +212,54 @@ class PlainWords:
         return (word, self.marks[mark]) if mark in self.marks else None
 
 
+class PlainPieces:
+    """Pieces of Latin letters with at most one mark after them, found and taken apart by Arrow; each word of a call goes
+    through the model once, however it is written and marked.
+
+    A letter takes part if the normalizer makes one letter of it, as Arrow does, that ``PlainWords`` knows.
+    """
+
+    MARKS = ",.;:!?"
+
+    def __init__(self, normalize: Callable[[str], str], split: PlainWords, modelled: Encode):
+        self.lower = normalize(" aA") == " aa"
+        letters = [c for c in map(chr, range(0x41, 0x250)) if c.isalpha()] if split.usable else []
+        lowered = pc.utf8_lower(pa.array(letters, pa.string())).to_pylist() if self.lower else letters
+        fits = [
+            c for c, low in zip(letters, lowered) if normalize(f" a{c}a") == f" a{low}a" and split.letters[ord(low)] != "\0"
+        ]
+        marks = [m for m in self.MARKS if m in split.marks and normalize(f" ab{m}") == f" ab{m}"] if fits else []
+        feed = "\n?" if normalize("\nab") == " ab" else ""
+        self.shape = f"^{feed}[{''.join(fits)}]+{f'[{"".join(marks)}]?' if marks else ''}$" if fits else None
+        self.strips = "\n" + "".join(marks)
+        self.mark_ids = modelled([split.marks[m] for m in marks])
+        self.words = Recent(
+            lambda words: modelled([split.before + (w if w.isascii() else w.translate(split.letters)) for w in words])
+        )
+        # By its last byte, the number of a piece's mark; 0 for none.
+        self.mark_of = np.zeros(256, np.int64)
+        self.mark_of[[ord(m) for m in marks]] = np.arange(len(marks)) + 1
+
+    def found(self, pieces: pa.Array) -> np.ndarray:
+        """Which of the pieces, without the space they begin with, have this form."""
+        if self.shape is None:
+            return np.zeros(len(pieces), bool)
+        return np.asarray(pc.match_substring_regex(pieces, self.shape))
+
+    def __call__(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each of such pieces, and all ids."""
+        marks = self.mark_of[np.frombuffer(pc.binary_slice(pieces.cast(pa.binary()), -1).buffers()[2], np.uint8, len(pieces))]
+        words = pc.utf8_trim(pieces, self.strips)
+        coded = (pc.utf8_lower(words) if self.lower else words).dictionary_encode()
+        known = [b"", *self.mark_ids, *self.words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts = np.cumsum(sizes) - sizes
+        # A piece is its word and then its mark.
+        parts = np.stack((1 + len(self.mark_ids) + np.asarray(coded.indices, np.int64), marks), axis=1)
+        ids = gather(np.frombuffer(b"".join(known), np.uint32), starts[parts].ravel(), sizes[parts].ravel())
+        return sizes[parts].sum(axis=1), ids
+
+
 def ascii_normalizer(normalizer: dict | None) -> Callable[[str], str] | None:
     """What a normalizer makes of an ASCII piece whose only white space is its first character, without calling it.
 
@@ -312,5 +378,6 @@ def token_encoder(path: str, plain: bool = False) -> ChunkEncoder:
         def whole(text: str) -> list[int]:
             return tokenizer.encode(text, add_special_tokens=False).ids
 
-        _tokenizers[path, plain] = ChunkEncoder(encode, whole)
+        pieces = PlainPieces(normal.normalize_str, plain_words, modelled) if normal else None
+        _tokenizers[path, plain] = ChunkEncoder(encode, whole, plain=pieces)
     return _tokenizers[path, plain]
