@@ -27,7 +27,8 @@ import pyarrow.compute as pc
 SLICE_BYTES = 2 << 20
 
 #: Pieces and words remembered by a worker process, each in two generations of this many; an entry takes some 200 bytes.
-REMEMBERED, WORDS_REMEMBERED = 300_000, 100_000
+#: Where plain words are taken apart by Arrow, they make up most of what is remembered.
+REMEMBERED, WORDS_REMEMBERED, PLAIN_REMEMBERED = 300_000, 100_000, 200_000
 
 _WHOLE = (
     r"[ \n][ \n]|<\||[\x{0}-\x{9}\x{b}-\x{1f}\x{7f}-\x{a0}]"
@@ -87,7 +88,8 @@ class ChunkEncoder:
         self.dtype, self.whole, self.plain = np.dtype(dtype), whole, plain
         # Keys have lost the space they were cut at; a line feed stays, and a first piece is marked by a carriage return.
         self.recent = Recent(
-            lambda keys: encode([k[1:] if k[:1] == "\r" else k if k[:1] == "\n" else " " + k for k in keys])
+            lambda keys: encode([k[1:] if k[:1] == "\r" else k if k[:1] == "\n" else " " + k for k in keys]),
+            WORDS_REMEMBERED if plain else REMEMBERED,
         )
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +236,8 @@ class PlainPieces:
         self.strips = "\n" + "".join(marks)
         self.mark_ids = modelled([split.marks[m] for m in marks])
         self.words = Recent(
-            lambda words: modelled([split.before + (w if w.isascii() else w.translate(split.letters)) for w in words])
+            lambda words: modelled([split.before + (w if w.isascii() else w.translate(split.letters)) for w in words]),
+            PLAIN_REMEMBERED,
         )
         # By its last byte, the number of a piece's mark; 0 for none.
         self.mark_of = np.zeros(256, np.int64)
@@ -284,13 +287,24 @@ def ascii_normalizer(normalizer: dict | None) -> Callable[[str], str] | None:
     return normalized
 
 
-_tokenizers: dict[tuple[str, bool], ChunkEncoder] = {}
+_held: dict[object, ChunkEncoder] = {}
+
+
+def worker_encoder(name: object, make: Callable[[], ChunkEncoder]) -> ChunkEncoder:
+    """The encoder ``make`` gives, kept by the worker process until another one is asked for.
+
+    The stages of a pipeline run in the same processes; what the encoders of all of them remember would add up.
+    """
+    if name not in _held:
+        forget_encoders()
+        _held[name] = make()
+    return _held[name]
 
 
 def forget_encoders() -> None:
     """Gives back the memory of this worker's encoders, for tasks that need none."""
-    if _tokenizers:
-        _tokenizers.clear()
+    if _held:
+        _held.clear()
         pa.default_memory_pool().release_unused()
 
 
@@ -298,86 +312,87 @@ def token_encoder(path: str, plain: bool = False) -> ChunkEncoder:
     """Ids of the tokenizer in the file ``path`` without special tokens, as ``encode(text).ids`` has them.
 
     Pieces go through the library's own normalizer, pre-tokenizer and model, many
-    in a call; what ``encode`` adds to that is offsets.  One encoder is kept per
-    worker process.
+    in a call; what ``encode`` adds to that is offsets.
 
     With ``plain`` the name of a special token in a text is text like any other and never gives that token's id.
     """
-    if (path, plain) not in _tokenizers:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = plain
-        normal, split, model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
-
-        def modelled(new: list[str]) -> list[bytes]:
-            if normal is None:
-                return [array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in new]
-            # A normalizer makes one word of several pieces; each goes through the model once.
-            found = {w: array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in dict.fromkeys(new)}
-            return [found[w] for w in new]
-
-        words = Recent(modelled, WORDS_REMEMBERED)
-
-        by_ascii = ascii_normalizer(json.loads(tokenizer.to_str())["normalizer"]) if normal else None
-
-        def normalized(pieces: list[str]) -> list[str]:
-            if normal is None:
-                return pieces
-            if by_ascii is None:
-                return by_library(pieces)
-            rest = iter(by_library([p for p in pieces if not p.isascii()]))
-            return [by_ascii(p) if p.isascii() else next(rest) for p in pieces]
-
-        def by_library(pieces: list[str]) -> list[str]:
-            joined = normal.normalize_str("".join(pieces))
-            parts = [" " + p for p in joined.split(" ")[1:]]
-            return parts if len(parts) == len(pieces) else [normal.normalize_str(p) for p in pieces]
-
-        plain_words = PlainWords(split)
-
-        def encode(pieces: list[str]) -> list[bytes]:
-            inner = [len(p) > 1 and p[0] in " \n" for p in pieces]
-            if not all(inner):
-                # What opens or ends a text (no white space before it, or nothing after) can't stand among others.
-                rest = iter(encode([p for p, i in zip(pieces, inner) if i]))
-                return [next(rest) if i else alone(p) for p, i in zip(pieces, inner)]
-            if not pieces:
-                return []
-            pieces = normalized(pieces)
-            parted = [plain_words(p) for p in pieces]
-            rest = iter(pre_tokenized([p for p, w in zip(pieces, parted) if w is None]))
-            known = words([w for parts in parted if parts for w in parts])
-            at, out = 0, []
-            for parts in parted:
-                if parts is None:
-                    out.append(next(rest))
-                elif len(parts) == 1:
-                    out.append(known[at])
-                    at += 1
-                else:
-                    out.append(known[at] + known[at + 1])
-                    at += 2
-            return out
-
-        def pre_tokenized(pieces: list[str]) -> list[bytes]:
-            if not pieces:
-                return []
-            found = split.pre_tokenize_str("".join(pieces))
-            different = {w: i for i, w in enumerate(dict.fromkeys([w for w, _ in found]))}
-            encoded = words(list(different))
-            known = [encoded[different[w]] for w, _ in found]
-            # Words of each piece: those that start before its end.
-            ends = np.searchsorted([span[0] for _, span in found], np.cumsum(list(map(len, pieces)))).tolist()
-            return [known[a] if b - a == 1 else b"".join(known[a:b]) for a, b in zip([0, *ends], ends)]
-
-        def alone(piece: str) -> bytes:
-            text = normal.normalize_str(piece) if normal else piece
-            return b"".join(words([w for w, _ in split.pre_tokenize_str(text)]))
-
-        def whole(text: str) -> list[int]:
-            return tokenizer.encode(text, add_special_tokens=False).ids
-
-        pieces = PlainPieces(normal.normalize_str, plain_words, modelled) if normal else None
-        _tokenizers[path, plain] = ChunkEncoder(encode, whole, plain=pieces)
-    return _tokenizers[path, plain]
+    return worker_encoder((path, plain), lambda: _token_encoder(path, plain))
+
+
+def _token_encoder(path: str, plain: bool) -> ChunkEncoder:
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = plain
+    normal, split, model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
+
+    def modelled(new: list[str]) -> list[bytes]:
+        if normal is None:
+            return [array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in new]
+        # A normalizer makes one word of several pieces; each goes through the model once.
+        found = {w: array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in dict.fromkeys(new)}
+        return [found[w] for w in new]
+
+    words = Recent(modelled, WORDS_REMEMBERED)
+
+    by_ascii = ascii_normalizer(json.loads(tokenizer.to_str())["normalizer"]) if normal else None
+
+    def normalized(pieces: list[str]) -> list[str]:
+        if normal is None:
+            return pieces
+        if by_ascii is None:
+            return by_library(pieces)
+        rest = iter(by_library([p for p in pieces if not p.isascii()]))
+        return [by_ascii(p) if p.isascii() else next(rest) for p in pieces]
+
+    def by_library(pieces: list[str]) -> list[str]:
+        joined = normal.normalize_str("".join(pieces))
+        parts = [" " + p for p in joined.split(" ")[1:]]
+        return parts if len(parts) == len(pieces) else [normal.normalize_str(p) for p in pieces]
+
+    plain_words = PlainWords(split)
+
+    def encode(pieces: list[str]) -> list[bytes]:
+        inner = [len(p) > 1 and p[0] in " \n" for p in pieces]
+        if not all(inner):
+            # What opens or ends a text (no white space before it, or nothing after) can't stand among others.
+            rest = iter(encode([p for p, i in zip(pieces, inner) if i]))
+            return [next(rest) if i else alone(p) for p, i in zip(pieces, inner)]
+        if not pieces:
+            return []
+        pieces = normalized(pieces)
+        parted = [plain_words(p) for p in pieces]
+        rest = iter(pre_tokenized([p for p, w in zip(pieces, parted) if w is None]))
+        known = words([w for parts in parted if parts for w in parts])
+        at, out = 0, []
+        for parts in parted:
+            if parts is None:
+                out.append(next(rest))
+            elif len(parts) == 1:
+                out.append(known[at])
+                at += 1
+            else:
+                out.append(known[at] + known[at + 1])
+                at += 2
+        return out
+
+    def pre_tokenized(pieces: list[str]) -> list[bytes]:
+        if not pieces:
+            return []
+        found = split.pre_tokenize_str("".join(pieces))
+        different = {w: i for i, w in enumerate(dict.fromkeys([w for w, _ in found]))}
+        encoded = words(list(different))
+        known = [encoded[different[w]] for w, _ in found]
+        # Words of each piece: those that start before its end.
+        ends = np.searchsorted([span[0] for _, span in found], np.cumsum(list(map(len, pieces)))).tolist()
+        return [known[a] if b - a == 1 else b"".join(known[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def alone(piece: str) -> bytes:
+        text = normal.normalize_str(piece) if normal else piece
+        return b"".join(words([w for w, _ in split.pre_tokenize_str(text)]))
+
+    def whole(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    pieces = PlainPieces(normal.normalize_str, plain_words, modelled) if normal else None
+    return ChunkEncoder(encode, whole, plain=pieces)

@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.chunks import ChunkEncoder, slices
+from tickloom.llm.chunks import ChunkEncoder, forget_encoders, slices, worker_encoder
 from tickloom.llm.components import component_roots
 from tickloom.operators.stacking import stack
 from tickloom.sources.staging import Scratch, stage
@@ -76,7 +76,6 @@ SLICE = 1 << 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _S = np.uint64(32)
-_encoders: list[ChunkEncoder] = []
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -89,12 +88,12 @@ def _word_hashes(piece: str) -> list[int]:
     return [xxhash.xxh64_intdigest(w.encode()) for w in _WORD.findall(piece)]
 
 
+def _hashes_of_pieces(pieces: list[str]) -> list[bytes]:
+    return [np.array(_word_hashes(p), np.uint64).tobytes() for p in pieces]
+
+
 def _encoder() -> ChunkEncoder:
-    if not _encoders:
-        _encoders.append(
-            ChunkEncoder(lambda pieces: [np.array(_word_hashes(p), np.uint64).tobytes() for p in pieces], _word_hashes, np.uint64)
-        )
-    return _encoders[0]
+    return worker_encoder("word hashes", lambda: ChunkEncoder(_hashes_of_pieces, _word_hashes, np.uint64))
 
 
 def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -382,6 +381,17 @@ def similar(x: np.ndarray, y: np.ndarray, least: tuple[int, int] = LEAST) -> boo
     return under * common >= over * (len(x) + len(y) - common)
 
 
+def _cells(column: pa.Array, kind: type) -> list[np.ndarray]:
+    """The numbers of ``kind`` in each value of a binary column, which stay where they are."""
+    column = column.cast(pa.binary())
+    if not len(column):
+        return []
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32, len(column) + 1, 4 * column.offset) // np.dtype(kind).itemsize
+    values = np.frombuffer(data or b"", np.uint8, int(ends[-1]) * np.dtype(kind).itemsize).view(kind)
+    return [values[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
     """``a, b, linked`` of all pairs ``a, b``: a's set travels to b's, which stays for all its partners."""
     pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
@@ -394,13 +404,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> Data
     together = stack(movers, heads).repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         head = None
         for batch in batches:
             rows = []
-            for b, a, elements in zip(*[batch.column(c).to_pylist() for c in ("b", "a", "elements")]):
-                values = np.frombuffer(elements, np.uint64)
+            # Whole sets are the most that is sent to a task at once, so they are not copied; a head outlives its batch.
+            sets = _cells(batch.column("elements"), np.uint64)
+            for b, a, values in zip(batch.column("b").to_pylist(), batch.column("a").to_pylist(), sets):
                 if a is None:
-                    head = values
+                    head = values.copy()
                 else:
                     rows.append((a, b, similar(values, head, least)))
             columns = list(zip(*rows)) or [[], [], []]
@@ -420,14 +432,19 @@ def _not_refuted(pairs: DataFrame, drawn: DataFrame, least: tuple[int, int]) ->
     both = first.join(drawn.select(F.col("doc").alias("b"), *[F.col(c).alias(f"b_{c}") for c in DRAWN]), "b")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for batch in batches:
-            columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
+            columns = {
+                f"{s}_{c}": _cells(batch.column(f"{s}_{c}"), np.uint8) if c != "size" else batch.column(f"{s}_{c}").to_pylist()
+                for s in "ab"
+                for c in DRAWN
+            }
             fit = []
             for n, m, x, y, u, v in zip(*(columns[f"{s}_{c}"] for c in DRAWN for s in "ab")):
                 # The sketches of the group that both are in: of one band, or one's own and the other's below.
                 own, other = (x, y) if len(x) == len(y) else (x, v) if len(x) == len(v) else (u, y)
                 if len(own) == len(other):
-                    unlike = int((np.frombuffer(own, np.uint8) != np.frombuffer(other, np.uint8)).sum())
+                    unlike = int(np.count_nonzero(own != other))
                     fit.append((under + over) * unlike <= (under - over) * (n + m))
                 else:
                     fit.append(False)  # bands apart
@@ -447,6 +464,7 @@ def _firsts(rows: DataFrame, least: tuple[int, int]) -> DataFrame:
     ordered = voting.repartition("signature").sortWithinPartitions("signature", "kind", "doc")
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         current, head = None, None
         for batch in batches:
             out = []
@@ -496,6 +514,7 @@ def _partners(rows: DataFrame, sets: DataFrame, since: int, until: int, least: t
     ordered = drawn.repartition("signature").sortWithinPartitions("signature", *order).drop("shared")
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         # Of the last signature: its key, how many of its rows have come, and the partners among them.
         current, seen, held = None, 0, None
         for batch in batches:

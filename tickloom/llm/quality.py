@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.chunks import ChunkEncoder, slices
+from tickloom.llm.chunks import ChunkEncoder, slices, worker_encoder
 from tickloom.llm.samples import labelled_sample
 
 SLOTS, WIDTH, NONZERO, REACH = 1 << 14, 32, 4, 2
@@ -41,7 +41,6 @@ _TOKEN = re.compile(r"[^\W\d_]+|\d+|(?:[^\w\s]|_)+")
 _JOINED = re.compile(r"\0|[^\W\d_]+|\d+|(?:[^\w\s\0]|_)+")
 #: Words pooled at a time, so that their vectors stay in the processor's cache.
 POOLED = 4096
-_encoders: list[ChunkEncoder] = []
 
 
 def _slots(text: str) -> list[int]:
@@ -59,10 +58,8 @@ def _slots_of_pieces(pieces: list[str]) -> list[bytes]:
 
 
 def slot_encoder() -> ChunkEncoder:
-    """Texts to slots; one encoder is kept per worker process."""
-    if not _encoders:
-        _encoders.append(ChunkEncoder(_slots_of_pieces, _slots, np.uint16))
-    return _encoders[0]
+    """Texts to slots."""
+    return worker_encoder("slots", lambda: ChunkEncoder(_slots_of_pieces, _slots, np.uint16))
 
 
 def random_vectors() -> tuple[np.ndarray, np.ndarray]:

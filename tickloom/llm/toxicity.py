@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.chunks import slices
+from tickloom.llm.chunks import forget_encoders, slices
 from tickloom.llm.samples import labelled_sample
 
 #: Labelled rows of each class that a lexicon is learned from, at most.
@@ -159,6 +159,7 @@ def _rough_counts(rows: DataFrame) -> DataFrame:
     """``part, toxic, clean``: neighbourhoods of each part, those of one text counted once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for batch in batches:
             counts = ({}, {})
             for label in (0, 1):
@@ -188,6 +189,7 @@ def _exact_counts(rows: DataFrame, among: set[str]) -> DataFrame:
     wanted = rows.sparkSession.sparkContext.broadcast(among)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for batch in batches:
             found = set()
             for i, text in enumerate(batch.column("text").to_pylist()):
@@ -241,6 +243,7 @@ def _exceptions(sample: DataFrame, lexicon: Lexicon) -> list[str]:
     """Phrases of two words around a match that only clean texts have."""
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for batch in batches:
             found: Counter = Counter()
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
@@ -305,6 +308,7 @@ def fit_lexicon(
     lexicon.exceptions = _exceptions(rows, lexicon)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for batch in batches:
             found = [lexicon.features(folded_words(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict(
@@ -330,6 +334,7 @@ def score_texts(docs: DataFrame, lexicon: Lexicon, text: str = "text", name: str
     names = [*docs.columns, name]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for batch in batches:
             for part in slices(batch, text):
                 texts = pc.fill_null(part.column(at), "").to_pylist()
