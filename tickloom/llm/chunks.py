@@ -14,6 +14,7 @@ a special token) are encoded whole, so results never differ.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import re
 from array import array
@@ -303,9 +304,19 @@ def worker_encoder(name: object, make: Callable[[], ChunkEncoder]) -> ChunkEncod
 
 def forget_encoders() -> None:
     """Gives back the memory of this worker's encoders, for tasks that need none."""
-    if _held:
-        _held.clear()
-        pa.default_memory_pool().release_unused()
+    _held.clear()
+    give_back()
+
+
+#: Linux's C library keeps what is freed between pieces in use until it is told to give it back; others have no such call.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Memory that this worker no longer uses goes back to the system, for the executor's other processes."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def token_encoder(path: str, plain: bool = False) -> ChunkEncoder:

@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.chunks import ChunkEncoder, forget_encoders, slices, worker_encoder
+from tickloom.llm.chunks import ChunkEncoder, forget_encoders, give_back, slices, worker_encoder
 from tickloom.llm.components import component_roots
 from tickloom.operators.stacking import stack
 from tickloom.sources.staging import Scratch, stage
@@ -308,6 +308,7 @@ def _documents_sets(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc"), pa.array(sizes, pa.int64()), *columns], ["doc", *DIGEST, "node", "other"]
                 )
+            give_back()
 
     return docs.mapInArrow(digest, "doc long, n long, d1 long, d2 long, node long, other long")
 
@@ -339,6 +340,7 @@ def _signature_rows(docs: DataFrame, width: int, sets: int, least: tuple[int, in
                 owner, signature, kind = signatures(sizes, values, sets, least, width)
                 columns = [nodes[owner], sizes[owner], signature.view(np.int64), kind.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "n", "signature", "kind"])
+            give_back()
 
     return docs.where("doc is not null").mapInArrow(sign, "doc long, n long, signature long, kind int")
 
@@ -363,6 +365,7 @@ def _made_of(docs: DataFrame, wanted: DataFrame, width: int, make, names: list[s
                 columns = [pa.array(sizes, pa.int64()), *(pa.array(d.view(np.int64)) for d in _digests(sizes, values))]
                 columns += [pa.array(c, pa.binary()) for c in make(sizes, values)]
                 yield pa.RecordBatch.from_arrays(columns, [*DIGEST, *names])
+            give_back()
 
     kinds = ", ".join([*(f"{c} long" for c in DIGEST), *(f"{c} binary" for c in names)])
     # Equal texts are one set; the documents may have sets that are not wanted.

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.chunks import forget_encoders, slices, token_encoder
+from tickloom.llm.chunks import forget_encoders, give_back, slices, token_encoder
 from tickloom.operators.series import number_rows
 from tickloom.operators.stacking import stack
 from tickloom.sources.staging import stage
@@ -79,6 +79,7 @@ def token_pieces(
                     [keys, pa.array(number, pa.int32()), pa.array(start), pa.array(length), pa.array(crcs, pa.int64())],
                     ["key", "piece", "start", "length", "ids_crc32"],
                 )
+            give_back()
 
     return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(cut, PIECES)
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.chunks import ChunkEncoder, slices, worker_encoder
+from tickloom.llm.chunks import ChunkEncoder, give_back, slices, worker_encoder
 from tickloom.llm.samples import labelled_sample
 
 SLOTS, WIDTH, NONZERO, REACH = 1 << 14, 32, 4, 2
@@ -79,16 +79,14 @@ def neighbour_sums(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 lengths, slots = encode(part.column("text"))
-                slots, owner = slots.astype(np.int64), np.repeat(np.arange(len(lengths)), lengths)
-                cells, weights = [], []
+                slots, owner = slots.astype(np.int32), np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
                 for step in range(1, REACH + 1):
                     same = owner[step:] == owner[:-step]
                     left, right = slots[:-step][same], slots[step:][same]
                     for word, other in ((left, right), (right, left)):
-                        cells.append((word[:, None] * WIDTH + places[other]).ravel())
-                        weights.append(signs[other].ravel())
-                counted = np.bincount(np.concatenate(cells), np.concatenate(weights), minlength=len(sums))
-                sums += counted.astype(np.int64)
+                        cells = (word[:, None] * np.int32(WIDTH) + places[other]).ravel()
+                        sums += np.bincount(cells, signs[other].ravel(), minlength=len(sums)).astype(np.int64)
+            give_back()
         table = sums.reshape(SLOTS, WIDTH)
         used = np.flatnonzero(table.any(axis=1))
         yield pa.RecordBatch.from_arrays(
@@ -255,6 +253,7 @@ def fit_quality(
                 yield pa.RecordBatch.from_pydict(
                     {"key": part.column("key"), "label": part.column("label"), "x": pa.array(list(x), pa.list_(pa.float32()))}
                 )
+            give_back()
 
     seen = rows.select(F.col("key").cast("string").alias("key"), "label", "text").mapInArrow(
         measured, "key string, label int, x array<float>"
@@ -284,5 +283,6 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text", name
             for part in slices(batch, text, SLICE):
                 scores = known.value.score(*slot_encoder()(part.column(at)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names)
+            give_back()
 
     return docs.mapInArrow(scored, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
