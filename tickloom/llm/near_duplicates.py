@@ -3,7 +3,7 @@
 Two sets whose Jaccard similarity is at least a given fraction differ in at most H
 elements, and H follows from their sizes.  The universe of shingle hashes is cut into m
 segments.  With m = H + 1 at least one segment of both sets is the same; with one
-to spare (m = H + 2) at least two are.  Where a segment's one-deletion
+to spare (m = H + 2) at least two are, and so on.  Where a segment's one-deletion
 neighbourhood is indexed too, it stands for two: the sets meet in it even when
 they differ in one element there.  So with a of the m segments indexed that way,
 m + a > H is enough.
@@ -13,10 +13,12 @@ ones.  For every pair of adjacent bands the cheapest of these allocations is
 taken, by the rows it makes and the chance matches that segments so short let
 through (``allocation``).
 
-An empty segment would match every other empty one.  With one segment to spare,
-empty ones need no row of their own: two sets that only share empty segments
-share at least two of them, so a set with two or more empty segments has a row
-for each pair of them.
+An empty segment matches every other empty one, and unrelated sets of like size
+have about as many equal segments by that as there are such sets: the pairs grow
+with the square of the corpus.  With s segments to spare two sets that only share
+empty ones share at least s + 1 of them, and the first of these has s more after it
+in both.  So a set needs no row for its last s empty segments, and with enough to
+spare most sets have none for any.
 
 Rows of equal signature meet by one shuffle.  Equal sets were made one before.
 The pairs in a signature's rows are not all written out: first every set is
@@ -29,7 +31,7 @@ component or was compared.  Those that share most signatures come first: what co
 were made from shares more than any copy, so a large group is one component before
 many of its pairs are written.  A sketch of each set, a byte for each of many small
 segments, refutes most pairs that are not similar: sets differ in at least as many
-elements as bytes.  Rows carry its outline, of long sketches two bits of each byte,
+elements as bytes.  Rows carry its outline, of long sketches a bit or two of each byte,
 which refutes most of them already.  Each other pair is verified on its whole sets.
 
 Shingles are 64-bit hashes of 64-bit hashes of their words.
@@ -68,9 +70,9 @@ SKETCH = 3
 FEW_SHINGLES = 64
 #: Documents' rows that one file of a written round holds, about.
 FILE_ROWS = 20_000
-#: Share of unrelated sets of like size that hold a given word, for the cost of short segments; a shingle's is that share
-#: to the power of its words.
-COMMON = 0.63
+#: Share of a set's shingles that an unrelated set of like size holds, for the cost of short segments: that of one word, to the
+#: power of a shingle's words.
+COMMON = 0.29
 SLICE = 1 << 20
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -135,24 +137,37 @@ def limit(smaller: int, least: tuple[int, int] = LEAST) -> int:
     return (smaller + smaller * under // over) * (under - over) // (under + over)
 
 
+#: Sizes of the sets that meet in a group, of its smaller band and of the larger one, for the cost of an allocation.
+SIZES = (0.8, 0.9, 1.0, 1.1, 1.2)
+
+
 @lru_cache(maxsize=None)
 def allocation(smaller: int, sets: int, least: tuple[int, int] = LEAST, width: int = 3) -> tuple[int, int, int]:
-    """(segments, how many of them with deletions, whether one is to spare) for pairs whose smaller set has at most
-    ``smaller`` elements of ``width`` words, where about ``sets`` sets are of a like size.  No segments: only equal sets
-    are similar."""
+    """(segments, how many of them with deletions, how many to spare) for pairs whose smaller set has at most ``smaller``
+    elements of ``width`` words, where about ``sets`` sets are of a like size.  No segments: only equal sets are
+    similar."""
     differ = limit(smaller, least)
     if not differ:
         return 0, 0, 0
-    common = COMMON**width
+    own = 1 - COMMON**width
 
     def cost(choice: tuple[int, int, int]) -> float:
         m, a, spare = choice
-        t = smaller / m
-        pairs = spare * (m * math.exp(-t)) ** 2 / 2  # of empty segments
-        return (m - a) * (1 + sets * common**t) + a * (1 + t) * (1 + sets * common ** max(t - 1, 0)) + pairs
+        total = 0.0
+        for part in SIZES:
+            t = part * smaller / m
+            # Two unrelated sets have nothing of their own in a segment; most often there is nothing in it at all.
+            alike, none = math.exp(-2 * t * own), math.exp(-2 * t)
+            empty = m * math.exp(-t)
+            z = (spare - empty) / math.sqrt(empty)
+            shown = math.sqrt(empty / 2 / math.pi) * math.exp(-z * z / 2) - (spare - empty) * math.erfc(z / math.sqrt(2)) / 2
+            plain = (m - a - empty) * (1 + sets * (alike - none)) + shown * (1 + sets * math.exp(-t) * shown / empty)
+            total += plain + a * (1 + t + sets * (1 + 2 * t) * alike)
+        return total
 
     with_deletions = [(m, differ + 1 - m, 0) for m in range((differ + 2) // 2, differ + 1)]
-    return min([(differ + 2, 0, 1), (differ + 1, 0, 0), *with_deletions], key=cost)
+    to_spare = sorted({*range(min(differ, 16)), *range(0, differ // 2, 1 + differ // 64)})
+    return min([*((differ + 1 + s, 0, s) for s in to_spare), *with_deletions], key=cost)
 
 
 def _signatures(group: np.ndarray, segments: np.ndarray, deleting: np.ndarray, spare: np.ndarray, sizes, values):
@@ -178,20 +193,16 @@ def _signatures(group: np.ndarray, segments: np.ndarray, deleting: np.ndarray, s
     def signed(some, s, c):
         return _mix((s + c.astype(np.uint64) * _A) ^ salt[some])
 
+    # Of a set's empty segments all but the last to spare.
     empty = counts == 0
-    shown = ~empty | (spare[of] == 0)
+    before = np.concatenate(([0], np.cumsum(empty)))
+    rank = before[:-1] - before[offsets][of]
+    shown = ~empty | (rank < (np.bincount(of[empty], minlength=n) - spare)[of])
     rows = np.flatnonzero(shown)
     out = [(of[rows], signed(rows, sums[rows], counts[rows]), np.zeros(len(rows), bool))]
     # One element of a segment left out at a time.
     less = (number < deleting[of])[place]
     out.append((owner[less], signed(place[less], sums[place[less]] - mixed[less], counts[place[less]] - 1), np.ones(less.sum(), bool)))
-    # Pairs of empty segments.
-    empties = np.bincount(of[empty], minlength=n)
-    for i in np.flatnonzero((empties > 1) & (spare == 1)):
-        own = number[empty & (of == i)]
-        x, y = np.triu_indices(len(own), 1)
-        pair = _mix(_mix(own[x].astype(np.uint64) * _A + np.uint64(group[i])) + own[y].astype(np.uint64) * _B)
-        out.append((np.full(len(pair), i), pair, np.zeros(len(pair), bool)))
     return tuple(np.concatenate(part) for part in zip(*out))
 
 
@@ -250,14 +261,21 @@ def sketches(sizes: np.ndarray, values: np.ndarray, least: tuple[int, int] = LEA
     return out
 
 
-#: Sketches up to so many bytes are outlines as they are; fewer bits would refute too little.
-SHORT_SKETCH = 128
-#: By an outline's first byte: of each other byte, how many of its fields (one, or four of two bits) are not 0.
-_FIELDS = np.array([[x > 0 for x in range(256)], [sum(x >> k & 3 > 0 for k in (0, 2, 4, 6)) for x in range(256)]], np.uint8)
+#: Sketches up to so many bytes are outlines as they are; fewer bits would refute too little, and the pairs of a large group of
+#: texts that are nearly similar would be written for every signature they share.
+SHORT_SKETCH = 512
+#: Of longer sketches than this one bit of each byte is enough.
+LONG_SKETCH = 1024
+#: By an outline's first byte: of each other byte, how many of its fields (one, four of two bits, or eight bits) are not 0.
+_FIELDS = np.array(
+    [[x > 0 for x in range(256)], *([sum(x >> k & (1 << n) - 1 > 0 for k in range(0, 8, n)) for x in range(256)] for n in (2, 1))],
+    np.uint8,
+)
 
 
 def outlines(drawn: list[bytes]) -> list[bytes]:
-    """A sketch that is short, behind a 0, or two bits of each of its bytes, four in a byte, behind a 1.
+    """A sketch that is short, behind a 0, or two bits of each of its bytes, four in a byte, behind a 1, or of a long one a
+    bit of each, eight in a byte, behind a 2.
 
     Outlines differ in no more fields than sketches in bytes.
     """
@@ -266,6 +284,9 @@ def outlines(drawn: list[bytes]) -> list[bytes]:
         if len(sketch) <= SHORT_SKETCH:
             out.append(b"\0" + sketch)
             continue
+        if len(sketch) > LONG_SKETCH:
+            out.append(b"\2" + np.packbits(np.frombuffer(sketch, np.uint8) & 1).tobytes())
+            continue
         bits = np.zeros((-(-len(sketch) // 4), 4), np.uint8)
         bits.reshape(-1)[: len(sketch)] = np.frombuffer(sketch, np.uint8) & 3
         out.append(b"\1" + (bits << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes())
@@ -491,7 +512,7 @@ def _unlike(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, x: np.nda
         if sizes.min() == sizes.max():
             rows = np.lib.stride_tricks.sliding_window_view(data, sizes[0])
             bits, form = rows[starts[own]] ^ rows[starts[other]], data[starts[own[0]]]
-            out[i : i + AT_A_TIME] = _FIELDS[1][bits].sum(axis=1) if form else np.count_nonzero(bits, axis=1)
+            out[i : i + AT_A_TIME] = _FIELDS[form][bits].sum(axis=1) if form else np.count_nonzero(bits, axis=1)
             continue
         ends = np.cumsum(sizes)
         at = np.repeat(starts[own] - (ends - sizes), sizes) + np.arange(ends[-1])
@@ -648,9 +669,10 @@ def similar_components(
             scratch.drop(before)
             if not met.take(1):
                 break
-            new = _partners(met, drawn, done, until, least).join(compared, ["a", "b"], "left_anti")
-            outlined = scratch.stage(new.coalesce(files), "outlined")
-            more = verified(scratch.stage(_not_refuted(outlined, drawn, least).coalesce(files), "partners"))
+            # Staged before those compared are left out, which Spark would do before it makes them distinct.
+            outlined = scratch.stage(_partners(met, drawn, done, until, least).coalesce(files), "outlined")
+            new = _not_refuted(outlined.join(compared, ["a", "b"], "left_anti"), drawn, least)
+            more = verified(scratch.stage(new.coalesce(files), "partners"))
             scratch.drop(outlined)
             met, done, until = met.drop("root"), until, until * MORE_PARTNERS
             compared = scratch.stage(stack(compared, more).coalesce(files), "verified")
