@@ -101,17 +101,16 @@ def test_streams_through_runs(spark, tmp_path, monkeypatch, waits):
     prices = {s: [100 * rng.choice([1, 1, 1, 1, 0.4, 1.6, 3]) * rng.uniform(0.95, 1.05) for _ in range(n)] for s, n in sizes.items()}
     rows = [trade(s, 3 * (i // 2), p, trade_id=str(i)) for s in prices for i, p in enumerate(prices[s])]
     batches = shuffled_batches(rows, 4, 300, rng) if waits else [rng.sample(rows, len(rows))]
-    limits = {(J, "HELD_ROWS"): 50, (R, "RUN_ROWS"): 128, (R, "BATCH_ROWS"): 8}
     turns, seen = J._turns, []
 
-    def small(*arguments):  # within the Python workers, which import the modules anew
-        from tickloom.streaming import jobs, runs
+    def small(*arguments):
+        """Runs in the Python workers, with the limits pickled along and those of the module that they import."""
+        from tickloom.streaming import runs
 
-        for (module, name), value in named.items():
-            setattr({"jobs": jobs, "runs": runs}[module], name, value)
+        runs.RUN_ROWS, runs.BATCH_ROWS = 128, 8
         return turns(*arguments)
 
-    named = {(m.__name__.split(".")[-1], name): value for (m, name), value in limits.items()}
+    monkeypatch.setattr(J, "HELD_ROWS", 50)
     stream = stream_of(spark, str(tmp_path / "in"), batches)
     folder = J._waiting_folder
     monkeypatch.setattr(J, "_waiting_folder", lambda *a: seen.append(folder(*a)) or seen[-1])
@@ -122,3 +121,27 @@ def test_streams_through_runs(spark, tmp_path, monkeypatch, waits):
     expected = {(s, i): ok for s in prices for i, ok in enumerate(gate_loop(prices[s])) if at(3 * (i // 2)) <= closed}
     assert got == expected and len(set(got.values())) == 2 and len(got) > 700
     assert bool(list(Path(seen[0]).glob("run-*"))) if waits else seen == [None]
+
+
+def test_a_group_reaches_python_in_few_rows(spark, tmp_path, monkeypatch):
+    """A symbol's trades come as names of files, not as rows, which Spark would pass at once; files go with the next batch."""
+    monkeypatch.setattr(J, "PACKED_ROWS", 20)
+    rng, folders, fresh, turns = random.Random(7), [], J.fresh_path, J._turns
+    prices = [100 * rng.choice([1, 1, 1, 1, 0.4, 1.6, 3]) * rng.uniform(0.95, 1.05) for _ in range(600)]
+    rows = [trade("BTCUSDT", i // 2, p, trade_id=str(i)) for i, p in enumerate(prices)]
+    rows += [trade("ETHUSDT", i, 5.0, trade_id=f"e{i}") for i in range(10)] + [(None, at(1), 5.0, 1.0, "buy", "n", "x")]
+
+    def few(batches, state, folder, arrived):
+        batches = list(batches)
+        assert sum(map(len, batches)) <= 20 and all(len(b) for b in batches)
+        return turns(iter(batches), state, folder, arrived)
+
+    monkeypatch.setattr(J, "_turns", few)
+    monkeypatch.setattr(J, "fresh_path", lambda *a: folders.append(fresh(*a)) or folders[-1])
+    first = rng.sample(rows[:500], 500)
+    stream = stream_of(spark, str(tmp_path / "in"), [first, rows[500:]])
+    out, _ = drained(spark, J.accuracy_stream(stream), str(tmp_path))
+    got = {(r.symbol, r.trade_id): r.accepted for r in out.collect()}
+    assert len(got) == len(rows) and got[None, "n"]
+    assert [got["BTCUSDT", str(i)] for i in range(600)] == gate_loop(prices)
+    assert len(list(Path(folders[0]).glob("run-*"))) == 1

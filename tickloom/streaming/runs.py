@@ -79,8 +79,9 @@ class Run:
         system, place = fs.FileSystem.from_uri(self.path)
         with system.open_input_file(place) as source:
             reader = pa.ipc.open_file(source)
+            size = reader.get_batch(0).num_rows  # of all batches but the last
             while self.done < self.rows:
-                number, skip = divmod(self.done, BATCH_ROWS)
+                number, skip = divmod(self.done, size)
                 table = pa.Table.from_batches([reader.get_batch(number)]).slice(skip)
                 times = np.asarray(table[at])
                 reached = len(times) if until is None else int(np.searchsorted(times, until, side="right"))
